@@ -175,12 +175,15 @@ def _meet(pairs: DataFrame, donors: DataFrame, boxes: _Cells, p: int, k: int,
              pairs.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = [(int(c), int(b), -(-asked[int(c)] // block_rows))
             for c, b in zip(boxes.ids, boxes.blocks) if int(c) in asked]
-    sizes = F.broadcast(donors.sparkSession.createDataFrame(
-        rows, "cell long, dblocks long, qblocks long"))
-    left = pairs.join(sizes, "cell").withColumn(
+
+    def sizes() -> DataFrame:
+        return F.broadcast(donors.sparkSession.createDataFrame(
+            rows, "cell long, dblocks long, qblocks long"))
+
+    left = pairs.join(sizes(), "cell").withColumn(
         "qblock", F.pmod(F.xxhash64("qid"), F.col("qblocks"))).withColumn(
         "dblock", F.explode(F.sequence(F.lit(0), F.col("dblocks") - 1)))
-    right = donors.join(sizes, "cell").withColumn(
+    right = donors.join(sizes(), "cell").withColumn(
         "dblock", F.pmod(F.xxhash64(*[f"f{i}" for i in range(p)], "m"), F.col("dblocks"))) \
         .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
     keys = ["cell", "dblock", "qblock"]
