@@ -38,7 +38,7 @@ LISTING_COLUMNS = {
 KEYS = {
     "row_key": "(l_orderkey * 1000003 + l_partkey * 7919 + l_suppkey * 104729"
                " + l_linenumber * 15485863 + CAST(floor(l_extendedprice * 100) AS BIGINT)"
-               " * 32452843) % 4503599627370449",
+               " * 611953000003) % 4503599627370449",
     "mask_key": "l_orderkey * 7 + l_partkey * 13 + l_linenumber * 3",
     "copy_key": "l_orderkey % 25",
     "noise": "CAST((l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 1299709) % 200001"

@@ -38,7 +38,7 @@ def global_index(df: DataFrame, order_by: list[Column], name: str = "position")
         .withColumn(name, F.col("_offset") + within).drop("_part", "_offset", "_place")
 
 
-def blocks_by_rank(df: DataFrame, key: Column, sizes: list[int], name: str = "block") -> DataFrame:
+def blocks_by_rank(df: DataFrame, key: Column | str, sizes: list[int], name: str = "block") -> DataFrame:
     """Consecutive blocks of exactly the given sizes in the order of a numeric key.
 
     The block limits are order statistics of the key, so the table is neither sorted nor moved:
@@ -51,6 +51,7 @@ def blocks_by_rank(df: DataFrame, key: Column, sizes: list[int], name: str = "bl
         limits.append(total)
     n = total + sizes[-1]
     cuts = [r for r in limits if 0 < r < n]
+    key = col(key) if isinstance(key, str) else key
     keyed = df.withColumn("_key", key.cast("double"))
     found = order_statistics(keyed, {"_key": (F.col("_key"), sorted(set(cuts)))}, {"_key": n}) \
         if cuts else {"_key": []}

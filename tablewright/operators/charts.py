@@ -174,7 +174,7 @@ def pct_histogram(df: DataFrame, label: str = "label", prediction: str = "predic
     return histogram(df, value, bins).withColumn("median", F.lit(median).cast("double"))
 
 
-def sample_rows(df: DataFrame, size: int = 500, key: Column | None = None, minimum: int = 100,
+def sample_rows(df: DataFrame, size: int = 500, key: Column | str | None = None, minimum: int = 100,
                 ) -> DataFrame:
     """``size`` rows in pseudo-random order, or all of them; empty at or below ``minimum`` rows."""
     n = df.count()

@@ -29,7 +29,7 @@ def split_sizes(n: int, test_size: float = 0.2, val_size: float = 0.1) -> tuple[
     return rest - val, val, test
 
 
-def split(df: DataFrame, test_size: float = 0.2, val_size: float = 0.1, key: Column | None = None,
+def split(df: DataFrame, test_size: float = 0.2, val_size: float = 0.1, key: Column | str | None = None,
           seed: int = 42, name: str = "part") -> DataFrame:
     """Mark every row train, val or test; the sizes are exact and the rows stay where they are."""
     n = df.count()
@@ -45,7 +45,7 @@ def fold_sizes(n: int, folds: int) -> list[int]:
     return [n // folds + (1 if i < n % folds else 0) for i in range(folds)]
 
 
-def folds(df: DataFrame, k: int = 5, key: Column | None = None, seed: int = 42,
+def folds(df: DataFrame, k: int = 5, key: Column | str | None = None, seed: int = 42,
           name: str = "fold", rows: int | None = None) -> DataFrame:
     """Consecutive folds of (almost) equal size in the order of the key."""
     n = df.count() if rows is None else rows
@@ -53,7 +53,7 @@ def folds(df: DataFrame, k: int = 5, key: Column | None = None, seed: int = 42,
     return blocks_by_rank(df, key, fold_sizes(n, k), name)
 
 
-def holdout(df: DataFrame, share: float = 0.8, key: Column | None = None) -> DataFrame:
+def holdout(df: DataFrame, share: float = 0.8, key: Column | str | None = None) -> DataFrame:
     """The last rows after the first ``share`` of the table."""
     n = df.count()
     first = int(n * share)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, RandomForestRegressor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,17 +75,17 @@ class ExtraTreesModel:
     params: dict
 
     def _coded(self, df: DataFrame, cuts: list[list[float]], prefix: str) -> DataFrame:
-        codes = {}
-        for i, (c, points) in enumerate(zip(self.features, cuts)):
-            value = col(c).cast("double")
-            total = F.lit(0.0)
-            for p in points:
-                total = total + F.when(value > F.lit(p), 1.0).otherwise(0.0)
-            codes[f"{prefix}{i}"] = total
-        return df.withColumns(codes)
+        """Number of cut points at or below each value, by binary search."""
+        names = [f"{prefix}{i}" for i in range(len(self.features))]
+        splits = [[float("-inf"), *points, float("inf")] for points in cuts]
+        wide = df.withColumns({f"{n}_raw": col(c).cast("double")
+                               for n, c in zip(names, self.features)})
+        cutter = Bucketizer(splitsArray=[x if len(x) > 2 else [x[0], 0.0, x[1]] for x in splits],
+                            inputCols=[f"{n}_raw" for n in names], outputCols=names)
+        return cutter.transform(wide).drop(*[f"{n}_raw" for n in names])
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        out, answers, extra = df, [], []
+        out, answers = df, []
         for k, (cuts, forest) in enumerate(zip(self.cuts, self.forests)):
             prefix = f"_x{k}_"
             names = [f"{prefix}{i}" for i in range(len(self.features))]
@@ -93,7 +94,7 @@ class ExtraTreesModel:
             out = forest.transform(out).drop(f"_v{k}")
             answers.append(f"_p{k}")
         mean = sum((F.col(a) for a in answers), F.lit(0.0)) / F.lit(float(len(answers)))
-        return out.withColumn(output, mean).drop(*answers, *extra)
+        return out.withColumn(output, mean).drop(*answers)
 
     def weights(self) -> list[float]:
         parts = [f.featureImportances.toArray() for f in self.forests]

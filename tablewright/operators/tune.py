@@ -12,8 +12,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import col, one_row
+from tablewright.functions.columns import one_row
 from tablewright.functions.gram import grams, total
+from tablewright.functions.ranking import blocks_by_rank, order_key
 from tablewright.operators import models
 from tablewright.operators.linear import KINDS, fold_errors, fold_grams, solve, squared_error
 from tablewright.operators.metrics import metrics_row
@@ -48,7 +49,7 @@ def _summary(scores: list[float]) -> tuple[float, float, float]:
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str, names: list[str] | None = None,
-                   k: int = 5, key: Column | None = None) -> DataFrame:
+                   k: int = 5, key: Column | str | None = None) -> DataFrame:
     """Per model: fold errors, their mean and population deviation, root of the mean.
 
     Folds are consecutive blocks of the key order. All linear models share one pass over the
@@ -76,7 +77,7 @@ def combinations(grid: dict[str, list]) -> list[dict]:
 
 def search(df: DataFrame, features: list[str], label: str, name: str, method: str = "grid_search",
            k: int = 3, n_iter: int = 20, grid: dict[str, list] | None = None, seed: int = 42,
-           key: Column | None = None) -> tuple[dict, float, list[tuple[dict, float]]]:
+           key: Column | str | None = None) -> tuple[dict, float, list[tuple[dict, float]]]:
     """Best settings, their mean squared error over the folds and all results.
 
     ``random_search`` tries ``n_iter`` settings drawn without replacement. A model without a grid
@@ -105,7 +106,7 @@ def search_table(df: DataFrame, name: str, results: list[tuple[dict, float]]) ->
 
 
 def learning_curve(df: DataFrame, features: list[str], label: str, name: str = "ridge",
-                   k: int = 5, shares: list[float] | None = None, key: Column | None = None,
+                   k: int = 5, shares: list[float] | None = None, key: Column | str | None = None,
                    **params) -> DataFrame:
     """Mean and population deviation over the folds of train and validation RMSE per train size.
 
@@ -124,7 +125,8 @@ def learning_curve(df: DataFrame, features: list[str], label: str, name: str = "
         limits |= {t if t <= starts[f] else min(t + sizes[f], n) for t in takes}
     marks = sorted(limits)
     blocks = [b - a for a, b in zip(marks, marks[1:])]
-    data = stage(blocks_for(df, blocks, key), "curve")
+    key = order_key(df.columns) if key is None else key
+    data = stage(blocks_by_rank(df, key, blocks), "curve")
 
     def member(block: int, f: int, take: int) -> bool:
         place = marks[block]
@@ -156,14 +158,3 @@ def learning_curve(df: DataFrame, features: list[str], label: str, name: str = "
     return df.sparkSession.createDataFrame(
         rows, "train_size long, train_rmse_mean double, train_rmse_std double, "
               "val_rmse_mean double, val_rmse_std double")
-
-
-def blocks_for(df: DataFrame, sizes: list[int], key: Column | None) -> DataFrame:
-    from tablewright.functions.ranking import blocks_by_rank, order_key
-
-    key = order_key(df.columns) if key is None else key
-    return blocks_by_rank(df, key, sizes)
-
-
-def labelled_rows(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    return df.select(*[col(c) for c in [*features, label]])
