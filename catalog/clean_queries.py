@@ -10,6 +10,7 @@ from catalog.registry import query, rounded
 from tablewright.fixed_values import RAW_COLUMNS
 from tablewright.operators import clean, scale
 from tablewright.plans import jobs
+from tablewright.session import stage
 
 FEATURES = [c for c in RAW_COLUMNS if c != "price"]
 
@@ -141,8 +142,6 @@ def based(t):
 @query("c_iqr_seq", sql(f"SELECT {select_list('round({c}, 6) AS {c}')} FROM kept7", "dirty",
                         extra=SEQUENCE))
 def _(t):
-    from tablewright.session import stage
-
     base = stage(based(t), "base")
     return rounded(clean.fit_outliers(base, "iqr", FEATURES).apply(base))
 
@@ -151,7 +150,7 @@ def _(t):
                           extra=fence_steps("dirty", RAW_COLUMNS)))
 def _(t):
     """Missing cells pass every fence."""
-    dirty = t.dirty()
+    dirty = stage(t.dirty(), "dirty")
     return clean.fit_outliers(dirty, "iqr").apply(dirty)
 
 
@@ -183,9 +182,9 @@ def zscore_steps(source: str, columns: list[str]) -> dict[str, str]:
 @query("c_zscore", sql(f"SELECT {COLUMN_LIST} FROM z8", "listings", extra={
     "spiky": f"SELECT {SPIKY} FROM listings", **zscore_steps("spiky", RAW_COLUMNS)}))
 def _(t):
-    spiky = t.listings(key=True).selectExpr(*[
+    spiky = stage(t.listings(key=True).selectExpr(*[
         "CASE WHEN row_key % 500 = 0 THEN sqft_lot * 20 ELSE sqft_lot END AS sqft_lot"
-        if c == "sqft_lot" else c for c in RAW_COLUMNS])
+        if c == "sqft_lot" else c for c in RAW_COLUMNS]), "spiky")
     return clean.fit_outliers(spiky, "zscore").apply(spiky)
 
 
@@ -195,8 +194,6 @@ def _(t):
     for c, a, b in zip(FEATURES, ["based", *[f"kept{i}" for i in range(7)]],
                        [f"kept{i}" for i in range(8)])), "dirty", extra=SEQUENCE))
 def _(t):
-    from tablewright.session import stage
-
     base = stage(based(t), "base")
     return clean.fit_outliers(base, "iqr", FEATURES).report(base)
 

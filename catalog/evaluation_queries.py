@@ -98,13 +98,13 @@ def bars(bins: int, more: str = "") -> str:
 
 @query("e_resid_hist", sql(bars(50), "predictions", extra=binned(E, 50)))
 def _(t):
-    return rounded(charts.residual_histogram(t.predictions()), 4)
+    return rounded(charts.residual_histogram(t.scored()), 4)
 
 
 @query("e_pct_hist", sql(bars(30, ", round((SELECT quantile_cont(v, 0.5) FROM vals), 6) AS median"),
                          "predictions", extra=binned(PCT, 30)))
 def _(t):
-    return rounded(charts.pct_histogram(t.predictions()), {"bin_low": 4, "bin_high": 4})
+    return rounded(charts.pct_histogram(t.scored()), {"bin_low": 4, "bin_high": 4})
 
 
 @query("e_normal_curve", sql(
@@ -114,7 +114,7 @@ def _(t):
     f" range(100) AS r(i), (SELECT count(*) AS n, avg({E}) AS mu, stddev_pop({E}) AS sigma,"
     f" min({E}) AS lo, max({E}) AS hi FROM predictions)", "predictions"))
 def _(t):
-    return rounded(charts.normal_curve(t.predictions()), {"x": 3, "y": 4})
+    return rounded(charts.normal_curve(t.scored()), {"x": 3, "y": 4})
 
 
 @query("e_qq", sql(
@@ -123,13 +123,13 @@ def _(t):
     " CAST(round_even(i * (n - 1) / 999.0e0, 0) AS BIGINT) FROM range(1000) AS r(i))",
     "predictions"))
 def _(t):
-    return rounded(charts.quantile_pairs(t.predictions()).select("rank", "residual"), 4)
+    return rounded(charts.quantile_pairs(t.scored()).select("rank", "residual"), 4)
 
 
 @query("e_qq_points")
 def _(t):
     """With the theoretical normal order medians, which SQL has no function for."""
-    return charts.quantile_pairs(t.predictions())
+    return charts.quantile_pairs(t.scored())
 
 
 EDGES = ("SELECT " + ", ".join(f"quantile_cont(prediction, {i / 5}) AS e{i}" for i in range(6))
@@ -146,7 +146,7 @@ FIFTHS = {"edges": EDGES,
     "SELECT actual, predicted, residual, abs_error, round(pct_error, 6) AS pct_error,"
     " prediction_range FROM fifths", "predictions", extra=FIFTHS))
 def _(t):
-    return rounded(charts.quintiles(t.predictions()))
+    return rounded(charts.quintiles(t.scored()))
 
 
 def box_sql(measure: str) -> str:
@@ -165,7 +165,7 @@ def box_sql(measure: str) -> str:
 @query("e_box", sql(f"{box_sql('abs_error')} UNION ALL {box_sql('pct_error')}", "predictions",
                     extra=FIFTHS))
 def _(t):
-    return rounded(charts.box_statistics(t.predictions()), 4)
+    return rounded(charts.box_statistics(t.scored()), 4)
 
 
 LONG = {"wide": "SELECT model, " + ", ".join(f"{q} AS {m}" for m, q in METRIC_SQL.items())
@@ -217,7 +217,7 @@ def _(t):
     "SELECT row_key, label, prediction FROM (SELECT *, row_number() OVER (ORDER BY row_key) AS pos,"
     " count(*) OVER () AS n FROM predictions) WHERE pos > floor(n * 0.8e0)", "predictions"))
 def _(t):
-    return split.holdout(t.predictions(), 0.8, "row_key")
+    return split.holdout(t.scored(), 0.8, "row_key")
 
 
 @query("e_sample", sql(
@@ -226,4 +226,4 @@ def _(t):
 def _(t):
     """500 rows in the order of a portable hash of the row key."""
     scattered = F.expr("(row_key % 2147483647) * 48271 % 2147483647")
-    return charts.sample_rows(t.predictions(), 500, scattered)
+    return charts.sample_rows(t.scored(), 500, scattered)

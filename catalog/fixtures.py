@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.fixed_values import RAW_COLUMNS
 from tablewright.operators import linear
+from tablewright.session import stage
 
 
 def _steps(h: str, values: list[float], limits: list[int]) -> str:
@@ -90,6 +91,10 @@ class Tables:
         return rows.select("row_key", F.col("price").alias("label"),
                            F.round(model.expression(), 0).alias("prediction"))
 
+    def scored(self) -> DataFrame:
+        """The predictions as a stored table, for charts that read them several times."""
+        return stage(self.predictions(), "scored")
+
     def scored_models(self) -> DataFrame:
         """Predictions of three one-feature models, told apart by ``model``."""
         parts = [self.predictions(f).withColumn("model", F.lit(f))

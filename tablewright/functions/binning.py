@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,12 +32,16 @@ def equal_edges(low: float, high: float, bins: int) -> list[float]:
     return [i * step + low for i in range(bins)] + [high]
 
 
-def histogram_bin(value: Column, low: float, high: float, bins: int) -> Column:
-    """Left-closed bin number, last bin closed; the guess is corrected against its own edges."""
-    width, step = high - low, (high - low) / bins
-    guess = F.least(F.floor((value - F.lit(low)) / F.lit(width) * F.lit(float(bins))),
-                    F.lit(bins - 1))
-    return (guess
-            - F.when(value < guess * F.lit(step) + F.lit(low), 1).otherwise(0)
-            + F.when((guess < bins - 1) & (value >= (guess + 1) * F.lit(step) + F.lit(low)), 1)
-            .otherwise(0)).cast("bigint")
+def with_histogram_bin(df: DataFrame, value: str, low: Column, high: Column, bins: int,
+                       name: str) -> DataFrame:
+    """Add the left-closed bin number of a column, last bin closed.
+
+    The guess by division is corrected against the edges it stands for. It is a column of its
+    own for a moment so that the expression does not repeat it.
+    """
+    v, step = F.col(value), (high - low) / F.lit(float(bins))
+    guess = F.least(F.floor((v - low) / (high - low) * F.lit(float(bins))), F.lit(bins - 1))
+    g = F.col("_guess")
+    exact = (g - F.when(v < g * step + low, 1).otherwise(0)
+             + F.when((g < bins - 1) & (v >= (g + 1) * step + low), 1).otherwise(0))
+    return df.withColumn("_guess", guess).withColumn(name, exact.cast("bigint")).drop("_guess")

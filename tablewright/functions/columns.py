@@ -52,3 +52,13 @@ def one_row(df: DataFrame, aggregates: list[Column]) -> list:
     """The values of one global aggregation, in order (empty list for no aggregates)."""
     return list(df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggregates)]).first()) \
         if aggregates else []
+
+
+def anchors(df: DataFrame, columns: list[Column]) -> list[float]:
+    """A value of each column near the others, to subtract before squaring; 0 if none is seen.
+
+    Taken from a few rows, which costs no pass over the table. A constant column gets exactly
+    its constant, so that its deviations are exactly 0.
+    """
+    rows = df.select(*[c.cast("double").alias(f"x{i}") for i, c in enumerate(columns)]).take(20)
+    return [next((r[i] for r in rows if r[i] is not None), 0.0) for i in range(len(columns))]

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import col, one_row
+from tablewright.functions.columns import anchors, col
 
 
 @dataclass
@@ -49,14 +49,12 @@ def grams(df: DataFrame, columns: list[str], group: Column | None = None) -> dic
     """One ``Gram`` per group value. Rows with a missing cell do not count.
 
     Each task multiplies its batches and emits one triangle per group; the triangles are summed
-    in a shuffle whose size depends on tasks and columns, not on rows. Shifting by the column
-    means first keeps the sums well conditioned.
+    in a shuffle whose size depends on tasks and columns, not on rows.
     """
     d = len(columns)
     wide = [col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]
-    rows = df.select((group if group is not None else F.lit(0)).cast("int").alias("g"), *wide) \
-        .na.drop()
-    shift = np.array([m or 0.0 for m in one_row(rows, [F.avg(f"x{i}") for i in range(d)])])
+    rows = df.select((group if group is not None else F.lit(0)).cast("int").alias("g"), *wide)
+    shift = np.array(anchors(rows, [F.col(f"x{i}") for i in range(d)]))
     upper = np.triu_indices(d + 1)
 
     def cross(frames):
@@ -65,8 +63,10 @@ def grams(df: DataFrame, columns: list[str], group: Column | None = None) -> dic
 
         held: dict = {}
         for frame in frames:
-            g = frame["g"].to_numpy()
             x = frame[[f"x{i}" for i in range(d)]].to_numpy(dtype=float) - shift
+            g = frame["g"].to_numpy(dtype=float)
+            whole = ~(np.isnan(x).any(axis=1) | np.isnan(g))
+            x, g = x[whole], g[whole].astype(int)
             z = np.hstack([np.ones((len(x), 1)), x])
             for value in np.unique(g):
                 part = z[g == value]

@@ -57,6 +57,11 @@ class _Search:
             self.low, self.below, self.inside = b, self.below + le_b, self.inside - le_b
 
 
+def _at(values: Column, places: Column) -> Column:
+    """The elements of an array at several places."""
+    return F.transform(places, lambda place: F.get(values, place))
+
+
 def _as_columns(columns: dict[str, Column] | list[str]) -> dict[str, Column]:
     return columns if isinstance(columns, dict) else {c: col(c) for c in columns}
 
@@ -75,27 +80,36 @@ def order_statistics(df: DataFrame, wanted: dict[str, tuple[Column, list[int]]],
         if not 0 <= rank < counts[c]:
             raise ValueError(f"rank {rank} outside the {counts[c]} values of {c}")
     while open_ := [s for s in searches.values() if s.answer is None]:
-        short = [s for s in open_ if s.inside <= gather_rows]
-        wide = [s for s in open_ if s.inside > gather_rows]
-        picks = [F.get(F.sort_array(F.collect_list(s.rows())), F.lit(s.rank - s.below))
-                 for s in short]
+        # searches that look at the same rows share one sketch or one gathered list
+        groups: dict[tuple, list[_Search]] = {}
+        for s in open_:
+            groups.setdefault((s.column, s.low, s.high), []).append(s)
+        short = [g for g in groups.values() if g[0].inside <= gather_rows]
+        wide = [g for g in groups.values() if g[0].inside > gather_rows]
+        picks = []
+        for g in short:
+            places = F.array(*[F.lit(s.rank - s.below) for s in g])
+            picks.append((g[0].rows(), places))
+        gathered = [F.sort_array(F.collect_list(v)) for v, _ in picks]
         margin = 2.0 / sketch
         guesses = []
-        for s in wide:
-            share = (s.rank - s.below) / s.inside
-            ends = F.array(F.lit(max(share - margin, 0.0)), F.lit(min(share + margin, 1.0)))
-            guesses.append(F.percentile_approx(s.rows(), ends, F.lit(sketch)))
-        found = one_row(values, picks + guesses)
-        for s, value in zip(short, found):
-            s.answer = value
-        bounds = found[len(short):]
+        for g in wide:
+            shares = [(s.rank - s.below) / s.inside for s in g]
+            ends = [F.lit(x) for p in shares for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
+            guesses.append(F.percentile_approx(g[0].rows(), F.array(*ends), F.lit(sketch)))
+        found = one_row(values, [_at(a, p) for a, (_, p) in zip(gathered, picks)] + guesses)
+        for g, answers in zip(short, found):
+            for s, value in zip(g, answers):
+                s.answer = value
+        guessed = [(s, ends[2 * i], ends[2 * i + 1])
+                   for g, ends in zip(wide, found[len(short):]) for i, s in enumerate(g)]
         passes = []
-        for s, (a, b) in zip(wide, bounds):
+        for s, a, b in guessed:
             v = s.rows()
             passes += [F.count_if(v < F.lit(a)), F.count_if(v <= F.lit(a)),
                        F.count_if(v < F.lit(b)), F.count_if(v <= F.lit(b))]
         totals = one_row(values, passes)
-        for i, (s, (a, b)) in enumerate(zip(wide, bounds)):
+        for i, (s, a, b) in enumerate(guessed):
             s.narrow(a, b, *totals[4 * i: 4 * i + 4])
     return {c: [searches[c, rank].answer for rank in wanted[c][1]] for c in names}
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.fixed_values import QUINTILE_LABELS
-from tablewright.functions.binning import equal_edges, histogram_bin, labelled
+from tablewright.functions.binning import equal_edges, labelled, with_histogram_bin
 from tablewright.functions.columns import col, one_row
 from tablewright.functions.quantiles import exact_quantiles, order_statistics
 from tablewright.functions.ranking import blocks_by_rank, order_key
@@ -49,7 +49,7 @@ def abs_error_vs_actual(df: DataFrame, label: str = "label", prediction: str = "
 
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """Count per equal-width bin, empty bins included; last bin closed."""
-    rows = df.select(value.cast("double").alias("v")).filter("v is not null")
+    rows = df.select(value.cast("double").alias("v"))
     low, high = one_row(rows, [F.min("v"), F.max("v")])
     if low is None:
         return df.sparkSession.createDataFrame(
@@ -60,8 +60,9 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     frame = df.sparkSession.createDataFrame(
         [(i, edges[i], edges[i + 1]) for i in range(bins)],
         "bin long, bin_low double, bin_high double")
-    sizes = rows.groupBy(histogram_bin(F.col("v"), low, high, bins).alias("bin")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    # rows without a value form a NULL bin, which the frame does not have
+    sizes = with_histogram_bin(rows, "v", F.lit(low), F.lit(high), bins, "bin") \
+        .groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     return frame.join(sizes, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -75,7 +76,7 @@ def normal_curve(df: DataFrame, label: str = "label", prediction: str = "predict
     """Normal density with the residuals' moments, scaled to the histogram."""
     e = col(prediction) - col(label)
     n, mu, sigma, low, high = one_row(
-        df.filter(e.isNotNull()), [F.count(e), F.avg(e), F.stddev_pop(e), F.min(e), F.max(e)])
+        df, [F.count(e), F.avg(e), F.stddev_pop(e), F.min(e), F.max(e)])
     step = (high - low) / (points - 1)
     grid = df.sparkSession.range(points).withColumn(
         "x", F.when(F.col("id") == points - 1, F.lit(float(high)))
@@ -93,9 +94,8 @@ def quantile_pairs(df: DataFrame, label: str = "label", prediction: str = "predi
     A table of up to ``points`` rows gives every point; a longer one gives evenly spaced ranks,
     each with its exact residual, so nothing is sorted as a whole.
     """
-    rows = df.select((col(prediction) - col(label)).cast("double").alias("v")) \
-        .filter("v is not null")
-    n = rows.count()
+    rows = df.select((col(prediction) - col(label)).cast("double").alias("v"))
+    n = one_row(rows, [F.count("v")])[0]
     if n == 0:
         return df.sparkSession.createDataFrame([], "rank long, theoretical double, residual double")
     ranks = sorted({round(i * (n - 1) / max(points - 1, 1)) for i in range(points)}) \

@@ -104,17 +104,22 @@ def add_polynomial(df: DataFrame, degree: int = 2, target: str = "price", limit:
 def fit_bins(df: DataFrame, columns: list[str], max_bins: int = MAX_BINS) -> dict[str, list[float]]:
     """Equal-width, right-closed edges per column; the lowest edge is widened a little.
 
-    The bin count is at most the number of distinct values. Only columns that a sketch shows to
-    have few values are counted exactly, so the exact set stays small.
+    The bin count is at most the number of distinct values. A few rows usually prove that a
+    column has enough of them. The others are sketched, and those that the sketch shows to have
+    few values are counted exactly, so the exact sets stay small.
     """
-    flat = one_row(df, [f(col(c).cast("double")) for c in columns
-                        for f in (F.min, F.max, F.approx_count_distinct)])
-    seen = {c: flat[3 * i: 3 * i + 3] for i, c in enumerate(columns)}
-    few = [c for c, (_, _, n) in seen.items() if n < 20 * max_bins]
+    flat = one_row(df, [f(col(c).cast("double")) for c in columns for f in (F.min, F.max)])
+    ends = {c: (flat[2 * i], flat[2 * i + 1]) for i, c in enumerate(columns)}
+    seen = df.select(*[col(c) for c in columns]).take(200)
+    distinct = {c: len({r[i] for r in seen} - {None}) for i, c in enumerate(columns)}
+    open_ = [c for c in columns if distinct[c] < max_bins and ends[c][0] != ends[c][1]]
+    sketch = dict(zip(open_, one_row(df, [F.approx_count_distinct(col(c)) for c in open_])))
+    few = [c for c in open_ if sketch[c] < 20 * max_bins]
     exact = dict(zip(few, one_row(df, [F.size(F.collect_set(col(c))) for c in few])))
     edges = {}
-    for c, (low, high, n) in seen.items():
-        bins = min(max_bins, exact.get(c, n))
+    for c, (low, high) in ends.items():
+        known = exact.get(c, sketch.get(c, distinct[c]))
+        bins = min(max_bins, known) if low != high else 1
         if bins > 1:
             cuts = equal_edges(low, high, bins)
             edges[c] = [cuts[0] - (high - low) * BIN_WIDENING, *cuts[1:]]

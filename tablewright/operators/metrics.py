@@ -26,11 +26,16 @@ def _explained(lost: Column, spread: Column) -> Column:
 
 
 def metric_columns(label: str = "label", prediction: str = "prediction") -> dict[str, Column]:
-    """All metrics as aggregate columns, so any grouping can use them in one pass."""
-    y, p = col(label).cast("double"), col(prediction).cast("double")
+    """All metrics as aggregate columns, so any grouping can use them in one pass.
+
+    Rows without an actual or predicted value do not count.
+    """
+    p = col(prediction).cast("double")
+    y = F.when(p.isNotNull(), col(label).cast("double"))
     e = p - y
     mse = F.avg(e * e)
-    within = {t: F.avg(F.when(pct_error(label, prediction) <= t, 1.0).otherwise(0.0)) * 100
+    pct = pct_error(label, prediction)
+    within = {t: F.avg(F.when(pct <= t, 1.0).when(e.isNotNull(), 0.0)) * 100
               for t in (5, 10, 20)}
     return {
         "mse": mse, "rmse": F.sqrt(mse), "mae": F.avg(F.abs(e)),
@@ -48,10 +53,9 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
              by: list[str] | None = None, metrics: list[str] | None = None) -> DataFrame:
     """Row count and metrics, for the table or per group; a single aggregation."""
     found = metric_columns(label, prediction)
-    aggs = [F.count(F.lit(1)).alias("test_size"),
+    aggs = [F.count(col(prediction) - col(label)).alias("test_size"),
             *[found[m].alias(m) for m in metrics or METRICS]]
-    rows = df.filter(col(label).isNotNull() & col(prediction).isNotNull())
-    return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
 def metrics_row(df: DataFrame, label: str = "label", prediction: str = "prediction",

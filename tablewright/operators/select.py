@@ -7,11 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.binning import histogram_bin
-from tablewright.functions.columns import col, long_form, one_row
+from tablewright.functions.binning import with_histogram_bin
+from tablewright.functions.columns import anchors, col, long_form, one_row
 from tablewright.functions.gram import gram
 from tablewright.session import stage
 
@@ -20,20 +20,34 @@ SEED = 42
 
 
 def f_scores(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """F statistic of each feature against the label, from one aggregation.
+    """F statistic of each feature against the label, from one aggregation of plain sums.
 
-    A constant feature scores 0, a perfectly correlated one the largest double.
+    A row counts for a feature if both cells are present. A constant feature scores 0, a
+    perfectly correlated one the largest double.
     """
-    y = col(label).cast("double")
+    *starts, origin = anchors(df, [col(c) for c in [*features, label]])
+    gaps = {c: df.schema[c].nullable for c in features}
+    y = col(label).cast("double") - F.lit(origin)
+    aggs = [F.count(y).alias("n"), F.sum(y).alias("y"), F.sum(y * y).alias("yy")]
+    for i, (c, start) in enumerate(zip(features, starts)):
+        x = F.when(y.isNotNull(), col(c).cast("double") - F.lit(start))
+        aggs += [F.sum(x).alias(f"x_{i}"), F.sum(x * x).alias(f"xx_{i}"),
+                 F.sum(x * y).alias(f"xy_{i}")]
+        if gaps[c]:
+            own = F.when(col(c).isNotNull(), y)
+            aggs += [F.count(own).alias(f"n_{i}"), F.sum(own).alias(f"y_{i}"),
+                     F.sum(own * own).alias(f"yy_{i}")]
     wide = []
     for i, c in enumerate(features):
-        x = col(c).cast("double")
-        square = F.try_divide(F.pow(F.covar_pop(x, y), F.lit(2.0)), F.var_pop(x) * F.var_pop(y))
-        free = F.regr_count(y, x) - 2
+        n, sy, syy = (F.col(f"{s}_{i}" if gaps[c] else s) for s in ("n", "y", "yy"))
+        sx, sxx, sxy = (F.col(f"{s}_{i}") for s in ("x", "xx", "xy"))
+        both = sxy - F.try_divide(sx * sy, n)
+        spread = (sxx - F.try_divide(sx * sx, n)) * (syy - F.try_divide(sy * sy, n))
+        square = F.when(spread > 0, both * both / spread)
         score = F.when(square.isNull(), F.lit(0.0)).when(square >= 1, F.lit(LARGEST)) \
-            .otherwise(square / (1 - F.least(square, F.lit(1.0 - 1e-16))) * free)
+            .otherwise(F.try_divide(square, 1 - square) * (n - 2))
         wide += [F.lit(i).cast("bigint").alias(f"position_{i}"), score.alias(f"score_{i}")]
-    return long_form(df.agg(*wide), features, ["position", "score"], key="feature")
+    return long_form(df.agg(*aggs).select(*wide), features, ["position", "score"], key="feature")
 
 
 def mutual_info(df: DataFrame, features: list[str], label: str, bins: int = 20) -> DataFrame:
@@ -42,20 +56,26 @@ def mutual_info(df: DataFrame, features: list[str], label: str, bins: int = 20)
     The table is melted to (feature, bin, bin) and counted map-side, so the shuffle carries at
     most features x bins x bins rows per task.
     """
-    flat = one_row(df, [f(col(c).cast("double")) for c in [*features, label]
-                        for f in (F.min, F.max)])
-    lows, highs = flat[::2], flat[1::2]
-
-    def place(c: str, low: float, high: float):
-        if low is None or low == high:
-            return F.when(col(c).isNotNull(), F.lit(0).cast("bigint"))
-        return histogram_bin(col(c).cast("double"), low, high, bins)
-
-    by = place(label, lows[-1], highs[-1])
-    cells = df.select(by.alias("by"), F.inline(F.array(*[
-        F.struct(F.lit(i).cast("bigint").alias("position"), place(c, lo, hi).alias("bx"))
-        for i, (c, lo, hi) in enumerate(zip(features, lows, highs))]))).na.drop()
-    joint = cells.groupBy("position", "bx", "by").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    names = [*features, label]
+    flat = one_row(df, [f(col(c).cast("double")) for c in names for f in (F.min, F.max)])
+    ends = {c: (flat[2 * i], flat[2 * i + 1]) for i, c in enumerate(names)}
+
+    def cell(c: str, position: int) -> Column:
+        low, high = (F.lit(x).cast("double") for x in ends[c])
+        return F.struct(F.lit(position).cast("bigint").alias("position"),
+                        col(c).cast("double").alias("x"), low.alias("low"), high.alias("high"))
+
+    def binned(rows: DataFrame, value: str, low: Column, high: Column, name: str) -> DataFrame:
+        # a constant column has one bin; one unit of width keeps its value inside
+        high = F.when(high == low, low + 1).otherwise(high)
+        return with_histogram_bin(rows, value, low, high, bins, name)
+
+    cells = df.select(col(label).cast("double").alias("y"),
+                      F.inline(F.array(*[cell(c, i) for i, c in enumerate(features)])))
+    both = binned(binned(cells, "x", F.col("low"), F.col("high"), "bx"), "y",
+                  *[F.lit(x).cast("double") for x in ends[label]], "by")
+    joint = both.groupBy("position", "bx", "by").agg(F.count(F.lit(1)).cast("double").alias("n")) \
+        .na.drop()
     of = Window.partitionBy("position")
     shares = joint.select(
         "position", "n", F.sum("n").over(of).alias("total"),
@@ -123,10 +143,11 @@ def eliminate(df: DataFrame, features: list[str], label: str, k: int, trees: int
 
 
 def select(df: DataFrame, features: list[str], label: str, method: str = "k_best", k: int = 15,
-           **options) -> list[str]:
-    """Names of the selected features."""
+           known: DataFrame | None = None, **options) -> list[str]:
+    """Names of the selected features; ``known`` F statistics are not computed again."""
     if method == "k_best":
-        return [r["feature"] for r in k_best(f_scores(df, features, label), k).collect()]
+        scores = f_scores(df, features, label) if known is None else known
+        return [r["feature"] for r in k_best(scores, k).collect()]
     if method == "rfe":
         return eliminate(df, features, label, k, **options)
     if method == "importance_threshold":

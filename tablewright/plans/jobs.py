@@ -85,9 +85,12 @@ def feature_job(df: DataFrame, target: str = "price", domain: bool = True,
     plan = features.fit_features(data, target, domain, interactions, polynomial, binned,
                                  exclude=features.LEAKY if exclude_leaky else ())
     wide = plan.transform(data)
-    scores = select.importance(wide, plan.features, target, importance)
+    # one row per feature: read once, then reused for the selection and the report
+    found = select.importance(wide, plan.features, target, importance)
+    scores = df.sparkSession.createDataFrame(found.collect(), found.schema)
     if method and k < len(plan.features):
-        plan.features = select.select(wide, plan.features, target, method, k)
+        known = scores if importance == "f_regression" else None
+        plan.features = select.select(wide, plan.features, target, method, k, known)
     table, components = plan.transform(df, keep), None
     if pca:
         components = select.fit_components(table, plan.features, pca_components)
