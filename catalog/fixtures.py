@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.fixed_values import RAW_COLUMNS
 from tablewright.operators import linear
-from tablewright.session import stage
+from tablewright.session import stage, without_call_sites
 
 
 def _steps(h: str, values: list[float], limits: list[int]) -> str:
@@ -62,7 +62,7 @@ class Tables:
     """The given tables of one folder, and the derived ones as Spark DataFrames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = without_call_sites(spark), folder
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

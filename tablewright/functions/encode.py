@@ -27,13 +27,6 @@ def fit_codes(df: DataFrame, labels: dict[str, Column], allowed: dict[str, list[
     return out
 
 
-def code(value: Column, labels: list[str]) -> Column:
-    case = F.lit(None).cast("bigint")
-    for i, label in reversed(list(enumerate(labels))):
-        case = F.when(as_label(value) == F.lit(label), F.lit(i).cast("bigint")).otherwise(case)
-    return case
-
-
 def label_table(df: DataFrame, column: str) -> DataFrame:
     """(label, code) of any text column, however many labels it has."""
     labels = df.select(as_label(col(column)).alias("label")).distinct()

@@ -14,9 +14,9 @@ from tablewright.fixed_values import (AGE_EDGES, AGE_LABELS, BIN_WIDENING, CONDI
                                       GRADE_WEIGHT, INTERACTION_COLUMNS, LUXURY_CONDITION,
                                       LUXURY_GRADE, MAX_BINS, RATIO_EPSILON, SIZE_EDGES,
                                       SIZE_LABELS)
-from tablewright.functions.binning import equal_edges, labelled, numbered
+from tablewright.functions.binning import equal_edges, labelled, numbered, right_closed
 from tablewright.functions.columns import col, numeric_columns, one_row
-from tablewright.functions.encode import code, fit_codes
+from tablewright.functions.encode import fit_codes
 
 CATEGORIES = {
     "age_category": ("age", AGE_EDGES, AGE_LABELS),
@@ -39,7 +39,20 @@ def category(name: str) -> Column:
 
 
 def _coded(name: str):
-    return lambda codes: code(category(name), codes[name])
+    """Code of the category, straight from the cut points; a label not seen in fitting is NULL."""
+    source, edges, labels = CATEGORIES[name]
+
+    def build(codes: dict[str, list[str]]) -> Column:
+        rank = {label: i for i, label in enumerate(codes[name])}
+
+        def literal(label: str) -> Column:
+            return F.lit(rank.get(label)).cast("bigint")
+
+        inside = (col(source) > edges[0]) & (col(source) <= edges[-1])
+        return F.when(inside, right_closed(col(source), edges, [literal(x) for x in labels])) \
+            .otherwise(literal("nan"))
+
+    return build
 
 
 # new column -> columns it needs, expression given the fitted label codes

@@ -28,6 +28,7 @@ CELL_ROWS = 512
 BLOCK_ROWS = 20_000
 PATTERN_COLUMNS = 8
 FINE_BINS = 1024
+SMALL_DONORS = 5_000
 
 
 @dataclass
@@ -167,28 +168,13 @@ def _candidate_cells(queries: DataFrame, boxes: _Cells, p: int, k: int, lends: l
     return queries.mapInPandas(pick, ", ".join(fields))
 
 
-def _meet(pairs: DataFrame, donors: DataFrame, boxes: _Cells, p: int, k: int,
-          lends: list[int | None], block_rows: int) -> DataFrame:
-    """The k nearest donors of each (query, value) within each cell block."""
-    pairs = stage(pairs, "knn-pairs")
-    asked = {r["cell"]: r["n"] for r in
-             pairs.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = [(int(c), int(b), -(-asked[int(c)] // block_rows))
-            for c, b in zip(boxes.ids, boxes.blocks) if int(c) in asked]
+FOUND = "qid long, target int, square double, value double, m long"
 
-    def sizes() -> DataFrame:
-        return F.broadcast(donors.sparkSession.createDataFrame(
-            rows, "cell long, dblocks long, qblocks long"))
 
-    left = pairs.join(sizes(), "cell").withColumn(
-        "qblock", F.pmod(F.xxhash64("qid"), F.col("qblocks"))).withColumn(
-        "dblock", F.explode(F.sequence(F.lit(0), F.col("dblocks") - 1)))
-    right = donors.join(sizes(), "cell").withColumn(
-        "dblock", F.pmod(F.xxhash64(*[f"f{i}" for i in range(p)], "m"), F.col("dblocks"))) \
-        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
-    keys = ["cell", "dblock", "qblock"]
+def _matcher(p: int, k: int, lends: list[int | None]):
+    """Function that finds, in one block of donors, the k nearest of each (query, value)."""
 
-    def nearest(queries, lenders):
+    def match(queries, lenders):
         import numpy as np
         import pandas as pd
 
@@ -236,8 +222,41 @@ def _meet(pairs: DataFrame, donors: DataFrame, boxes: _Cells, p: int, k: int,
                                  "m": np.array([], dtype=np.int64)})
         return pd.concat(found, ignore_index=True)
 
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        nearest, "qid long, target int, square double, value double, m long")
+    return match
+
+
+def _meet(pairs: DataFrame, donors: DataFrame, boxes: _Cells, p: int, k: int,
+          lends: list[int | None], block_rows: int) -> DataFrame:
+    """The k nearest donors of each (query, value) within each cell block."""
+    pairs = stage(pairs, "knn-pairs")
+    asked = {r["cell"]: r["n"] for r in
+             pairs.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = [(int(c), int(b), -(-asked[int(c)] // block_rows))
+            for c, b in zip(boxes.ids, boxes.blocks) if int(c) in asked]
+
+    def sizes() -> DataFrame:
+        return F.broadcast(donors.sparkSession.createDataFrame(
+            rows, "cell long, dblocks long, qblocks long"))
+
+    left = pairs.join(sizes(), "cell").withColumn(
+        "qblock", F.pmod(F.xxhash64("qid"), F.col("qblocks"))).withColumn(
+        "dblock", F.explode(F.sequence(F.lit(0), F.col("dblocks") - 1)))
+    right = donors.join(sizes(), "cell").withColumn(
+        "dblock", F.pmod(F.xxhash64(*[f"f{i}" for i in range(p)], "m"), F.col("dblocks"))) \
+        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
+    keys = ["cell", "dblock", "qblock"]
+
+    match = _matcher(p, k, lends)
+
+    def nearest(queries, lenders):
+        return match(queries, lenders)
+
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(nearest, FOUND)
+    return _closest(near, k)
+
+
+def _closest(near: DataFrame, k: int) -> DataFrame:
+    """The k nearest of all candidates of each (query, value), copies counted."""
     w = Window.partitionBy("qid", "target").orderBy("square", "value")
     top = near.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
     before = F.coalesce(F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -246,13 +265,23 @@ def _meet(pairs: DataFrame, donors: DataFrame, boxes: _Cells, p: int, k: int,
 
 def nearest(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[int | None],
             cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS,
-            max_cells: int = MAX_CELLS) -> DataFrame:
+            max_cells: int = MAX_CELLS, small: int = SMALL_DONORS) -> DataFrame:
     """The k nearest donors of every query, per lent value.
 
     ``queries``: ``qid, f0..`` and ``donors``: ``f0.., v0.., m``. ``lends[j]`` is the feature a
     query must lack to ask for value j, or ``None`` if all ask. Result: ``qid, target, square,
     value, used`` where ``used`` counts the copies that belong to the k nearest.
+
+    Up to ``small`` donors, a counted number, travel to the tasks as they are.
     """
+    if donors.count() <= small:
+        lenders, match = donors.toPandas(), _matcher(p, k, lends)
+
+        def scan(frames):
+            for frame in frames:
+                yield match(frame, lenders)
+
+        return _closest(queries.mapInPandas(scan, FOUND), k)
     names = [f"f{i}" for i in range(p)]
     assign = _layout(donors, names, cell_rows, max_cells)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in donors.schema)

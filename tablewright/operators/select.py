@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.binning import with_histogram_bin
-from tablewright.functions.columns import anchors, col, long_form, one_row
+from tablewright.functions.columns import anchors, col, one_row
 from tablewright.functions.gram import gram
 from tablewright.session import stage
 
@@ -19,35 +19,49 @@ LARGEST = 1.7976931348623157e308
 SEED = 42
 
 
+def _f(n: int, sx: float, sxx: float, sxy: float, sy: float, syy: float) -> float:
+    both = sxy - sx * sy / n
+    spread = (sxx - sx * sx / n) * (syy - sy * sy / n)
+    if spread <= 0:
+        return 0.0
+    square = both * both / spread
+    return square / (1 - square) * (n - 2) if square < 1 else LARGEST
+
+
+def f_score_rows(df: DataFrame, features: list[str], label: str) -> list[tuple[str, int, float]]:
+    """(feature, position, score) of every feature, from one aggregation of plain sums."""
+    *starts, origin = anchors(df, [col(c) for c in [*features, label]])
+    cells = [f"CAST(`{c}` AS DOUBLE) - CAST('{s!r}' AS DOUBLE) AS {name}" for c, s, name in
+             zip([*features, label], [*starts, origin],
+                 [*[f"x{i}" for i in range(len(features))], "y"])]
+    sums = ["count(y)", "sum(y)", "sum(y * y)"]
+    for i, c in enumerate(features):
+        seen = f"CASE WHEN y IS NOT NULL THEN x{i} END"
+        sums += [f"sum({seen})", f"sum({seen} * x{i})", f"sum(x{i} * y)"]
+        if df.schema[c].nullable:
+            own = f"CASE WHEN x{i} IS NOT NULL THEN y END"
+            sums += [f"count({own})", f"sum({own})", f"sum({own} * y)"]
+    found = iter(df.selectExpr(*cells).selectExpr(
+        *[f"{s} AS s{i}" for i, s in enumerate(sums)]).first())
+    whole = [next(found) for _ in range(3)]
+    out = []
+    for i, c in enumerate(features):
+        sx, sxx, sxy = (next(found) for _ in range(3))
+        n, sy, syy = [next(found) for _ in range(3)] if df.schema[c].nullable else whole
+        out.append((c, i, _f(n, sx, sxx, sxy, sy, syy) if n and n > 2 else 0.0))
+    return out
+
+
+SCORE_SCHEMA = "feature string, position long, score double"
+
+
 def f_scores(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """F statistic of each feature against the label, from one aggregation of plain sums.
+    """F statistic of each feature against the label.
 
     A row counts for a feature if both cells are present. A constant feature scores 0, a
     perfectly correlated one the largest double.
     """
-    *starts, origin = anchors(df, [col(c) for c in [*features, label]])
-    gaps = {c: df.schema[c].nullable for c in features}
-    y = col(label).cast("double") - F.lit(origin)
-    aggs = [F.count(y).alias("n"), F.sum(y).alias("y"), F.sum(y * y).alias("yy")]
-    for i, (c, start) in enumerate(zip(features, starts)):
-        x = F.when(y.isNotNull(), col(c).cast("double") - F.lit(start))
-        aggs += [F.sum(x).alias(f"x_{i}"), F.sum(x * x).alias(f"xx_{i}"),
-                 F.sum(x * y).alias(f"xy_{i}")]
-        if gaps[c]:
-            own = F.when(col(c).isNotNull(), y)
-            aggs += [F.count(own).alias(f"n_{i}"), F.sum(own).alias(f"y_{i}"),
-                     F.sum(own * own).alias(f"yy_{i}")]
-    wide = []
-    for i, c in enumerate(features):
-        n, sy, syy = (F.col(f"{s}_{i}" if gaps[c] else s) for s in ("n", "y", "yy"))
-        sx, sxx, sxy = (F.col(f"{s}_{i}") for s in ("x", "xx", "xy"))
-        both = sxy - F.try_divide(sx * sy, n)
-        spread = (sxx - F.try_divide(sx * sx, n)) * (syy - F.try_divide(sy * sy, n))
-        square = F.when(spread > 0, both * both / spread)
-        score = F.when(square.isNull(), F.lit(0.0)).when(square >= 1, F.lit(LARGEST)) \
-            .otherwise(F.try_divide(square, 1 - square) * (n - 2))
-        wide += [F.lit(i).cast("bigint").alias(f"position_{i}"), score.alias(f"score_{i}")]
-    return long_form(df.agg(*aggs).select(*wide), features, ["position", "score"], key="feature")
+    return df.sparkSession.createDataFrame(f_score_rows(df, features, label), SCORE_SCHEMA)
 
 
 def mutual_info(df: DataFrame, features: list[str], label: str, bins: int = 20) -> DataFrame:
@@ -103,7 +117,7 @@ def forest_scores(df: DataFrame, features: list[str], label: str, trees: int = 1
                                   featureSubsetStrategy="all", subsamplingRate=1.0).fit(data)
     weights = model.featureImportances.toArray()
     rows = [(c, i, float(weights[i])) for i, c in enumerate(features)]
-    return df.sparkSession.createDataFrame(rows, "feature string, position long, score double")
+    return df.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
 
 
 def importance(df: DataFrame, features: list[str], label: str, method: str = "random_forest",

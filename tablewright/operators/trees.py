@@ -41,7 +41,7 @@ class TreeModel:
 def fit_tree(df: DataFrame, features: list[str], label: str, kind: str,
              n_estimators: int = 100, max_depth: int | None = DEFAULT_DEPTH,
              min_samples_leaf: int = 1, min_samples_split: int = 2, learning_rate: float = 0.1,
-             seed: int = 42, max_bins: int = 64) -> TreeModel:
+             seed: int = 42, max_bins: int = 32) -> TreeModel:
     """Decision tree, random forest or gradient boosting.
 
     Spark has no minimum split size; a split needs two leaves, so half of it bounds the leaf.

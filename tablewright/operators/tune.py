@@ -7,6 +7,7 @@ import logging
 import math
 import random
 import statistics
+from functools import partial
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ from tablewright.operators import models
 from tablewright.operators.linear import KINDS, fold_errors, fold_grams, solve, squared_error
 from tablewright.operators.metrics import metrics_row
 from tablewright.operators.split import fold_sizes, folds
-from tablewright.session import stage
+from tablewright.session import stage, together
 
 log = logging.getLogger(__name__)
 CV_SCHEMA = "model string, fold_scores array<double>, mean_cv_score double, " \
@@ -36,10 +37,15 @@ def fold_scores(data: DataFrame, features: list[str], label: str, name: str, fol
     if name in KINDS:
         cross = cross or fold_grams(data, features, label, fold)
         return fold_errors(cross, name, **params)
-    scores = []
-    for f in range(k):
+
+    def score(f: int) -> float:
         model = models.fit(name, data.filter(F.col(fold) != f), features, label, **params)
-        scores.append(_mse(model, data.filter(F.col(fold) == f), label))
+        return _mse(model, data.filter(F.col(fold) == f), label)
+
+    scores = together(data.sparkSession, [partial(score, f) for f in range(k)], k)
+    for s in scores:
+        if isinstance(s, Exception):
+            raise s
     return scores
 
 
@@ -49,7 +55,8 @@ def _summary(scores: list[float]) -> tuple[float, float, float]:
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str, names: list[str] | None = None,
-                   k: int = 5, key: Column | str | None = None) -> DataFrame:
+                   k: int = 5, key: Column | str | None = None, parallelism: int = 4,
+                   ) -> DataFrame:
     """Per model: fold errors, their mean and population deviation, root of the mean.
 
     Folds are consecutive blocks of the key order. All linear models share one pass over the
@@ -58,15 +65,18 @@ def cross_validate(df: DataFrame, features: list[str], label: str, names: list[s
     data = stage(folds(df, k, key), "folds")
     names = list(names or models.REGISTRY)
     cross = fold_grams(data, features, label, "fold") if set(names) & set(KINDS) else None
+
+    def run(name: str) -> tuple:
+        scores = [float(s) for s in fold_scores(data, features, label, name, "fold", k, cross)]
+        return (name, scores, *_summary(scores))
+
     rows = []
-    for name in names:
-        try:
-            scores = [float(s) for s in
-                      fold_scores(data, features, label, name, "fold", k, cross)]
-            rows.append((name, scores, *_summary(scores)))
-        except Exception as error:
-            log.warning("cross-validation of %s failed: %s", name, error)
-            rows.append((name, None, None, None, None))
+    for name, found in zip(names, together(df.sparkSession, [partial(run, n) for n in names],
+                                           parallelism)):
+        if isinstance(found, Exception):
+            log.warning("cross-validation of %s failed: %s", name, found)
+            found = (name, None, None, None, None)
+        rows.append(found)
     return df.sparkSession.createDataFrame(rows, CV_SCHEMA)
 
 
@@ -77,7 +87,8 @@ def combinations(grid: dict[str, list]) -> list[dict]:
 
 def search(df: DataFrame, features: list[str], label: str, name: str, method: str = "grid_search",
            k: int = 3, n_iter: int = 20, grid: dict[str, list] | None = None, seed: int = 42,
-           key: Column | str | None = None) -> tuple[dict, float, list[tuple[dict, float]]]:
+           key: Column | str | None = None, parallelism: int = 4,
+           ) -> tuple[dict, float, list[tuple[dict, float]]]:
     """Best settings, their mean squared error over the folds and all results.
 
     ``random_search`` tries ``n_iter`` settings drawn without replacement. A model without a grid
@@ -90,10 +101,17 @@ def search(df: DataFrame, features: list[str], label: str, name: str, method: st
         settings = random.Random(seed).sample(settings, n_iter)
     data = stage(folds(df, k, key), "search")
     cross = fold_grams(data, features, label, "fold") if name in KINDS else None
-    results = []
-    for params in settings:
-        scores = fold_scores(data, features, label, name, "fold", k, cross, **params)
-        results.append((params, statistics.fmean(scores)))
+
+    def score(params: dict) -> float:
+        return statistics.fmean(
+            fold_scores(data, features, label, name, "fold", k, cross, **params))
+
+    found = together(df.sparkSession, [partial(score, p) for p in settings],
+                     1 if name in KINDS else parallelism)
+    for f in found:
+        if isinstance(f, Exception):
+            raise f
+    results = list(zip(settings, found))
     best = min(results, key=lambda r: r[1])
     return best[0], best[1], results
 

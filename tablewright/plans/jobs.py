@@ -6,13 +6,14 @@ import logging
 import time
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators import (charts, clean, features, metrics, models, monitor, profile,
                                    scale, select, split, tune)
-from tablewright.session import stage
+from tablewright.session import stage, together, without_call_sites
 from tablewright.sources import store
 from tablewright.sources.config import load_settings
 from tablewright.sources.tables import read_table, write_table
@@ -88,8 +89,8 @@ def feature_job(df: DataFrame, target: str = "price", domain: bool = True,
     # one row per feature: read once, then reused for the selection and the report
     found = select.importance(wide, plan.features, target, importance)
     scores = df.sparkSession.createDataFrame(found.collect(), found.schema)
+    known = scores if importance == "f_regression" else None
     if method and k < len(plan.features):
-        known = scores if importance == "f_regression" else None
         plan.features = select.select(wide, plan.features, target, method, k, known)
     table, components = plan.transform(df, keep), None
     if pca:
@@ -135,7 +136,8 @@ METRIC_SCHEMA = "model string, position int, training_time double, " + ", ".join
 def train_job(df: DataFrame, target: str = "price", names: list[str] | None = None,
               cv: bool = True, tuning: bool = True, top: int = 3, test_size: float = 0.2,
               val_size: float = 0.1, cv_folds: int = 5, method: str = "grid_search",
-              grids: dict[str, dict] | None = None, seed: int = 42) -> TrainResult:
+              grids: dict[str, dict] | None = None, seed: int = 42, parallelism: int = 4,
+              ) -> TrainResult:
     """Split, cross-validate, fit all models, tune the best ones, test the winner.
 
     A model that fails is left out with a warning. A model without a grid is refitted as it is.
@@ -146,14 +148,17 @@ def train_job(df: DataFrame, target: str = "price", names: list[str] | None = No
     parts = stage(split.split(prepared, test_size, val_size, seed=seed), "split")
     train, val, test = (parts.filter(F.col("part") == p).drop("part")
                         for p in ("train", "val", "test"))
-    folded = tune.cross_validate(train, columns, target, names, cv_folds) if cv else None
+    folded = tune.cross_validate(train, columns, target, names, cv_folds,
+                                 parallelism=parallelism) if cv else None
     fitted, rows = {}, []
-    for i, name in enumerate(names):
-        try:
-            fitted[name], row = train_one(name, i, train, val, columns, target)
+    work = [partial(train_one, name, i, train, val, columns, target)
+            for i, name in enumerate(names)]
+    for name, found in zip(names, together(df.sparkSession, work, parallelism)):
+        if isinstance(found, Exception):
+            log.warning("training of %s failed: %s", name, found)
+        else:
+            fitted[name], row = found
             rows.append(row)
-        except Exception as error:
-            log.warning("training of %s failed: %s", name, error)
     if not rows:
         raise RuntimeError("no model could be trained")
     order = list(rows[0])
@@ -169,7 +174,8 @@ def train_job(df: DataFrame, target: str = "price", names: list[str] | None = No
                 params = {}
                 if (grids or {}).get(name) or models.grid(name):
                     params, _, _ = tune.search(train, columns, target, name, method,
-                                               grid=(grids or {}).get(name), seed=seed)
+                                               grid=(grids or {}).get(name), seed=seed,
+                                               parallelism=parallelism)
                 better, new = train_one(name, row["position"], train, val, columns, target,
                                         **params)
                 tuned.append(new)
@@ -255,7 +261,7 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
 
     Returns the status table and the results by stage.
     """
-    cfg = load_settings(spark, settings_path, settings)
+    cfg = load_settings(without_call_sites(spark), settings_path, settings)
     ident, results, status = run_id(), {}, []
     target, paths, reports = cfg["data"]["target_column"], cfg["data"], cfg["output"]["reports_dir"]
 

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
+# Spark records the Python call site of every column expression unless told otherwise, which
+# takes longer than planning for expressions over many columns
+CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
+
 
 def get_session(app_name: str = "tablewright", master: str | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:
@@ -18,6 +24,7 @@ def get_session(app_name: str = "tablewright", master: str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(CALL_SITES, "false")
     )
     if master:
         builder = builder.master(master)
@@ -26,6 +33,12 @@ def get_session(app_name: str = "tablewright", master: str | None = None,
     return builder.getOrCreate()
 
 
+def without_call_sites(spark: SparkSession) -> SparkSession:
+    """Turn off call-site recording; works if the session has not built any column yet."""
+    spark.conf.set(CALL_SITES, "false")
+    return spark
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables, from ``spark.checkpoint.dir``.
 
@@ -58,3 +71,18 @@ def drop_staged(spark: SparkSession) -> None:
     """Delete everything this application staged (call it when all results are written)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def together(spark: SparkSession, work: list, parallelism: int = 4) -> list:
+    """Results of independent Spark jobs started from several driver threads.
+
+    A failed one gives its exception in place of a result.
+    """
+    def guarded(task):
+        try:
+            return task()
+        except Exception as error:  # the caller decides what a failure means
+            return error
+
+    with ThreadPool(max(1, min(parallelism, len(work) or 1))) as pool:
+        return pool.map(inheritable_thread_target(spark)(guarded), work, chunksize=1)
