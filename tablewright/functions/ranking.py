@@ -21,9 +21,11 @@ def global_index(df: DataFrame, order_by: list[Column], name: str = "position")
     """0-based position of each row in the given order.
 
     Rows are range-sorted once; the per-partition sizes (one small row each) give the offsets.
-    A seeded salt after the order columns lets equal rows spread over several partitions.
+    A salt after the order columns lets equal rows spread over several partitions. It is written
+    down before the sort, so that a repeated task sorts the same values.
     """
-    ordered = df.withColumn("_salt", F.rand(17)).orderBy(*order_by, "_salt").drop("_salt") \
+    salted = stage(df.withColumn("_salt", F.rand(17)), "salted")
+    ordered = salted.orderBy(*order_by, "_salt").drop("_salt") \
         .withColumn("_place", F.monotonically_increasing_id())
     placed = stage(ordered, "ordered")
     part, within = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)

@@ -33,12 +33,6 @@ def get_session(app_name: str = "tablewright", master: str | None = None,
     return builder.getOrCreate()
 
 
-def without_call_sites(spark: SparkSession) -> SparkSession:
-    """Turn off call-site recording; works if the session has not built any column yet."""
-    spark.conf.set(CALL_SITES, "false")
-    return spark
-
-
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables, from ``spark.checkpoint.dir``.
 
