@@ -117,22 +117,30 @@ def add_polynomial(df: DataFrame, degree: int = 2, target: str = "price", limit:
 def fit_bins(df: DataFrame, columns: list[str], max_bins: int = MAX_BINS) -> dict[str, list[float]]:
     """Equal-width, right-closed edges per column; the lowest edge is widened a little.
 
-    The bin count is at most the number of distinct values. A few rows usually prove that a
-    column has enough of them. The others are sketched, and those that the sketch shows to have
-    few values are counted exactly, so the exact sets stay small.
+    The bin count is at most the number of distinct values. A few rows usually show enough of
+    them, or all of them; the pass that finds the extremes also looks for a value not seen yet,
+    and is repeated only for columns where a new one turned up and is still one of few.
     """
-    flat = one_row(df, [f(col(c).cast("double")) for c in columns for f in (F.min, F.max)])
+    rows = df.select(*[col(c) for c in columns]).take(200)
+    known = {c: {r[i] for r in rows} - {None} for i, c in enumerate(columns)}
+
+    def unseen(c: str) -> Column:
+        value = col(c)
+        return F.min(F.when(~value.isin(list(known[c])), value) if known[c] else value)
+
+    open_ = [c for c in columns if len(known[c]) < max_bins]
+    flat = one_row(df, [*[f(col(c).cast("double")) for c in columns for f in (F.min, F.max)],
+                        *[unseen(c) for c in open_]])
     ends = {c: (flat[2 * i], flat[2 * i + 1]) for i, c in enumerate(columns)}
-    seen = df.select(*[col(c) for c in columns]).take(200)
-    distinct = {c: len({r[i] for r in seen} - {None}) for i, c in enumerate(columns)}
-    open_ = [c for c in columns if distinct[c] < max_bins and ends[c][0] != ends[c][1]]
-    sketch = dict(zip(open_, one_row(df, [F.approx_count_distinct(col(c)) for c in open_])))
-    few = [c for c in open_ if sketch[c] < 20 * max_bins]
-    exact = dict(zip(few, one_row(df, [F.size(F.collect_set(col(c))) for c in few])))
+    found = flat[2 * len(columns):]
+    while open_:
+        for c, value in zip(open_, found):
+            known[c].add(value)
+        open_ = [c for c, v in zip(open_, found) if v is not None and len(known[c]) < max_bins]
+        found = one_row(df, [unseen(c) for c in open_])
     edges = {}
     for c, (low, high) in ends.items():
-        known = exact.get(c, sketch.get(c, distinct[c]))
-        bins = min(max_bins, known) if low != high else 1
+        bins = min(max_bins, len(known[c] - {None}))
         if bins > 1:
             cuts = equal_edges(low, high, bins)
             edges[c] = [cuts[0] - (high - low) * BIN_WIDENING, *cuts[1:]]
