@@ -24,11 +24,12 @@ from tablewright.functions.columns import all_of, any_of, col, numeric_columns,
 from tablewright.session import stage
 
 MAX_CELLS = 16_384
-CELL_ROWS = 512
+CELL_ROWS = 64
 BLOCK_ROWS = 20_000
 PATTERN_COLUMNS = 8
 FINE_BINS = 1024
 SMALL_DONORS = 5_000
+OWN_LAYOUT = 50_000
 
 
 @dataclass
@@ -44,11 +45,18 @@ class _Cells:
     blocks: np.ndarray     # donor blocks of the cell
 
 
-def _layout(donors: DataFrame, features: list[str], cell_rows: int, max_cells: int):
-    """Assign every donor to a cell; returns a function for ``mapInPandas``."""
-    n, *spread = one_row(donors, [F.count(F.lit(1)),
-                                  *[F.var_pop(f"f{i}") for i in range(len(features))]])
-    order = [int(i) for i in np.argsort([-(s or 0.0) for s in spread], kind="stable")]
+def _by_spread(donors: DataFrame, p: int) -> list[int]:
+    """Features from the most to the least variable one; the first ones rule the distance."""
+    spread = one_row(donors, [F.var_pop(f"f{i}") for i in range(p)])
+    return [int(i) for i in np.argsort([-(s or 0.0) for s in spread], kind="stable")]
+
+
+def _layout(donors: DataFrame, features: list[str], order: list[int], useful: list[int], n: int,
+            cell_rows: int, max_cells: int):
+    """Assign every donor to a cell; returns a function for ``mapInPandas``.
+
+    Donors with the same missing columns are cut along the first two ``useful`` columns they have.
+    """
     key = order[:PATTERN_COLUMNS]
     edges = one_row(donors, [
         F.percentile_approx(f"f{i}", F.array(*[F.lit(j / FINE_BINS) for j in range(1, FINE_BINS)]),
@@ -60,13 +68,14 @@ def _layout(donors: DataFrame, features: list[str], cell_rows: int, max_cells: i
     patterns = {r["p"]: r["n"] for r in
                 donors.groupBy(mask.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
     budget = max(max_cells - len(patterns), 1)
-    rows = max(cell_rows, -(-n // budget))
+    # box checks cost one step per cell, visits one per donor; cells near the root balance them
+    rows = max(cell_rows, -(-n // budget), int(n ** 0.5) // 4)
     plan = {}
     for p, size in patterns.items():
-        present = [i for b, i in enumerate(key) if p >> b & 1][:2]
+        present = [i for b, i in enumerate(key) if p >> b & 1 and i in useful][:2]
         cells = max(size // rows, 1)
-        first = int(min(FINE_BINS, cells)) if len(present) < 2 else \
-            int(min(FINE_BINS, max(cells ** 0.75, 1)))
+        most = len(edges[present[0]]) + 1 if present else 1
+        first = int(min(most, cells if len(present) < 2 else max(cells ** 0.75, 1)))
         second = max(int(cells // first), 1) if len(present) > 1 else 1
         plan[p] = (present, first, min(second, FINE_BINS))
 
@@ -265,7 +274,8 @@ def _closest(near: DataFrame, k: int) -> DataFrame:
 
 def nearest(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[int | None],
             cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS,
-            max_cells: int = MAX_CELLS, small: int = SMALL_DONORS) -> DataFrame:
+            max_cells: int = MAX_CELLS, small: int = SMALL_DONORS,
+            own_layout: int = OWN_LAYOUT) -> DataFrame:
     """The k nearest donors of every query, per lent value.
 
     ``queries``: ``qid, f0..`` and ``donors``: ``f0.., v0.., m``. ``lends[j]`` is the feature a
@@ -282,8 +292,33 @@ def nearest(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[i
                 yield match(frame, lenders)
 
         return _closest(queries.mapInPandas(scan, FOUND), k)
+    order, n = _by_spread(donors, p), donors.count()
+    lacks = [F.when(F.col(f"f{i}").isNull(), 1 << b).otherwise(0)
+             for b, i in enumerate(order[:2])]
+    grouped = queries.withColumn("_lacks", reduce(lambda a, b: a + b, lacks))
+    sizes = {r["_lacks"]: r["n"] for r in
+             grouped.groupBy("_lacks").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # queries without the most telling columns need donors laid out along other columns; few
+    # queries of a kind are not worth a layout of their own
+    plans = {m: [i for b, i in enumerate(order) if not (b < 2 and m >> b & 1)]
+             for m, size in sizes.items() if m and size >= own_layout}
+    rest = grouped.filter(~F.col("_lacks").isin(list(plans))) if plans else grouped
+    work = [(rest.drop("_lacks"), order)] if len(plans) < len(sizes) else []
+    work += [(grouped.filter(F.col("_lacks") == m).drop("_lacks"), useful)
+             for m, useful in plans.items()]
+    found = [_nearest_in(q, donors, p, k, lends, order, useful, n, cell_rows, block_rows,
+                         max_cells) for q, useful in work]
+    if not found:
+        return queries.sparkSession.createDataFrame([], FOUND + ", place int, used long")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_in(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[int | None],
+                order: list[int], useful: list[int], n: int, cell_rows: int, block_rows: int,
+                max_cells: int) -> DataFrame:
+    """Nearest donors by way of one cell layout."""
     names = [f"f{i}" for i in range(p)]
-    assign = _layout(donors, names, cell_rows, max_cells)
+    assign = _layout(donors, names, order, useful, n, cell_rows, max_cells)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in donors.schema)
     placed = stage(donors.mapInPandas(assign, schema + ", cell long"), "knn-donors")
     boxes = _boxes(placed, p, len(lends), block_rows, max_cells)

@@ -45,7 +45,7 @@ def test_impute_matches_brute_force(spark, hot, small):
     names = list("abcd")
     df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x],
                                ", ".join(f"{c} double" for c in names))
-    got = rows(knn_impute(df, 5, cell_rows=20, block_rows=30, small=small), names)
+    got = rows(knn_impute(df, 5, cell_rows=20, block_rows=30, small=small, own_layout=30), names)
     want = brute_impute(x, 5)
     want = np.array(sorted(map(tuple, want)))
     np.testing.assert_allclose(got, want, rtol=1e-9)
