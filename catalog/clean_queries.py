@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.fixtures import COLUMN_LIST, sql
-from catalog.profile_queries import MEANS, outliers_sql, per_column
+from catalog.profile_queries import MEANS, outliers_sql
 from catalog.registry import query, rounded
 from tablewright.fixed_values import RAW_COLUMNS
 from tablewright.operators import clean, scale

@@ -9,7 +9,6 @@ from catalog.fixtures import COLUMN_LIST, sql
 from catalog.registry import query, rounded
 from tablewright.fixed_values import (AGE_EDGES, AGE_LABELS, INTERACTION_COLUMNS, RAW_COLUMNS,
                                       SIZE_EDGES, SIZE_LABELS)
-from tablewright.functions.columns import numeric_columns
 from tablewright.functions.encode import label_encode
 from tablewright.operators import features, select, split
 from tablewright.plans import jobs

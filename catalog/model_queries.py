@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.clean_queries import FEATURES
 from catalog.fixtures import sql
 from catalog.registry import query, rounded
-from tablewright.operators import linear, metrics, models, select, split, tune
+from tablewright.operators import linear, metrics, models, split, tune
 
 KEY = "row_key"
 
