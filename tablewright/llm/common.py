@@ -78,6 +78,12 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(WORD_BYTES).split()
 
 
+def free_marks(text: str, n: int) -> str:
+    """``n`` characters that ``text`` does not hold, from the end of the private planes."""
+    found = (chr(c) for c in range(0x10FFFD, 0xE000, -1) if chr(c) not in text)
+    return "".join(next(found) for _ in range(n))
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a fixed number of words."""
 

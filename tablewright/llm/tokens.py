@@ -14,6 +14,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import urlparse
 
 import numpy as np
@@ -22,14 +23,47 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import slices
+from tablewright.llm.common import free_marks, slices
 from tablewright.session import staging_root
 
-#: a space before a character that no library counts as white space always starts a new pre-token,
-#: so ids of the pieces between such places are the ids of the text
-BREAK = re.compile(r" (?=[^\s᠎​⁠﻿])")
-#: remembered pieces, and the longest piece that is remembered
-CACHED, CACHED_LENGTH = 300_000, 64
+def _kinds() -> np.ndarray:
+    """Of each character: 1 letters and digits, 2 sentence marks, 3 line end, 4 space, 5 other white
+    space and what some libraries count as such, 0 all others."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for code in range(0x110000):
+        c = chr(code)
+        if c.isalnum():
+            kinds[code] = 1
+        elif c.isspace() or c in "\u180e\u200b\u2060\ufeff":
+            kinds[code] = 5
+    for chars, kind in ((".,;:!?", 2), ("\n", 3), (" ", 4)):
+        kinds[[ord(c) for c in chars]] = kind
+    return kinds
+
+
+def split(texts: list[str], kinds: np.ndarray) -> list[list[str]]:
+    """Texts cut where a byte-level pre-token always ends.
+
+    These places are before a space and a character that no library counts as white space, between
+    a letter or digit and a sentence mark or line end, and between a line end and a letter or digit.
+    Ids of the pieces are the ids of the text.
+    """
+    mark = free_marks("".join(texts), 2)
+    codes = np.frombuffer((mark[1].join(texts) + mark[1]).encode("utf-32-le"), np.uint32)
+    kind = kinds[codes]
+    kind[codes == ord(mark[1])] = 6
+    here, after = kind[:-1], kind[1:]
+    cut = np.zeros(len(codes), bool)
+    cut[1:] = ((here == 1) & ((after == 2) | (after == 3))) | ((here == 3) & (after == 1))
+    cut[1:-1] |= (after[:-1] == 4) & (here[:-1] != 6) & (after[1:] < 3)
+    marked = np.insert(codes, np.flatnonzero(cut), ord(mark[0])).tobytes().decode("utf-32-le")
+    return [t.split(mark[0]) for t in marked.split(mark[1])[:-1]]
+
+
+#: pieces that can be encoded in one text, one in a line
+PLAIN = re.compile(r" ?\S+\Z")
+#: pieces of a generation of the memory, and the longest piece that is remembered
+CACHED, CACHED_LENGTH = 400_000, 64
 
 PARTS = "part long, n_docs long, n_null long, n_tokens long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -50,32 +84,51 @@ class Encoder:
         self.dtype = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.kinds = _kinds()
+
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def ids_of_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces; those without inner white space are encoded as lines of one text."""
+        plain = [p for p in pieces if self.line is not None and PLAIN.match(p)]
+        rest = list(set(pieces) - set(plain))
+        out = dict(zip(rest, self.ids(rest), strict=True))
+        if plain:
+            found, = self.tokenizer.encode_batch_fast(["\n".join(plain) + "\n"], add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype)
+            ends = np.flatnonzero(ids == self.line)
+            raw, size = ids.tobytes(), self.dtype.itemsize
+            starts = np.append(0, ends[:-1] + 1) * size
+            out.update((p, raw[a:b]) for p, a, b in zip(plain, starts.tolist(), (ends * size).tolist(), strict=True))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id."""
-        split, whole = {}, []
-        for i, text in enumerate(texts):
-            if not self.by_piece or any(s in text for s in self.special):
-                whole.append(i)
-                continue
-            pieces = BREAK.split(text)
-            split[i] = pieces[:1] + [" " + p for p in pieces[1:]]
+        parted = [i for i, t in enumerate(texts) if t and self.by_piece and not any(s in t for s in self.special)]
+        whole = sorted(set(range(len(texts))) - set(parted))
         out = [b""] * len(texts)
         for i, ids in zip(whole, self.ids([texts[i] for i in whole]), strict=True):
             out[i] = ids
+        pieces = split([texts[i] for i in parted], self.kinds) if parted else []
         if len(self.known) > CACHED:
-            self.known.clear()
-        new = list({p for pieces in split.values() for p in pieces if p not in self.known})
-        fresh = dict(zip(new, self.ids(new), strict=True))
-        self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_LENGTH)
-        long = {p: ids for p, ids in fresh.items() if len(p) > CACHED_LENGTH}
-        for i, pieces in split.items():
-            get = self.known.__getitem__ if not long else lambda p: long.get(p) or self.known[p]
-            out[i] = b"".join(map(get, pieces)) if texts[i] else b""
+            self.before, self.known = self.known, {}
+        # what the last generation knows moves on, the rest is new
+        needed = set(chain.from_iterable(pieces)).difference(self.known)
+        again = needed.intersection(self.before)
+        self.known.update((p, self.before[p]) for p in again)
+        fresh = self.ids_of_pieces(list(needed - again))
+        self.known.update(fresh)
+        for i, own in zip(parted, pieces, strict=True):
+            out[i] = b"".join(map(self.known.__getitem__, own))
+        for p in fresh:
+            if len(p) > CACHED_LENGTH:
+                del self.known[p]
         return [ids + self.end for ids in out]
 
 
