@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import chat, decontam, tokens
+from tablewright.llm import ann, chat, decontam, language, near, pieces, pii, suffix, tokens, toxicity
 from tablewright.llm.common import read
 from tablewright.llm.registry import query
 
@@ -61,3 +61,42 @@ FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
 @query("op5_decontam", DECONTAM_SQL)
 def op5_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("row_key")
+
+
+@query("op1_pii")
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
+
+
+@query("op9_near")
+def op9_near(spark: SparkSession, folder: str) -> DataFrame:
+    return near.classes(read(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(read(spark, folder, "pages"), read(spark, folder, "documents"))
+
+
+@query("op7_ann")
+def op7_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(read(spark, folder, "embeddings"))
+
+
+@query("op8_suffix")
+def op8_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.remove(read(spark, folder, "documents"))
+
+
+@query("op10_pieces")
+def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary_ = pieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
+    docs = read(spark, folder, "documents")
+    return pieces.encode(docs, vocabulary_, ["doc_id"], "n_pieces long, ids_crc32 long, round_trip boolean", pieces.digests)
