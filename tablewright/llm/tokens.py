@@ -45,7 +45,8 @@ def split(texts: list[str], kinds: np.ndarray) -> list[list[str]]:
     """Texts cut where a byte-level pre-token always ends.
 
     These places are before a space and a character that no library counts as white space, between
-    a letter or digit and a sentence mark or line end, and between a line end and a letter or digit.
+    a letter or digit and a sentence mark or line end, and between a single line end and a letter or
+    digit.
     Ids of the pieces are the ids of the text.
     """
     mark = free_marks("".join(texts), 2)
@@ -54,7 +55,10 @@ def split(texts: list[str], kinds: np.ndarray) -> list[list[str]]:
     kind[codes == ord(mark[1])] = 6
     here, after = kind[:-1], kind[1:]
     cut = np.zeros(len(codes), bool)
-    cut[1:] = ((here == 1) & ((after == 2) | (after == 3))) | ((here == 3) & (after == 1))
+    cut[1:] = (here == 1) & ((after == 2) | (after == 3))
+    alone = (here == 3) & (after == 1)  # a longer run of white space keeps its last character apart
+    alone[1:] &= (here[:-1] < 3) | (here[:-1] == 6)
+    cut[1:] |= alone
     cut[1:-1] |= (after[:-1] == 4) & (here[:-1] != 6) & (after[1:] < 3)
     marked = np.insert(codes, np.flatnonzero(cut), ord(mark[0])).tobytes().decode("utf-32-le")
     return [t.split(mark[0]) for t in marked.split(mark[1])[:-1]]

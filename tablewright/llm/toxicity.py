@@ -1,8 +1,8 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
-Evidence: for every word and for its beginnings and endings, the number of distinct labelled texts
-of either class that have it, counted over all training rows into a table of fixed size. Labelled
-tokens: in a toxic text the words whose evidence is strong throughout; none in a clean one. The
+Evidence: for every word and for its beginnings, the number of labelled texts of either class that
+have it, counted over all training rows into a table of fixed size. Labelled tokens: in a toxic text
+the words with strong evidence for themselves or one of their beginnings; none in a clean one. The
 field (outside, toxic) learns weights for the evidence of a token and its neighbours and for the
 transitions. Forward-backward marginals over whole texts give offending offsets, and a logistic
 function of their largest value, sum and share gives the score of the document.
@@ -26,22 +26,24 @@ from tablewright.session import stage
 TOKEN = re.compile(r"\w+")
 #: slots of the table of evidence; colliding rare words share one
 SLOTS = 1 << 19
-#: prior texts added to each count; a few sightings alone are no strong evidence
-PRIOR = 4.0
+#: prior texts added to each count, as a share of all and at least so many; sightings in one group of
+#: near-copies alone are no strong evidence
+PRIOR_SHARE, PRIOR = 0.005, 4.0
 #: successive tokens of one chain; a text of any length is covered by such chains
 CHAIN = 64
 #: evidence from which a word of a toxic text counts as a labelled toxic token
-STRONG = 2.0
+STRONG = 1.75
 
-#: whole word, beginnings of 3 to 5 characters, ending of 4
-TEMPLATES = 5
+#: whole word and beginnings, as many languages bend the ends of words
+BEGINNINGS = (4, 5, 6, 7)
+TEMPLATES = 1 + len(BEGINNINGS)
 #: evidence of each template, least and largest of them, least of the word before and after
 WIDTH = TEMPLATES + 4
 
 
 def slots(word: str) -> list[int]:
     low = word.lower()
-    parts = (low, "<" + low[:3], "<" + low[:4], "<" + low[:5], low[-4:] + ">")
+    parts = (low, *(low[:n] for n in BEGINNINGS))
     return [xxhash.xxh3_64_intdigest(p.encode(), seed=i) % SLOTS for i, p in enumerate(parts)]
 
 
@@ -83,6 +85,12 @@ def count_evidence(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, int, in
     return counts[0, :-1], counts[1, :-1], int(counts[0, -1]), int(counts[1, -1])
 
 
+def log_odds(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    """How much oftener than usual a slot is seen in toxic texts, drawn to 0 by the prior."""
+    share, prior = n_toxic / (n_clean + n_toxic), max(PRIOR, PRIOR_SHARE * (n_clean + n_toxic))
+    return (np.log((toxic + prior * share) / (clean + prior * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
+
+
 def chains(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens by row as (chains, CHAIN, ...) and which places are filled, at the end of a chain."""
     n = -(-len(values) // CHAIN) * CHAIN
@@ -199,7 +207,7 @@ def _train(texts: list[str], toxic: np.ndarray, evidence: np.ndarray, share: flo
     first = np.zeros(len(x_words), bool)
     first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
     x = model.token_features(x_words, first) if len(x_words) else np.zeros((0, WIDTH))
-    y = (x[:, TEMPLATES] >= STRONG) & np.repeat(toxic > 0, sizes)
+    y = (x[:, TEMPLATES + 1] >= STRONG) & np.repeat(toxic > 0, sizes)
     if y.any():
         rows, filled = chains(x)
         starts, gold = chains(first)[0], chains(y)[0]
@@ -236,7 +244,7 @@ def _train(texts: list[str], toxic: np.ndarray, evidence: np.ndarray, share: flo
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 1_000) -> Field:
     """Learn from labelled rows outside the held-out fold.
 
-    Evidence is counted over all of them, each text once for each class; the field and the document
+    Evidence is counted over all of them; the field and the document
     function are fitted on ``sample`` texts of either class, chosen by their hash. A document with
     several labels is toxic if one says so; missing labels, ids and texts take no part. Without
     texts of both classes every score is the share of toxic ones (one half if there are none).
@@ -250,10 +258,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1_000) -> Field:
         share = (n_toxic + 0.5) / (n_clean + n_toxic + 1)
         return Field(np.zeros(SLOTS), np.zeros(WIDTH + 1), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
     share = n_toxic / (n_clean + n_toxic)
-    evidence = np.log((toxic + PRIOR * share) / (clean + PRIOR * (1 - share))) - np.log(share / (1 - share))
+    evidence = log_odds(clean, toxic, n_clean, n_toxic)
     rows = [r for kind in (0, 1) for r in
             labelled.where(F.col("toxic") == kind).orderBy(F.xxhash64("text"), "text").limit(sample).collect()]
-    return _train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], float), evidence.astype(np.float32), share)
+    return _train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], float), evidence, share)
 
 
 def _scored(model: Field, some: pa.RecordBatch, place: int) -> np.ndarray:

@@ -135,15 +135,15 @@ def test_token_files_need_a_mounted_folder(odd_documents):
 
 
 def test_toxicity_held_out(spark):
-    folder = "/root/testdata/sf0.01"
-    scores = QUERIES["op4_toxicity"](spark, folder)
-    assert scores.count() == 1_000
+    folder = "/root/testdata/sf0.1"
+    scores = QUERIES["op4_toxicity"](spark, folder).cache()
+    assert scores.count() == 10_000
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     rows = scores.where("held_out").join(labels, "doc_id").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     positive, negative = ([r.score for r in rows if r.toxic == k] for k in (1, 0))
-    assert np.mean([p > n for p in positive for n in negative]) > 0.97
-    assert np.mean([r.predicted == r.toxic for r in rows]) > 0.95
+    assert np.mean([p > n for p in positive for n in negative]) > 0.94
+    assert np.mean([r.predicted == r.toxic for r in rows]) > 0.97
 
 
 def test_marginals_equal_enumeration():
@@ -235,7 +235,7 @@ def test_difference_cover():
     for v in (8, 32, 64):
         cover = suffix.difference_cover(v)
         assert {int(a - b) % v for a in cover for b in cover} == set(range(v))
-        assert len(cover) < v / 2
+        assert len(cover) <= v / 2
 
 
 @pytest.mark.parametrize("crowd", [50_000, 3])
