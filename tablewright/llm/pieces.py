@@ -31,6 +31,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tablewright.llm.common import free_marks, slices
 from tablewright.session import stage
@@ -288,13 +289,10 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
     added = spark.createDataFrame([], kind).schema
     names = [f.name for f in added]
     kept = [F.col(f"`{c}`") for c in columns]
-    packed_schema = spark.createDataFrame([], schema).withColumn("_key", F.lit(b"")).withColumn("_packed", F.lit(b"")).schema
+    packed_schema = StructType([*schema, StructField("_key", BinaryType()), StructField("_packed", BinaryType())])
     packed = docs.select(*kept, F.col("text").cast("string").alias("_text")).mapInArrow(pack, packed_schema)
     joined = packed.join(held.withColumnRenamed("text_key", "_key"), "_key", "left").select(*kept, "_packed", "rest")
-    full = schema
-    for f in added:
-        full = full.add(f)
-    return joined.mapInArrow(write, full)
+    return joined.mapInArrow(write, StructType([*schema, *added]))
 
 
 _decoders: dict[int, Decoder] = {}

@@ -2,8 +2,8 @@
 
 A string of ``LENGTH`` bytes that starts twice has to be found among all suffixes of all texts.
 
-Buckets. Every string holds anchors, positions whose 32-byte hash is least among a run of
-neighbours; equal strings hold equal anchors at equal places. A string whose anchors are not all
+Buckets. Every string holds runs of neighbouring positions, and the anchor of a run is where its
+32-byte hash is least; equal strings have equal anchors at equal places. A string whose anchors are not all
 repeated somewhere starts nowhere else. The others go to the bucket of their least anchor, in
 stretches: the successive starts of one text with one least anchor, with their bytes. Equal
 strings are in one bucket, at one distance from its anchor.
@@ -81,7 +81,8 @@ def gram_hashes(buffer: np.ndarray) -> np.ndarray:
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Hashes, anchor positions, the least anchor of every string and which starts are inside a text.
+    """Hashes, anchors, the anchor of every run, the least anchor of every string and which starts are
+    inside a text.
 
     Texts lie one after the other. Positions are in the low bits of the compared keys, so the
     leftmost of equal hashes is taken, and buffers have at most 16 MB.
@@ -108,7 +109,7 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     places = np.unique((least[in_run] & _LOW).astype(np.int64))
     reach = LENGTH - GRAM + 1 - SPAN
     own = np.minimum(least[:len(in_string)], least[reach:reach + len(in_string)]) & _LOW
-    return h, places, own.astype(np.int64), in_string
+    return h, places, (least & _LOW).astype(np.int64), own.astype(np.int64), in_string
 
 
 def _packs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[bytes]]:
@@ -130,7 +131,7 @@ def anchor_counts(texts: DataFrame) -> DataFrame:
         for pack in _packs(batches, "text"):
             found = []
             for chunk in _chunks(pack):
-                h, places, _, _ = anchors([p for _, _, p in chunk])
+                h, places, _, _, _ = anchors([p for _, _, p in chunk])
                 found.append(h[places])
             if found:
                 hashes, n = np.unique(np.concatenate(found), return_counts=True)
@@ -191,13 +192,11 @@ def stretches(texts: DataFrame, repeated: bytes, crowded: bytes) -> DataFrame:
                 yield from emit([(digests[fresh[i]], at, part) for i, at, part in chunk], known, full)
 
     def emit(chunk, known, full):
-        h, places, own, inside = anchors([p for _, _, p in chunk])
-        hit = _within(known, h[places])
-        bad = np.zeros(len(h) + 1, np.int32)
-        bad[places[~hit] + 1] = 1
-        bad = np.cumsum(bad)
+        h, _, runs, own, inside = anchors([p for _, _, p in chunk])
+        # the anchors of the runs inside a string are the same wherever it stands
+        bad = np.concatenate([[0], np.cumsum(~_within(known, h[runs]))])
         n = len(inside)
-        reach = LENGTH - GRAM + 1
+        reach = LENGTH - GRAM + 1 - SPAN + 1
         kept = np.flatnonzero(inside & (bad[reach:reach + n] == bad[:n]))
         if not len(kept):
             return
