@@ -45,13 +45,14 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def keyed(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns and ``row_key``, a number of the row.
+def keyed(df: DataFrame, *columns: str, key: str | None = None) -> DataFrame:
+    """The named columns and ``row_key``, a number of the row, or the column ``key``.
 
     Doubled and missing ids are allowed everywhere, so rows are told apart by this key. It
     depends on the partitions read, so stage what carries it before joining on it.
     """
-    return df.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias("row_key"))
+    number = F.monotonically_increasing_id() if key is None else F.col(f"`{key}`")
+    return df.select(*[F.col(f"`{c}`") for c in columns], number.alias("row_key"))
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -153,14 +153,15 @@ def find_hits(texts: DataFrame, bits: bytes, sizes: list[int], size: int) -> Dat
     return texts.select("row_key", "doc_id", "text").mapInArrow(task, kind)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20, key: str | None = None) -> DataFrame:
     """Per document: row_key, doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document is contaminated if at least one in ``share`` of its words is hit. Missing texts
     have no words; rows that share an id are judged one by one; a missing item_id counts as no
-    item though its windows hit. An empty benchmark leaves every document clean.
+    item though its windows hit. An empty benchmark leaves every document clean. ``key`` names a column
+    of unique longs to be row_key.
     """
-    texts = keyed(docs, "doc_id", "text").select(
+    texts = keyed(docs, "doc_id", "text", key=key).select(
         "row_key", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     windows = stage(windows_of(benchmark, size), "windows")
     shingles = stage(_shingles(windows), "shingles")

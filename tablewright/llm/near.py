@@ -68,7 +68,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, key: str | None = None) -> DataFrame:
     """Per row: row_key, doc_id, text_hash, set_key (128 bits; NULL without words), n, sig."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +83,7 @@ def profiles(docs: DataFrame) -> DataFrame:
                     [*some.columns[:3], pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()),
                      pa.array(sigs, pa.binary())], ["row_key", "doc_id", "text_hash", "set_key", "n", "sig"])
 
-    rows = keyed(docs, "doc_id", "text").select(
+    rows = keyed(docs, "doc_id", "text", key=key).select(
         "row_key", F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(task, "row_key long, doc_id long, text_hash long, set_key binary, n int, sig binary")
@@ -250,19 +250,19 @@ def _forest(linked: np.ndarray, one: np.ndarray, two: np.ndarray, n: int) -> lis
     return edges
 
 
-def classes(docs: DataFrame, similarity: str = "0.8", recall: float = 0.999) -> DataFrame:
-    """Per row: row_key, doc_id, class_id, n_links.
+def classes(docs: DataFrame, similarity: str = "0.8", recall: float = 0.999, key: str | None = None) -> DataFrame:
+    """Per row: row_key, doc_id, class_id, n_links, root (the smallest row_key of the class).
 
     Two documents are linked if the Jaccard similarity of their sets of five-word shingles is at
     least ``similarity``; texts of one to four words are one shingle. n_links counts the other
     documents linked to a row, exact copies among them. class_id is the smallest doc_id of those
     connected by links (NULL if all of them lack an id). Missing texts and texts without words
     have no links and stay alone. ``recall`` is the least chance that a pair just at the threshold
-    is found; likelier pairs are missed less.
+    is found; likelier pairs are missed less. ``key`` names a column of unique longs to be row_key.
     """
     threshold = Fraction(similarity)
     depth = depth_for(float(threshold), recall)
-    rows = stage(profiles(docs), "profiles")
+    rows = stage(profiles(docs, key), "profiles")
     sets = stage(
         rows.where("set_key is not null").groupBy("set_key").agg(
             F.min("row_key").alias("set_id"), F.count("*").alias("copies"), F.min("text_hash").alias("text_hash"),
