@@ -293,5 +293,6 @@ def classes(docs: DataFrame, similarity: str = "0.8", recall: float = 0.999, key
     joined = stage(rows.select("row_key", "doc_id", "set_key").join(per_set, "set_key", "left")
                    .select("row_key", "doc_id", F.coalesce("root", "row_key").alias("root"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")),
                    "joined")
-    names = joined.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    # written, so that the join may split a class that many rows share
+    names = stage(joined.groupBy("root").agg(F.min("doc_id").alias("class_id")), "names")
     return joined.join(names, "root").select("row_key", "doc_id", "class_id", "n_links", "root")
