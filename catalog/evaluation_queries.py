@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.fixtures import sql
 from catalog.registry import query, rounded
 from tablewright.fixed_values import QUINTILE_LABELS
+from tablewright.functions.normal import normal_quantile
 from tablewright.operators import charts, metrics, split
 
 E = "(prediction - label)"
@@ -30,7 +31,7 @@ def metric_list(names: list[str] | None = None) -> str:
 
 
 def metric_query(name: str, names: list[str]) -> None:
-    @query(name, sql(f"SELECT count(*) AS test_size, {metric_list(names)} FROM predictions",
+    @query(name, sql(f"SELECT count(*) AS rows, count(*) AS test_size, {metric_list(names)} FROM predictions",
                      "predictions"))
     def _(t):
         return rounded(metrics.evaluate(t.predictions(), metrics=names), DIGITS)
@@ -44,7 +45,7 @@ metric_query("e_mape", ["mean_abs_percentage_error"])
 metric_query("e_within", [f"accuracy_within_{p}pct" for p in (5, 10, 20)])
 
 
-@query("e_all_by_model", sql(f"SELECT model, count(*) AS test_size, {metric_list()} FROM scored"
+@query("e_all_by_model", sql(f"SELECT model, count(*) AS rows, count(*) AS test_size, {metric_list()} FROM scored"
                              " GROUP BY model", "scored"))
 def _(t):
     return rounded(metrics.evaluate(t.scored_models(), by=["model"]), DIGITS)
@@ -117,19 +118,24 @@ def _(t):
     return rounded(charts.normal_curve(t.scored()), {"x": 3, "y": 4})
 
 
-@query("e_qq", sql(
-    "SELECT pos + 1 AS rank, v AS residual FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS"
-    f" pos, count(*) OVER () AS n FROM (SELECT {E} AS v FROM predictions)) WHERE pos IN (SELECT"
-    " CAST(round_even(i * (n - 1) / 999.0e0, 0) AS BIGINT) FROM range(1000) AS r(i))",
-    "predictions"))
+RANKED = {"ranked": f"SELECT v, row_number() OVER (ORDER BY v) AS rank, count(*) OVER () AS n FROM"
+                    f" (SELECT {E} AS v FROM predictions)",
+          "medians": "SELECT *, CASE WHEN rank = n THEN power(0.5e0, 1e0 / n) WHEN rank = 1 THEN"
+                     " 1e0 - power(0.5e0, 1e0 / n) ELSE (rank - 0.3175e0) / (n + 0.365e0) END AS p"
+                     " FROM ranked"}
+
+
+@query("e_qq", sql("SELECT rank, v AS residual FROM ranked", "predictions", extra=RANKED))
 def _(t):
     return rounded(charts.quantile_pairs(t.scored()).select("rank", "residual"), 4)
 
 
-@query("e_qq_points")
+@query("e_qq_points", sql(
+    f"SELECT rank, round({normal_quantile('p')}, 6) AS theoretical, v AS residual FROM medians",
+    "predictions", extra=RANKED))
 def _(t):
-    """With the theoretical normal order medians, which SQL has no function for."""
-    return charts.quantile_pairs(t.scored())
+    """With the theoretical normal order medians."""
+    return rounded(charts.quantile_pairs(t.scored()), {"theoretical": 6, "residual": 4})
 
 
 EDGES = ("SELECT " + ", ".join(f"quantile_cont(prediction, {i / 5}) AS e{i}" for i in range(6))

@@ -150,9 +150,12 @@ def _(t):
     return wide.select(*names)
 
 
+AVERAGES = "(SELECT " + ", ".join(f"avg({c}) AS mean_{c}" for c in RAW_COLUMNS) + " FROM dirty)"
+
+
 @query("f_fill", sql("SELECT row_key, " + ", ".join(
-    f"round(coalesce({c}, (SELECT avg({c}) FROM dirty)), 6) AS {c}" for c in FEATURES)
-    + ", price FROM dirty", "dirty"))
+    f"round(coalesce({c}, mean_{c}), 6) AS {c}" for c in FEATURES)
+    + f", price FROM dirty, {AVERAGES}", "dirty"))
 def _(t):
     plan = features.fit_features(t.dirty(), domain=False, with_interactions=False, binned=False)
     return rounded(plan.transform(t.dirty(key=True), keep=["row_key"]))
@@ -242,12 +245,12 @@ def _(t):
 
 @query("f_rf")
 def _(t):
-    return select.forest_scores(wide(t), SCORED, "price", trees=20, depth=6)
+    return select.forest_scores(wide(t), SCORED, "price", trees=100, depth=10)
 
 
 @query("f_rfe")
 def _(t):
-    left = select.eliminate(wide(t), FEATURES, "price", 5, trees=10, depth=5)
+    left = select.eliminate(wide(t), FEATURES, "price", 5, trees=50)
     return wide(t).select("row_key", *left, "price")
 
 
@@ -311,12 +314,16 @@ ALL = [*FEATURES, *DOMAIN_ORDER, *[f"{a}_x_{b}" for a, b in PAIRS]]
 ALL = [*ALL, *[f"{c}_binned" for c in ALL if c != "is_luxury"]]
 
 
+# what a row without the target can have too
+SAFE = [c for c in ALL if not c.startswith("price_per_sqft")]
+
+
 @query("f_engineered", sql("SELECT " + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}"
                                                 for c in [*ALL, "price"]) + " FROM engineered",
                            "dirty", extra={**SEQUENCE, **engineered_sql("kept7")}))
 def _(t):
     """All features of the cleaned table before selection."""
-    done = jobs.feature_job(jobs.clean_job(t.dirty()).table, method=None)
+    done = jobs.feature_job(jobs.clean_job(t.dirty()).table, method=None, exclude_leaky=False)
     return rounded(done.table.select(*[F.col(c).cast("double") for c in ALL], "price"))
 
 
@@ -331,7 +338,7 @@ def _(t):
     extra={**SEQUENCE, **engineered_sql("kept7"), "sc": " UNION ALL ".join(
         f"SELECT '{c}' AS feature, {i} AS position, "
         + f_score_sql(f"CAST({c} AS DOUBLE)") + " AS score FROM engineered"
-        for i, c in enumerate(ALL))}))
+        for i, c in enumerate(SAFE))}))
 def _(t):
     """Names of the selected features, scored over the engineered table."""
     done = jobs.feature_job(jobs.clean_job(t.dirty()).table)
@@ -345,12 +352,12 @@ def _(t):
     " final_features, 'k_best' AS feature_selection_method, false AS pca_applied FROM unbinned",
     "dirty", extra={**SEQUENCE, **engineered_sql("kept7")}))
 def _(t):
-    done = jobs.feature_job(jobs.clean_job(t.dirty()).table)
+    done = jobs.feature_job(jobs.clean_job(t.dirty()).table, exclude_leaky=False)
     return done.report.drop("selected_features", "top_features")
 
 
 @query("m_prepare", sql("SELECT " + ", ".join(
-    f"round(coalesce({c}, (SELECT avg({c}) FROM dirty)), 6) AS {c}" for c in RAW_COLUMNS)
-    + " FROM dirty", "dirty"))
+    f"round(coalesce({c}, mean_{c}), 6) AS {c}" for c in RAW_COLUMNS)
+    + f" FROM dirty, {AVERAGES}", "dirty"))
 def _(t):
     return rounded(split.prepare(t.dirty().withColumn("note", F.lit("text"))))

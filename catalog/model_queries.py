@@ -117,9 +117,9 @@ def _(t):
 
 @query("m_random")
 def _(t):
-    """Five settings drawn from the elastic net grid, on all features."""
+    """Twenty settings drawn from the elastic net grid, on all features."""
     df = t.listings(key=True)
-    _, _, results = tune.search(df, FEATURES, "price", "elastic_net", "random_search", 3, 5,
+    _, _, results = tune.search(df, FEATURES, "price", "elastic_net", "random_search", 3, 20,
                                 key=KEY)
     return tune.search_table(df, "elastic_net", results)
 
@@ -135,12 +135,12 @@ def scored(t, name: str, **params):
 MODEL_RUNS = {
     "m_ols": ("linear_regression", {}), "m_ridge": ("ridge", {"alpha": 10.0}),
     "m_lasso": ("lasso", {"alpha": 1.0}), "m_enet": ("elastic_net", {"alpha": 0.01}),
-    "m_tree": ("decision_tree", {"max_depth": 6}),
-    "m_rf": ("random_forest", {"n_estimators": 10, "max_depth": 6}),
-    "m_gbt": ("gradient_boosting", {"n_estimators": 10}),
-    "m_xt": ("extra_trees", {"n_estimators": 10, "max_depth": 6}),
-    "m_svr": ("svr", {"C": 1.0, "kernel": "linear", "steps": 20}),
-    "m_svr_rbf": ("svr", {"C": 1.0, "steps": 20}),
+    "m_tree": ("decision_tree", {}),
+    "m_rf": ("random_forest", {}),
+    "m_gbt": ("gradient_boosting", {}),
+    "m_xt": ("extra_trees", {}),
+    "m_svr": ("svr", {"C": 1.0, "kernel": "linear"}),
+    "m_svr_rbf": ("svr", {"C": 1.0}),
     "m_knn": ("knn", {}),
     "m_knn_distance": ("knn", {"weights": "distance"}),
 }

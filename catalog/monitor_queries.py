@@ -154,7 +154,7 @@ def _(t):
 
 @query("v_degrade_alert", sql(
     "SELECT 'performance_degradation' AS alert_type, string_agg(metric, ',' ORDER BY metric) AS"
-    " affected_features, count(*) AS affected_count, 'Consider model retraining' AS recommendation"
+    " affected_features, count(*) AS affected_count, 'fit again' AS recommendation"
     " FROM loss WHERE change > 0.1 HAVING count(*) > 0", "scored", extra=PAIR))
 def _(t):
     return monitor.degradation_alert(loss(t)).drop("ts")

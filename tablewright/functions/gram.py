@@ -46,7 +46,7 @@ def total(parts: list[Gram]) -> Gram:
 
 
 def grams(df: DataFrame, columns: list[str], group: Column | None = None) -> dict[int, Gram]:
-    """One ``Gram`` per group value. Rows with a missing cell do not count.
+    """One ``Gram`` per group value. A missing cell is an error that names its column.
 
     Each task multiplies its batches and emits one triangle per group; the triangles are summed
     in a shuffle whose size depends on tasks and columns, not on rows.
@@ -62,15 +62,19 @@ def grams(df: DataFrame, columns: list[str], group: Column | None = None) -> dic
         import pandas as pd
 
         held: dict = {}
+        gaps = np.zeros(d)
         for frame in frames:
             x = frame[[f"x{i}" for i in range(d)]].to_numpy(dtype=float) - shift
             g = frame["g"].to_numpy(dtype=float)
-            whole = ~(np.isnan(x).any(axis=1) | np.isnan(g))
-            x, g = x[whole], g[whole].astype(int)
+            grouped = ~np.isnan(g)
+            x, g = x[grouped], g[grouped].astype(int)
+            gaps += np.isnan(x).sum(axis=0)
             z = np.hstack([np.ones((len(x), 1)), x])
             for value in np.unique(g):
                 part = z[g == value]
                 held[value] = held.get(value, 0.0) + part.T @ part
+        if gaps.any():
+            yield pd.DataFrame({"g": np.int32(-1), "place": np.arange(d), "v": gaps})
         for value, matrix in held.items():
             yield pd.DataFrame({"g": np.int32(value), "place": np.arange(len(upper[0])),
                                 "v": matrix[upper]})
@@ -79,8 +83,15 @@ def grams(df: DataFrame, columns: list[str], group: Column | None = None) -> dic
         .groupBy("g", "place").agg(F.sum("v").alias("v"))
     out: dict[int, Gram] = {}
     found: dict[int, np.ndarray] = {}
+    gaps = np.zeros(d)
     for row in sums.toLocalIterator():
+        if row["g"] == -1:
+            gaps[row["place"]] = row["v"]
+            continue
         found.setdefault(row["g"], np.zeros(len(upper[0])))[row["place"]] = row["v"]
+    if gaps.any():
+        raise ValueError("columns with missing values: " + ", ".join(
+            f"{c} ({n:.0f})" for c, n in zip(columns, gaps) if n))
     for g, flat in found.items():
         full = np.zeros((d + 1, d + 1))
         full[upper] = flat

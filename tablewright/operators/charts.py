@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +10,9 @@ from pyspark.sql import functions as F
 from tablewright.fixed_values import QUINTILE_LABELS
 from tablewright.functions.binning import equal_edges, labelled, with_histogram_bin
 from tablewright.functions.columns import col, one_row
-from tablewright.functions.quantiles import exact_quantiles, order_statistics
-from tablewright.functions.ranking import blocks_by_rank, order_key
+from tablewright.functions.normal import normal_quantile
+from tablewright.functions.quantiles import exact_quantiles
+from tablewright.functions.ranking import blocks_by_rank, global_index, order_key
 from tablewright.operators.metrics import metric_columns, pct_error
 
 
@@ -88,33 +88,21 @@ def normal_curve(df: DataFrame, label: str = "label", prediction: str = "predict
 
 
 def quantile_pairs(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                   points: int = 1000) -> DataFrame:
-    """Normal probability plot: residual order statistics against normal order medians.
+                   ) -> DataFrame:
+    """Normal probability plot: every residual against its normal order median.
 
-    A table of up to ``points`` rows gives every point; a longer one gives evenly spaced ranks,
-    each with its exact residual, so nothing is sorted as a whole.
+    The residuals are range-sorted once; the median of a rank is a column of it.
     """
-    rows = df.select((col(prediction) - col(label)).cast("double").alias("v"))
-    n = one_row(rows, [F.count("v")])[0]
-    if n == 0:
-        return df.sparkSession.createDataFrame([], "rank long, theoretical double, residual double")
-    ranks = sorted({round(i * (n - 1) / max(points - 1, 1)) for i in range(points)}) \
-        if n > points else list(range(n))
-    probs = {r: r / (n - 1) if n > 1 else 0.0 for r in ranks}
-    if n <= 2_000_000:
-        found = exact_quantiles(rows, ["v"], list(probs.values()), rows=n)["v"]
-    else:
-        found = order_statistics(rows, {"v": (F.col("v"), ranks)}, {"v": n})["v"]
-    last = 0.5 ** (1.0 / n)
-    normal = NormalDist()
-
-    def median(rank: int) -> float:
-        if rank == n - 1:
-            return last
-        return 1.0 - last if rank == 0 else (rank + 1 - 0.3175) / (n + 0.365)
-
-    out = [(r + 1, normal.inv_cdf(median(r)), v) for r, v in zip(ranks, found)]
-    return df.sparkSession.createDataFrame(out, "rank long, theoretical double, residual double")
+    rows = df.select((col(prediction) - col(label)).cast("double").alias("residual")) \
+        .filter("residual is not null")
+    n = one_row(rows, [F.count("residual")])[0]
+    ranked = global_index(rows, [F.col("residual")], "position")
+    last = repr(0.5 ** (1.0 / max(n, 1)))
+    order = F.expr(f"CASE WHEN position = {n - 1} THEN {last} WHEN position = 0 THEN 1e0 - {last}"
+                   f" ELSE (position + 1 - 0.3175e0) / ({n} + 0.365e0) END")
+    return ranked.withColumn("_p", order).select(
+        (F.col("position") + 1).alias("rank"), F.expr(normal_quantile("_p")).alias("theoretical"),
+        "residual")
 
 
 def fit_quintiles(df: DataFrame, prediction: str = "prediction", rows: int | None = None,

@@ -72,7 +72,11 @@ DOMAIN = {
     "is_luxury": (["grade", "condition"], lambda _: _luxury()),
     "sqft_per_bedroom": (["sqft_living", "bedrooms"], lambda _: _per("sqft_living", "bedrooms")),
 }
-LEAKY = ("price_per_sqft",)
+
+
+def leaky(target: str) -> list[str]:
+    """Domain columns made from the target; a row to score has none of them."""
+    return [c for c, (needs, _) in DOMAIN.items() if target in needs]
 
 
 def fit_categories(df: DataFrame) -> dict[str, list[str]]:
@@ -84,20 +88,22 @@ def fit_categories(df: DataFrame) -> dict[str, list[str]]:
 
 
 def add_domain(df: DataFrame, codes: dict[str, list[str]], only: list[str] | None = None,
-               ) -> DataFrame:
-    """Domain columns whose inputs the table has, in one projection."""
+               without: str | None = None) -> DataFrame:
+    """Domain columns whose inputs the table has, in one projection; none made from ``without``."""
     new = {c: build(codes) for c, (needs, build) in DOMAIN.items()
-           if set(needs) <= set(df.columns) and (only is None or c in only)}
+           if set(needs) <= set(df.columns) and (only is None or c in only)
+           and without not in needs}
     return df.withColumns(new)
 
 
-def interactions(columns: list[str], limit: int = 5) -> dict[str, Column]:
-    present = [c for c in INTERACTION_COLUMNS if c in columns]
+def interactions(columns: list[str], limit: int = 5, without: str | None = None,
+                 ) -> dict[str, Column]:
+    present = [c for c in INTERACTION_COLUMNS if c in columns and c != without]
     return {f"{a}_x_{b}": col(a) * col(b) for a, b in islice(combinations(present, 2), limit)}
 
 
-def add_interactions(df: DataFrame, limit: int = 5) -> DataFrame:
-    return df.withColumns(interactions(df.columns, limit))
+def add_interactions(df: DataFrame, limit: int = 5, without: str | None = None) -> DataFrame:
+    return df.withColumns(interactions(df.columns, limit, without))
 
 
 def add_polynomial(df: DataFrame, degree: int = 2, target: str = "price", limit: int = 5,
@@ -168,6 +174,7 @@ class FeaturePlan:
     polynomial: bool = False
     binned: bool = True
     degree: int = 2
+    exclude_leaky: bool = True
     codes: dict[str, list[str]] = field(default_factory=dict)
     bins: dict[str, list[float]] = field(default_factory=dict)
     fills: dict[str, float] = field(default_factory=dict)
@@ -176,18 +183,22 @@ class FeaturePlan:
     engineered: int = 0
 
     def widen(self, df: DataFrame) -> DataFrame:
-        """All columns before filling and selection."""
+        """All columns before filling and selection, as far as ``df`` has what they need."""
+        without = self.target if self.exclude_leaky else None
         if self.domain:
-            df = add_domain(df, self.codes)
+            df = add_domain(df, self.codes, without=without)
         if self.interactions:
-            df = add_interactions(df)
+            df = add_interactions(df, without=without)
         if self.polynomial:
             df = add_polynomial(df, self.degree, self.target)
-        return add_bins(df, self.bins)
+        return add_bins(df, {c: e for c, e in self.bins.items() if c in df.columns})
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Selected features with gaps filled, plus the target and ``keep`` where present."""
         wide = self.widen(df)
+        absent = [c for c in self.features if c not in wide.columns]
+        if absent:
+            raise ValueError(f"the table lacks what these features are made of: {absent}")
         extra = [c for c in [*(keep or []), self.target] if c in df.columns]
         filled = [F.coalesce(col(c).cast("double"), F.lit(self.fills.get(c))).alias(c)
                   for c in self.features]
@@ -203,9 +214,14 @@ class FeaturePlan:
 
 def fit_features(df: DataFrame, target: str = "price", domain: bool = True,
                  with_interactions: bool = True, polynomial: bool = False, binned: bool = True,
-                 degree: int = 2, exclude: list[str] | tuple[str, ...] = ()) -> FeaturePlan:
-    """Learn codes, bin edges and fill values; all numeric columns are features at first."""
-    plan = FeaturePlan(target, domain, with_interactions, polynomial, binned, degree)
+                 degree: int = 2, exclude: list[str] | tuple[str, ...] = (),
+                 exclude_leaky: bool = True) -> FeaturePlan:
+    """Learn codes, bin edges and fill values; all numeric columns are features at first.
+
+    Columns made from the target, and bins of them, are left out unless ``exclude_leaky`` is off;
+    a plan that selects such a column cannot score rows without the target.
+    """
+    plan = FeaturePlan(target, domain, with_interactions, polynomial, binned, degree, exclude_leaky)
     plan.codes = fit_categories(df) if domain else {}
     wide = plan.widen(df)
     names, _ = split_target(wide, target)

@@ -51,9 +51,9 @@ def metric_columns(label: str = "label", prediction: str = "prediction") -> dict
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction",
              by: list[str] | None = None, metrics: list[str] | None = None) -> DataFrame:
-    """Row count and metrics, for the table or per group; a single aggregation."""
+    """Rows, rows with both values (``test_size``) and metrics of the latter; a single aggregation."""
     found = metric_columns(label, prediction)
-    aggs = [F.count(col(prediction) - col(label)).alias("test_size"),
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count(col(prediction) - col(label)).alias("test_size"),
             *[found[m].alias(m) for m in metrics or METRICS]]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tablewright.fixed_values import PARAM_GRIDS
 from tablewright.operators.linear import KINDS, fit_linear
 from tablewright.operators.neighbors import knn_predict
-from tablewright.operators.support import fit_svr
-from tablewright.operators.trees import fit_extra_trees, fit_tree
+from tablewright.operators.support import SupportModel, fit_svr
+from tablewright.operators.trees import ExtraTreesModel, fit_extra_trees, fit_tree
 
 
 @dataclass
@@ -57,6 +57,15 @@ REGISTRY: dict[str, Callable] = {
 }
 
 
+def name_of(model) -> str:
+    """The registry's name of a fitted model."""
+    own = {ExtraTreesModel: "extra_trees", SupportModel: "svr", NeighborModel: "knn"}
+    name = own.get(type(model)) or getattr(model, "kind", None)
+    if name not in REGISTRY:
+        raise ValueError(f"not a model of the registry: {type(model).__name__}")
+    return name
+
+
 def grid(name: str) -> dict[str, list]:
     """Hyper-parameter grid of a model; empty where there is nothing to tune."""
     return PARAM_GRIDS.get(name, {})

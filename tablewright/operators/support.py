@@ -67,7 +67,11 @@ def fit_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0,
         raise ValueError(f"unknown kernel: {kernel}")
     d = len(features)
     rows = stage(df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
-                           col(label).cast("double").alias("y")).na.drop(), "svr")
+                           col(label).cast("double").alias("y")), "svr")
+    gaps = one_row(rows, [F.count_if(F.col(c).isNull() | F.isnan(c)) for c in rows.columns])
+    if any(gaps):
+        raise ValueError("columns with missing values: " + ", ".join(
+            f"{c} ({n})" for c, n in zip([*features, label], gaps) if n))
     n, middle, spread, *flat = one_row(rows, [
         F.count(F.lit(1)), F.percentile_approx("y", 0.5), F.stddev_pop("y"),
         *[f(f"x{i}") for i in range(d) for f in (F.avg, F.stddev_pop)]])

@@ -18,8 +18,10 @@ DEFAULT_DEPTH = 10
 
 
 def depth_of(max_depth: int | None) -> int:
-    """``None`` asks for unlimited depth, for which Spark's maximum stands."""
-    return DEEPEST if max_depth is None else min(int(max_depth), DEEPEST)
+    """``None`` asks for unlimited depth, for which Spark's maximum stands; more is an error."""
+    if max_depth is not None and int(max_depth) > DEEPEST:
+        raise ValueError(f"trees can be {DEEPEST} levels deep, not {max_depth}")
+    return DEEPEST if max_depth is None else int(max_depth)
 
 
 @dataclass

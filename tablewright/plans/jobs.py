@@ -80,11 +80,11 @@ def feature_job(df: DataFrame, target: str = "price", domain: bool = True,
                 interactions: bool = True, polynomial: bool = False, binned: bool = True,
                 method: str | None = "k_best", k: int = 15, pca: bool = False,
                 pca_components: float | int = 0.95, importance: str = "f_regression",
-                exclude_leaky: bool = False, keep: list[str] | None = None) -> FeatureResult:
+                exclude_leaky: bool = True, keep: list[str] | None = None) -> FeatureResult:
     """Build, fill, score and select features; ``keep`` columns are passed through."""
     data = df.drop(*(keep or []))
     plan = features.fit_features(data, target, domain, interactions, polynomial, binned,
-                                 exclude=features.LEAKY if exclude_leaky else ())
+                                 exclude_leaky=exclude_leaky)
     wide = plan.transform(data)
     # one row per feature: read once, then reused for the selection and the report
     found = select.importance(wide, plan.features, target, importance)
@@ -114,6 +114,7 @@ class TrainResult:
     tuned: DataFrame | None
     test: DataFrame
     report: dict
+    fitted: dict = field(default_factory=dict)
 
 
 def train_one(name: str, position: int, train: DataFrame, val: DataFrame, columns: list[str],
@@ -187,25 +188,26 @@ def train_job(df: DataFrame, target: str = "price", names: list[str] | None = No
     found = metrics.metrics_row(tested, target, metrics=["mse", "rmse", "mae", "r2"])
     sizes = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}
     report = {
-        "data_shape": {p: [sizes.get(p, 0), len(columns)] for p in ("train", "val", "test")},
-        "models_trained": [r["model"] for r in rows],
-        "cv_performed": cv,
-        "best_model": best_name,
-        "best_val_score": best_score,
-        "test_metrics": {m: found[m] for m in ("mse", "rmse", "mae", "r2")},
-        "tuned_models": [r["model"] for r in tuned],
-        "feature_count": len(columns),
+        "winner": best_name, "validation_rmse": best_score,
+        "test": {m: found[m] for m in ("rmse", "mae", "r2", "mse")},
+        "fitted": sorted(fitted), "tuned": [r["model"] for r in tuned], "cross_validated": cv,
+        "columns": columns, "rows": {p: sizes.get(p, 0) for p in ("train", "val", "test")},
     }
     tuned_table = spark.createDataFrame([tuple(r[c] for c in order) for r in tuned],
                                         METRIC_SCHEMA) if tuned else None
-    return TrainResult(best_name, model, columns, table, folded, tuned_table, test, report)
+    return TrainResult(best_name, model, columns, table, folded, tuned_table, test, report, fitted)
 
 
 # ---- evaluation -----------------------------------------------------------------------------
 
 def evaluate_job(test: DataFrame, model, columns: list[str], target: str = "price",
-                 name: str = "Model", with_charts: bool = True) -> dict[str, DataFrame]:
-    """Metrics and chart tables of a model on test rows."""
+                 name: str = "Model", with_charts: bool = True, with_curve: bool = True,
+                 ) -> dict[str, DataFrame]:
+    """Metrics and chart tables of a model on test rows.
+
+    The learning curve fits the model anew for each of ten sizes and five folds of all test rows;
+    linear models read the rows once for all of them.
+    """
     scored = stage(model.transform(test), "scored")
     out = {"metrics": metrics.evaluate(scored, target).withColumn("model", F.lit(name)),
            "predictions": scored.select(F.col(target).alias("actual"),
@@ -230,13 +232,25 @@ def evaluate_job(test: DataFrame, model, columns: list[str], target: str = "pric
         out["feature_importance"] = models.weight_table(test, model, columns)
     except ValueError as error:
         log.warning("no feature importance: %s", error)
-    sample = charts.sample_rows(test)
-    kind = getattr(model, "kind", None)
-    if kind in tune.KINDS and sample.count() > 0:
-        out["learning_curve"] = tune.learning_curve(sample, columns, target, kind, **model.params)
+    if with_curve:
+        try:
+            out["learning_curve"] = tune.learning_curve(test, columns, target,
+                                                        models.name_of(model), **model.params)
+        except ValueError as error:
+            log.warning("no learning curve: %s", error)
     return out
 
 
+def compare_models(fitted: dict, test: DataFrame, target: str) -> DataFrame:
+    """One row of metrics for each fitted model on the same rows."""
+    parts = [metrics.evaluate(m.transform(test), target).withColumn("model", F.lit(name))
+             for name, m in fitted.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return stage(out, "model_scores")
+
+
 # ---- whole run ------------------------------------------------------------------------------
 
 STAGES = ["preprocessing", "feature_engineering", "model_training", "evaluation", "deployment"]
@@ -307,8 +321,17 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
 
     def evaluation():
         done = results["model_training"]["result"]
+        e = cfg["evaluation"]
         tables = evaluate_job(done.test, done.model, done.features, target, done.best_name,
-                              cfg["evaluation"]["save_plots"])
+                              e["save_plots"], e["learning_curve"])
+        if e["create_comparison"] or e["generate_report"]:
+            scores = compare_models(done.fitted | {done.best_name: done.model}, done.test, target)
+        if e["create_comparison"]:
+            long = metrics.long_metrics(scores)
+            tables |= {"comparison": metrics.compare(long), "heat": metrics.heat(long),
+                       "ranks": metrics.rank(long)}
+        if e["generate_report"]:
+            tables["report"] = metrics.report_rows(scores)
         for name, table in tables.items():
             write_table(table, f"{reports}/{ident}/evaluation_{name}", "parquet")
         return {"tables": sorted(tables)}
@@ -322,8 +345,16 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
         if d["enable_monitoring"]:
             base = store.load_baseline(spark, d["deployment_dir"], training, target)
             write_table(base, f"{d['monitoring_dir']}/baseline_stats", "parquet")
-            advice = monitor.recommendations(spark, 0, None, base is not None)
-            write_table(advice, f"{d['monitoring_dir']}/recommendations", "parquet")
+            watch = d["monitoring_dir"]
+            row = [(ident, done.best_name, *(float(done.report["test"][m]) for m in ("rmse", "mae", "r2")))]
+            store.append_history(
+                spark.createDataFrame(row, "run_id string, model string, rmse double, mae double, r2 double")
+                .withColumn("ts", F.current_timestamp()), f"{watch}/metrics")
+            seen = monitor.summary(
+                spark, read_table(spark, f"{watch}/alerts", "parquet", missing="none"),
+                read_table(spark, f"{watch}/metrics", "parquet", missing="none"), base is not None)
+            for name, table in seen.items():
+                write_table(table, f"{watch}/{name}", "parquet")
         return {"deployment_dir": d["deployment_dir"], "monitoring_dir": d["monitoring_dir"]}
 
     jobs = [preprocessing, feature_engineering, model_training, evaluation, deployment]

@@ -16,8 +16,9 @@ log = logging.getLogger(__name__)
 # settings of this engine beside the common ones
 EXTRA_DEFAULTS = {
     "preprocessing": {"impute_target": True, "scale_at": "clean", "sequential_outliers": True},
-    "feature_engineering": {"exclude_leaky": False, "pca_components": 0.95,
+    "feature_engineering": {"exclude_leaky": True, "pca_components": 0.95,
                             "importance_method": "f_regression"},
+    "evaluation": {"learning_curve": True},
     "model_training": {"models": None, "cv_folds": 5, "tuning_method": "grid_search",
                        "seed": 42},
 }

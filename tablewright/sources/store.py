@@ -111,7 +111,7 @@ def save_package(spark: SparkSession, folder: str, model, metadata: dict, featur
         "model_type": getattr(model, "kind", type(model).__name__),
         "feature_count": len(features),
         "expected_features": features,
-        "performance_baseline": metadata.get("test_metrics", {}),
+        "performance_baseline": metadata.get("test", {}),
         "monitoring_enabled": True,
         "drift_detection_enabled": True,
     }

@@ -72,8 +72,14 @@ def test_feature_plan_for_serving(raw):
     gap = one.withColumn("sqft_living", F.lit(None).cast("double"))
     filled = again.transform(gap)
     assert filled.filter(" or ".join(f"`{c}` is null" for c in again.features)).count() == 0
-    safe = jobs.feature_job(cleaned, exclude_leaky=True, k=40)
-    assert "price_per_sqft" not in safe.plan.features
+    assert not [c for c in jobs.feature_job(cleaned, k=60).plan.features if "price" in c]
+    unpriced = one.drop("price")
+    assert again.transform(unpriced).columns == again.features
+    assert again.transform(unpriced).exceptAll(done.table.select(*again.features)).count() == 0
+    open_ = jobs.feature_job(cleaned, exclude_leaky=False, k=60).plan
+    assert {"price_per_sqft", "price_per_sqft_binned"} <= set(open_.features)
+    with pytest.raises(ValueError, match="price_per_sqft"):
+        open_.transform(unpriced)
     part = jobs.feature_job(cleaned, method=None, pca=True)
     assert part.table.columns[0] == "PC_1" and part.components.explained[0] > 0.5
 
@@ -97,8 +103,8 @@ def test_whole_run(spark, raw, tmp_path):
     assert [r["status"] for r in status.orderBy("position").collect()] == ["success"] * 5
     assert jobs.run_summary(status).first()["success_rate"] == 100.0
     report = results["model_training"]["report"]
-    assert report["data_shape"]["train"][1] == 15
-    assert report["tuned_models"] and report["test_metrics"]["r2"] > 0.4
+    assert len(report["columns"]) == 15
+    assert report["tuned"] and report["test"]["r2"] > 0.4
     package = str(tmp_path / "deploy")
     cfg = store.read_json(spark, f"{package}/deployment_config")
     assert cfg["feature_count"] == 15 and cfg["model_version"] == "1.0"
@@ -107,7 +113,12 @@ def test_whole_run(spark, raw, tmp_path):
     table = spark.read.parquet(str(tmp_path / "engineered"))
     assert model.transform(table).filter("prediction is null").count() == 0
     ident = status.first()["run_id"]
-    assert store.read_json(spark, f"{tmp_path}/reports/{ident}/results")["evaluation"]["tables"]
+    made = store.read_json(spark, f"{tmp_path}/reports/{ident}/results")["evaluation"]["tables"]
+    assert {"comparison", "heat", "ranks", "report", "learning_curve", "quantile_pairs"} <= set(made)
+    watched = spark.read.parquet(str(tmp_path / "monitor" / "summary")).first()
+    assert watched["total_alerts"] == 0 and watched["rmse"] == report["test"]["rmse"]
+    advice = spark.read.parquet(str(tmp_path / "monitor" / "recommendations"))
+    assert "no_metrics" not in {r["rule"] for r in advice.collect()}
 
 
 def test_run_stops_at_the_first_failure(spark, tmp_path):
