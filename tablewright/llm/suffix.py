@@ -17,7 +17,8 @@ neighbours that agree in all of these are equal strings. Long ties never compare
 is bounded by the bucket.
 
 Buckets of anchors with more than ``CROWD`` occurrences do not go to one task: their strings are
-dealt out one by one under a 128-bit hash of the string, with the same result.
+dealt out one by one under a 128-bit hash of the string, with the same result. A task sends a string
+twice at most; from the third time on it knows that the string is repeated.
 """
 
 from __future__ import annotations
@@ -177,21 +178,25 @@ def stretches(texts: DataFrame, repeated: bytes, crowded: bytes) -> DataFrame:
     """Stretches of possibly repeated strings; those of crowded anchors hold one string each.
 
     Rows: bucket (hash of the least anchor, or of the string if crowded), text_key, start, distance
-    (from start to the anchor, -1 if crowded), bytes (empty if crowded, 128-bit hash instead).
+    (from start to the anchor, -1 if crowded), bytes (if crowded, the 128-bit hash). A distance of -2
+    marks a crowded string already known to be repeated; its bucket is arbitrary.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, full = np.frombuffer(repeated, np.uint8), np.frombuffer(crowded, np.uint8)
         seen: set[bytes] = set()
+        sent: dict[bytes, int] = {}
         for pack in _packs(batches, "text"):
+            if len(sent) > 500_000:
+                sent.clear()
             digests = [hashlib.md5(t).digest() for t in pack]
             fresh = [i for i, d in enumerate(digests) if d not in seen]
             seen.update(digests)
             if len(seen) > 200_000:
                 seen.clear()
             for chunk in _chunks([pack[i] for i in fresh]):
-                yield from emit([(digests[fresh[i]], at, part) for i, at, part in chunk], known, full)
+                yield from emit([(digests[fresh[i]], at, part) for i, at, part in chunk], known, full, sent)
 
-    def emit(chunk, known, full):
+    def emit(chunk, known, full, sent):
         h, _, runs, own, inside = anchors([p for _, _, p in chunk])
         # the anchors of the runs inside a string are the same wherever it stands
         bad = np.concatenate([[0], np.cumsum(~_within(known, h[runs]))])
@@ -215,15 +220,27 @@ def stretches(texts: DataFrame, repeated: bytes, crowded: bytes) -> DataFrame:
         raw = [buffer[x:y] if not c else xxhash.xxh3_128_digest(buffer[x:y]) for x, y, c in
                zip(s.tolist(), e.tolist(), alone.tolist(), strict=True)]
         bucket = signed(h[a])
-        if alone.any():
-            at = np.flatnonzero(alone)
-            bucket[at] = [int.from_bytes(raw[i][:8], "little", signed=True) for i in at]
+        distance = np.where(alone, -1, a - s)
+        for i in np.flatnonzero(alone).tolist():
+            times = sent.get(raw[i], 0)
+            sent[raw[i]] = times + 1
+            if times < 2:
+                bucket[i] = int.from_bytes(raw[i][:8], "little", signed=True)
+            else:
+                bucket[i], distance[i], raw[i] = start[i], -2, b""
+        # known repeats that follow each other are one row, which holds their number
+        first = np.ones(len(s), bool)
+        first[1:] = (distance[1:] != -2) | (distance[:-1] != -2) | (np.diff(s) != 1) | (of[1:] != of[:-1])
+        place = np.flatnonzero(first)
+        many = np.diff(np.append(place, len(s)))
+        raw = [raw[i] if distance[i] != -2 else int(n).to_bytes(4, "little") for i, n in zip(place.tolist(), many.tolist(), strict=True)]
+        s, of, start, bucket, distance = s[place], of[place], start[place], bucket[place], distance[place]
         for x in range(0, len(s), 20_000):
             y = slice(x, x + 20_000)
             yield pa.RecordBatch.from_arrays([
                 pa.array(bucket[y]), pa.array([chunk[i][0] for i in of[y].tolist()], pa.binary()),
                 pa.array(start[y].astype(np.int32)),
-                pa.array(np.where(alone[y], -1, a[y] - s[y]).astype(np.int32)), pa.array(raw[y], pa.binary())],
+                pa.array(distance[y].astype(np.int32)), pa.array(raw[y], pa.binary())],
                 ["bucket", "text_key", "start", "distance", "bytes"])
 
     return texts.mapInArrow(task, STRETCH)
@@ -310,7 +327,9 @@ def find_repeats(rows: DataFrame) -> DataFrame:
         often = np.bincount(of) > 1
         one = [k for k in ids]
         b, d = np.array([k[0] for k in one]), np.array([k[1] for k in one])
-        runs: list[list[tuple[int, int]]] = [[(0, LENGTH if x < 0 else len(k[2]))] if o else [] for k, x, o in zip(one, d.tolist(), often.tolist(), strict=True)]
+        often |= d == -2
+        size = [len(k[2]) if k[1] >= 0 else LENGTH if k[1] == -1 else LENGTH - 1 + int.from_bytes(k[2], "little") for k in one]
+        runs: list[list[tuple[int, int]]] = [[(0, n)] if o else [] for n, o in zip(size, often.tolist(), strict=True)]
         # a bucket with one distinct stretch is settled by its count
         _, inverse, n = np.unique(b, return_inverse=True, return_counts=True)
         open_ = np.flatnonzero((n[inverse] > 1) & (d >= 0))
