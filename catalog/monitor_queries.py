@@ -248,3 +248,48 @@ def _(t):
     rows = t.listings(key=True)
     model = models.fit("ridge", rows, FEATURES, "price")
     return serve.score(rows.select(*FEATURES, "row_key"), model, FEATURES, keep=["row_key"])
+
+
+@query("v_summary", "SELECT CAST(day AS TIMESTAMP) AS ts, round(rmse, 6) AS rmse, total_alerts,"
+       " recent_alerts FROM (SELECT count(*) AS total_alerts, count(*) FILTER (ts > (SELECT max(ts)"
+       " FROM events) - INTERVAL 7 DAY) AS recent_alerts FROM events), (SELECT * FROM"
+       f" ({HISTORY}) ORDER BY day DESC LIMIT 1)")
+def _(t):
+    """The latest metrics beside the alert totals, events standing for alerts."""
+    return rounded(watched(t)["summary"])
+
+
+@query("v_rule_codes", "SELECT rule FROM (SELECT unnest(['many_alerts', 'no_baseline', 'declining'])"
+       " AS rule) WHERE (rule = 'many_alerts' AND (SELECT count(*) FROM events) > 10) OR rule ="
+       " 'no_baseline' OR (rule = 'declining' AND (SELECT (rmse - previous) / NULLIF(previous, 0) >"
+       f" 0.1 FROM (SELECT *, lag(rmse) OVER (ORDER BY day) AS previous FROM ({HISTORY})) ORDER BY"
+       " day DESC LIMIT 1))")
+def _(t):
+    """Which of the four rules hold for a history without stored baseline."""
+    return watched(t)["recommendations"].select("rule")
+
+
+@query("v_rule_empty", "SELECT unnest(['no_metrics']) AS rule WHERE (SELECT count(*) FROM part) > 0")
+def _(t):
+    """Nothing evaluated yet, no alerts, a stored baseline."""
+    base = monitor.baseline(t.read("part").select("p_size", "p_retailprice"))
+    return monitor.summary(t.spark, None, None, base.head(1) != [])["recommendations"].select("rule")
+
+
+def watched(t):
+    events = t.read("events")
+    history = events.groupBy(F.date_trunc("day", "ts").alias("ts")) \
+        .agg(F.sqrt(F.avg(F.col("value") * F.col("value"))).alias("rmse"))
+    alerts = events.select("ts", F.col("event_type").alias("alert_type"))
+    return monitor.summary(t.spark, alerts, history, False, last_ts(t))
+
+
+@query("v_schema", "SELECT * FROM (VALUES ('warning', 'feature_count', 'expected 8, got 9'),"
+       " ('issue', 'missing_features', 'sqft_basement'), ('warning', 'extra_features',"
+       " 'row_key,price')) AS v(level, \"check\", detail) WHERE (SELECT count(*) FROM lineitem) > 0")
+def _(t):
+    """Issues of a batch that lacks a column and has others."""
+    rows = t.listings(key=True).drop("age")
+    wanted = [*[c for c in rows.columns if c not in ("row_key", "price")], "sqft_basement"]
+    _, table, issues = serve.check_schema(rows, wanted)
+    return serve.issue_table(table, issues)

@@ -28,7 +28,6 @@ CELL_ROWS = 64
 BLOCK_ROWS = 20_000
 PATTERN_COLUMNS = 8
 FINE_BINS = 1024
-SMALL_DONORS = 5_000
 OWN_LAYOUT = 50_000
 
 
@@ -274,24 +273,13 @@ def _closest(near: DataFrame, k: int) -> DataFrame:
 
 def nearest(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[int | None],
             cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS,
-            max_cells: int = MAX_CELLS, small: int = SMALL_DONORS,
-            own_layout: int = OWN_LAYOUT) -> DataFrame:
+            max_cells: int = MAX_CELLS, own_layout: int = OWN_LAYOUT) -> DataFrame:
     """The k nearest donors of every query, per lent value.
 
     ``queries``: ``qid, f0..`` and ``donors``: ``f0.., v0.., m``. ``lends[j]`` is the feature a
     query must lack to ask for value j, or ``None`` if all ask. Result: ``qid, target, square,
     value, used`` where ``used`` counts the copies that belong to the k nearest.
-
-    Up to ``small`` donors, a counted number, travel to the tasks as they are.
     """
-    if donors.count() <= small:
-        lenders, match = donors.toPandas(), _matcher(p, k, lends)
-
-        def scan(frames):
-            for frame in frames:
-                yield match(frame, lenders)
-
-        return _closest(queries.mapInPandas(scan, FOUND), k)
     order, n = _by_spread(donors, p), donors.count()
     lacks = [F.when(F.col(f"f{i}").isNull(), 1 << b).otherwise(0)
              for b, i in enumerate(order[:2])]

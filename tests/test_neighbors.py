@@ -32,8 +32,8 @@ def rows(df, columns):
     return np.array(sorted(tuple(r) for r in df.select(*columns).collect()))
 
 
-@pytest.mark.parametrize("hot, small", [(0, 0), (150, 0), (150, 5000)])
-def test_impute_matches_brute_force(spark, hot, small):
+@pytest.mark.parametrize("hot", [0, 150])
+def test_impute_matches_brute_force(spark, hot):
     rng = np.random.default_rng(5)
     n, p = 400, 4
     x = np.column_stack([rng.integers(0, 40, n), rng.integers(0, 900, n), rng.integers(0, 5, n),
@@ -45,7 +45,7 @@ def test_impute_matches_brute_force(spark, hot, small):
     names = list("abcd")
     df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x],
                                ", ".join(f"{c} double" for c in names))
-    got = rows(knn_impute(df, 5, cell_rows=20, block_rows=30, small=small, own_layout=30), names)
+    got = rows(knn_impute(df, 5, cell_rows=20, block_rows=30, own_layout=30), names)
     want = brute_impute(x, 5)
     want = np.array(sorted(map(tuple, want)))
     np.testing.assert_allclose(got, want, rtol=1e-9)
@@ -67,7 +67,7 @@ def test_predict_matches_brute_force(spark, weights):
     new = pd.DataFrame({"a": rng.integers(0, 50, 80).astype(float),
                         "b": rng.integers(0, 50, 80).astype(float)})
     got = knn_predict(spark.createDataFrame(train), spark.createDataFrame(new), ["a", "b"], "y",
-                      5, weights, cell_rows=16, block_rows=25, small=0).toPandas()
+                      5, weights, cell_rows=16, block_rows=25).toPandas()
     for _, r in got.iterrows():
         square = (train.a - r.a) ** 2 + (train.b - r.b) ** 2
         order = np.lexsort((train.y, square))[:5]
