@@ -55,6 +55,18 @@ def keyed(df: DataFrame, *columns: str, key: str | None = None) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns], number.alias("row_key"))
 
 
+def sampled(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """About ``rows`` rows of ``df`` by a hash of the columns and the row, all if there are no more.
+
+    For training classifiers only. Each task keeps its share, so nothing is gathered to choose.
+    """
+    share = min(1.0, rows / max(1, df.count()))
+    if share == 1.0:
+        return df
+    number = F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id())
+    return df.where(F.pmod(number, F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` whose texts have about ``limit`` bytes; a longer text comes alone."""
     at = batch.schema.get_field_index(column)

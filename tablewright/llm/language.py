@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import keyed, slices
+from tablewright.llm.common import keyed, sampled, slices
 from tablewright.session import stage
 
 #: slots of the table of trigrams, for each language
 SLOTS = 1 << 16
-#: labelled texts learned from at most, chosen by their hash
+#: labelled texts learned from, about, chosen by a hash
 SAMPLE = 20_000
 #: strength of the smoothing towards the next level up
 STRENGTH = 5.0
@@ -69,8 +69,8 @@ class TextModel:
 def fit_text(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
     """Learn trigrams of every language of (text, lang); two in three texts fit, one calibrates."""
     rows = docs.select(F.col("text").cast("string").alias("text"), F.lower(F.trim(F.col("lang").cast("string"))).alias("lang")) \
-        .where("text is not null and lang is not null and lang <> ''") \
-        .withColumn("h", F.xxhash64("text")).orderBy("h", "lang").limit(sample)
+        .where("text is not null and lang is not null and lang <> ''")
+    rows = sampled(rows, sample, "text").withColumn("h", F.xxhash64("text"))
     fold = F.pmod("h", F.lit(3))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +95,7 @@ def fit_text(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
     weights = np.log(counts / counts.sum(axis=0))
     weights -= weights.mean(axis=1, keepdims=True)
     model = TextModel(languages, weights, 1.0)
-    held = [r for r in rows.where("fold = 0").orderBy("h").limit(2_000).collect() if r["lang"] in place]
+    held = [r for r in sampled(rows.where("fold = 0"), 2_000, "text").collect() if r["lang"] in place]
     if held:
         raw = np.array([model.loglik(r["text"]) for r in held])
         truth = np.array([place[r["lang"]] for r in held])

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import slices
+from tablewright.llm.common import sampled, slices
 from tablewright.session import stage
 
 TOKEN = re.compile(r"\w+")
@@ -245,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1_000) -> Field:
     """Learn from labelled rows outside the held-out fold.
 
     Evidence is counted over all of them; the field and the document
-    function are fitted on ``sample`` texts of either class, chosen by their hash. A document with
+    function are fitted on about ``sample`` texts of either class, chosen by a hash. A document with
     several labels is toxic if one says so; missing labels, ids and texts take no part. Without
     texts of both classes every score is the share of toxic ones (one half if there are none).
     """
@@ -259,8 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1_000) -> Field:
         return Field(np.zeros(SLOTS), np.zeros(WIDTH + 1), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
     share = n_toxic / (n_clean + n_toxic)
     evidence = log_odds(clean, toxic, n_clean, n_toxic)
-    rows = [r for kind in (0, 1) for r in
-            labelled.where(F.col("toxic") == kind).orderBy(F.xxhash64("text"), "text").limit(sample).collect()]
+    rows = [r for kind in (0, 1) for r in sampled(labelled.where(F.col("toxic") == kind), sample, "text").collect()]
     return _train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], float), evidence, share)
 
 
