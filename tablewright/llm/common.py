@@ -67,6 +67,26 @@ def sampled(df: DataFrame, rows: int, *columns: str) -> DataFrame:
     return df.where(F.pmod(number, F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
+def bit_table(hashes: DataFrame, bits: int) -> bytes:
+    """A bit for every value that the low ``bits`` of the column ``hash`` take.
+
+    The table has a fixed size whatever the number of rows: as it fills up it lets more through,
+    so it may only save work before an exact step. It is a sum over at most 2^(bits - 3) bytes.
+    """
+    packed = hashes.select(F.expr(f"hash & {(1 << bits) - 1}").alias("place")).distinct() \
+        .groupBy(F.shiftright("place", 3).alias("byte")) \
+        .agg(F.sum(F.pow(F.lit(2.0), 7 - F.col("place") % 8)).cast("int").alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    table[packed["byte"].to_numpy()] = packed["bits"].to_numpy()
+    return table.tobytes()
+
+
+def within(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes a table of ``bit_table`` lets through."""
+    low = (hashes.view(np.uint64) & np.uint64(8 * len(table) - 1)).astype(np.int64)
+    return (table[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & np.uint8(1) > 0
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` whose texts have about ``limit`` bytes; a longer text comes alone."""
     at = batch.schema.get_field_index(column)

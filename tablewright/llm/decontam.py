@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import WordHashes, keyed, shingle_hashes, signed, slices, text_bytes, words_of
+from tablewright.llm.common import (WordHashes, bit_table, keyed, shingle_hashes, signed, slices, text_bytes,
+                                    within, words_of)
 from tablewright.session import stage
 
 SHINGLE = 3
@@ -32,27 +33,6 @@ FILTER_BITS = 24
 _hashes = WordHashes()
 
 
-def _filter(hashes: DataFrame) -> bytes:
-    """A packed table of the low bits of all hashes, of 2 MB whatever their number."""
-    size = 1 << FILTER_BITS
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(size, bool)
-        for batch in batches:
-            bits[batch.column(0).to_numpy() & (size - 1)] = True
-        places = np.flatnonzero(bits)
-        for at in range(0, len(places), 100_000):
-            yield pa.RecordBatch.from_pydict({"place": places[at:at + 100_000]})
-
-    places = hashes.mapInArrow(task, "place long").distinct()
-    # at most one row for each byte of the table, so at most 2M short rows
-    packed = places.groupBy(F.shiftright("place", 3).alias("byte")) \
-        .agg(F.sum(F.pow(F.lit(2.0), 7 - F.col("place") % 8)).cast("int").alias("bits")).toArrow()
-    table = np.zeros(size >> 3, np.uint8)
-    table[packed["byte"].to_numpy()] = packed["bits"].to_numpy()
-    return table.tobytes()
-
-
 def windows_of(benchmark: DataFrame, size: int = 13) -> DataFrame:
     """Distinct windows: window (number), words, n, item_ids; missing and empty texts have none."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +77,7 @@ def _shingles(windows: DataFrame) -> DataFrame:
 def document_frequencies(texts: DataFrame, bits: bytes, sizes: list[int]) -> DataFrame:
     """Number of documents with each shingle that the filter lets through: hash, n_docs."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
+        wanted = np.frombuffer(bits, np.uint8)
         waiting, held = [], 0
 
         def flush():
@@ -110,7 +90,7 @@ def document_frequencies(texts: DataFrame, bits: bytes, sizes: list[int]) -> Dat
                     words = _hashes.of(words_of(raw))
                     for size in sizes:
                         found = shingle_hashes(words, size)
-                        found = found[wanted[found & np.uint64(len(wanted) - 1)]]
+                        found = found[within(wanted, found)]
                         if len(found):
                             waiting.append(np.unique(found))
                             held += len(waiting[-1])
@@ -131,7 +111,7 @@ def find_hits(texts: DataFrame, bits: bytes, sizes: list[int], size: int) -> Dat
                                ("near", pa.list_(pa.string()))]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
+        wanted = np.frombuffer(bits, np.uint8)
         for batch in batches:
             for some in slices(batch, "text"):
                 counts, hits = [], []
@@ -141,7 +121,7 @@ def find_hits(texts: DataFrame, bits: bytes, sizes: list[int], size: int) -> Dat
                     counts.append(len(split))
                     for length in sizes:
                         found = shingle_hashes(words, length)
-                        for at in np.flatnonzero(wanted[found & np.uint64(len(wanted) - 1)]).tolist():
+                        for at in np.flatnonzero(within(wanted, found)).tolist():
                             first = max(0, at - size + 1)
                             own.append({"hash": int(found[at].view(np.int64)), "at": at, "first": first,
                                         "near": [w.decode() for w in split[first:at + size]]})
@@ -166,7 +146,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int =
     windows = stage(windows_of(benchmark, size), "windows")
     shingles = stage(_shingles(windows), "shingles")
     sizes = sorted(r["size"] for r in shingles.select("size").distinct().collect())  # 1 to SHINGLE
-    counts = document_frequencies(texts.select("text"), _filter(shingles.select("hash")), sizes)
+    counts = document_frequencies(texts.select("text"), bit_table(shingles.select("hash"), FILTER_BITS), sizes)
     # the rarest shingle of every window; ties by hash, so that equal choices meet
     rarest = stage(
         shingles.join(counts, "hash", "left").groupBy("words")
@@ -174,7 +154,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int =
         .where("r.n_docs > 0")  # a shingle that no document has leaves nothing to find
         .select(F.col("r.hash").alias("hash"), F.col("r.offset").alias("offset"), "words",
                 F.size("words").alias("n")), "rarest")
-    hits = stage(find_hits(texts, _filter(rarest.select("hash")), sizes, size), "hits")
+    hits = stage(find_hits(texts, bit_table(rarest.select("hash"), FILTER_BITS), sizes, size), "hits")
     places = hits.select("row_key", "n_words", F.inline("hits"))
     start = F.col("at") - F.col("offset")
     within = F.slice("near", start - F.col("first") + 1, F.col("n")) == F.col("words")

@@ -26,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import WordHashes, keyed, shingle_hashes, signed, slices, text_bytes, words_of
+from tablewright.llm.common import (WordHashes, bit_table, keyed, shingle_hashes, slices, text_bytes, within,
+                                    words_of)
 from tablewright.llm.graph import components, groups
 from tablewright.session import stage
 
@@ -134,25 +135,13 @@ def _candidate_edges(rows: DataFrame, least: float) -> DataFrame:
         .sortWithinPartitions("node", "p", "q", "set_id").mapInArrow(task, "a long, b long")
 
 
-def _table(hashes: DataFrame) -> bytes:
-    """A bit for every low part of ``hash`` that occurs, of 2 MB whatever their number."""
-    size = 1 << FILTER_BITS
-    packed = hashes.select(F.expr(f"hash & {size - 1}").alias("place")).distinct() \
-        .groupBy(F.shiftright("place", 3).alias("byte")) \
-        .agg(F.sum(F.pow(F.lit(2.0), 7 - F.col("place") % 8)).cast("int").alias("bits")).toArrow()
-    table = np.zeros(size >> 3, np.uint8)
-    table[packed["byte"].to_numpy()] = packed["bits"].to_numpy()
-    return table.tobytes()
-
-
 def _sets(docs: DataFrame, bits: bytes) -> DataFrame:
     """Shingle sets of the texts that the table lets through, each set once for every task."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
+        wanted = np.frombuffer(bits, np.uint8)
         seen: set[bytes] = set()
         for batch in batches:
-            hit = wanted[batch.column(0).to_numpy() & (len(wanted) - 1)]
-            batch = batch.filter(pa.array(hit))
+            batch = batch.filter(pa.array(within(wanted, batch.column(0).to_numpy())))
             for some in slices(batch, "text"):
                 keys, sets = [], []
                 for raw in text_bytes(some.column(1)):
@@ -279,7 +268,7 @@ def classes(docs: DataFrame, similarity: str = "0.8", recall: float = 0.999, key
     families = stage(components(_candidate_edges(pairs, float(threshold) - SLACK), "families"), "families")
     families = families.select(F.col("id").alias("set_id"), F.col("root").alias("family"))
     kin = stage(families.join(sets.drop("sig"), "set_id"), "kin")
-    made = _sets(docs, _table(kin.select(F.col("text_hash").alias("hash"))))
+    made = _sets(docs, bit_table(kin.select(F.col("text_hash").alias("hash")), FILTER_BITS))
     # one row for each set: tasks that met copies of it made it more than once
     own = stage(made.join(kin.select("set_key", "set_id", "family", "copies"), "set_key").drop("set_key")
                 .dropDuplicates(["set_id"]), "kin_sets")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import signed, slices, text_bytes
+from tablewright.llm.common import bit_table, signed, slices, text_bytes, within
 from tablewright.llm.graph import whole_groups
 from tablewright.session import stage
 
@@ -155,22 +155,6 @@ def _chunks(pack: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
         yield held
 
 
-def bit_table(hashes: DataFrame) -> bytes:
-    """A bit for every low part of ``hash`` that occurs, of 4 MB whatever their number."""
-    size = 1 << FILTER_BITS
-    packed = hashes.select(F.expr(f"hash & {size - 1}").alias("place")).distinct() \
-        .groupBy(F.shiftright("place", 3).alias("byte")) \
-        .agg(F.sum(F.pow(F.lit(2.0), 7 - F.col("place") % 8)).cast("int").alias("bits")).toArrow()
-    table = np.zeros(size >> 3, np.uint8)
-    table[packed["byte"].to_numpy()] = packed["bits"].to_numpy()
-    return table.tobytes()
-
-
-def _within(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    low = (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-    return (table[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & np.uint8(1) > 0
-
-
 STRETCH = "bucket long, text_key binary, start int, distance int, bytes binary"
 
 
@@ -199,14 +183,14 @@ def stretches(texts: DataFrame, repeated: bytes, crowded: bytes) -> DataFrame:
     def emit(chunk, known, full, sent):
         h, _, runs, own, inside = anchors([p for _, _, p in chunk])
         # the anchors of the runs inside a string are the same wherever it stands
-        bad = np.concatenate([[0], np.cumsum(~_within(known, h[runs]))])
+        bad = np.concatenate([[0], np.cumsum(~within(known, h[runs]))])
         n = len(inside)
         reach = LENGTH - GRAM + 1 - SPAN + 1
         kept = np.flatnonzero(inside & (bad[reach:reach + n] == bad[:n]))
         if not len(kept):
             return
         anchor = own[kept]
-        single = _within(full, h[anchor])
+        single = within(full, h[anchor])
         cut = np.ones(len(kept), bool)
         cut[1:] = (np.diff(kept) != 1) | (np.diff(anchor) != 0) | single[1:]
         first = np.flatnonzero(cut)
@@ -352,7 +336,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """Maximal runs to remove from every text that has some: text_key (md5), runs."""
     texts = docs.select(F.col("text").cast("string").alias("text")).where("octet_length(text) >= %d" % LENGTH)
     counts = stage(anchor_counts(texts).where("n > 1"), "anchors")
-    rows = stretches(texts, bit_table(counts.select("hash")), bit_table(counts.where(F.col("n") > CROWD).select("hash")))
+    rows = stretches(texts, bit_table(counts.select("hash"), FILTER_BITS),
+                     bit_table(counts.where(F.col("n") > CROWD).select("hash"), FILTER_BITS))
     found = find_repeats(rows)
     # a text that occurs twice is covered from end to end
     copies = texts.groupBy(F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_key"), F.octet_length("text").alias("last")) \

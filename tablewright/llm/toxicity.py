@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import sampled, slices
+from tablewright.llm.common import bit_table, sampled, slices, within
 from tablewright.session import stage
 
 TOKEN = re.compile(r"\w+")
@@ -31,6 +31,8 @@ SLOTS = 1 << 19
 PRIOR_SHARE, PRIOR = 0.005, 4.0
 #: successive tokens of one chain; a text of any length is covered by such chains
 CHAIN = 64
+#: places of the table of labelled ids; its size does not depend on the data
+FILTER_BITS = 24
 #: evidence from which a word of a toxic text counts as a labelled toxic token
 STRONG = 1.75
 
@@ -241,6 +243,17 @@ def _train(texts: list[str], toxic: np.ndarray, evidence: np.ndarray, share: flo
     return model
 
 
+def _marked(texts: DataFrame, bits: bytes) -> DataFrame:
+    """Rows of (doc_id, text) whose id may be labelled."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.frombuffer(bits, np.uint8)
+        for batch in batches:
+            kept = batch.filter(pa.array(within(marked, batch.column(0).to_numpy())))
+            yield pa.RecordBatch.from_arrays(kept.columns[1:], ["doc_id", "text"])
+
+    return texts.select(F.xxhash64("doc_id"), "doc_id", "text").mapInArrow(task, "doc_id long, text string")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 1_000) -> Field:
     """Learn from labelled rows outside the held-out fold.
 
@@ -252,7 +265,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1_000) -> Field:
     marks = labels.where("toxic is not null and doc_id is not null and crc32(cast(doc_id as string)) % 5 <> 0") \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    labelled = stage(texts.join(marks, "doc_id").select("text", (F.col("toxic") > 0).cast("long").alias("toxic")), "labelled")
+    # labels grow with the documents, so their texts are shuffled; those of other documents are not
+    bits = bit_table(marks.select(F.xxhash64("doc_id").alias("hash")), FILTER_BITS)
+    labelled = stage(_marked(texts, bits).join(marks.hint("merge"), "doc_id").select("text", (F.col("toxic") > 0).cast("long").alias("toxic")), "labelled")
     clean, toxic, n_clean, n_toxic = count_evidence(labelled)
     if not n_clean or not n_toxic:
         share = (n_toxic + 0.5) / (n_clean + n_toxic + 1)
