@@ -35,6 +35,11 @@ def label_table(df: DataFrame, column: str) -> DataFrame:
 
 def label_encode(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
     """Add the code of a text column; Spark broadcasts the label table only if it is small."""
-    table = label_table(df, column).withColumnRenamed("label", "_label") \
-        .withColumnRenamed("code", output or f"{column}_encoded")
-    return df.join(table, as_label(col(column)) == F.col("_label")).drop("_label")
+    table = label_table(df, column)
+    name = output or f"{column}_encoded"
+    # missing text gets its code as a literal, so it does not meet in one task
+    missing = table.filter("label = 'nan'").first()
+    code = F.lit(None if missing is None else missing["code"]).cast("long")
+    table = table.withColumnRenamed("label", "_label").withColumnRenamed("code", "_code")
+    found = df.join(table, col(column) == F.col("_label"), "left")
+    return found.withColumn(name, F.coalesce("_code", code)).drop("_label", "_code")

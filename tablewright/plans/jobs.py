@@ -290,7 +290,8 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
             write_table(table, f"{reports}/{ident}/cleaning_{name}", "parquet")
         quality = profile.before_after(done.raw, read_table(spark, paths["processed_data_path"]))
         write_table(quality, f"{reports}/{ident}/quality", "parquet")
-        return {"output_path": paths["processed_data_path"]}
+        return {"output_path": paths["processed_data_path"], "fills": done.fills,
+                "scaler": done.scaler}
 
     def feature_engineering():
         f = cfg["feature_engineering"]
@@ -299,14 +300,15 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
                            f["create_polynomial"], f["create_binned"],
                            f["feature_selection_method"], f["k_features"], f["apply_pca"],
                            f["pca_components"], f["importance_method"], f["exclude_leaky"])
-        out = done.table
+        out, late = done.table, None
         if cfg["preprocessing"]["scale_at"] == "after_features":
-            out = scale.scale(out, cfg["preprocessing"]["scale_method"], [target])
+            late = scale.fit_scaler(out, cfg["preprocessing"]["scale_method"], [target])
+            out = late.transform(out)
         write_table(out, paths["engineered_data_path"])
         write_table(done.report, f"{reports}/{ident}/features", "parquet")
         store.write_json(spark, f"{reports}/{ident}/feature_plan", done.plan.to_json())
         return {"output_path": paths["engineered_data_path"], "features": done.plan.features,
-                "plan": done.plan}
+                "plan": done.plan, "late_scaler": late}
 
     def model_training():
         m = cfg["model_training"]
@@ -340,8 +342,11 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
         d, done = cfg["deployment"], results["model_training"]["result"]
         training = read_table(spark, paths["engineered_data_path"])
         if d["save_model_package"]:
+            first, second = results["preprocessing"], results["feature_engineering"]
+            fills = {k: v for k, v in (first["fills"] or {}).items() if k != target}
             store.save_package(spark, d["deployment_dir"], done.model, done.report, done.features,
-                               training, target)
+                               training, target, plan=second["plan"], fills=fills,
+                               scaler=first["scaler"], late_scaler=second["late_scaler"])
         if d["enable_monitoring"]:
             base = store.load_baseline(spark, d["deployment_dir"], training, target)
             write_table(base, f"{d['monitoring_dir']}/baseline_stats", "parquet")
@@ -369,7 +374,7 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
             break
     table = spark.createDataFrame(status, STATUS_SCHEMA)
     write_table(table, f"{reports}/status", "parquet", "append", ["run_id"])
-    kept = {s: {k: v for k, v in r.items() if k not in ("result", "plan")}
+    kept = {s: {k: v for k, v in r.items() if k not in ("result", "plan", "fills", "scaler", "late_scaler")}
             for s, r in results.items()}
     store.write_json(spark, f"{reports}/{ident}/results", kept)
     return table, results

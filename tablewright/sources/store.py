@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict
+from dataclasses import asdict, dataclass
 
 import numpy as np
 from pyspark.ml.regression import (DecisionTreeRegressionModel, GBTRegressionModel,
@@ -11,11 +11,15 @@ from pyspark.ml.regression import (DecisionTreeRegressionModel, GBTRegressionMod
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.operators.clean import fill
+from tablewright.operators.features import FeaturePlan
 from tablewright.operators.linear import LinearModel
 from tablewright.operators.models import NeighborModel
 from tablewright.operators.monitor import baseline
+from tablewright.operators.scale import Scaler
 from tablewright.operators.support import SupportModel
 from tablewright.operators.trees import ExtraTreesModel, TreeModel
+from tablewright.session import stage
 
 TREE_LOADERS = {"decision_tree": DecisionTreeRegressionModel,
                 "random_forest": RandomForestRegressionModel,
@@ -99,10 +103,45 @@ def latest_model(names: DataFrame, column: str = "name") -> DataFrame:
         .agg(F.max(column).alias("latest_model"))
 
 
+@dataclass
+class Package:
+    """A deployed model with what its training learned on the way from raw rows to features."""
+
+    model: object
+    settings: dict
+    plan: FeaturePlan | None = None
+    fills: dict | None = None
+    scaler: Scaler | None = None
+    late_scaler: Scaler | None = None
+
+    def score(self, rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+        """Predictions for raw rows, with or without the target; ``keep`` columns pass through."""
+        held = [c for c in keep or [] if c in rows.columns]
+        if self.fills:
+            rows = fill(rows, self.fills)
+        if self.scaler:
+            rows = self.scaler.transform(rows)
+        if self.plan:
+            rows = self.plan.transform(rows, held)
+        if self.late_scaler:
+            rows = self.late_scaler.transform(rows)
+        return self.model.transform(rows)
+
+
 def save_package(spark: SparkSession, folder: str, model, metadata: dict, features: list[str],
-                 training: DataFrame, target: str = "price", at: str | None = None) -> dict:
-    """Model, metadata, baseline statistics and deployment settings in one folder."""
+                 training: DataFrame, target: str = "price", at: str | None = None,
+                 plan: FeaturePlan | None = None, fills: dict | None = None,
+                 scaler: Scaler | None = None, late_scaler: Scaler | None = None) -> dict:
+    """Model, metadata, baseline statistics and deployment settings in one folder.
+
+    ``plan``, ``fills`` and the scalers (before and after the features) are kept with them, so that
+    ``load_package`` can score raw rows.
+    """
     save_model(spark, model, f"{folder}/model")
+    write_json(spark, f"{folder}/preparation", {
+        "plan": asdict(plan) if plan else None, "fills": fills,
+        "scaler": asdict(scaler) if scaler else None,
+        "late_scaler": asdict(late_scaler) if late_scaler else None})
     write_json(spark, f"{folder}/metadata", metadata)
     baseline(training, target).write.mode("overwrite").parquet(f"{folder}/feature_stats")
     settings = {
@@ -119,6 +158,19 @@ def save_package(spark: SparkSession, folder: str, model, metadata: dict, featur
     return settings
 
 
+def load_package(spark: SparkSession, folder: str) -> Package:
+    """A saved package, ready to score."""
+    made = read_json(spark, f"{folder}/preparation")
+
+    def scaler(name: str) -> Scaler | None:
+        return Scaler(**made[name]) if made[name] else None
+
+    return Package(load_model(spark, f"{folder}/model"),
+                   read_json(spark, f"{folder}/deployment_config"),
+                   FeaturePlan(**made["plan"]) if made["plan"] else None, made["fills"],
+                   scaler("scaler"), scaler("late_scaler"))
+
+
 def load_baseline(spark: SparkSession, folder: str, training: DataFrame | None = None,
                   target: str = "price") -> DataFrame | None:
     """Baseline statistics of a package, else computed from the training table."""
@@ -134,3 +186,10 @@ def append_history(rows: DataFrame, path: str) -> str:
     """Add rows to a history table (metrics, prediction log, alerts)."""
     rows.write.mode("append").parquet(path)
     return path
+
+
+def trim_history(spark: SparkSession, path: str, ts: str = "ts", rows: int = 1000) -> str:
+    """Keep the newest ``rows`` rows of a history table; older ones are dropped for good."""
+    kept = stage(spark.read.parquet(path).orderBy(F.desc(ts)).limit(rows), "history")
+    kept.coalesce(1).write.mode("overwrite").parquet(path)
+    return path

@@ -17,7 +17,8 @@ def score_stream(rows: DataFrame, model, features: list[str], base: DataFrame, o
     Each batch writes into its own ``batch_id`` folder, so a batch that is replayed after a
     failure replaces its first attempt. A row that breaks an input rule goes to ``rejected``.
     """
-    base = base.cache()
+    # one row for each column, read once
+    base = rows.sparkSession.createDataFrame(base.collect(), base.schema)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()

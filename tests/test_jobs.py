@@ -109,6 +109,10 @@ def test_whole_run(spark, raw, tmp_path):
     cfg = store.read_json(spark, f"{package}/deployment_config")
     assert cfg["feature_count"] == 15 and cfg["model_version"] == "1.0"
     assert store.load_baseline(spark, package).count() == 15
+    served = store.load_package(spark, package)
+    rows = raw.drop("price").withColumn("id", F.monotonically_increasing_id())
+    answers = served.score(rows, keep=["id"])
+    assert answers.count() == raw.count() and answers.filter("prediction is null").count() == 0
     model = store.load_model(spark, f"{package}/model")
     table = spark.read.parquet(str(tmp_path / "engineered"))
     assert model.transform(table).filter("prediction is null").count() == 0
@@ -117,6 +121,8 @@ def test_whole_run(spark, raw, tmp_path):
     assert {"comparison", "heat", "ranks", "report", "learning_curve", "quantile_pairs"} <= set(made)
     watched = spark.read.parquet(str(tmp_path / "monitor" / "summary")).first()
     assert watched["total_alerts"] == 0 and watched["rmse"] == report["test"]["rmse"]
+    store.trim_history(spark, str(tmp_path / "monitor" / "metrics"), rows=1)
+    assert spark.read.parquet(str(tmp_path / "monitor" / "metrics")).count() == 1
     advice = spark.read.parquet(str(tmp_path / "monitor" / "recommendations"))
     assert "no_metrics" not in {r["rule"] for r in advice.collect()}
 
