@@ -31,15 +31,15 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tablewright.llm.common import free_marks, slices
+from tablewright.llm.common import free_marks, sampled, slices
 from tablewright.session import stage
 
 SPACE = "▁"
 UNIT = 64
 #: most units that every task is sent
-FREQUENT = 400_000
+FREQUENT = 300_000
 #: a ``▁`` of the text itself, which is no space; a surrogate, so no text holds it
 OWN = "\ud802"
 
@@ -143,7 +143,7 @@ def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
             for some in slices(batch, "text", 1 << 20):
                 for units in cut.units(some.column(0).fill_null("").to_pylist()):
                     held.update(units)
-                if len(held) > 500_000:
+                if len(held) > 150_000:
                     yield from flush()
         yield from flush()
 
@@ -218,8 +218,18 @@ class Decoder:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))[1:]
 
 
-def text_key(raw: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(raw)
+def text_key(raw: bytes) -> int:
+    """Texts that share a key by chance share their rare units, which changes no result."""
+    return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
+
+
+def shared_beginning(texts: DataFrame) -> bytes:
+    """A compression dictionary from about 1,000 texts, so that short texts shrink as long ones do."""
+    some = [r[0].encode() for r in sampled(texts.where("text is not null"), 1_000, "text").collect()]
+    try:
+        return zstandard.train_dictionary(1 << 16, some).as_bytes()
+    except zstandard.ZstdError:  # too few or too small texts to learn from
+        return b""
 
 
 def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, result) -> DataFrame:
@@ -243,35 +253,41 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
                 own = some.column(0).fill_null("").to_pylist()
                 for text, units in zip(own, cut.units(own), strict=True):
                     rest = {u for u in units if u not in common and (len(u) > 1 or cut.known[ord(u)])}
-                    key = text_key(text.encode()) if rest else b""
+                    key = text_key(text.encode()) if rest else 0
                     if rest and key not in seen:
                         if len(seen) < 200_000:
                             seen.add(key)
                         keys.append(key)
                         missing.append(list(rest))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(missing, pa.list_(pa.string()))], ["text_key", "units"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(missing, pa.list_(pa.string()))], ["text_key", "units"])
 
     # the ids of rare units, by the text that needs them
-    needs = texts.mapInArrow(rare, "text_key binary, units array<string>").select("text_key", F.explode("units").alias("unit"))
-    held = needs.join(encoded.select("unit", "ids"), "unit").groupBy("text_key") \
-        .agg(F.collect_set(F.struct("unit", "ids")).alias("rest"))
+    needs = texts.mapInArrow(rare, "text_key long, units array<string>").select("text_key", F.explode("units").alias("unit"))
+    # as one string: units hold no space
+    named = encoded.select("unit", F.concat_ws(" ", "unit", F.col("ids").cast("array<string>")).alias("named"))
+    held = needs.join(named, "unit").groupBy("text_key").agg(F.collect_set("named").alias("rest"))
 
     schema = docs.select(*[F.col(f"`{c}`") for c in columns]).schema
     width = len(columns)
 
+    shared_bytes = shared_beginning(texts)
+
+    def shared():
+        return zstandard.ZstdCompressionDict(shared_bytes) if shared_bytes else None
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=6, dict_data=shared())
         for batch in batches:
             for some in slices(batch, "_text", 1 << 20):
                 raw = [None if t is None else t.encode() for t in some.column(width).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*some.columns[:width], pa.array([text_key(r or b"") for r in raw], pa.binary()),
+                    [*some.columns[:width], pa.array([text_key(r or b"") for r in raw], pa.int64()),
                      pa.array([None if r is None else squeeze.compress(r) for r in raw], pa.binary())],
                     [*columns, "_key", "_packed"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, common = known.value
-        cut, open_ = cutter(vocabulary), zstandard.ZstdDecompressor()
+        cut, open_ = cutter(vocabulary), zstandard.ZstdDecompressor(dict_data=shared())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
@@ -279,7 +295,8 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
                 rests = some.column(width + 1).to_pylist()
                 out = []
                 for units, rest in zip(cut.units([t or "" for t in own]), rests, strict=True):
-                    extra = {r["unit"]: np.array(r["ids"], "<u4").tobytes() for r in rest or ()}
+                    parts = [r.split(" ") for r in rest or ()]
+                    extra = {p[0]: np.array(p[1:], "<u4").tobytes() for p in parts}
                     # what neither table has is a single character outside all pieces
                     out.append(b"".join([common.get(u) or extra.get(u) or
                                          np.array(byte_ids(u, vocabulary.first_byte), "<u4").tobytes() for u in units]))
@@ -289,7 +306,7 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
     added = spark.createDataFrame([], kind).schema
     names = [f.name for f in added]
     kept = [F.col(f"`{c}`") for c in columns]
-    packed_schema = StructType([*schema, StructField("_key", BinaryType()), StructField("_packed", BinaryType())])
+    packed_schema = StructType([*schema, StructField("_key", LongType()), StructField("_packed", BinaryType())])
     packed = docs.select(*kept, F.col("text").cast("string").alias("_text")).mapInArrow(pack, packed_schema)
     joined = packed.join(held.withColumnRenamed("text_key", "_key"), "_key", "left").select(*kept, "_packed", "rest")
     return joined.mapInArrow(write, StructType([*schema, *added]))
