@@ -166,7 +166,7 @@ def model_table(t):
     order = F.when(F.col("model") == "sqft_living", 0).when(F.col("model") == "grade", 1) \
         .otherwise(2)
     return metrics.evaluate(t.scored_models(), by=["model"], metrics=["rmse", "r2"]) \
-        .drop("test_size").withColumn("position", order.cast("int"))
+        .drop("rows", "test_size").withColumn("position", order.cast("int"))
 
 
 @query("m_best", sql("SELECT model, position, round(rmse, 4) AS rmse, round(r2, 6) AS r2 FROM"
