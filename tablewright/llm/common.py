@@ -21,14 +21,21 @@ WORD_BYTES = bytes(
     for b in range(256))
 
 
+#: rows of an Arrow batch
+BATCH_ROWS = 2_000
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this library to the Python workers of the application, once.
 
-    Spark's own file server hands it out, so executors need no path of their own to it.
+    Spark's own file server hands it out, so executors need no path of their own to it. Texts are
+    long, so Arrow batches of this session get fewer rows than Spark's default, unless set already.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -120,7 +127,7 @@ def free_marks(text: str, n: int) -> str:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a fixed number of words."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -132,6 +139,9 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: one memory for all operators of a worker process
+word_hashes = WordHashes()
+
 #: odd multipliers of a polynomial over word hashes, one for each place
 PLACES = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1 for i in range(64)], np.uint64)
 

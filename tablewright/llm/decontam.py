@@ -22,15 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import (WordHashes, bit_table, keyed, shingle_hashes, signed, slices, text_bytes,
-                                    within, words_of)
+from tablewright.llm.common import (bit_table, keyed, shingle_hashes, signed, slices, text_bytes,
+                                    within, word_hashes, words_of)
 from tablewright.session import stage
 
 SHINGLE = 3
 #: bits of the table of shingles looked for; its size does not depend on the data
 FILTER_BITS = 24
 
-_hashes = WordHashes()
 
 
 def windows_of(benchmark: DataFrame, size: int = 13) -> DataFrame:
@@ -60,7 +59,7 @@ def _shingles(windows: DataFrame) -> DataFrame:
             words, offsets, hashes, sizes = [], [], [], []
             for run in batch.column(0).to_pylist():
                 size = min(SHINGLE, len(run))
-                found = shingle_hashes(_hashes.of([w.encode() for w in run]), size)
+                found = shingle_hashes(word_hashes.of([w.encode() for w in run]), size)
                 words += [run] * len(found)
                 offsets += range(len(found))
                 hashes.append(signed(found))
@@ -87,7 +86,7 @@ def document_frequencies(texts: DataFrame, bits: bytes, sizes: list[int]) -> Dat
         for batch in batches:
             for some in slices(batch, "text"):
                 for raw in text_bytes(some.column(0)):
-                    words = _hashes.of(words_of(raw))
+                    words = word_hashes.of(words_of(raw))
                     for size in sizes:
                         found = shingle_hashes(words, size)
                         found = found[within(wanted, found)]
@@ -117,7 +116,7 @@ def find_hits(texts: DataFrame, bits: bytes, sizes: list[int], size: int) -> Dat
                 counts, hits = [], []
                 for raw in text_bytes(some.column(2)):
                     split = words_of(raw)
-                    words, own = _hashes.of(split), []
+                    words, own = word_hashes.of(split), []
                     counts.append(len(split))
                     for length in sizes:
                         found = shingle_hashes(words, length)

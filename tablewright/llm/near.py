@@ -26,8 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import (WordHashes, bit_table, keyed, shingle_hashes, slices, text_bytes, within,
-                                    words_of)
+from tablewright.llm.common import (bit_table, keyed, shingle_hashes, slices, text_bytes, within,
+                                    word_hashes, words_of)
 from tablewright.llm.graph import components, groups
 from tablewright.session import stage
 
@@ -40,7 +40,6 @@ SLACK = 0.25
 #: places of the table of texts whose sets are made again; its size does not depend on the data
 FILTER_BITS = 24
 
-_hashes = WordHashes()
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 31, TREES * DEPTH, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
@@ -57,7 +56,7 @@ def depth_for(similarity: float, recall: float, trees: int = TREES, depth: int =
 def shingle_set(raw: bytes) -> np.ndarray:
     """Sorted distinct hashes of all runs of five words; a shorter text is one run."""
     words = words_of(raw)
-    return np.unique(shingle_hashes(_hashes.of(words), min(SHINGLE, len(words)))) if words else np.zeros(0, np.uint64)
+    return np.unique(shingle_hashes(word_hashes.of(words), min(SHINGLE, len(words)))) if words else np.zeros(0, np.uint64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:

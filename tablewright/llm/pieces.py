@@ -39,7 +39,7 @@ from tablewright.session import stage
 SPACE = "▁"
 UNIT = 64
 #: most units that every task is sent
-FREQUENT = 300_000
+FREQUENT = 200_000
 #: a ``▁`` of the text itself, which is no space; a surrogate, so no text holds it
 OWN = "\ud802"
 
@@ -143,7 +143,7 @@ def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
             for some in slices(batch, "text", 1 << 20):
                 for units in cut.units(some.column(0).fill_null("").to_pylist()):
                     held.update(units)
-                if len(held) > 150_000:
+                if len(held) > 100_000:
                     yield from flush()
         yield from flush()
 

@@ -52,7 +52,7 @@ def slots(word: str) -> list[int]:
 class Words(dict):
     """Slots of words, remembered up to a fixed number of words."""
 
-    LIMIT = 200_000
+    LIMIT = 100_000
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= self.LIMIT:
