@@ -115,16 +115,6 @@ class Field:
         own = self.evidence[found]
         return np.column_stack([own, own.min(axis=1), own.max(axis=1)]) if len(words) else np.zeros((0, TEMPLATES + 2))
 
-    def token_features(self, own: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """``own`` and the least evidence of the words around; ``first`` marks a text's first token."""
-        least = own[:, TEMPLATES]
-        before = np.where(first, 0, np.roll(least, 1))
-        after = np.where(np.roll(first, -1), 0, np.roll(least, -1))
-        return np.column_stack([own, before, after])
-
-    def emissions(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.weights[:-1] + self.weights[-1]
-
     def marginals(self, score: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For chains of toxic scores: P(toxic) of each token, and P(both toxic), P(in), P(out) of each step.
 
@@ -205,15 +195,22 @@ def _train(texts: list[str], toxic: np.ndarray, evidence: np.ndarray, share: flo
     model = Field(evidence, np.zeros(WIDTH + 1), np.zeros((2, 2)), np.zeros(4))
     found = [TOKEN.findall(t) for t in texts]
     sizes = np.array([len(w) for w in found])
-    x_words = model.word_features([w for own in found for w in own])
-    first = np.zeros(len(x_words), bool)
+    names = {w: i for i, w in enumerate(dict.fromkeys(w for own in found for w in own))}
+    index = np.fromiter((names[w] for own in found for w in own), np.int32, int(sizes.sum()))
+    own = model.word_features(list(names))
+    first = np.zeros(len(index), bool)
     first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-    x = model.token_features(x_words, first) if len(x_words) else np.zeros((0, WIDTH))
+    # features of a token: those of its word, the least evidence of the words around, a constant
+    x = np.ones((len(index), WIDTH + 1), np.float32)
+    x[:, :TEMPLATES + 2] = own[index]
+    least = x[:, TEMPLATES]
+    x[:, TEMPLATES + 2] = np.where(first, 0, np.roll(least, 1))
+    x[:, TEMPLATES + 3] = np.where(np.roll(first, -1), 0, np.roll(least, -1))
     y = (x[:, TEMPLATES + 1] >= STRONG) & np.repeat(toxic > 0, sizes)
     if y.any():
-        rows, filled = chains(x)
+        x1, filled = chains(x)
+        del x, least, index
         starts, gold = chains(first)[0], chains(y)[0]
-        x1 = np.dstack([rows, np.ones(rows.shape[:2])])
         inside = filled & ~starts
         inside[:, 0] = False
         before = np.roll(gold, 1, axis=1)
@@ -223,9 +220,9 @@ def _train(texts: list[str], toxic: np.ndarray, evidence: np.ndarray, share: flo
         for k in range(1, steps + 1):
             model.weights = theta[:WIDTH + 1]
             model.moves = np.array([[0, theta[WIDTH + 2]], [theta[WIDTH + 3], theta[WIDTH + 1]]])
-            p, moved = model.marginals(x1 @ model.weights, starts)
-            wrong = np.where(filled, p - gold, 0)
-            grad = np.concatenate([np.tensordot(wrong, x1, ([0, 1], [0, 1])),
+            p, moved = model.marginals(x1 @ model.weights.astype(np.float32), starts)
+            wrong = np.where(filled, p - gold, 0).astype(np.float32)
+            grad = np.concatenate([np.einsum("nt,ntw->w", wrong, x1),
                                    [(moved[i] * inside).sum() - gold_steps[i] for i in range(3)]]) / n + 1e-5 * theta
             mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad ** 2
             theta = theta - 0.3 * (mean / (1 - 0.9 ** k)) / (np.sqrt(square / (1 - 0.99 ** k)) + 1e-8)
@@ -254,7 +251,7 @@ def _marked(texts: DataFrame, bits: bytes) -> DataFrame:
     return texts.select(F.xxhash64("doc_id"), "doc_id", "text").mapInArrow(task, "doc_id long, text string")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 1_000) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 600) -> Field:
     """Learn from labelled rows outside the held-out fold.
 
     Evidence is counted over all of them; the field and the document
