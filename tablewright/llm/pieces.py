@@ -14,13 +14,18 @@ fixed size and broadcast) nor the grouping moves edges. Documents are then writt
 encoded units: the most frequent ones, a bounded number, go to every task; the rest is joined by
 text. Where a model's scores only number its merges, a piece scores -ln(2 + number), as ranks of
 frequency do; otherwise its own score counts. Of equal paths the one with the longer last piece is
-taken, from the end of the unit on. Units of more than ``UNIT`` characters are cut every ``UNIT``.
+taken, from the end of the unit on.
+
+Units of more than ``UNIT`` characters would repeat themselves in every edge and path of the lattice.
+They stay whole, but are encoded in the task that writes their document, by the same recurrence over
+back-pointers, in time and memory linear in their length.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,6 +42,7 @@ from tablewright.llm.common import free_marks, sampled, slices
 from tablewright.session import stage
 
 SPACE = "▁"
+#: characters of the longest unit that takes part in the lattice
 UNIT = 64
 #: most units that every task is sent
 FREQUENT = 350_000
@@ -92,6 +98,10 @@ class Cutter:
         for p in pieces.texts:
             at = self.known[[ord(c) for c in p]]
             self.pairs[at[:-1], at[1:]] = True
+        self.longest, self.unknown, self.first_byte = pieces.longest, pieces.unknown, pieces.first_byte
+        self.table = {p: (np.array([i], "<u4").tobytes(), s) for p, i, s in zip(pieces.texts, pieces.ids, pieces.scores, strict=True)}
+        self.beginnings = {p[:n] for p in pieces.texts for n in range(1, len(p) + 1)}
+        self.paths: dict[str, bytes] = {}
 
     def units(self, texts: list[str]) -> list[list[str]]:
         """Units of each text; single characters outside all pieces are units of their own."""
@@ -101,18 +111,45 @@ class Cutter:
         kinds = self.known[codes]
         stop = codes == ord(stop_mark)
         cut = ~self.pairs[kinds[:-1], kinds[1:]] & ~stop[:-1] & ~stop[1:]
-        # a run between cuts that is too long is cut at every UNIT-th character
-        begin = np.ones(len(codes), bool)
-        begin[1:] = cut | stop[:-1] | stop[1:]
-        start = np.flatnonzero(begin)
-        length = np.diff(np.append(start, len(codes)))
-        if (length > UNIT).any():
-            place = np.arange(len(codes)) - np.repeat(start, length)
-            cut |= (place[1:] > 0) & (place[1:] % UNIT == 0)
         marked = np.insert(codes, np.flatnonzero(cut) + 1, ord(cut_mark)).tobytes().decode("utf-32-le")
         units = [t.split(cut_mark) if t else [] for t in marked.split(stop_mark)[:-1]]
         return [[OWN if u == own else u for u in some] if own in part else some for some, part in zip(units, parts, strict=True)]
 
+    def path(self, unit: str) -> bytes:
+        """Ids of the best path over a unit of any length, as the lattice finds it."""
+        found = self.paths.get(unit)
+        if found is None:
+            found = self._path(unit)
+            if len(unit) <= 16 * UNIT:
+                if len(self.paths) >= 2_000:
+                    self.paths.clear()
+                self.paths[unit] = found
+        return found
+
+    def _path(self, unit: str) -> bytes:
+        size, ring = len(unit), self.longest + 1
+        # the best score of each place ahead, and the length of the last piece on its path
+        best, last = [-math.inf] * ring, array("I", bytes(4 * (size + 1)))
+        best[0] = 0.0
+        for start in range(size):
+            before, best[start % ring] = best[start % ring], -math.inf
+            for n in range(1, min(self.longest, size - start) + 1):
+                piece = unit[start:start + n]
+                if n > 1 and piece not in self.beginnings:
+                    break
+                known = self.table.get(piece)
+                if known or n == 1:
+                    score = before + (known[1] if known else self.unknown)
+                    if score > best[(start + n) % ring]:
+                        best[(start + n) % ring], last[start + n] = score, n
+        out, stop = [], size
+        while stop:
+            piece = unit[stop - last[stop]:stop]
+            known = self.table.get(piece)
+            out.append(known[0] if known else np.array(byte_ids(piece, self.first_byte), "<u4").tobytes())
+            stop -= last[stop]
+        return b"".join(reversed(out))
+
 
 _cutters: dict[int, Cutter] = {}
 
@@ -129,7 +166,7 @@ def byte_ids(char: str, first_byte: int) -> list[int]:
 
 
 def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
-    """Units with a known character and how often they occur: unit, n."""
+    """Units of the lattice with a known character and how often they occur: unit, n."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = cutter(pieces)
         held: Counter[str] = Counter()
@@ -144,7 +181,7 @@ def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
         for batch in batches:
             for some in slices(batch, "text", 1 << 20):
                 for units in cut.units(some.column(0).fill_null("").to_pylist()):
-                    held.update(units)
+                    held.update(u for u in units if len(u) <= UNIT)
                 if len(held) > 100_000:
                     yield from flush()
         yield from flush()
@@ -254,7 +291,7 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
                 keys, missing = [], []
                 own = some.column(0).fill_null("").to_pylist()
                 for text, units in zip(own, cut.units(own), strict=True):
-                    rest = {u for u in units if u not in common and (len(u) > 1 or cut.known[ord(u)])}
+                    rest = {u for u in units if u not in common and len(u) <= UNIT and (len(u) > 1 or cut.known[ord(u)])}
                     key = text_key(text.encode()) if rest else 0
                     if rest and key not in seen:
                         if len(seen) < 200_000:
@@ -299,9 +336,8 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
                 for units, rest in zip(cut.units([t or "" for t in own]), rests, strict=True):
                     parts = [r.split(" ") for r in rest or ()]
                     extra = {p[0]: np.array(p[1:], "<u4").tobytes() for p in parts}
-                    # what neither table has is a single character outside all pieces
-                    out.append(b"".join([common.get(u) or extra.get(u) or
-                                         np.array(byte_ids(u, vocabulary.first_byte), "<u4").tobytes() for u in units]))
+                    # what neither table has is a long unit or a single character outside all pieces
+                    out.append(b"".join([common.get(u) or extra.get(u) or cut.path(u) for u in units]))
                 yield pa.RecordBatch.from_arrays([*some.columns[:width], *result(own, out, vocabulary)],
                                                  [*columns, *names])
 

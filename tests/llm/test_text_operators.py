@@ -303,6 +303,25 @@ def test_pieces_equal_whole_text_viterbi(spark, vocabulary, odd_documents):
         assert got[i] == viterbi_slow(whole, table, vocabulary.unknown, vocabulary.first_byte), t
 
 
+def test_pieces_of_long_units_equal_whole_viterbi(spark, vocabulary):
+    """Units of 65 to 1,000 characters, among them some that a cut at every 64th would change."""
+    table = {p: (i, s) for p, i, s in zip(vocabulary.texts, vocabulary.ids, vocabulary.scores, strict=True)}
+    rng = random.Random(4)
+    texts = ["representations" * 10, "configurationmanagementadministration" * 3, "representations" * 66, "=" * 1_000,
+             " " * 333, "configurationmanagementadministration" * 2 + " \U0001f600 " + "internationalization" * 20]
+    texts += ["".join(rng.choice("etaoinshrdlucm") for _ in range(n)) for n in (64, 65, 66, 127, 128, 129, 400, 1_000)]
+    assert sum(len(u) > pieces.UNIT for some in pieces.cutter(vocabulary).units(texts) for u in some) >= 10
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in pieces.encode(frame, vocabulary, ["doc_id"], "ids array<int>", pieces.ids_of).collect()}
+    for i, t in enumerate(texts):
+        whole = pieces.SPACE + t.replace(" ", pieces.SPACE)
+        assert got[i] == viterbi_slow(whole, table, vocabulary.unknown, vocabulary.first_byte), t
+
+
+def test_paths_of_long_units_are_linear(vocabulary):
+    assert len(pieces.cutter(vocabulary).path("ab" * 200_000)) > 0
+
+
 def test_pieces_round_trip(spark, vocabulary, odd_documents, no_documents):
     kind = "n_pieces long, ids_crc32 long, round_trip boolean"
     rows = pieces.encode(odd_documents, vocabulary, ["doc_id"], kind, pieces.digests).collect()
