@@ -84,6 +84,40 @@ def test_trees_add_what_looks_alike(spark):
     assert "[CARD]" in redacted[1_000] and not re.search("[0-9]{16}", redacted[1_000])
 
 
+def test_loose_forms_of_every_kind_are_added(spark):
+    """Written-out addresses, commas for dots, numbers without plus, and numbers within longer runs."""
+    rng = random.Random(6)
+    some = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+
+    def card():
+        return next(c for c in iter(lambda: "4" + some(15), "") if luhn_slow(c))
+
+    rows = []
+    for i in range(400):
+        name, c = f"user{rng.randrange(9_999)}", card()
+        rows += [f"write to {name}@example.com or ref {some(9)}", f"server 10.{rng.randrange(255)}.3.{rng.randrange(255)} build 1.2.{some(3)}9.700",
+                 f"pay by card {c} please", f"call +1 555 {some(3)} {some(4)} now", f"meet (at) noon{i}"]
+        if i % 8 == 0:
+            rows += [f"write to {name} (at) example (dot) org. Thanks", f"server 10,{rng.randrange(99)},3,{rng.randrange(255)} is up",
+                     f"pay by card {c[:4]}.{c[4:8]}.{c[8:12]}.{c[12:]} please", f"call (555) {some(3)}-{some(4)} now"]
+    c = card()
+    wanted = {"email": ("write to jane [at] example (dot) org. Thanks", "jane [at] example (dot) org"), "ip": ("server 10,20,3,44 is up", "10,20,3,44"),
+              "card": (f"pay by card {c[:4]}.{c[4:8]}.{c[8:12]}.{c[12:]} please", f"{c[:4]}.{c[4:8]}.{c[8:12]}.{c[12:]}"),
+              "phone": ("call (555) 234-6789 now", "(555) 234-6789")}
+    docs = spark.createDataFrame(list(enumerate(rows + [t for t, _ in wanted.values()])), "doc_id long, text string")
+    detector = pii.fit(docs, rounds=10)
+    for kind, (text, span) in wanted.items():
+        base, found = detector.spans(text)
+        assert not base and [(pii.KINDS[k], text[a:b]) for a, b, k in found] == [(kind, span)]
+    assert not detector.spans("meet (at) noon")[1]
+
+
+def test_runs_hold_numbers_as_candidates():
+    text = "12 34 5 555 234 6789 4111 1111 1111 1111 77 " + "9 8 " * 30
+    found = {(text[a:b], k) for a, b, k in pii.candidates(text)}
+    assert {("4111 1111 1111 1111", 2), ("555 234 6789", 3)} <= found
+
+
 def test_pii_odd_rows(spark, odd_documents, no_documents):
     detector = pii.fit(odd_documents)
     assert pii.find(odd_documents, detector).count() == 10
