@@ -26,6 +26,8 @@ DEGREE, BEAM, ALPHA = 24, 64, 1.2
 #: candidates opened in one step of a walk
 WIDTH = 4
 BATCH = 256
+#: queries that a task holds beside a shard
+BLOCK = 4 * BATCH
 
 
 class Graph:
@@ -131,6 +133,21 @@ def usable(vectors: DataFrame) -> DataFrame:
         .where(F.exists("v", lambda x: x != 0))
 
 
+def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (shard, kind, ...) with a third column: a block of at most ``BLOCK`` successive queries, 0 for nodes.
+
+    A block is a group of its own, so that memory holds a shard and one block.
+    """
+    seen = 0
+    for batch in batches:
+        kind = batch.column(1).to_numpy().astype(np.int64)
+        place = seen + np.cumsum(kind)
+        seen = int(place[-1]) if len(place) else seen
+        block = np.where(kind == 1, 1 + (place - 1) // BLOCK, 0)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(block, pa.int64()), *batch.columns[2:]],
+                                         [*batch.schema.names[:2], "block", *batch.schema.names[2:]])
+
+
 ANSWER = "query_id long, vec_id long, score double"
 
 
@@ -155,24 +172,18 @@ def nearest(vectors: DataFrame, step: int = 50, k: int = 5) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, graph = None, None
-        for table in groups(split(batches), 2):
+        for table in groups(blocked(batches), 3):
             if table.column(1)[0].as_py() == 0:  # the nodes of a shard, before its queries
                 shard, graph = table.column(0)[0].as_py(), None
-                x, ids = matrix(table), table.column(4).to_pylist()
+                x, ids = matrix(table), table.column(5).to_pylist()
                 unit = x / np.sqrt((x / np.abs(x).max(axis=1, keepdims=True)) ** 2 @ np.ones((x.shape[1], 1))) / np.abs(x).max(axis=1, keepdims=True)
             elif table.column(0)[0].as_py() == shard:
                 graph = graph or Graph(unit)
                 for at in range(0, table.num_rows, BATCH):
                     yield answer(graph, x, ids, table.slice(at, BATCH))
 
-    def split(batches):
-        # a block of queries is a group of its own, so that memory holds a shard and one block
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4 * BATCH):
-                yield batch.slice(at, 4 * BATCH)
-
     def matrix(table):
-        flat = table.column(3).combine_chunks()
+        flat = table.column(4).combine_chunks()
         return flat.flatten().to_numpy().astype(np.float64).reshape(table.num_rows, -1)
 
     def cosine(a, b):
@@ -181,7 +192,7 @@ def nearest(vectors: DataFrame, step: int = 50, k: int = 5) -> DataFrame:
         return (a * b).sum(axis=-1) / (np.sqrt((a * a).sum(axis=-1)) * np.sqrt((b * b).sum(axis=-1)))
 
     def answer(graph, x, ids, table):
-        q, own = matrix(table), table.column(2).to_pylist()
+        q, own = matrix(table), table.column(3).to_pylist()
         unit = q / np.abs(q).max(axis=1, keepdims=True)
         unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
         found, _, _ = graph.walk(unit.astype(np.float32), BEAM)

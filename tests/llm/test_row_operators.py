@@ -251,3 +251,15 @@ def test_groups_of_streams():
             whole = [t.column(0).to_pylist() for t in graph.whole_groups(iter(batches), limit)]
             assert sum(whole, []) == keys
             assert all(not set(a) & set(b) for i, a in enumerate(whole) for b in whole[i + 1:])
+
+
+def test_queries_stream_past_a_shard_in_blocks():
+    import pyarrow as pa
+
+    rows = [(0, 0)] * 3_000 + [(0, 1)] * 5_000 + [(1, 0)] * 50 + [(1, 1)] * 10
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows[at:at + 700]]) for c in (0, 1)] + [pa.array(range(at, at + len(rows[at:at + 700])))],
+                                          ["shard", "kind", "id"]) for at in range(0, len(rows), 700)]
+    tables = list(graph.groups(ann.blocked(iter(batches)), 3))
+    assert [i for t in tables for i in t.column(3).to_pylist()] == list(range(len(rows)))
+    assert [t.num_rows for t in tables if t.column(1)[0].as_py() == 0] == [3_000, 50]
+    assert max(t.num_rows for t in tables if t.column(1)[0].as_py() == 1) <= ann.BLOCK
