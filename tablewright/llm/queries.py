@@ -6,7 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import ann, chat, decontam, language, near, pieces, pii, suffix, tokens, toxicity
+from tablewright.llm import (ann, chat, decontam, language, near, pieces, pii, repeats, secrets, suffix, tokens, toxicity,
+                             whiten)
 from tablewright.llm.common import read
 from tablewright.llm.registry import query
 
@@ -100,3 +101,58 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary_ = pieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
     docs = read(spark, folder, "documents")
     return pieces.encode(docs, vocabulary_, ["doc_id"], "n_pieces long, ids_crc32 long, round_trip boolean", pieces.digests)
+
+
+@query("op11_runs")
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(read(spark, folder, "documents"), repeats.planted)
+
+
+def _secret_matches(kind: int) -> str:
+    """SQL for all matches of a kind; RE2 knows no look-behind and needs none, as matches begin leftmost."""
+    pattern, group = secrets.PATTERNS[kind]
+    pattern = pattern.replace("(?<![a-z0-9+.-])", "").replace("'", "''")
+    good = {secrets.ASSIGN: "length(value) >= 12", secrets.ACCESS: "length(value) >= 18", secrets.LOOSE:
+            "(regexp_matches(value, '[:=]') AND NOT regexp_matches(value, '^[A-Za-z0-9+/]{32,}=*$')"
+            " OR regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]'))"}
+    secret = {secrets.HEX: "regexp_matches(value, '[a-f]')", secrets.ASSIGN: "true", secrets.LOOSE: "true"}
+    return f"""
+SELECT k, {kind} AS kind, i, whole, gap, {good.get(kind, "true")} AS good, {secret.get(kind, "false")} AS secret FROM (
+    SELECT k, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS whole, unnest(v) AS value, unnest(list_slice(g, 1, len(w))) AS gap
+    FROM (SELECT k, regexp_extract_all(t, '{pattern}', 0) AS w, regexp_extract_all(t, '{pattern}', {group}) AS v,
+                 string_split_regex(t, '{pattern}') AS g FROM d))"""
+
+
+SECRETS_SQL = fr"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_secret_matches(kind) for kind in range(len(secrets.KINDS)))}),
+placed AS (SELECT k, kind, whole, good, secret, sum(length(gap) + length(whole)) OVER w AS stop,
+                  sum(len(string_split_regex(gap, '{secrets.BLANK}')) - 1) OVER w AS paragraph
+           FROM m WINDOW w AS (PARTITION BY k, kind ORDER BY i)),
+s AS (SELECT k, kind, stop - length(whole) AS start, stop, paragraph, secret FROM placed WHERE good),
+pairs AS (SELECT a.k, a.kind, a.start, a.stop, b.kind AS p_kind, b.secret AS p_secret, greatest(b.start - a.stop, a.start - b.stop) AS gap
+          FROM s AS a JOIN s AS b ON a.k = b.k AND a.paragraph = b.paragraph
+          AND greatest(b.start - a.stop, a.start - b.stop) <= {secrets.REACH} WHERE a.kind >= 3),
+facts AS (SELECT k, kind, start, stop, bool_or(gap >= 0 AND p_kind IN (1, 3)) AS identifier, bool_or(gap >= 0 AND p_secret) AS with_secret,
+                 bool_or(gap >= 0 AND p_kind = 5) AS endpoint, bool_or(gap < 0 AND p_kind < 3) AS covered FROM pairs GROUP BY ALL),
+reported AS (SELECT k, kind, start, stop FROM s WHERE kind < 3 UNION ALL
+             SELECT k, kind, start, stop FROM facts WHERE NOT covered AND CASE kind
+             WHEN 3 THEN with_secret WHEN 4 THEN identifier OR endpoint ELSE identifier AND with_secret END),
+said AS (SELECT k, kind, start, {secrets.KINDS}[kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS e FROM reported),
+by_row AS (SELECT k, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+                  count(*) FILTER (kind > 2) AS n_linked, string_agg(e, ',' ORDER BY start, kind) AS spans,
+                  string_agg(e, ',' ORDER BY start, kind) FILTER (kind < 3) AS base FROM said GROUP BY k)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM d LEFT JOIN by_row USING (k)
+"""
+
+
+@query("op12_secrets", SECRETS_SQL)
+def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(read(spark, folder, "documents"))
+
+
+@query("op13_whiten")
+def op13_whiten(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten.whiten(read(spark, folder, "embeddings"))
