@@ -99,6 +99,34 @@ def _(t):
     return rounded(clean.impute(t.dirty(), "knn"))
 
 
+PART_GAPS = {"size": "CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END",
+             "price": "CASE WHEN p_partkey % 7 < 2 THEN NULL ELSE p_retailprice END",
+             "spot": "CAST(p_partkey % 101 AS DOUBLE)"}
+
+
+def near_sql(query: str, donor: str, names: list[str], total: int) -> str:
+    """Square distance over the columns that both rows have, scaled by all / shared columns."""
+    square = " + ".join(f"coalesce(({query}.{c} - {donor}.{c}) * ({query}.{c} - {donor}.{c}), 0)" for c in names)
+    shared = " + ".join(f"CAST({query}.{c} IS NOT NULL AND {donor}.{c} IS NOT NULL AS INTEGER)" for c in names)
+    return f"({square}) * ({total}.0e0 / nullif({shared}, 0))"
+
+
+def filled_sql(target: str) -> str:
+    """The mean of the five nearest rows that have the value; ties go to the smaller value."""
+    near = near_sql("q", "d", list(PART_GAPS), len(PART_GAPS))
+    return (f"SELECT p_partkey, avg(value) AS value FROM (SELECT q.p_partkey, d.{target} AS value, row_number() OVER (PARTITION BY"
+            f" q.p_partkey ORDER BY {near}, d.{target}) AS place FROM rows AS q JOIN rows AS d ON q.{target} IS NULL AND d.{target}"
+            f" IS NOT NULL AND {near} IS NOT NULL) WHERE place <= 5 GROUP BY p_partkey")
+
+
+@query("c_knn_part", sql(
+    "SELECT round(coalesce(size, a.value), 6) AS size, round(coalesce(price, b.value), 6) AS price, spot FROM rows LEFT JOIN"
+    f" ({filled_sql('size')}) AS a USING (p_partkey) LEFT JOIN ({filled_sql('price')}) AS b USING (p_partkey)",
+    extra={"rows": "SELECT p_partkey, " + ", ".join(f"{e} AS {c}" for c, e in PART_GAPS.items()) + " FROM part"}))
+def _(t):
+    return rounded(clean.impute(t.read("part").selectExpr(*[f"{e} AS {c}" for c, e in PART_GAPS.items()]), "knn"))
+
+
 @query("c_dedup_first", sql(f"SELECT DISTINCT {COLUMN_LIST} FROM dirty", "dirty"))
 def _(t):
     return clean.dedup(t.dirty())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.clean_queries import FEATURES
+from catalog.clean_queries import near_sql
 from catalog.fixtures import sql
 from catalog.registry import query, rounded
 from tablewright.operators import linear, metrics, models, split, tune
@@ -154,6 +155,17 @@ for _name, (_kind, _params) in MODEL_RUNS.items():
     _register(_name, _kind, _params)
 
 
+@query("m_knn_part", sql(
+    "SELECT p_partkey, round(avg(price), 6) AS prediction FROM (SELECT q.p_partkey, d.price, row_number() OVER (PARTITION BY q.p_partkey"
+    f" ORDER BY {near_sql('q', 'd', ['size', 'spot'], 2)}, d.price) AS place FROM rows AS q JOIN rows AS d ON q.p_partkey % 4 = 0 AND"
+    " d.p_partkey % 4 > 0) WHERE place <= 5 GROUP BY p_partkey",
+    extra={"rows": "SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, CAST(p_partkey % 101 AS DOUBLE) AS spot, p_retailprice AS price FROM part"}))
+def _(t):
+    rows = t.read("part").selectExpr("p_partkey", "CAST(p_size AS DOUBLE) AS size", "CAST(p_partkey % 101 AS DOUBLE) AS spot", "p_retailprice AS price")
+    model = models.fit("knn", rows.where("p_partkey % 4 > 0"), ["size", "spot"], "price")
+    return rounded(model.transform(rows.where("p_partkey % 4 = 0")).select("p_partkey", "prediction"))
+
+
 # ---- choice among models ----------------------------------------------------------------------
 
 MODEL_TABLE = {"models": "SELECT model, CAST(CASE model WHEN 'sqft_living' THEN 0 WHEN 'grade'"

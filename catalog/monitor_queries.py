@@ -269,11 +269,16 @@ def _(t):
     return watched(t)["recommendations"].select("rule")
 
 
-@query("v_rule_empty", "SELECT unnest(['no_metrics']) AS rule WHERE (SELECT count(*) FROM part) > 0")
+@query("v_rule_empty", "SELECT rule FROM (SELECT unnest(['many_alerts', 'no_metrics']) AS rule) WHERE"
+       " (rule = 'many_alerts' AND (SELECT count(*) FROM events WHERE value > 1000000) > 10)"
+       " OR (rule = 'no_metrics' AND (SELECT count(*) FROM events WHERE value < -1000000) = 0)")
 def _(t):
-    """Nothing evaluated yet, no alerts, a stored baseline."""
+    """Alerts and evaluations beyond a limit that no event reaches, and a stored baseline."""
+    events = t.read("events")
     base = monitor.baseline(t.read("part").select("p_size", "p_retailprice"))
-    return monitor.summary(t.spark, None, None, base.head(1) != [])["recommendations"].select("rule")
+    alerts = events.where("value > 1000000").select("ts", F.col("event_type").alias("alert_type"))
+    history = events.where("value < -1000000").select("ts", F.col("value").alias("rmse"))
+    return monitor.summary(t.spark, alerts, history, base.head(1) != [], last_ts(t))["recommendations"].select("rule")
 
 
 def watched(t):
@@ -284,12 +289,24 @@ def watched(t):
     return monitor.summary(t.spark, alerts, history, False, last_ts(t))
 
 
-@query("v_schema", "SELECT * FROM (VALUES ('warning', 'feature_count', 'expected 8, got 9'),"
-       " ('issue', 'missing_features', 'sqft_basement'), ('warning', 'extra_features',"
-       " 'row_key,price')) AS v(level, \"check\", detail) WHERE (SELECT count(*) FROM lineitem) > 0")
+SCHEMA_ROWS = [("warning", "feature_count", "expected 8, got 9", "count(*)"),
+               ("issue", "missing_features", "sqft_basement", "count(*)"),
+               ("warning", "extra_features", "row_key,price", "count(*)")]
+# what the rules of floors, grade and the others reject in a batch whose values are moved down
+RULES_SQL = {"sqft_living": "{c} <= 0", "bedrooms": "{c} < 0", "bathrooms": "{c} <= 0", "sqft_lot": "{c} <= 0",
+             "floors": "{c} <= 0", "condition": "{c} < 1 OR {c} > 5", "grade": "{c} < 1 OR {c} > 13"}
+for _c, _rule in RULES_SQL.items():
+    SCHEMA_ROWS += [("warning", "missing_cells", _c, f"count(*) FILTER (batch.{_c} IS NULL)"),
+                    ("issue", "non_finite_cells", _c, f"count(*) FILTER (isinf(batch.{_c}))"),
+                    ("issue", "rule_broken", _c, f"count(*) FILTER ({_rule.format(c='batch.' + _c)})")]
+LOWERED = ", ".join(f"CASE WHEN {c} > 4 AND row_key % 100 = 7 THEN CAST('Infinity' AS DOUBLE) ELSE {c} - 1 END AS {c}" if c == "grade"
+                    else f"{c} - 1 AS {c}" for c in RULES_SQL)
+
+
+@query("v_schema", sql(" UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{level}' AS level, '{check}' AS \"check\", '{detail}' AS detail, {cells} AS cells FROM batch) WHERE cells > 0"
+    for level, check, detail, cells in SCHEMA_ROWS), "dirty", extra={"batch": f"SELECT row_key, {LOWERED}, price FROM dirty"}))
 def _(t):
-    """Issues of a batch that lacks a column and has others."""
-    rows = t.listings(key=True).drop("age")
-    wanted = [*[c for c in rows.columns if c not in ("row_key", "price")], "sqft_basement"]
-    _, table, issues = serve.check_schema(rows, wanted)
-    return serve.issue_table(table, issues)
+    """Issues of a batch that lacks a column, has others, and holds bad cells."""
+    rows = t.dirty(key=True).selectExpr("row_key", *LOWERED.split(", "), "price")
+    return serve.batch_report(rows, [*RULES_SQL, "sqft_basement"])
\ No newline at end of file

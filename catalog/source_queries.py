@@ -10,7 +10,7 @@ from catalog.fixtures import COLUMN_LIST, sql
 from catalog.registry import query, rounded
 from tablewright.operators import linear, monitor
 from tablewright.plans import jobs
-from tablewright.session import staging_root
+from tablewright.session import stage, staging_root
 from tablewright.sources import store, synth
 from tablewright.sources.tables import read_table, write_table
 
@@ -100,6 +100,32 @@ def _(t):
     return synth.add_gaps(t.listings(), 0.15)
 
 
+@query("s_dup_counts", sql(
+    "SELECT count(*) + CAST(floor(count(*) * 0.08) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS foreign_rows"
+    " FROM listings", "listings"))
+def _(t):
+    """Rows with copies, original rows that are missing, and rows that are no copy of one."""
+    base = stage(t.listings(), "base")
+    both = stage(synth.add_duplicates(base, 0.08), "both")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.lit(base.exceptAll(both).count()).cast("long").alias("lost"),
+                    F.lit(both.join(base.distinct(), base.columns, "left_anti").count()).cast("long").alias("foreign_rows"))
+
+
+@query("s_null_counts", sql(
+    "SELECT count(*) AS rows, " + ", ".join(f"count({c}) AS n_{c}" for c in ("l_suppkey", "l_linenumber"))
+    + ", CAST(0 AS BIGINT) AS changed FROM lineitem"))
+def _(t):
+    """Whole rows stay, and so do the columns that no gaps are made in; no other cell changes."""
+    rows = t.read("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount")
+    kept = synth.add_gaps(rows, 0.15, columns=["l_quantity", "l_discount"])
+    both = rows.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("was"), F.col("l_discount").alias("had")).distinct()
+    moved = stage(kept.join(both, ["l_orderkey", "l_linenumber"], "left").groupBy("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount")
+                  .agg(F.max((F.coalesce(F.col("l_quantity") == F.col("was"), F.col("l_quantity").isNull())
+                              & F.coalesce(F.col("l_discount") == F.col("had"), F.col("l_discount").isNull())).cast("int")).alias("same")), "moved")
+    return kept.agg(F.count(F.lit(1)).alias("rows"), F.count("l_suppkey").alias("n_l_suppkey"), F.count("l_linenumber").alias("n_l_linenumber"),
+                    F.lit(moved.where("same = 0").count()).cast("long").alias("changed"))
+
+
 @query("r_summary",
        "SELECT CAST(user_id AS VARCHAR) AS run_id, count(*) FILTER (status = 'success') AS"
        " successful_stages, round(count(*) FILTER (status = 'success') * 100.0e0 / 5, 1) AS"

@@ -1,149 +1,209 @@
-"""Exact quantiles and order statistics with bounded memory per task.
+"""Exact quantiles and order statistics by counting prefixes of order-keeping keys.
 
-A short column goes straight through ``percentile``, whose state grows with the distinct
-values. A long one is narrowed instead: a small approximate sketch proposes an interval around
-each wanted rank, one count pass proves how many rows lie below it, and only the rows inside
-are looked at next. Every step is one aggregation over all columns without a row shuffle, and
-the counts make the answer exact however the values are spread.
+A double becomes a 64-bit whole number with the same order. What is looked for lies in a window of
+keys, at first all of them; a pass cuts every window into at most ``BINS`` equal bins and counts
+them, for all columns and ranks at once. The wanted rank falls into one bin, which is the next
+window. A bin remembers its smallest and largest key, so the search ends as soon as the bin holds
+one value, however often it occurs; four passes are the most. There is one way for all sizes.
+
+A pass moves no rows: tasks count their own batches, and counts are summed by window and bin. A
+task and the driver hold at most ``BINS`` small entries a window.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import col, one_row
+from tablewright.functions.columns import any_of, col
+
+BINS = 1 << 16
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+#: entries of a task after which equal bins are summed
+ENTRIES = 1 << 18
+
+#: a batch's columns (values, which are there) to, per column, sure and possible members
+Judge = Callable[[list[np.ndarray], list[np.ndarray]], list[tuple[np.ndarray, np.ndarray]]]
+
+
+def keys_of(values: np.ndarray) -> np.ndarray:
+    """64-bit whole numbers in the order of the doubles; both zeros have one key."""
+    bits = (values + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & MOST)
+
+
+def value_of(key: int) -> float:
+    bits = np.array([key], np.int64)
+    return float((bits ^ ((bits >> 63) & MOST)).view(np.float64)[0])
 
-DIRECT_ROWS = 2_000_000
-GATHER_ROWS = 200_000
-SKETCH = 1000
+
+@dataclass(frozen=True)
+class Window:
+    """Keys from ``low`` to ``high`` of one column, cut into bins of 2^shift keys."""
+
+    column: int
+    low: int = LEAST
+    high: int = MOST
+
+    @property
+    def shift(self) -> int:
+        return max(0, (self.high - self.low).bit_length() - (BINS.bit_length() - 1))
+
+    def holds(self, value: Column) -> Column:
+        return (value >= F.lit(value_of(self.low))) & (value <= F.lit(value_of(self.high)))
 
 
 @dataclass
-class _Search:
-    """Rank still looked for among the rows strictly between ``low`` and ``high``."""
-
-    column: str
-    rank: int
-    inside: int
-    below: int = 0
-    low: float | None = None
-    high: float | None = None
-    answer: float | None = None
-
-    def rows(self) -> Column:
-        keep = F.col(self.column).isNotNull()
-        if self.low is not None:
-            keep = keep & (F.col(self.column) > F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (F.col(self.column) < F.lit(self.high))
-        return F.when(keep, F.col(self.column))
-
-    def narrow(self, a: float, b: float, lt_a: int, le_a: int, lt_b: int, le_b: int) -> None:
-        rank = self.rank - self.below
-        if rank < lt_a:
-            self.high, self.inside = a, lt_a
-        elif rank < le_a:
-            self.answer = a
-        elif rank < lt_b:
-            self.low, self.high = a, b
-            self.below, self.inside = self.below + le_a, lt_b - le_a
-        elif rank < le_b:
-            self.answer = b
-        else:
-            self.low, self.below, self.inside = b, self.below + le_b, self.inside - le_b
-
-
-def _at(values: Column, places: Column) -> Column:
-    """The elements of an array at several places."""
-    return F.transform(places, lambda place: F.get(values, place))
-
-
-def _as_columns(columns: dict[str, Column] | list[str]) -> dict[str, Column]:
-    return columns if isinstance(columns, dict) else {c: col(c) for c in columns}
-
-
-def order_statistics(df: DataFrame, wanted: dict[str, tuple[Column, list[int]]],
-                     counts: dict[str, int] | None = None, gather_rows: int = GATHER_ROWS,
-                     sketch: int = SKETCH) -> dict[str, list[float]]:
+class Tally:
+    """Bins of a window that hold anything, in order, and what lies beside it.
+
+    The first column of ``n``, ``below`` and ``above`` counts sure members, the second possible ones.
+    """
+
+    n: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    below: np.ndarray
+    above: np.ndarray
+
+    @property
+    def total(self) -> np.ndarray:
+        return self.n.sum(axis=0) + self.below + self.above
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows (window, bin, possible, n, low, high), those of one bin in one row."""
+    rows = np.concatenate(parts, axis=1)
+    rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
+    first = np.flatnonzero(np.r_[True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)])
+    return np.stack([*rows[:3, first], np.add.reduceat(rows[3], first),
+                     np.minimum.reduceat(rows[4], first), np.maximum.reduceat(rows[5], first)])
+
+
+def _binned(keys: np.ndarray, number: int, low: int, high: int, shift: int, bins: int, possible: int) -> np.ndarray:
+    """Counts of sorted keys by bin of the window; -1 and ``bins`` are the bins beside it."""
+    start, stop = np.searchsorted(keys, low), np.searchsorted(keys, high, side="right")
+    inside = (keys[start:stop].view(np.uint64) - np.uint64(low & (1 << 64) - 1)) >> np.uint64(shift)
+    bin_ = np.concatenate([np.full(start, -1), inside.astype(np.int64), np.full(len(keys) - stop, bins)])
+    first = np.flatnonzero(np.r_[True, bin_[1:] != bin_[:-1]])
+    last = np.r_[first[1:], len(bin_)]
+    same = np.full(len(first), number)
+    return np.stack([same, bin_[first], np.full(len(first), possible), last - first, keys[first], keys[last - 1]])
+
+
+FIELDS = ["window", "bin", "possible", "n", "low", "high"]
+
+
+def tally(values: DataFrame, windows: list[Window], judge: Judge | None = None) -> list[Tally]:
+    """Counts of all windows over the double columns of ``values``, from one pass."""
+    by_column: dict[int, list[tuple]] = {}
+    for number, window in enumerate(windows):
+        by_column.setdefault(window.column, []).append((number, window.low, window.high, window.shift, BINS))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            there = [c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            classes = judge(columns, there) if judge else [(t, None) for t in there]
+            for i, own in by_column.items():
+                for possible, chosen in enumerate(classes[i]):
+                    keys = np.sort(keys_of(columns[i][chosen & there[i]])) if chosen is not None else ()
+                    for window in own if len(keys) else []:
+                        parts.append(_binned(keys, *window, possible))
+                        size += parts[-1].shape[1]
+            if size > ENTRIES:
+                parts = [_merged(parts)]
+                size = parts[0].shape[1]
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in _merged(parts)], FIELDS)
+
+    counted = values.mapInArrow(task, ", ".join(f"{f} long" for f in FIELDS)).groupBy("window", "bin", "possible") \
+        .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).toArrow()
+    rows = np.stack([counted[f].to_numpy() for f in FIELDS]) if counted.num_rows else np.zeros((6, 0), np.int64)
+    rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
+    out = []
+    for number in range(len(windows)):
+        own = rows[:, np.searchsorted(rows[0], number):np.searchsorted(rows[0], number, side="right")]
+        bins, place = np.unique(own[1], return_inverse=True)
+        n = np.zeros((len(bins), 2), np.int64)
+        n[place, own[2]] = own[3]
+        first = np.searchsorted(own[1], bins)
+        low, high = (np.minimum.reduceat(own[4], first), np.maximum.reduceat(own[5], first)) if len(bins) else (own[4], own[5])
+        inside = (bins >= 0) & (bins < BINS)
+        out.append(Tally(n[inside], low[inside], high[inside], n[bins < 0].sum(axis=0), n[bins >= BINS].sum(axis=0)))
+    return out
+
+
+def as_doubles(df: DataFrame, columns: list[Column]) -> DataFrame:
+    return df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+
+
+def _search(values: DataFrame, ranks: Callable[[int, int], list[int]], columns: int) -> list[dict[int, float]]:
+    """Values at the 0-based ranks that ``ranks`` names for (column, number of its values)."""
+    found: list[dict[int, float]] = [{} for _ in range(columns)]
+    windows = [Window(i) for i in range(columns)]
+    tallies = tally(values, windows) if windows else []
+    wanted = {w: {r: r for r in ranks(w.column, int(t.total[0]))} for w, t in zip(windows, tallies, strict=True)}
+    while windows:
+        following: dict[Window, dict[int, int]] = {}
+        for window, t in zip(windows, tallies, strict=True):
+            ends = np.cumsum(t.n[:, 0])
+            for rank, within in wanted[window].items():  # the rank among all, and among the window's rows
+                place = int(np.searchsorted(ends, within, side="right"))
+                low, high = int(t.low[place]), int(t.high[place])
+                if low == high:
+                    found[window.column][rank] = value_of(low)
+                    continue
+                before = int(ends[place - 1]) if place else 0
+                following.setdefault(Window(window.column, low, high), {})[rank] = within - before
+        windows, wanted = list(following), following
+        if windows:
+            tallies = tally(values.where(any_of([w.holds(F.col(f"v{w.column}")) for w in windows])), windows)
+    return found
+
+
+def order_statistics(df: DataFrame, wanted: dict[str, tuple[Column, list[int]]]) -> dict[str, list[float]]:
     """Values at the given 0-based ranks of each column's sorted non-null values."""
     names = list(wanted)
-    values = df.select(*[wanted[c][0].cast("double").alias(f"v{i}") for i, c in enumerate(names)])
-    if counts is None:
-        counts = dict(zip(names, one_row(values, [F.count(f"v{i}") for i in range(len(names))])))
-    searches = {(c, rank): _Search(f"v{i}", rank, counts[c])
-                for i, c in enumerate(names) for rank in wanted[c][1]}
-    for (c, rank) in searches:
-        if not 0 <= rank < counts[c]:
-            raise ValueError(f"rank {rank} outside the {counts[c]} values of {c}")
-    while open_ := [s for s in searches.values() if s.answer is None]:
-        # searches that look at the same rows share one sketch or one gathered list
-        groups: dict[tuple, list[_Search]] = {}
-        for s in open_:
-            groups.setdefault((s.column, s.low, s.high), []).append(s)
-        short = [g for g in groups.values() if g[0].inside <= gather_rows]
-        wide = [g for g in groups.values() if g[0].inside > gather_rows]
-        picks = []
-        for g in short:
-            places = F.array(*[F.lit(s.rank - s.below) for s in g])
-            picks.append((g[0].rows(), places))
-        gathered = [F.sort_array(F.collect_list(v)) for v, _ in picks]
-        margin = 2.0 / sketch
-        guesses = []
-        for g in wide:
-            shares = [(s.rank - s.below) / s.inside for s in g]
-            ends = [F.lit(x) for p in shares for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
-            guesses.append(F.percentile_approx(g[0].rows(), F.array(*ends), F.lit(sketch)))
-        found = one_row(values, [_at(a, p) for a, (_, p) in zip(gathered, picks)] + guesses)
-        for g, answers in zip(short, found):
-            for s, value in zip(g, answers):
-                s.answer = value
-        guessed = [(s, ends[2 * i], ends[2 * i + 1])
-                   for g, ends in zip(wide, found[len(short):]) for i, s in enumerate(g)]
-        passes = []
-        for s, a, b in guessed:
-            v = s.rows()
-            passes += [F.count_if(v < F.lit(a)), F.count_if(v <= F.lit(a)),
-                       F.count_if(v < F.lit(b)), F.count_if(v <= F.lit(b))]
-        totals = one_row(values, passes)
-        for i, (s, a, b) in enumerate(guessed):
-            s.narrow(a, b, *totals[4 * i: 4 * i + 4])
-    return {c: [searches[c, rank].answer for rank in wanted[c][1]] for c in names}
-
-
-def exact_quantiles(df: DataFrame, columns: dict[str, Column] | list[str], probs: list[float],
-                    rows: int | None = None, direct_rows: int = DIRECT_ROWS,
-                    **search) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of every column; ``None`` for a column without values.
-
-    ``rows`` is an upper bound of the row count, if the caller already knows one.
-    """
-    exprs = _as_columns(columns)
-    if not exprs:
-        return {}
-    if rows is None:
-        rows = df.count()
-    if rows <= direct_rows:
-        probs_col = F.array(*[F.lit(float(p)) for p in probs])
-        found = one_row(df, [F.percentile(e.cast("double"), probs_col) for e in exprs.values()])
-        return {c: list(v) if v is not None else [None] * len(probs)
-                for c, v in zip(exprs, found)}
-    names = list(exprs)
-    counts = dict(zip(names, one_row(df, [F.count(exprs[c]) for c in names])))
-    filled = [c for c in names if counts[c]]
-    ranks = {c: sorted({r for p in probs
-                        for r in (math.floor((counts[c] - 1) * p), math.ceil((counts[c] - 1) * p))})
-             for c in filled}
-    found = order_statistics(df, {c: (exprs[c], ranks[c]) for c in filled},
-                             {c: counts[c] for c in filled}, **search)
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in names}
-    for c in filled:
-        at = dict(zip(ranks[c], found[c]))
-        for i, p in enumerate(probs):
-            place = (counts[c] - 1) * p
-            low, high = at[math.floor(place)], at[math.ceil(place)]
-            out[c][i] = low + (high - low) * (place - math.floor(place))
+
+    def ranks(i: int, n: int) -> list[int]:
+        for rank in wanted[names[i]][1]:
+            if not 0 <= rank < n:
+                raise ValueError(f"rank {rank} outside the {n} values of {names[i]}")
+        return wanted[names[i]][1]
+
+    found = _search(as_doubles(df, [wanted[c][0] for c in names]), ranks, len(names))
+    return {c: [found[i][rank] for rank in wanted[c][1]] for i, c in enumerate(names)}
+
+
+def interpolated(position: float, low: float, high: float) -> float:
+    """The value at a place between two successive order statistics."""
+    if low == high:
+        return low
+    below = math.floor(position)
+    return (below + 1 - position) * low + (position - below) * high
+
+
+def exact_quantiles(df: DataFrame, columns: dict[str, Column] | list[str],
+                    probs: list[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of every column; ``None`` for a column without values."""
+    exprs = columns if isinstance(columns, dict) else {c: col(c) for c in columns}
+    sizes = [0] * len(exprs)
+
+    def ranks(i: int, n: int) -> list[int]:
+        sizes[i] = n
+        return sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}) if n else []
+
+    found = _search(as_doubles(df, list(exprs.values())), ranks, len(exprs))
+    out: dict[str, list[float | None]] = {}
+    for c, n, at in zip(exprs, sizes, found, strict=True):
+        places = [(n - 1) * p for p in probs]
+        out[c] = [interpolated(x, at[math.floor(x)], at[math.ceil(x)]) if n else None for x in places]
     return out

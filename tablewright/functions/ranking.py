@@ -55,7 +55,7 @@ def blocks_by_rank(df: DataFrame, key: Column | str, sizes: list[int], name: str
     cuts = [r for r in limits if 0 < r < n]
     key = col(key) if isinstance(key, str) else key
     keyed = df.withColumn("_key", key.cast("double"))
-    found = order_statistics(keyed, {"_key": (F.col("_key"), sorted(set(cuts)))}, {"_key": n}) \
+    found = order_statistics(keyed, {"_key": (F.col("_key"), sorted(set(cuts)))}) \
         if cuts else {"_key": []}
     value = dict(zip(sorted(set(cuts)), found["_key"]))
     below = dict(zip(value, one_row(keyed, [F.count_if(F.col("_key") < F.lit(v))

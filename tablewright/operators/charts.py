@@ -105,10 +105,9 @@ def quantile_pairs(df: DataFrame, label: str = "label", prediction: str = "predi
         "residual")
 
 
-def fit_quintiles(df: DataFrame, prediction: str = "prediction", rows: int | None = None,
-                  ) -> list[float]:
+def fit_quintiles(df: DataFrame, prediction: str = "prediction") -> list[float]:
     probs = [i / 5 for i in range(6)]
-    edges = exact_quantiles(df, [prediction], probs, rows)[prediction]
+    edges = exact_quantiles(df, [prediction], probs)[prediction]
     if len(set(edges)) < len(edges):
         raise ValueError("predictions have too few distinct values for five bins")
     return edges
@@ -130,11 +129,10 @@ def box_statistics(df: DataFrame, label: str = "label", prediction: str = "predi
     table is never gathered in one group.
     """
     rows = quintiles(df, label, prediction)
-    n = rows.count()
     cells = {(m, q): F.when(F.col("prediction_range") == q, F.col(m))
              for m in ("abs_error", "pct_error") for q in QUINTILE_LABELS}
     found = exact_quantiles(rows, {f"{m}|{q}": e for (m, q), e in cells.items()},
-                            [0.25, 0.5, 0.75], n)
+                            [0.25, 0.5, 0.75])
     aggs, keys = [], []
     for (m, q), e in cells.items():
         q1, q2, q3 = found[f"{m}|{q}"]

@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 from tablewright.fixed_values import IQR_FACTOR, SPARSE_SHARE, ZSCORE_LIMIT
 from tablewright.functions.columns import (all_of, any_of, col, long_form, numeric_columns,
                                            one_row, text_columns)
+from tablewright.functions.fences import sequential_fences
 from tablewright.functions.quantiles import exact_quantiles
 from tablewright.operators import neighbors
-from tablewright.operators.profile import iqr_bounds, missing_cells, outside, row_count
+from tablewright.operators.profile import iqr_bounds, missing_cells, outside
 
 log = logging.getLogger(__name__)
 
@@ -58,7 +59,7 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
 
 
 def fit_fill(df: DataFrame, strategy: str = "mean", columns: list[str] | None = None,
-             constant: float = 0.0, rows: int | None = None) -> dict[str, object]:
+             constant: float = 0.0) -> dict[str, object]:
     """Replacement value per column: the strategy for numbers, the mode (or 'Unknown') for text."""
     if strategy not in FILL_STRATEGIES:
         raise ValueError(f"unknown fill strategy: {strategy}")
@@ -68,7 +69,7 @@ def fit_fill(df: DataFrame, strategy: str = "mean", columns: list[str] | None =
     if strategy == "mean":
         values = dict(zip(numbers, one_row(df, [F.avg(col(c)) for c in numbers])))
     elif strategy == "median":
-        values = {c: v[0] for c, v in exact_quantiles(df, numbers, [0.5], rows).items()}
+        values = {c: v[0] for c, v in exact_quantiles(df, numbers, [0.5]).items()}
     elif strategy == "constant":
         values = {c: constant for c in numbers}
     else:
@@ -176,35 +177,29 @@ class OutlierRules:
 
 
 def fit_outliers(df: DataFrame, method: str = "iqr", columns: list[str] | None = None,
-                 factor: float = IQR_FACTOR, sequential: bool = True,
-                 rows: int | None = None) -> OutlierRules:
+                 factor: float = IQR_FACTOR, sequential: bool = True) -> OutlierRules:
     """Fit the outlier filter; ``sequential`` takes each column's statistics from the survivors
     of the columns before it.
 
-    Earlier tests are literal predicates, so every step reads only the columns it needs from the
-    stored table and pushes the tests down; nothing is cached or rewritten between steps.
+    Fences of all columns are narrowed together. The z-score takes a pass a column: earlier tests
+    are literal predicates, so every step reads only the columns it needs from the stored table and
+    pushes the tests down.
     """
     names = [c for c in (columns or numeric_columns(df)) if c in df.columns]
     rules = OutlierRules(method, factor, sequential=sequential)
     if method not in ("iqr", "zscore"):
         raise ValueError(f"unknown outlier method: {method}")
-    if method == "iqr" and not sequential:
-        bounds = iqr_bounds(df, names, factor, rows)
+    if method == "iqr":
+        bounds = (sequential_fences if sequential else iqr_bounds)(df, names, factor)
         rules.tests = [(c, {"bounds": bounds[c]}) for c in names]
         return rules
-    if method == "iqr" and rows is None:
-        rows = row_count(df)
-    if method == "zscore" and not sequential:
+    if not sequential:
         found = one_row(df, [f(col(c)) for c in names for f in (F.avg, F.stddev_pop)])
         pairs = list(zip(names, found[::2], found[1::2]))
         rules.tests = [(c, {"mean": m, "std": s}) for c, m, s in pairs if s]
         return rules
     for c in names:
-        survivors = rules.apply(df)
-        if method == "iqr":
-            rules.tests.append((c, {"bounds": iqr_bounds(survivors, [c], factor, rows)[c]}))
-            continue
-        mean, std = one_row(survivors, [F.avg(col(c)), F.stddev_pop(col(c))])
+        mean, std = one_row(rules.apply(df), [F.avg(col(c)), F.stddev_pop(col(c))])
         if std:
             rules.tests.append((c, {"mean": mean, "std": std}))
     return rules

@@ -1,11 +1,19 @@
-"""Exact nearest neighbours without comparing all pairs.
+"""Exact nearest neighbours by a tree of boxes.
 
-Donors are collapsed to distinct rows with a copy count and laid out in cells: one cell holds
-donors with the same missing columns that are close in their most variable columns. The cell
-boxes are a small table of bounded size. Each query first looks into its most promising cells to
-learn how near its k-th neighbour is at most, then into every cell whose box can hold anything
-nearer, so the answer is exact. Donors and queries meet in (cell, donor block, query block)
-groups of bounded size, however many rows share a cell.
+Donors are collapsed to distinct rows with a copy count and put in an order that keeps close ones
+together: by their missing columns, then by the interleaved bits of their values in one common
+unit, so that a column counts for as much as it adds to the distance. ``LEAF`` successive donors
+with the same missing columns are a leaf, ``FAN`` successive leaves a node, and so on: the tree has
+as many levels as the donors need and each level is a table of boxes. Queries are ordered the same
+way and taken in blocks of successive ones.
+
+(block, node) pairs go down level by level as joins with the next table. A pair stays if its box
+can hold anything nearer than the block's limit, the distance at which its queries surely have k
+donors; the first descent keeps only the few most promising nodes and finds that limit. What is
+left are (block, leaf) pairs, whose rows meet in groups of bounded size. One way for all sizes.
+
+A query that lacks one of the widest columns is badly served by an order ruled by it. There is an
+order of its own for every subset of the ``WIDE`` widest columns that queries lack.
 
 Distance: Euclidean over the columns present on both sides, scaled by columns / shared columns.
 Ties go to the smaller value, which makes the result independent of row order.
@@ -13,256 +21,281 @@ Ties go to the smaller value, which makes the result independent of row order.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import all_of, any_of, col, numeric_columns, one_row
+from tablewright.functions.ranking import global_index
 from tablewright.session import stage
 
-MAX_CELLS = 16_384
-CELL_ROWS = 64
-BLOCK_ROWS = 20_000
-PATTERN_COLUMNS = 8
-FINE_BINS = 1024
-OWN_LAYOUT = 50_000
+LEAF, FAN = 64, 16
+#: queries of a block, leaves that one task compares with a block, and leaves a limit is taken from
+BLOCK, CHUNK, BEAM = 256, 256, 4
+WIDE = 3
+#: bits of a value in the common unit
+BITS = 32
+#: nodes of a tree's top level at most
+TOP = 64
+
+
+@dataclass(frozen=True)
+class _Space:
+    """The columns f0.. as one space with a common unit."""
+
+    p: int
+    low: list[float]
+    unit: float
+    depth: list[int]  # bits that the column's range takes
+    wide: list[int]   # columns whose lack calls for another order
+
+    def lacks(self) -> Column:
+        """Number of the order that serves a query."""
+        return reduce(add, [F.when(F.col(f"f{i}").isNull(), 1 << b).otherwise(0) for b, i in enumerate(self.wide)],
+                      F.lit(0)).cast("long")
+
+    def pattern(self) -> Column:
+        return F.xxhash64(*[F.col(f"f{i}").isNull() for i in range(self.p)])
+
+    def codes(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``code``: order number, missing columns and interleaved bits."""
+        def task(frames):
+            for frame in frames:
+                x = frame[[f"f{i}" for i in range(self.p)]].to_numpy(dtype=float)
+                tree = frame["tree"].to_numpy()
+                missing = np.isnan(x)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    steps = np.clip((x - self.low) / self.unit, 0, 2.0 ** BITS - 1)
+                steps = np.where(missing, 0, steps).astype(np.uint64)
+                for b, i in enumerate(self.wide):
+                    steps[(tree >> b & 1) > 0, i] = 0
+                bits = [steps[:, i] >> np.uint64(b) & np.uint64(1)
+                        for b in range(BITS - 1, -1, -1) for i in range(self.p) if self.depth[i] > b]
+                parts = [tree.astype(np.uint8)[:, None], np.packbits(missing, axis=1)]
+                if bits:
+                    parts.append(np.packbits(np.stack(bits, axis=1).astype(np.uint8), axis=1))
+                code = np.ascontiguousarray(np.concatenate(parts, axis=1))
+                yield frame.assign(code=[r.tobytes() for r in code])
+
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        return rows.mapInPandas(task, f"{fields}, code binary")
+
+
+def _space(donors: DataFrame, p: int) -> _Space:
+    facts = one_row(donors, [f(f"f{i}") for i in range(p) for f in (F.min, F.max, F.var_pop)])
+    low, high, spread = ([x if x is not None and math.isfinite(x) else 0.0 for x in facts[j::3]] for j in range(3))
+    ranges = [max(h - a, 0.0) if math.isfinite(h - a) else 1.7e308 for a, h in zip(low, high)]
+    unit = (max(ranges) or 1.0) / 2.0 ** BITS or 5e-324
+    depth = [min(BITS, max(0, math.frexp(r / unit)[1])) for r in ranges]
+    wide = [int(i) for i in np.argsort([-s for s in spread], kind="stable")[:WIDE] if spread[i] > 0]
+    return _Space(p, low, unit, depth, wide)
+
+
+def _number(*columns: str) -> Column:
+    return F.xxhash64(*columns)
+
+
+def _sums(p: int, term) -> Column:
+    return reduce(add, [term(i) for i in range(p)])
+
+
+def _tree(donors: DataFrame, space: _Space, trees: list[int], lends: list[int | None]) -> tuple[DataFrame, list[tuple[DataFrame, int]]]:
+    """Donors with their leaf, and the box tables from the leaves up with their number of nodes."""
+    each = donors.withColumn("tree", F.explode(F.array(*[F.lit(t).cast("long") for t in trees])))
+    placed = global_index(space.codes(each), [F.col("code")], "place").withColumn("pattern", space.pattern()) \
+        .withColumn("up", F.floor(F.col("place") / LEAF))
+    leaves = stage(placed.withColumn("node", _number("up", "tree", "pattern")).drop("code", "place", "pattern"), "knn-donors")
+    p = space.p
+    box = [f(F.col(f"f{i}")).alias(f"{n}{i}") for i in range(p) for n, f in (("lo", F.min), ("hi", F.max))]
+    box += [(F.count(f"f{i}") == F.count(F.lit(1))).alias(f"full{i}") for i in range(p)]
+    able = [F.coalesce(F.sum(F.when(F.col(f"v{j}" if i is None else f"f{i}").isNotNull(), F.col("m"))), F.lit(0)).alias(f"able{j}")
+            for j, i in enumerate(lends)]
+    level = stage(leaves.groupBy("tree", "up", "node").agg(*box, *able), "knn-boxes")
+    count = level.count()
+    levels = [(level.withColumnRenamed("up", "parent"), count)]
+    merged = [F.min(f"lo{i}").alias(f"lo{i}") for i in range(p)] + [F.max(f"hi{i}").alias(f"hi{i}") for i in range(p)] \
+        + [F.bool_and(f"full{i}").alias(f"full{i}") for i in range(p)] + [F.sum(f"able{j}").alias(f"able{j}") for j in range(len(lends))]
+    while True:
+        level = stage(level.withColumn("node", F.col("up")).withColumn("up", F.floor(F.col("up") / FAN))
+                      .groupBy("tree", "up", "node").agg(*merged), "knn-boxes")
+        most = level.groupBy("tree").count().agg(F.max("count"), F.sum("count")).first()
+        levels.append((level.withColumnRenamed("up", "parent"), most[1] or 0))
+        if (most[0] or 0) <= TOP:
+            return leaves, levels
+
+
+def _blocks(queries: DataFrame, space: _Space) -> DataFrame:
+    """Queries with ``block``: successive ones with the same missing columns."""
+    coded = space.codes(queries.withColumn("tree", space.lacks()))
+    return stage(global_index(coded, [F.col("code")], "place").withColumn("pattern", space.pattern())
+                 .withColumn("block", _number(F.floor(F.col("place") / BLOCK), "tree", "pattern"))
+                 .drop("code", "place", "pattern"), "knn-queries")
+
+
+def _boxed(queries: DataFrame, p: int, lends: list[int | None], limits: list[Column]) -> DataFrame:
+    """Boxes of the blocks, the values they ask for and their limits."""
+    ends = [f(F.col(f"f{i}")).alias(f"{n}{i}") for i in range(p) for n, f in (("from", F.min), ("to", F.max))]
+    asks = [(F.lit(True) if i is None else F.max(f"f{i}").isNull()).alias(f"asks{j}") for j, i in enumerate(lends)]
+    return stage(queries.groupBy("tree", "block").agg(*ends, *asks, *limits), "knn-blocks")
+
+
+def _bounds(p: int) -> tuple[Column, Column]:
+    """Least and greatest possible square distance between a block and a box."""
+    def has(i):
+        return F.col(f"from{i}").isNotNull()
+
+    def gap(i):
+        return F.greatest(F.col(f"lo{i}") - F.col(f"to{i}"), F.col(f"from{i}") - F.col(f"hi{i}"), F.lit(0.0))
+
+    def reach(i):
+        return F.greatest(F.col(f"to{i}") - F.col(f"lo{i}"), F.col(f"hi{i}") - F.col(f"from{i}"))
+
+    def square(x):
+        return x * x
+
+    full = [has(i) & F.col(f"full{i}") for i in range(p)]
+    some = [has(i) & F.col(f"lo{i}").isNotNull() for i in range(p)]
+    most = _sums(p, lambda i: F.when(some[i], 1).otherwise(0))
+    least = _sums(p, lambda i: F.when(full[i], 1).otherwise(0))
+    near = _sums(p, lambda i: F.when(full[i], square(gap(i))).otherwise(0.0))
+    far = _sums(p, lambda i: F.when(some[i], square(reach(i))).otherwise(0.0))
+    return F.when(most > 0, near * (F.lit(float(p)) / most)), F.when(least > 0, far * (F.lit(float(p)) / least))
+
+
+def _descend(blocks: DataFrame, levels: list[tuple[DataFrame, int]], p: int, values: int, keep) -> DataFrame:
+    """(block, leaf) pairs that ``keep`` leaves over at every level, from the top."""
+    near, far = _bounds(p)
+    pairs = None
+    for boxes, count in reversed(levels):
+        if pairs is None:  # at most TOP nodes a tree
+            met = blocks.join(F.broadcast(boxes), "tree")
+        else:
+            few = F.broadcast(boxes) if count <= TOP * FAN else boxes
+            met = pairs.withColumnRenamed("node", "parent").join(few, ["tree", "parent"])
+        met = met.withColumn("near", near).withColumn("far", far).where("near is not null")
+        pairs = stage(keep(met).select(*blocks.columns, "node"), "knn-pairs")
+    return pairs
 
 
-@dataclass
-class _Cells:
-    """Boxes of all cells, at most ``MAX_CELLS`` entries."""
+def _wanted(j: int) -> Column:
+    return F.col(f"asks{j}") & (F.col(f"able{j}") > 0)
 
-    ids: np.ndarray
-    low: np.ndarray        # cells x features, NaN where no donor has the feature
-    high: np.ndarray
-    full: np.ndarray       # every donor of the cell has the feature
-    some: np.ndarray       # at least one has it
-    counts: np.ndarray     # cells x values: donors that can lend the value
-    blocks: np.ndarray     # donor blocks of the cell
 
+def _promising(values: int):
+    """Keeps the nearest nodes of each block for each value it asks for."""
+    def keep(met: DataFrame) -> DataFrame:
+        asked = F.array_compact(F.array(*[F.when(_wanted(j), F.lit(j)) for j in range(values)]))
+        order = Window.partitionBy("block", "target").orderBy("near", F.col("far").asc_nulls_last(), "node")
+        near = met.withColumn("target", F.explode(asked)).withColumn("place", F.row_number().over(order))
+        return near.where(F.col("place") <= BEAM).dropDuplicates(["block", "node"])
+
+    return keep
+
+
+def _possible(values: int):
+    """Keeps the nodes that can hold anything within the limit of a value that the block asks for."""
+    def keep(met: DataFrame) -> DataFrame:
+        return met.where(any_of([
+            _wanted(j) & (F.col(f"limit{j}").isNull() | (F.col("near") <= F.col(f"limit{j}") * (1 + 1e-9)))
+            for j in range(values)]))
+
+    return keep
 
-def _by_spread(donors: DataFrame, p: int) -> list[int]:
-    """Features from the most to the least variable one; the first ones rule the distance."""
-    spread = one_row(donors, [F.var_pop(f"f{i}") for i in range(p)])
-    return [int(i) for i in np.argsort([-(s or 0.0) for s in spread], kind="stable")]
 
+FOUND = "qid long, target int, square double, value double, m long"
 
-def _layout(donors: DataFrame, features: list[str], order: list[int], useful: list[int], n: int,
-            cell_rows: int, max_cells: int):
-    """Assign every donor to a cell; returns a function for ``mapInPandas``.
 
-    Donors with the same missing columns are cut along the first two ``useful`` columns they have.
-    """
-    key = order[:PATTERN_COLUMNS]
-    edges = one_row(donors, [
-        F.percentile_approx(f"f{i}", F.array(*[F.lit(j / FINE_BINS) for j in range(1, FINE_BINS)]),
-                            F.lit(4 * FINE_BINS)) for i in key])
-    edges = {i: np.unique(np.asarray(e if e is not None else [], dtype=float))
-             for i, e in zip(key, edges)}
-    mask = reduce(lambda a, b: a + b,
-                  [F.when(F.col(f"f{i}").isNull(), 0).otherwise(1 << b) for b, i in enumerate(key)])
-    patterns = {r["p"]: r["n"] for r in
-                donors.groupBy(mask.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    budget = max(max_cells - len(patterns), 1)
-    # box checks cost one step per cell, visits one per donor; cells near the root balance them
-    rows = max(cell_rows, -(-n // budget), int(n ** 0.5) // 4)
-    plan = {}
-    for p, size in patterns.items():
-        present = [i for b, i in enumerate(key) if p >> b & 1 and i in useful][:2]
-        cells = max(size // rows, 1)
-        most = len(edges[present[0]]) + 1 if present else 1
-        first = int(min(most, cells if len(present) < 2 else max(cells ** 0.75, 1)))
-        second = max(int(cells // first), 1) if len(present) > 1 else 1
-        plan[p] = (present, first, min(second, FINE_BINS))
-
-    def assign(frames):
-        import numpy as np
-
-        for frame in frames:
-            x = frame[[f"f{i}" for i in range(len(features))]].to_numpy(dtype=float)
-            p = np.zeros(len(x), dtype=np.int64)
-            for b, i in enumerate(key):
-                p += np.where(np.isnan(x[:, i]), 0, 1 << b)
-            cell = np.zeros(len(x), dtype=np.int64)
-            for value in np.unique(p):
-                present, first, second = plan[int(value)]
-                rows = p == value
-                place = np.zeros(rows.sum(), dtype=np.int64)
-                for i, bins in zip(present, (first, second)):
-                    fine = np.searchsorted(edges[i], x[rows, i], side="left")
-                    place = place * bins + fine * bins // (len(edges[i]) + 1)
-                cell[rows] = value * FINE_BINS * FINE_BINS + place
-            yield frame.assign(cell=cell)
-
-    return assign
-
-
-def _boxes(donors: DataFrame, p: int, values: int, block_rows: int, max_cells: int) -> _Cells:
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i in range(p):
-        aggs += [F.min(f"f{i}").alias(f"lo{i}"), F.max(f"f{i}").alias(f"hi{i}"),
-                 F.count(f"f{i}").alias(f"c{i}")]
-    aggs += [F.count(f"v{j}").alias(f"k{j}") for j in range(values)]
-    rows = donors.groupBy("cell").agg(*aggs).limit(2 * max_cells + 1).toPandas()
-    if len(rows) > 2 * max_cells:
-        raise RuntimeError("more cells than planned")
-    n = rows["n"].to_numpy()
-    have = rows[[f"c{i}" for i in range(p)]].to_numpy()
-    return _Cells(rows["cell"].to_numpy(),
-                  rows[[f"lo{i}" for i in range(p)]].to_numpy(dtype=float),
-                  rows[[f"hi{i}" for i in range(p)]].to_numpy(dtype=float),
-                  have == n[:, None], have > 0,
-                  rows[[f"k{j}" for j in range(values)]].to_numpy(),
-                  -(-n // block_rows))
-
-
-def _candidate_cells(queries: DataFrame, boxes: _Cells, p: int, k: int, lends: list[int | None],
-                     limits: bool) -> DataFrame:
-    """(query, cell) pairs worth looking at.
-
-    Without ``limits``: per query the cells with the least upper bound that hold k donors for a
-    wanted value. With them: all cells whose lower bound does not exceed the query's limit.
+def _compare(pairs: DataFrame, queries: DataFrame, leaves: DataFrame, p: int, k: int,
+             lends: list[int | None]) -> DataFrame:
+    """The k nearest donors of each (query, value) among the leaves paired with its block.
+
+    A group is one block and at most about ``CHUNK`` leaves.
     """
-    values = len(lends)
-    ids, counts, full, some = boxes.ids, boxes.counts, boxes.full, boxes.some
-    low, high = np.nan_to_num(boxes.low), np.nan_to_num(boxes.high)
+    sizes = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    dealt = stage(pairs.select("block", "node").join(sizes, "block")
+                  .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))), "knn-dealt")
+    left = queries.join(dealt.select("block", "chunk").distinct(), "block")
+    left = left.toDF(*left.columns)  # both sides stem from the pairs; renaming tells their keys apart
+    right = dealt.select("block", "chunk", "node").join(leaves.drop("tree", "up"), "node")
+    right = right.toDF(*right.columns)
+    match = _matcher(p, k, lends)
 
-    def pick(frames):
-        import numpy as np
-        import pandas as pd
+    def nearest(queries, lenders):
+        return match(queries, lenders)
+
+    near = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(nearest, FOUND)
+    return _closest(near, k)
 
-        for frame in frames:
-            for start in range(0, len(frame), 256):
-                part = frame.iloc[start:start + 256]
-                x = part[[f"f{i}" for i in range(p)]].to_numpy(dtype=float)
-                shape = (len(x), len(ids))
-                near, far = np.zeros(shape), np.zeros(shape)
-                least, most = np.zeros(shape), np.zeros(shape)
-                for i in range(p):
-                    has = ~np.isnan(x[:, i])[:, None]
-                    v = np.nan_to_num(x[:, i])[:, None]
-                    gap = np.maximum(np.maximum(low[:, i] - v, v - high[:, i]), 0.0)
-                    reach = np.maximum(np.abs(v - low[:, i]), np.abs(v - high[:, i]))
-                    near += np.where(has & full[:, i], gap * gap, 0.0)
-                    far += np.where(has & some[:, i], reach * reach, 0.0)
-                    least += has & full[:, i]
-                    most += has & some[:, i]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    near = np.where(most > 0, near * p / most, np.inf)
-                    far = np.where(least > 0, far * p / least, np.inf)
-                wanted = np.zeros(shape, dtype=bool)
-                for j in range(values):
-                    asks = np.ones(len(x), dtype=bool) if lends[j] is None \
-                        else np.isnan(x[:, lends[j]])
-                    able = counts[:, j] > 0
-                    if limits:
-                        limit = part[f"limit{j}"].to_numpy(dtype=float)
-                        limit = np.where(np.isnan(limit), np.inf, limit)
-                        wanted |= (near <= (limit * (1 + 1e-9))[:, None]) & able & asks[:, None] \
-                            & (most > 0)
-                    else:
-                        bound = np.where(counts[:, j] >= k, far, np.inf)
-                        best = bound.argmin(axis=1)
-                        good = asks & np.isfinite(bound[np.arange(len(x)), best])
-                        wanted[np.nonzero(good)[0], best[good]] = True
-                q, c = np.nonzero(wanted)
-                out = part.iloc[q][["qid", *[f"f{i}" for i in range(p)]]].reset_index(drop=True)
-                yield pd.concat([out, pd.DataFrame({"cell": ids[c]})], axis=1)
-
-    fields = ["qid long", *[f"f{i} double" for i in range(p)], "cell long"]
-    return queries.mapInPandas(pick, ", ".join(fields))
 
+#: queries and donors compared at once, few enough to stay in a core's cache
+TILE = (32, 2048)
 
-FOUND = "qid long, target int, square double, value double, m long"
+
+def _nearest_few(rows: list[tuple], k: int) -> tuple:
+    """Of (query, square, value, copies) the k nearest donors of each query."""
+    query, square, value, copies = map(np.concatenate, zip(*rows))
+    order = np.lexsort((value, square, query))
+    first = np.r_[True, query[order][1:] != query[order][:-1]] if len(order) else np.zeros(0, bool)
+    place = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    order = order[place < k]
+    return query[order], square[order], value[order], copies[order]
 
 
 def _matcher(p: int, k: int, lends: list[int | None]):
-    """Function that finds, in one block of donors, the k nearest of each (query, value)."""
+    """Function that finds, among some donors, the k nearest of each (query, value) within its limit."""
 
     def match(queries, lenders):
-        import numpy as np
         import pandas as pd
 
-        d = lenders[[f"f{i}" for i in range(p)]].to_numpy(dtype=float)
+        names = [f"f{i}" for i in range(p)]
+        q, d = queries[names].to_numpy(dtype=float), lenders[names].to_numpy(dtype=float)
         copies = lenders["m"].to_numpy()
-        lent = [lenders[f"v{j}"].to_numpy(dtype=float) for j in range(len(lends))]
-        found = []
-        step = max(1, 4_000_000 // max(len(d), 1))
-        for start in range(0, len(queries) if len(d) else 0, step):
-            part = queries.iloc[start:start + step]
-            q = part[[f"f{i}" for i in range(p)]].to_numpy(dtype=float)
-            ids = part["qid"].to_numpy()
-            total, shared = np.zeros((len(q), len(d))), np.zeros((len(q), len(d)))
-            for i in range(p):
-                diff = q[:, i][:, None] - d[:, i]
-                both = ~np.isnan(diff)
-                total += np.where(both, diff * diff, 0.0)
-                shared += both
-            with np.errstate(divide="ignore", invalid="ignore"):
-                square = np.where(shared > 0, total * (p / shared), np.inf)
-            for j, lend in enumerate(lends):
-                asks = np.nonzero(np.isnan(q[:, lend]))[0] if lend is not None \
-                    else np.arange(len(q))
-                able = np.nonzero(~np.isnan(lent[j]))[0]
-                if not len(asks) or not len(able):
-                    continue
-                able = able[np.argsort(lent[j][able], kind="stable")]
-                work = square[np.ix_(asks, able)]
-                for _ in range(min(k, len(able))):
-                    best = work.argmin(axis=1)
-                    reach = work[np.arange(len(asks)), best]
-                    ok = np.isfinite(reach)
-                    if not ok.any():
-                        break
-                    pick = able[best[ok]]
-                    found.append(pd.DataFrame({
-                        "qid": ids[asks[ok]], "target": np.full(ok.sum(), j, dtype=np.int32),
-                        "square": reach[ok], "value": lent[j][pick], "m": copies[pick]}))
-                    work[np.arange(len(asks)), best] = np.inf
-        if not found:
-            return pd.DataFrame({"qid": np.array([], dtype=np.int64),
-                                 "target": np.array([], dtype=np.int32),
-                                 "square": np.array([], dtype=float),
-                                 "value": np.array([], dtype=float),
-                                 "m": np.array([], dtype=np.int64)})
-        return pd.concat(found, ignore_index=True)
+        lent = [lenders[f"v{j}"].to_numpy(dtype=float) if lend is None else d[:, lend] for j, lend in enumerate(lends)]
+        limits = [queries[f"limit{j}"].fillna(np.inf).to_numpy(dtype=float) if f"limit{j}" in queries
+                  else np.full(len(q), np.inf) for j in range(len(lends))]
+        found: dict[int, list[tuple]] = {}
+        lacks, kind = np.unique(np.isnan(q), axis=0, return_inverse=True)
+        for number, missing in enumerate(lacks if len(d) else []):  # queries of a block lack the same columns
+            rows = np.flatnonzero(kind.reshape(-1) == number)
+            wanted = [j for j, lend in enumerate(lends) if lend is None or missing[lend]]
+            for at in range(0, len(rows), TILE[0]):
+                own = rows[at:at + TILE[0]]
+                for start in range(0, len(d), TILE[1]):
+                    some = slice(start, start + TILE[1])
+                    total, shared = np.zeros((len(own), len(d[some]))), np.zeros(len(d[some]))
+                    gap = np.empty_like(total)
+                    for i in np.flatnonzero(~missing):
+                        there = ~np.isnan(d[some, i])
+                        np.subtract.outer(q[own, i], np.where(there, d[some, i], 0.0), out=gap)
+                        gap *= gap
+                        if not there.all():
+                            gap *= there
+                        total += gap
+                        shared += there
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        total *= p / shared
+                    for j in wanted:
+                        able = ~np.isnan(lent[j][some]) & (shared > 0)
+                        x, y = np.nonzero((total <= limits[j][own, None]) & able)
+                        near = [(own[x], total[x, y], lent[j][some][y], copies[some][y])]
+                        found.setdefault(j, []).append(_nearest_few(near, k) if len(x) > k * len(own) else near[0])
+        out = []
+        for j, rows in found.items():
+            x, square, value, m = _nearest_few(rows, k)
+            out.append(pd.DataFrame({"qid": queries["qid"].to_numpy()[x], "target": np.full(len(x), j, np.int32),
+                                     "square": square, "value": value, "m": m}))
+        empty = pd.DataFrame({"qid": np.zeros(0, np.int64), "target": np.zeros(0, np.int32), "square": np.zeros(0),
+                              "value": np.zeros(0), "m": np.zeros(0, np.int64)})
+        return pd.concat(out, ignore_index=True) if out else empty
 
     return match
 
 
-def _meet(pairs: DataFrame, donors: DataFrame, boxes: _Cells, p: int, k: int,
-          lends: list[int | None], block_rows: int) -> DataFrame:
-    """The k nearest donors of each (query, value) within each cell block."""
-    pairs = stage(pairs, "knn-pairs")
-    asked = {r["cell"]: r["n"] for r in
-             pairs.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = [(int(c), int(b), -(-asked[int(c)] // block_rows))
-            for c, b in zip(boxes.ids, boxes.blocks) if int(c) in asked]
-
-    def sizes() -> DataFrame:
-        return F.broadcast(donors.sparkSession.createDataFrame(
-            rows, "cell long, dblocks long, qblocks long"))
-
-    left = pairs.join(sizes(), "cell").withColumn(
-        "qblock", F.pmod(F.xxhash64("qid"), F.col("qblocks"))).withColumn(
-        "dblock", F.explode(F.sequence(F.lit(0), F.col("dblocks") - 1)))
-    right = donors.join(sizes(), "cell").withColumn(
-        "dblock", F.pmod(F.xxhash64(*[f"f{i}" for i in range(p)], "m"), F.col("dblocks"))) \
-        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
-    keys = ["cell", "dblock", "qblock"]
-
-    match = _matcher(p, k, lends)
-
-    def nearest(queries, lenders):
-        return match(queries, lenders)
-
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(nearest, FOUND)
-    return _closest(near, k)
-
-
 def _closest(near: DataFrame, k: int) -> DataFrame:
     """The k nearest of all candidates of each (query, value), copies counted."""
     w = Window.partitionBy("qid", "target").orderBy("square", "value")
@@ -271,57 +304,32 @@ def _closest(near: DataFrame, k: int) -> DataFrame:
     return top.withColumn("used", F.least(F.col("m"), F.lit(k) - before)).filter("used > 0")
 
 
-def nearest(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[int | None],
-            cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS,
-            max_cells: int = MAX_CELLS, own_layout: int = OWN_LAYOUT) -> DataFrame:
+def nearest(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[int | None]) -> DataFrame:
     """The k nearest donors of every query, per lent value.
 
-    ``queries``: ``qid, f0..`` and ``donors``: ``f0.., v0.., m``. ``lends[j]`` is the feature a
-    query must lack to ask for value j, or ``None`` if all ask. Result: ``qid, target, square,
+    ``queries``: ``qid, f0..`` and ``donors``: ``f0.., m``. ``lends[j]`` is the feature that value j
+    is, asked for by queries that lack it, or ``None`` if it is the donors' ``v{j}`` and all ask. Result: ``qid, target, square,
     value, used`` where ``used`` counts the copies that belong to the k nearest.
     """
-    order, n = _by_spread(donors, p), donors.count()
-    lacks = [F.when(F.col(f"f{i}").isNull(), 1 << b).otherwise(0)
-             for b, i in enumerate(order[:2])]
-    grouped = queries.withColumn("_lacks", reduce(lambda a, b: a + b, lacks))
-    sizes = {r["_lacks"]: r["n"] for r in
-             grouped.groupBy("_lacks").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # queries without the most telling columns need donors laid out along other columns; few
-    # queries of a kind are not worth a layout of their own
-    plans = {m: [i for b, i in enumerate(order) if not (b < 2 and m >> b & 1)]
-             for m, size in sizes.items() if m and size >= own_layout}
-    rest = grouped.filter(~F.col("_lacks").isin(list(plans))) if plans else grouped
-    work = [(rest.drop("_lacks"), order)] if len(plans) < len(sizes) else []
-    work += [(grouped.filter(F.col("_lacks") == m).drop("_lacks"), useful)
-             for m, useful in plans.items()]
-    found = [_nearest_in(q, donors, p, k, lends, order, useful, n, cell_rows, block_rows,
-                         max_cells) for q, useful in work]
-    if not found:
+    values, space = len(lends), _space(donors, p)
+    placed = _blocks(queries, space)
+    trees = sorted(r.tree for r in placed.select("tree").distinct().collect())  # 2^WIDE at most
+    if not trees:
         return queries.sparkSession.createDataFrame([], FOUND + ", place int, used long")
-    return reduce(DataFrame.unionByName, found)
-
-
-def _nearest_in(queries: DataFrame, donors: DataFrame, p: int, k: int, lends: list[int | None],
-                order: list[int], useful: list[int], n: int, cell_rows: int, block_rows: int,
-                max_cells: int) -> DataFrame:
-    """Nearest donors by way of one cell layout."""
-    names = [f"f{i}" for i in range(p)]
-    assign = _layout(donors, names, order, useful, n, cell_rows, max_cells)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in donors.schema)
-    placed = stage(donors.mapInPandas(assign, schema + ", cell long"), "knn-donors")
-    boxes = _boxes(placed, p, len(lends), block_rows, max_cells)
-    first = _meet(_candidate_cells(queries, boxes, p, k, lends, False), placed, boxes, p, k,
-                  lends, block_rows)
+    leaves, levels = _tree(donors, space, trees, lends)
+    blocks = _boxed(placed, p, lends, [])
+    first = stage(_compare(_descend(blocks, levels, p, values, _promising(values)), placed, leaves, p, k, lends), "knn-first")
+    # the distance within which a query surely has k donors, null while it has not
     reach = first.groupBy("qid").agg(*[
-        F.when(F.sum(F.when(F.col("target") == j, F.col("used"))) >= k,
-               F.max(F.when(F.col("target") == j, F.col("square")))).alias(f"limit{j}")
-        for j in range(len(lends))])
-    limited = queries.join(reach, "qid", "left")
-    return _meet(_candidate_cells(limited, boxes, p, k, lends, True), placed, boxes, p, k,
-                 lends, block_rows)
+        F.when(F.sum(F.when(F.col("target") == j, F.col("used"))) >= k, F.max(F.when(F.col("target") == j, F.col("square"))))
+        .alias(f"limit{j}") for j in range(values)])
+    limited = stage(placed.join(reach, "qid", "left"), "knn-limited")
+    limits = [F.when(F.count(f"limit{j}") == F.count(F.lit(1)), F.max(f"limit{j}")).alias(f"limit{j}") for j in range(values)]
+    blocks = _boxed(limited, p, lends, limits)
+    return _compare(_descend(blocks, levels, p, values, _possible(values)), limited, leaves, p, k, lends)
 
 
-def knn_impute(df: DataFrame, k: int = 5, columns: list[str] | None = None, **layout) -> DataFrame:
+def knn_impute(df: DataFrame, k: int = 5, columns: list[str] | None = None) -> DataFrame:
     """Fill numeric gaps with the mean over the k nearest rows that have the value."""
     names = numeric_columns(df)
     targets = [c for c in names if columns is None or c in columns]
@@ -332,12 +340,11 @@ def knn_impute(df: DataFrame, k: int = 5, columns: list[str] | None = None, **la
     profiles = stage(df.select(*wide).groupBy(*fs).agg(F.count(F.lit(1)).alias("m"))
                      .withColumn("qid", F.monotonically_increasing_id()), "knn-profiles")
     lends = [names.index(c) for c in targets]
-    donors = profiles.select(*fs, *[F.col(f"f{i}").alias(f"v{j}") for j, i in enumerate(lends)],
-                             "m")
+    donors = profiles.select(*fs, "m")
     gaps = any_of([F.col(f"f{i}").isNull() for i in lends])
     queries = profiles.filter(gaps).select("qid", *fs)
     means = one_row(df, [F.avg(col(c)) for c in targets])
-    top = nearest(queries, donors, len(names), k, lends, **layout)
+    top = nearest(queries, donors, len(names), k, lends)
     found = top.groupBy("qid").agg(*[
         (F.sum(F.when(F.col("target") == j, F.col("value") * F.col("used")))
          / F.sum(F.when(F.col("target") == j, F.col("used")))).alias(f"n{j}")
@@ -358,7 +365,7 @@ def knn_impute(df: DataFrame, k: int = 5, columns: list[str] | None = None, **la
 
 
 def knn_predict(train: DataFrame, new: DataFrame, features: list[str], label: str, k: int = 5,
-                weights: str = "uniform", output: str = "prediction", **layout) -> DataFrame:
+                weights: str = "uniform", output: str = "prediction") -> DataFrame:
     """Mean label of the k nearest training rows, plain or weighted by inverse distance."""
     if weights not in ("uniform", "distance"):
         raise ValueError(f"unknown weights: {weights}")
@@ -368,7 +375,7 @@ def knn_predict(train: DataFrame, new: DataFrame, features: list[str], label: st
                    .groupBy(*fs, "v0").agg(F.count(F.lit(1)).alias("m")), "knn-train")
     queries = stage(new.select(*wide).distinct()
                     .withColumn("qid", F.monotonically_increasing_id()), "knn-queries")
-    top = nearest(queries, donors, len(fs), k, [None], **layout)
+    top = nearest(queries, donors, len(fs), k, [None])
     if weights == "distance":
         exact = F.max(F.when(F.col("square") == 0, 1).otherwise(0)) \
             .over(Window.partitionBy("qid"))

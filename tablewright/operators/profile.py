@@ -86,9 +86,8 @@ def column_info(df: DataFrame) -> DataFrame:
     return long_form(wide, df.columns, ["non_null", "data_type"])
 
 
-def iqr_bounds(df: DataFrame, columns: list[str], factor: float = IQR_FACTOR,
-               rows: int | None = None) -> dict[str, tuple[float, float] | None]:
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75], rows)
+def iqr_bounds(df: DataFrame, columns: list[str], factor: float = IQR_FACTOR) -> dict[str, tuple[float, float] | None]:
+    quartiles = exact_quantiles(df, columns, [0.25, 0.75])
     out: dict[str, tuple[float, float] | None] = {}
     for c, (q1, q3) in quartiles.items():
         out[c] = None if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
@@ -103,10 +102,10 @@ def outside(column: str, bounds: tuple[float, float] | None) -> Column:
     return F.coalesce((value < F.lit(bounds[0])) | (value > F.lit(bounds[1])), F.lit(False))
 
 
-def outliers(df: DataFrame, factor: float = IQR_FACTOR, rows: int | None = None) -> DataFrame:
+def outliers(df: DataFrame, factor: float = IQR_FACTOR) -> DataFrame:
     """Count and percentage (of all rows) outside the interquartile fences, per numeric column."""
     names = numeric_columns(df)
-    bounds = iqr_bounds(df, names, factor, rows)
+    bounds = iqr_bounds(df, names, factor)
     n = F.count(F.lit(1))
     wide = []
     for i, c in enumerate(names):
@@ -118,10 +117,10 @@ def outliers(df: DataFrame, factor: float = IQR_FACTOR, rows: int | None = None)
 STATISTICS = ["n", "mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
-def describe(df: DataFrame, columns: list[str] | None = None, rows: int | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of the numeric columns."""
     names = numeric_columns(df) if columns is None else columns
-    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75], rows)
+    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
     wide = []
     for i, c in enumerate(names):
         value = col(c).cast("double")
@@ -135,7 +134,7 @@ def head(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*[col(c).asc_nulls_first() for c in order_by]).limit(n)
 
 
-def quality(df: DataFrame, rows: int | None = None) -> DataFrame:
+def quality(df: DataFrame) -> DataFrame:
     """Long-form profile: table totals, missing cells and outliers as (column, metric, value)."""
     whole = totals(df).select(F.inline(F.array(*[
         F.struct(F.lit(None).cast("string").alias("column_name"), F.lit(m).alias("metric"),
@@ -143,7 +142,7 @@ def quality(df: DataFrame, rows: int | None = None) -> DataFrame:
         for m in ("total_rows", "total_columns", "missing_cells", "duplicate_rows")])))
     parts = [whole]
     for table, fields in ((missing(df), ["missing_count", "missing_pct"]),
-                          (outliers(df, rows=rows), ["outlier_count", "outlier_pct"])):
+                          (outliers(df), ["outlier_count", "outlier_pct"])):
         parts.append(table.select("column_name", F.inline(F.array(*[
             F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
             for m in fields]))))
@@ -154,7 +153,3 @@ def before_after(before: DataFrame, after: DataFrame) -> DataFrame:
     """The quality profile of two versions of a table, told apart by ``phase``."""
     return (quality(before).withColumn("phase", F.lit("before"))
             .unionByName(quality(after).withColumn("phase", F.lit("after"))))
-
-
-def row_count(df: DataFrame) -> int:
-    return one_row(df, [F.count(F.lit(1))])[0]

@@ -28,7 +28,7 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, method: str = "standard", exclude: list[str] | tuple[str, ...] = (),
-               rows: int | None = None) -> Scaler:
+               ) -> Scaler:
     """Population deviation, range or interquartile range; a zero width counts as one."""
     if method not in METHODS:
         raise ValueError(f"unknown scaling method: {method}")
@@ -37,7 +37,7 @@ def fit_scaler(df: DataFrame, method: str = "standard", exclude: list[str] | tup
         log.warning("no numeric columns to scale")
         return Scaler(method, {}, {})
     if method == "robust":
-        found = exact_quantiles(df, names, [0.25, 0.5, 0.75], rows)
+        found = exact_quantiles(df, names, [0.25, 0.5, 0.75])
         pairs = {c: (q[1], q[2] - q[0]) for c, q in found.items() if q[0] is not None}
     else:
         tools = (F.avg, F.stddev_pop) if method == "standard" else (F.min, F.max)

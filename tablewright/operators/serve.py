@@ -39,6 +39,30 @@ def issue_table(df: DataFrame, issues: list[tuple]) -> DataFrame:
     return df.sparkSession.createDataFrame(issues, ISSUE_SCHEMA)
 
 
+def batch_report(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Issues of a batch with the cells they concern: level, check, detail, cells.
+
+    Names and types are compared first; missing, non-finite and rule-breaking cells of the expected
+    columns and the rows that schema issues concern are counted in one pass over the batch.
+    """
+    _, table, issues = check_schema(df, expected)
+    n = F.count(F.lit(1))
+    found = [(level, check, detail, n) for level, check, detail in issues]
+    for f in table.schema:
+        value = col(f.name)
+        found.append(("warning", "missing_cells", f.name, F.count_if(value.isNull())))
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            found.append(("issue", "non_finite_cells", f.name, F.count_if(F.isnan(value) | (F.abs(value) == float("inf")))))
+        if f.name in INPUT_RULES:
+            broken = value.isNotNull() & _rule(f.name, INPUT_RULES[f.name])
+            found.append(("issue", "rule_broken", f.name, F.count_if(broken)))
+    wide = df.agg(*[c.alias(f"cells_{i}") for i, (*_, c) in enumerate(found)])
+    rows = [F.struct(F.lit(level).alias("level"), F.lit(check).alias("check"), F.lit(detail).alias("detail"),
+                     F.col(f"cells_{i}").alias("cells")) for i, (level, check, detail, _) in enumerate(found)]
+    schema = f"array<struct<{ISSUE_SCHEMA.replace(' string', ':string')},cells:bigint>>"
+    return wide.select(F.inline(F.array(*rows).cast(schema.replace(", ", ",")))).where("cells > 0")
+
+
 def null_report(df: DataFrame) -> DataFrame:
     """Columns of a batch with missing values."""
     return missing_table(df)

@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from tablewright.operators import neighbors
 from tablewright.operators.neighbors import knn_impute, knn_predict
 
 
@@ -32,20 +33,27 @@ def rows(df, columns):
     return np.array(sorted(tuple(r) for r in df.select(*columns).collect()))
 
 
-@pytest.mark.parametrize("hot", [0, 150])
-def test_impute_matches_brute_force(spark, hot):
+SMALL = {"LEAF": 4, "FAN": 3, "BLOCK": 24, "CHUNK": 40, "BEAM": 1, "TOP": 3}  # many levels and groups
+
+
+@pytest.fixture
+def many_levels(monkeypatch):
+    for name, value in SMALL.items():
+        monkeypatch.setattr(neighbors, name, value)
+
+
+def test_impute_matches_brute_force(spark, many_levels):
     rng = np.random.default_rng(5)
-    n, p = 400, 4
+    n, p, hot = 300, 4, 150
     x = np.column_stack([rng.integers(0, 40, n), rng.integers(0, 900, n), rng.integers(0, 5, n),
                          rng.normal(0, 300, n).round()]).astype(float)
     x[rng.random((n, p)) < 0.15] = np.nan
-    if hot:
-        x[:hot] = x[0]
-        x[:hot, 2] = np.nan
+    x[:hot] = x[0]
+    x[:hot, 2] = np.nan
     names = list("abcd")
     df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x],
                                ", ".join(f"{c} double" for c in names))
-    got = rows(knn_impute(df, 5, cell_rows=20, block_rows=30, own_layout=30), names)
+    got = rows(knn_impute(df, 5), names)
     want = brute_impute(x, 5)
     want = np.array(sorted(map(tuple, want)))
     np.testing.assert_allclose(got, want, rtol=1e-9)
@@ -67,7 +75,7 @@ def test_predict_matches_brute_force(spark, weights):
     new = pd.DataFrame({"a": rng.integers(0, 50, 80).astype(float),
                         "b": rng.integers(0, 50, 80).astype(float)})
     got = knn_predict(spark.createDataFrame(train), spark.createDataFrame(new), ["a", "b"], "y",
-                      5, weights, cell_rows=16, block_rows=25).toPandas()
+                      5, weights).toPandas()
     for _, r in got.iterrows():
         square = (train.a - r.a) ** 2 + (train.b - r.b) ** 2
         order = np.lexsort((train.y, square))[:5]
@@ -80,3 +88,25 @@ def test_predict_matches_brute_force(spark, weights):
             want = (y / d).sum() / (1 / d).sum()
         assert abs(r.prediction - want) < 1e-9
     assert len(got) == 80
+
+
+def test_odd_columns(spark):
+    """A constant column, one without values, a huge range, and fewer donors than neighbours."""
+    x = np.array([[1.0, 5.0, np.nan, 1e15], [2.0, 5.0, np.nan, np.nan], [4.0, np.nan, np.nan, -1e15], [np.nan, 5.0, np.nan, 3.0]])
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], "a double, b double, c double, d double")
+    got = sorted(tuple(r) for r in knn_impute(df, 5).collect())
+    with np.errstate(all="ignore"):
+        want = brute_impute(np.delete(x, 2, axis=1) * 1.0, 5)
+    assert [r[2] for r in got] == [None] * 4
+    np.testing.assert_allclose(np.array([[r[0], r[1], r[3]] for r in got]), np.array(sorted(map(tuple, want))))
+    assert knn_impute(df.limit(0), 5).count() == 0
+
+
+def test_far_outlier_does_not_hide_the_rest(spark, many_levels):
+    rng = np.random.default_rng(3)
+    train = pd.DataFrame({"a": np.r_[rng.normal(size=200), 1e12], "b": rng.normal(size=201) * 1e-6, "y": np.arange(201.0)})
+    new = pd.DataFrame({"a": rng.normal(size=40), "b": np.zeros(40)})
+    got = knn_predict(spark.createDataFrame(train), spark.createDataFrame(new), ["a", "b"], "y", 3).toPandas()
+    for _, r in got.iterrows():
+        square = (train.a - r.a) ** 2 + (train.b - r.b) ** 2
+        assert abs(r.prediction - train.y[np.argsort(square, kind="stable")[:3]].mean()) < 1e-9

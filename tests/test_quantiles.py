@@ -1,10 +1,12 @@
-"""Exact quantiles, rank blocks and positions, with small limits to force the long path."""
+"""Exact quantiles, sequential fences, rank blocks and positions; few bins force many passes."""
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.functions import quantiles
+from tablewright.functions.fences import sequential_fences
 from tablewright.functions.quantiles import exact_quantiles, order_statistics
 from tablewright.functions.ranking import blocks_by_rank, global_index
 
@@ -22,28 +24,104 @@ def table():
                          "holes": np.where(rng.random(n) < 0.3, np.nan, rng.random(n))})
 
 
-@pytest.mark.parametrize("limits", [{}, {"direct_rows": 100, "gather_rows": 50, "sketch": 100},
-                                    {"direct_rows": 100, "gather_rows": 5000, "sketch": 50}])
-def test_quantiles_equal_pandas(spark, table, limits):
+@pytest.mark.parametrize("bins", [1 << 16, 4])
+def test_quantiles_equal_pandas(spark, table, monkeypatch, bins):
+    monkeypatch.setattr(quantiles, "BINS", bins)
     df = spark.createDataFrame(table).select(
         *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in table.columns])
-    got = exact_quantiles(df, list(table.columns), PROBS, **limits)
+    got = exact_quantiles(df, list(table.columns), PROBS)
     for c in table.columns:
         np.testing.assert_allclose(got[c], table[c].quantile(PROBS), rtol=1e-12, atol=1e-12)
 
 
+def test_quantiles_equal_percentile(spark, table):
+    """Every bit, as both interpolate alike."""
+    df = spark.createDataFrame(table[["flat", "hot"]])
+    got = exact_quantiles(df, ["flat", "hot"], PROBS)
+    want = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in PROBS])) for c in got]).first()
+    assert [got["flat"], got["hot"]] == [list(w) for w in want]
+
+
+def test_extreme_values(spark):
+    values = [float("-inf"), -1.7e308, -1.0, -5e-324, -0.0, 0.0, 5e-324, 2.0, 1.7e308, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values[::-1] * 3] + [(None,)], "a double")
+    got = order_statistics(df, {"a": (F.col("a"), list(range(30)))})["a"]
+    assert got == sorted(values * 3)
+    keys = quantiles.keys_of(np.array(values))
+    assert (np.diff(keys) > 0).sum() == 8 and [quantiles.value_of(int(k)) for k in keys] == values
+
+
 def test_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0)], "a double, b double")
     assert exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [1.0]}
-    assert exact_quantiles(df, ["a", "b"], [0.5], direct_rows=0) == {"a": [None], "b": [1.0]}
+    assert exact_quantiles(df.limit(0), ["a", "b"], [0.5]) == {"a": [None], "b": [None]}
+    assert exact_quantiles(df, [], [0.5]) == {}
 
 
 def test_order_statistics_of_ranks(spark, table):
     df = spark.createDataFrame(table[["hot"]])
     want = np.sort(table.hot.to_numpy())
     ranks = [0, 1, 6666, 10000, 19998, 19999]
-    got = order_statistics(df, {"hot": (F.col("hot"), ranks)}, gather_rows=20, sketch=50)
+    got = order_statistics(df, {"hot": (F.col("hot"), ranks)})
     assert got["hot"] == [want[r] for r in ranks]
+    with pytest.raises(ValueError):
+        order_statistics(df, {"hot": (F.col("hot"), [20000])})
+
+
+def test_wide_tables_take_few_passes(spark, monkeypatch):
+    """Four passes for 45 columns and all their ranks, however values are spread."""
+    rng = np.random.default_rng(2)
+    wide = pd.DataFrame({f"c{i}": np.exp(rng.normal(size=3000) * (i + 1)) * (-1) ** i for i in range(45)})
+    passes = []
+    inner = quantiles.tally
+    monkeypatch.setattr(quantiles, "tally", lambda *a: passes.append(1) or inner(*a))
+    got = exact_quantiles(spark.createDataFrame(wide), list(wide.columns), PROBS)
+    for c in wide.columns:
+        np.testing.assert_allclose(got[c], wide[c].quantile(PROBS), rtol=1e-12)
+    assert len(passes) <= 4
+
+
+def fences_slow(x: pd.DataFrame, factor: float) -> dict:
+    out = {}
+    for c in x.columns:
+        values = x[c].dropna()
+        if not len(values):
+            out[c] = None
+            continue
+        q1, q3 = values.quantile(0.25), values.quantile(0.75)
+        out[c] = (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
+        x = x[~((x[c] < out[c][0]) | (x[c] > out[c][1]))]
+    return out
+
+
+def check_fences(spark, x: pd.DataFrame, factor: float = 1.5, **guess) -> None:
+    df = spark.createDataFrame(x).select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in x.columns])
+    got, want = sequential_fences(df, list(x.columns), factor, **guess), fences_slow(x, factor)
+    for c in x.columns:
+        assert (got[c] is None) == (want[c] is None)
+        if got[c]:
+            np.testing.assert_allclose(got[c], want[c], rtol=1e-12, atol=1e-12, err_msg=c)
+
+
+@pytest.mark.parametrize("bins,slack", [(1 << 16, 0.03), (256, 0.0), (1 << 16, 0.4)])
+def test_sequential_fences(spark, monkeypatch, bins, slack):
+    """Columns that depend on each other, hot values and gaps; bad guesses only take longer."""
+    monkeypatch.setattr(quantiles, "BINS", bins)
+    rng = np.random.default_rng(3)
+    n = 1500
+    a = rng.lognormal(0, 2, n)
+    x = pd.DataFrame({"a": a, "b": a * rng.normal(1, 0.2, n), "hot": np.where(rng.random(n) < 0.7, 5.0, rng.normal(size=n) * 9),
+                      "few": rng.integers(0, 9, n) ** 2.0, "d": -a + rng.normal(size=n) * 50,
+                      "holes": np.where(rng.random(n) < 0.4, np.nan, a ** 2), "empty": np.nan})
+    check_fences(spark, x, slack=slack)
+
+
+def test_sequential_fences_of_small_tables(spark):
+    for rows in ([[1.0, 2.0]], [[1.0, 5.0], [2.0, 5.0], [900.0, 7.0]], [[np.nan, 3.0], [np.nan, 4.0]]):
+        check_fences(spark, pd.DataFrame(rows, columns=["a", "b"]))
+    empty = spark.createDataFrame([], "a double, b int")
+    assert sequential_fences(empty, ["a", "b"], 1.5) == {"a": None, "b": None}
+    assert sequential_fences(empty, [], 1.5) == {}
 
 
 @pytest.mark.parametrize("hot", [0, 700])
