@@ -63,15 +63,15 @@ def keyed(df: DataFrame, *columns: str, key: str | None = None) -> DataFrame:
 
 
 def sampled(df: DataFrame, rows: int, *columns: str) -> DataFrame:
-    """About ``rows`` rows of ``df`` by a hash of the columns and the row, all if there are no more.
+    """About ``rows`` rows of ``df`` by a hash of the columns, all if there are no more.
 
-    For training classifiers only. Each task keeps its share, so nothing is gathered to choose.
+    For training classifiers only. The choice does not depend on files and partitions; rows equal in
+    the columns share a fate, so these should hold an id. Each task keeps its share, so nothing is
+    gathered to choose.
     """
     share = min(1.0, rows / max(1, df.count()))
-    if share == 1.0:
-        return df
-    number = F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id())
-    return df.where(F.pmod(number, F.lit(1 << 30)) < int(share * (1 << 30)))
+    number = F.xxhash64(F.lit(11), *[F.col(f"`{c}`") for c in columns])
+    return df if share == 1.0 else df.where(F.pmod(number, F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
 def bit_table(hashes: DataFrame, bits: int) -> bytes:
@@ -127,7 +127,7 @@ def free_marks(text: str, n: int) -> str:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a fixed number of words."""
 
-    LIMIT = 200_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -1,11 +1,17 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Evidence: for every word and for its beginnings, the number of labelled texts of either class that
-have it, counted over all training rows into a table of fixed size. Labelled tokens: in a toxic text
-the words with strong evidence for themselves or one of their beginnings; none in a clean one. The
-field (outside, toxic) learns weights for the evidence of a token and its neighbours and for the
-transitions. Forward-backward marginals over whole texts give offending offsets, and a logistic
-function of their largest value, sum and share gives the score of the document.
+have it, counted over all training rows into a table of fixed size. Texts that are near-copies of
+each other show a word between the same neighbours, so each count is held down to the number of
+different neighbours that it is seen between. Labelled tokens: in a toxic text the words with strong
+evidence for themselves or one of their beginnings; none in a clean one. The field (outside, toxic)
+learns weights for the evidence of a token and its neighbours and for the transitions.
+
+A text is one chain, whatever its length and whatever is read beside it. Chains are laid out in
+rows of ``ROW`` tokens; every row is first reduced to the change it makes to a message, messages are
+carried from row to row of a text, forwards and backwards, and then run through all rows at once.
+The marginals give offending offsets, and a logistic function of their largest value, sum and share
+gives the score of the document.
 """
 
 from __future__ import annotations
@@ -17,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import bit_table, sampled, slices, within
@@ -26,11 +32,10 @@ from tablewright.session import stage
 TOKEN = re.compile(r"\w+")
 #: slots of the table of evidence; colliding rare words share one
 SLOTS = 1 << 19
-#: prior texts added to each count, as a share of all and at least so many; sightings in one group of
-#: near-copies alone are no strong evidence
-PRIOR_SHARE, PRIOR = 0.005, 4.0
-#: successive tokens of one chain; a text of any length is covered by such chains
-CHAIN = 64
+#: texts added to the counts of every slot, shared out as the classes are
+PRIOR = 8.0
+#: tokens of a row of messages
+ROW = 64
 #: places of the table of labelled ids; its size does not depend on the data
 FILTER_BITS = 24
 #: evidence from which a word of a toxic text counts as a labelled toxic token
@@ -42,64 +47,174 @@ TEMPLATES = 1 + len(BEGINNINGS)
 #: evidence of each template, least and largest of them, least of the word before and after
 WIDTH = TEMPLATES + 4
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashes_of(words: list[str]) -> np.ndarray:
+    """64-bit hashes of each word and its beginnings, in lower case: (words, TEMPLATES)."""
+    low = [w.lower() for w in words]
+    out = np.empty((len(low), TEMPLATES), np.uint64)
+    out[:, 0] = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in low), np.uint64, len(low))
+    chars = np.array(low, f"<U{BEGINNINGS[-1]}").view(np.uint32).reshape(len(low), BEGINNINGS[-1]).astype(np.uint64)
+    state = np.full(len(low), 1, np.uint64)
+    for i in range(BEGINNINGS[-1]):
+        state = (state ^ chars[:, i]) * _ODD
+        state ^= state >> np.uint64(29)
+        if i + 1 in BEGINNINGS:
+            out[:, 1 + BEGINNINGS.index(i + 1)] = state * np.uint64(2 * i + 1)
+    return out
+
+
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * _ODD) >> np.uint64(64 - 19)).astype(np.int64)
+
+
+def indexed(found: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words, the number of each token's word and the tokens of each text."""
+    names: dict[str, int] = {}
+    sizes = np.array([len(w) for w in found], np.int64)
+    index = np.fromiter((names.setdefault(w, len(names)) for own in found for w in own), np.int64, int(sizes.sum()))
+    return list(names), index, sizes
+
+
+def _sightings(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class * SLOTS + slot) of each text's distinct slots; of each token's, and a bit for its neighbours."""
+    words, index, sizes = indexed([TOKEN.findall(t) for t in texts])
+    if not len(index):
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+    hashes = hashes_of(words)
+    slots = slots_of(hashes)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    pair = np.unique(text * len(words) + index)
+    place = np.unique((pair // len(words))[:, None] * SLOTS + slots[pair % len(words)])
+    own = hashes[:, 0][index]
+    edge = np.r_[True, text[1:] != text[:-1]]
+    before = np.where(edge, np.uint64(1), np.roll(own, 1))
+    after = np.where(np.roll(edge, -1), np.uint64(2), np.roll(own, -1))
+    mixed = (before * _ODD) ^ (after * np.uint64(0xD6E8FEB86659FD93))
+    bit = np.uint64(1) << ((mixed * _ODD) >> np.uint64(58))
+    side = toxic * SLOTS
+    return side[place // SLOTS] + place % SLOTS, (side[text][:, None] + slots[index]).ravel(), np.repeat(bit, TEMPLATES)
+
+
+def evidence_of(labelled: DataFrame) -> tuple[np.ndarray, float]:
+    """How much oftener than usual each slot is seen in toxic texts, over all rows of (text, toxic).
+
+    Log odds against the share of toxic texts, which comes second; drawn to 0 by ``PRIOR``. Without
+    texts of both classes there is no evidence.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = np.zeros(2 * SLOTS, np.int64), np.zeros(2 * SLOTS, np.uint64)
+        for batch in batches:
+            for some in slices(batch, "text", 1 << 20):
+                once, every, bits = _sightings(some.column(0).to_pylist(), some.column(1).to_numpy())
+                np.add.at(held, once, 1)
+                np.bitwise_or.at(seen, every, bits)
+        places = np.flatnonzero(held)
+        for at in range(0, len(places), 100_000):
+            here = places[at:at + 100_000]
+            yield pa.RecordBatch.from_pydict({"toxic": here // SLOTS, "slot": here % SLOTS, "n": held[here], "seen": seen[here].view(np.int64)})
+
+    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
+    if not n_clean or not n_toxic:
+        return np.zeros(SLOTS, np.float32), (n_toxic + 0.5) / (n_clean + n_toxic + 1)
+    share = n_toxic / (n_clean + n_toxic)
 
-def slots(word: str) -> list[int]:
-    low = word.lower()
-    parts = (low, *(low[:n] for n in BEGINNINGS))
-    return [xxhash.xxh3_64_intdigest(p.encode(), seed=i) % SLOTS for i, p in enumerate(parts)]
-
-
-class Words(dict):
-    """Slots of words, remembered up to a fixed number of words."""
-
-    LIMIT = 100_000
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        found = self[word] = tuple(slots(word))
-        return found
+    def number(kind: int):
+        mine = F.col("toxic") == kind
+        n = F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
+        filled = F.bit_count(F.coalesce(F.bit_or(F.when(mine, F.col("seen"))), F.lit(0).cast("long")))
+        # places filled of 64 tell how many different neighbours there are, until all are filled
+        return F.when(filled < 64, F.least(n, -64 * F.log(1 - filled / 64))).otherwise(n)
+
+    odds = F.log((number(1) + PRIOR * share) / (number(0) + PRIOR * (1 - share))) - float(np.log(share / (1 - share)))
+    # a number for each slot at most, whatever the number of texts
+    found = labelled.select("text", "toxic").mapInArrow(task, "toxic long, slot long, n long, seen long") \
+        .groupBy("slot").agg(odds.cast("float").alias("odds")).toArrow()
+    out = np.zeros(SLOTS, np.float32)
+    out[found["slot"].to_numpy()] = found["odds"].to_numpy()
+    return out, share
+
+
+class Chains:
+    """Texts of given numbers of tokens in rows of ``ROW``, every text beginning a row."""
+
+    def __init__(self, sizes: np.ndarray):
+        rows = -(-sizes // ROW)
+        self.rows = int(rows.sum())
+        first = np.cumsum(rows) - rows
+        self.place = np.arange(sizes.sum()) + np.repeat(first * ROW - (np.cumsum(sizes) - sizes), sizes)
+        self.number = np.arange(self.rows) - np.repeat(first, rows)  # of a row within its text
+        self.left = np.repeat(rows, rows) - 1 - self.number          # rows of the text behind it
+        self.filled = np.minimum(ROW, np.repeat(sizes, rows) - ROW * self.number)
+
+    def laid(self, values: np.ndarray) -> np.ndarray:
+        """Tokens as (ROW, rows)."""
+        out = np.ones(self.rows * ROW)
+        out[self.place] = values
+        return np.ascontiguousarray(out.reshape(-1, ROW).T)
+
+    def flat(self, values: np.ndarray) -> np.ndarray:
+        return values.T.reshape(-1)[self.place]
 
+    @staticmethod
+    def _by(number: np.ndarray) -> list[np.ndarray]:
+        """Rows by their number, from 0 on."""
+        order = np.argsort(number, kind="stable")
+        return np.split(order, np.searchsorted(number[order], np.arange(1, number.max(initial=0) + 1)))
 
-_words = Words()
+    def messages(self, emit: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ratios of toxic to outside of the forward and the backward messages at every token.
 
+        ``emit`` are the exponentials of the tokens' toxic scores. A step changes a ratio x into
+        (a x + b) / (c x + d), so a row changes it by a product of such 2 x 2 matrices.
+        """
+        (k00, k01), (k10, k11) = np.exp(moves)
+        e = self.laid(emit)
+        forward, backward = np.empty_like(e), np.empty_like(e)
+        later = self._by(self.number)
+        forward[0] = e[0]
+        if len(later) > 1:
+            on = np.flatnonzero(self.left > 0)
+            a, b, c, d = self._product(len(on), ((e[t, on] * k11, e[t, on] * k01, k10, k00) for t in range(1, ROW)))
+            where = np.empty(self.rows, np.int64)
+            where[on] = np.arange(len(on))
+            for rows in later[1:]:
+                i = where[rows - 1]
+                x = (a[i] * forward[0, rows - 1] + b[i]) / (c[i] * forward[0, rows - 1] + d[i])
+                forward[0, rows] = e[0, rows] * (k11 * x + k01) / (k10 * x + k00)
+        for t in range(1, ROW):
+            x = forward[t - 1]
+            forward[t] = e[t] * (k11 * x + k01) / (k10 * x + k00)
+        backward[-1] = 1.0
+        if len(later) > 1:
+            on = np.flatnonzero(self.number > 0)
+            there = [self.filled[on] > t for t in range(ROW)]  # a place behind the text's end sends 1
+            a, b, c, d = self._product(len(on), (
+                (np.where(there[t], e[t, on] * k11, 0), np.where(there[t], k10, 1), np.where(there[t], e[t, on] * k01, 0), np.where(there[t], k00, 1))
+                for t in range(ROW - 1, 0, -1)))
+            where = np.empty(self.rows, np.int64)
+            where[on] = np.arange(len(on))
+            for rows in self._by(self.left)[1:]:
+                i = where[rows + 1]
+                x = (a[i] * backward[-1, rows + 1] + b[i]) / (c[i] * backward[-1, rows + 1] + d[i])
+                x = x * e[0, rows + 1]
+                backward[-1, rows] = (k11 * x + k10) / (k01 * x + k00)
+        for t in range(ROW - 1, 0, -1):
+            x = e[t] * backward[t]
+            backward[t - 1] = np.where(self.filled > t, (k11 * x + k10) / (k01 * x + k00), 1.0)
+        return self.flat(forward), self.flat(backward)
 
-def count_evidence(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Texts of each class by slot, and their numbers, over all rows of (text, toxic)."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, SLOTS + 1), np.int64)
-        for batch in batches:
-            for some in slices(batch, "text"):
-                for text, toxic in zip(*(c.to_pylist() for c in some.columns), strict=True):
-                    own = {s for w in set(TOKEN.findall(text)) for s in _words[w]}
-                    held[toxic, list(own)] += 1
-                    held[toxic, SLOTS] += 1
-        kind, slot = np.nonzero(held)
-        for at in range(0, len(slot), 100_000):
-            here = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_pydict({"toxic": kind[here], "slot": slot[here], "n": held[kind[here], slot[here]]})
-
-    # two numbers for each slot at most, whatever the number of texts
-    sums = labelled.mapInArrow(task, "toxic long, slot long, n long").groupBy("toxic", "slot") \
-        .agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((2, SLOTS + 1), np.int64)
-    counts[sums["toxic"].to_numpy(), sums["slot"].to_numpy()] = sums["n"].to_numpy()
-    return counts[0, :-1], counts[1, :-1], int(counts[0, -1]), int(counts[1, -1])
-
-
-def log_odds(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
-    """How much oftener than usual a slot is seen in toxic texts, drawn to 0 by the prior."""
-    share, prior = n_toxic / (n_clean + n_toxic), max(PRIOR, PRIOR_SHARE * (n_clean + n_toxic))
-    return (np.log((toxic + prior * share) / (clean + prior * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
-
-
-def chains(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens by row as (chains, CHAIN, ...) and which places are filled, at the end of a chain."""
-    n = -(-len(values) // CHAIN) * CHAIN
-    out = np.zeros((n, *values.shape[1:]), values.dtype)
-    out[:len(values)] = values
-    filled = np.arange(n) < len(values)
-    return out.reshape(-1, CHAIN, *values.shape[1:]), filled.reshape(-1, CHAIN)
+    @staticmethod
+    def _product(n: int, steps) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The product of the steps' matrices up to a factor, the first step applied first."""
+        a, b, c, d = np.ones(n), np.zeros(n), np.zeros(n), np.ones(n)
+        for s, t, u, v in steps:
+            a, b, c, d = s * a + t * c, s * b + t * d, u * a + v * c, u * b + v * d
+            size = a + b + c + d
+            a, b, c, d = a / size, b / size, c / size, d / size
+        return a, b, c, d
 
 
 @dataclass
@@ -111,48 +226,16 @@ class Field:
 
     def word_features(self, words: list[str]) -> np.ndarray:
         """Evidence of each template, its least and its largest value."""
-        found = np.array([_words[w] for w in words], np.int64).reshape(-1, TEMPLATES)
-        own = self.evidence[found]
-        return np.column_stack([own, own.min(axis=1), own.max(axis=1)]) if len(words) else np.zeros((0, TEMPLATES + 2))
-
-    def marginals(self, score: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For chains of toxic scores: P(toxic) of each token, and P(both toxic), P(in), P(out) of each step.
+        if not words:
+            return np.zeros((0, TEMPLATES + 2))
+        own = self.evidence[slots_of(hashes_of(words))]
+        return np.column_stack([own, own.min(axis=1), own.max(axis=1)])
 
-        ``starts`` marks tokens that begin a text, where nothing passes over from before.
-        """
-        n, size = score.shape
-        into = np.exp(self.moves)
-        emit = np.exp(np.clip(score, -30, 30))
-        forward = np.empty((size, 2, n))
-        alpha = np.vstack([np.ones(n), emit[:, 0]])
-        forward[0] = alpha / alpha.sum(axis=0)
-        for t in range(1, size):
-            prev = forward[t - 1]
-            out = prev[0] + prev[1] * into[1, 0]
-            tox = prev[0] * into[0, 1] + prev[1] * into[1, 1]
-            fresh = starts[:, t]
-            alpha[0] = np.where(fresh, 1, out)
-            alpha[1] = np.where(fresh, 1, tox) * emit[:, t]
-            forward[t] = alpha / alpha.sum(axis=0)
-        back = np.ones((2, n))
-        toxic = np.empty((n, size))
-        steps = np.zeros((3, n, size))
-        for t in range(size - 1, -1, -1):
-            joint = forward[t] * back
-            toxic[:, t] = joint[1] / joint.sum(axis=0)
-            if t:
-                fresh = starts[:, t]
-                next_tox = emit[:, t] * back[1]
-                prev = forward[t - 1]
-                both, enter, leave = (prev[1] * into[1, 1] * next_tox, prev[0] * into[0, 1] * next_tox,
-                                      prev[1] * into[1, 0] * back[0])
-                total = both + enter + leave + prev[0] * back[0]
-                for i, part in enumerate((both, enter, leave)):
-                    steps[i, :, t] = np.where(fresh, 0, part / total)
-                tox = np.where(fresh, 1, into[1, 0] * back[0] + into[1, 1] * next_tox)
-                back = np.vstack([np.where(fresh, 1, back[0] + into[0, 1] * next_tox), tox])
-                back /= back.sum(axis=0)
-        return toxic, steps
+    def marginals(self, score: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """P(toxic) of the tokens of several texts, laid end to end."""
+        forward, backward = Chains(sizes).messages(np.exp(np.clip(score, -30, 30)), self.moves)
+        both = forward * backward
+        return both / (1 + both)
 
     def tag(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[tuple[int, int]]]]:
         """P(toxic) of the tokens of each text, and their offsets."""
@@ -161,23 +244,15 @@ class Field:
         return self.tag_words(found), places
 
     def tag_words(self, found: list[list[str]]) -> list[np.ndarray]:
-        sizes = np.array([len(w) for w in found])
-        if not sizes.sum():
+        words, index, sizes = indexed(found)
+        if not len(index):
             return [np.zeros(0)] * len(found)
-        names = {w: i for i, w in enumerate(dict.fromkeys(w for own in found for w in own))}
-        own = self.word_features(list(names))
-        index = np.fromiter((names[w] for ws in found for w in ws), np.int64, int(sizes.sum()))
-        first = np.zeros(len(index), bool)
-        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-        # the score of a word is a sum, so its own part and its part for neighbours are one number each
-        least = own[:, TEMPLATES][index]
-        inner = (own @ self.weights[:TEMPLATES + 2] + self.weights[-1])[index]
-        before = np.where(first, 0, np.roll(least, 1))
-        after = np.where(np.roll(first, -1), 0, np.roll(least, -1))
-        score = inner + before * self.weights[TEMPLATES + 2] + after * self.weights[TEMPLATES + 3]
-        rows, _ = chains(score)
-        toxic, _ = self.marginals(rows, chains(first)[0])
-        return np.split(toxic.reshape(-1)[:len(index)], np.cumsum(sizes)[:-1])
+        own = self.word_features(words)
+        # summed feature by feature: a text's numbers must not depend on what is beside it
+        inner = sum(own[:, i] * self.weights[i] for i in range(TEMPLATES + 2)) + self.weights[-1]
+        before, after = neighbours(own[:, TEMPLATES][index], sizes)
+        score = inner[index] + before * self.weights[TEMPLATES + 2] + after * self.weights[TEMPLATES + 3]
+        return np.split(self.marginals(score, sizes), np.cumsum(sizes)[:-1])
 
     @staticmethod
     def summary(marginals: list[np.ndarray]) -> np.ndarray:
@@ -187,47 +262,55 @@ class Field:
         return np.array(rows).reshape(-1, 4)
 
     def score(self, marginals: list[np.ndarray]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.summary(marginals) @ self.document, -30, 30)))
+        z = self.summary(marginals)
+        return 1 / (1 + np.exp(-np.clip(sum(z[:, i] * self.document[i] for i in range(4)), -30, 30)))
+
+
+def neighbours(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value of the token before and after each, 0 at the ends of a text."""
+    first = np.zeros(len(values), bool)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    return np.where(first, 0, np.roll(values, 1)), np.where(np.roll(first, -1), 0, np.roll(values, -1))
 
 
 def _train(texts: list[str], toxic: np.ndarray, evidence: np.ndarray, share: float, steps: int = 80) -> Field:
     """Gradient steps on the likelihood of the labelled tokens, then of the documents."""
     model = Field(evidence, np.zeros(WIDTH + 1), np.zeros((2, 2)), np.zeros(4))
     found = [TOKEN.findall(t) for t in texts]
-    sizes = np.array([len(w) for w in found])
-    names = {w: i for i, w in enumerate(dict.fromkeys(w for own in found for w in own))}
-    index = np.fromiter((names[w] for own in found for w in own), np.int32, int(sizes.sum()))
-    own = model.word_features(list(names))
-    first = np.zeros(len(index), bool)
-    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    words, index, sizes = indexed(found)
     # features of a token: those of its word, the least evidence of the words around, a constant
     x = np.ones((len(index), WIDTH + 1), np.float32)
-    x[:, :TEMPLATES + 2] = own[index]
-    least = x[:, TEMPLATES]
-    x[:, TEMPLATES + 2] = np.where(first, 0, np.roll(least, 1))
-    x[:, TEMPLATES + 3] = np.where(np.roll(first, -1), 0, np.roll(least, -1))
-    y = (x[:, TEMPLATES + 1] >= STRONG) & np.repeat(toxic > 0, sizes)
-    if y.any():
-        x1, filled = chains(x)
-        del x, least, index
-        starts, gold = chains(first)[0], chains(y)[0]
-        inside = filled & ~starts
-        inside[:, 0] = False
-        before = np.roll(gold, 1, axis=1)
-        gold_steps = [(before & gold & inside).sum(), (~before & gold & inside).sum(), (before & ~gold & inside).sum()]
+    x[:, :TEMPLATES + 2] = model.word_features(words)[index]
+    x[:, TEMPLATES + 2], x[:, TEMPLATES + 3] = neighbours(x[:, TEMPLATES], sizes)
+    gold = (x[:, TEMPLATES + 1] >= STRONG) & np.repeat(toxic > 0, sizes)
+    if gold.any():
+        chains = Chains(sizes)
+        inside = np.ones(len(gold), bool)  # tokens that have one before them
+        inside[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
+        inside = np.flatnonzero(inside)
+        was, now = gold[inside - 1], gold[inside]
+        gold_steps = np.array([(was & now).sum(), (~was & now).sum(), (was & ~now).sum()])
         theta, mean, square = np.zeros(WIDTH + 4), np.zeros(WIDTH + 4), np.zeros(WIDTH + 4)
-        n = filled.sum()
-        for k in range(1, steps + 1):
+
+        def set_weights():
             model.weights = theta[:WIDTH + 1]
             model.moves = np.array([[0, theta[WIDTH + 2]], [theta[WIDTH + 3], theta[WIDTH + 1]]])
-            p, moved = model.marginals(x1 @ model.weights.astype(np.float32), starts)
-            wrong = np.where(filled, p - gold, 0).astype(np.float32)
-            grad = np.concatenate([np.einsum("nt,ntw->w", wrong, x1),
-                                   [(moved[i] * inside).sum() - gold_steps[i] for i in range(3)]]) / n + 1e-5 * theta
+
+        for k in range(1, steps + 1):
+            set_weights()
+            emit = np.exp(np.clip((x @ model.weights.astype(np.float32)).astype(float), -30, 30))
+            forward, backward = chains.messages(emit, model.moves)
+            both = forward * backward
+            wrong = (both / (1 + both) - gold).astype(np.float32)
+            (k00, k01), (k10, k11) = np.exp(model.moves)
+            prev, ahead = forward[inside - 1], (emit * backward)[inside]
+            stay, enter, leave = k11 * prev * ahead, k01 * ahead, k10 * prev
+            total = stay + enter + leave + k00
+            moved = np.array([(part / total).sum() for part in (stay, enter, leave)])
+            grad = np.concatenate([wrong @ x, moved - gold_steps]) / len(gold) + 1e-5 * theta
             mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad ** 2
             theta = theta - 0.3 * (mean / (1 - 0.9 ** k)) / (np.sqrt(square / (1 - 0.99 ** k)) + 1e-8)
-        model.weights = theta[:WIDTH + 1]
-        model.moves = np.array([[0, theta[WIDTH + 2]], [theta[WIDTH + 3], theta[WIDTH + 1]]])
+        set_weights()
     z = model.summary(model.tag_words(found))
     w = np.zeros(4)
     for _ in range(30):  # Newton steps with a ridge
@@ -251,27 +334,30 @@ def _marked(texts: DataFrame, bits: bytes) -> DataFrame:
     return texts.select(F.xxhash64("doc_id"), "doc_id", "text").mapInArrow(task, "doc_id long, text string")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 600) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 600, characters: int = 4_000_000) -> Field:
     """Learn from labelled rows outside the held-out fold.
 
-    Evidence is counted over all of them; the field and the document
-    function are fitted on about ``sample`` texts of either class, chosen by a hash. A document with
-    several labels is toxic if one says so; missing labels, ids and texts take no part. Without
-    texts of both classes every score is the share of toxic ones (one half if there are none).
+    Evidence is counted over all of them; the field and the document function are fitted on about
+    ``sample`` texts of either class, of at most ``characters`` characters together, chosen by a hash
+    of id and text, so that files and partitions do not matter. A document with several labels is
+    toxic if one says so; missing labels, ids and texts take no part. Without texts of both classes
+    every score is the share of toxic ones (one half if there are none).
     """
     marks = labels.where("toxic is not null and doc_id is not null and crc32(cast(doc_id as string)) % 5 <> 0") \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # labels grow with the documents, so their texts are shuffled; those of other documents are not
     bits = bit_table(marks.select(F.xxhash64("doc_id").alias("hash")), FILTER_BITS)
-    labelled = stage(_marked(texts, bits).join(marks.hint("merge"), "doc_id").select("text", (F.col("toxic") > 0).cast("long").alias("toxic")), "labelled")
-    clean, toxic, n_clean, n_toxic = count_evidence(labelled)
-    if not n_clean or not n_toxic:
-        share = (n_toxic + 0.5) / (n_clean + n_toxic + 1)
+    labelled = stage(_marked(texts, bits).join(marks.hint("merge"), "doc_id")
+                     .select("text", (F.col("toxic") > 0).cast("long").alias("toxic"), F.xxhash64("doc_id", "text").alias("key")), "labelled")
+    evidence, share = evidence_of(labelled)
+    rows = []
+    for kind in (0, 1):
+        own = sampled(labelled.where(F.col("toxic") == kind), sample, "key")
+        so_far = F.sum(F.length("text")).over(Window.partitionBy("toxic").orderBy("key", "text"))  # of the sampled texts alone
+        rows += own.withColumn("so_far", so_far).where(F.col("so_far") <= characters).orderBy("key", "text").collect()
+    if len({r["toxic"] for r in rows}) < 2:
         return Field(np.zeros(SLOTS), np.zeros(WIDTH + 1), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
-    share = n_toxic / (n_clean + n_toxic)
-    evidence = log_odds(clean, toxic, n_clean, n_toxic)
-    rows = [r for kind in (0, 1) for r in sampled(labelled.where(F.col("toxic") == kind), sample, "text").collect()]
     return _train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], float), evidence, share)
 
 
@@ -285,8 +371,11 @@ SCORES = "doc_id long, held_out boolean, score double, predicted int, spans arra
 def score(docs: DataFrame, model: Field) -> DataFrame:
     """Score of every row and the offsets of its toxic words.
 
-    Missing and empty texts have no tokens and get the score of a text without toxic ones. A row
-    without doc_id is not held out.
+    A score depends on the text and the model alone: equal texts have equal scores in any order,
+    file layout and batch. Missing and empty texts have no tokens and get the score of a text
+    without toxic ones. A row without doc_id is not held out; repeated ids keep their rows. Texts of
+    any length are one chain. An empty table gives no rows. Only doc_id and text are used, so
+    further columns may have any name.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

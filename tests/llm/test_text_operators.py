@@ -180,13 +180,30 @@ def test_toxicity_held_out(spark):
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.97
 
 
+def marginals_slow(score, moves):
+    """Forward-backward over one text, token by token."""
+    move = np.exp(moves)
+    emit = np.stack([np.ones(len(score)), np.exp(score)], axis=1)
+    forward, backward = np.zeros((len(score), 2)), np.ones((len(score), 2))
+    for t in range(len(score)):
+        forward[t] = emit[t] * (forward[t - 1] @ move if t else 1)
+        forward[t] /= forward[t].sum()
+    for t in range(len(score) - 2, -1, -1):
+        backward[t] = move @ (emit[t + 1] * backward[t + 1])
+        backward[t] /= backward[t].sum()
+    both = forward * backward
+    return both[:, 1] / both.sum(axis=1)
+
+
+def field(moves=((0, -0.7), (0.3, 1.1))):
+    return toxicity.Field(np.zeros(1), np.zeros(toxicity.WIDTH + 1), np.array(moves), np.zeros(4))
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(1)
-    model = toxicity.Field(np.zeros(1), np.zeros(toxicity.WIDTH + 1), np.array([[0, -0.7], [0.3, 1.1]]), np.zeros(4))
+    model = field()
     score = rng.normal(size=(3, 6))
-    starts = np.zeros((3, 6), bool)
-    starts[:, 0] = True
-    got, _ = model.marginals(score, starts)
+    got = model.marginals(score.ravel(), np.array([6, 6, 6])).reshape(3, 6)
     for row, out in zip(score, got, strict=True):
         total, tox = 0.0, np.zeros(6)
         for path in range(64):
@@ -196,6 +213,54 @@ def test_marginals_equal_enumeration():
         assert np.allclose(out, tox / total)
 
 
+@pytest.mark.parametrize("moves", [((0, -0.7), (0.3, 1.1)), ((0, -9), (-9, 3)), ((0, 4), (5, -8))])
+def test_marginals_of_whole_texts(moves):
+    """One chain per text, however long it is and whatever is beside it."""
+    rng = np.random.default_rng(2)
+    sizes = np.array([1, 63, 0, 64, 65, 5_000, 2, 128, 129, 0])
+    scores = [rng.normal(size=n) * 8 for n in sizes]
+    model = field(moves)
+    got = np.split(model.marginals(np.concatenate(scores), sizes), np.cumsum(sizes)[:-1])
+    for score, own in zip(scores, got, strict=True):
+        alone = model.marginals(score, np.array([len(score)]))
+        assert (own == alone).all() and np.allclose(own, marginals_slow(score, model.moves), rtol=1e-9, atol=1e-12)
+
+
+def test_toxicity_does_not_depend_on_layout(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    moved = docs.orderBy("text").repartition(7)
+    again = toxicity.fit(moved, labels.repartition(3))
+    assert all(np.array_equal(getattr(model, f), getattr(again, f)) for f in ("evidence", "weights", "moves", "document"))
+    want = {r.doc_id: (r.score, r.predicted, r.spans) for r in toxicity.score(docs, model).collect()}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        assert {r.doc_id: (r.score, r.predicted, r.spans) for r in toxicity.score(moved, model).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_rare_language_is_learned_and_copies_are_not(spark):
+    """Insults of one toxic text in a hundred are evidence; the words of one much copied text are not."""
+    rng = random.Random(6)
+    common = [f"word{i}" for i in range(400)]
+
+    def prose(*extra):
+        words = [rng.choice(common) for _ in range(60)]
+        for e in extra:
+            words[rng.randrange(60)] = e
+        return " ".join(words)
+
+    rows = [(prose(), 0) for _ in range(9_000)] + [(prose("slur", "taunt"), 1) for _ in range(990)] + [(prose("zwets", "bomen"), 1) for _ in range(10)]
+    copied = prose("gardenia", "lantern")
+    rows += [(copied + f" word{i}", 1) for i in range(200)]
+    evidence, share = toxicity.evidence_of(spark.createDataFrame(rows, "text string, toxic long"))
+    own = {w: evidence[toxicity.slots_of(toxicity.hashes_of([w]))[0, 0]] for w in ("slur", "zwets", "bomen", "gardenia", "word7")}
+    assert min(own["slur"], own["zwets"], own["bomen"]) > toxicity.STRONG > max(own["gardenia"], own["word7"])
+
+
 def test_toxicity_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1, 1), (3, 1, 0), (6, 1, 1), (None, 1, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)
@@ -367,5 +432,5 @@ def test_pieces_without_frequent_units(spark, vocabulary, documents, monkeypatch
     frame = spark.createDataFrame(documents[:20], "doc_id long, text string")
     kind = "n_pieces long, ids_crc32 long, round_trip boolean"
     want = sorted(map(tuple, pieces.encode(frame, vocabulary, ["doc_id"], kind, pieces.digests).collect()))
-    monkeypatch.setattr(pieces, "frequent", lambda encoded: {})
+    monkeypatch.setattr(pieces, "frequent", lambda encoded: pieces.Known.of([], np.zeros(0, np.uint32), np.zeros(1, np.int64)))
     assert sorted(map(tuple, pieces.encode(frame, vocabulary, ["doc_id"], kind, pieces.digests).collect())) == want
