@@ -87,7 +87,7 @@ def _(t):
     for model in ("sqft_living", "grade", "condition"):
         entry = monitor.prediction_log(rows.filter(F.col("model") == model))
         store.append_history(entry.withColumn("model", F.lit(model)), path)
-    return rounded(t.spark.read.parquet(path).select("model", "mean", "input_rows"), 4)
+    return rounded(store.read_history(t.spark, path).select("model", "mean", "input_rows"), 4)
 
 
 @query("s_dup_inject")

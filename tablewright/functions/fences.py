@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import any_of, col
+from tablewright.functions.columns import any_of, col, one_row
 from tablewright.functions.quantiles import Tally, Window, as_doubles, interpolated, tally, value_of
 from tablewright.session import stage
 
@@ -168,3 +168,51 @@ def sequential_fences(df: DataFrame, names: list[str], factor: float,
                     beside = _beside(tallies[window], r.window)
                     r.below, r.above = beside[0] - rest[r.window].below, beside[1] - rest[r.window].above
     return {c: None if z == NEVER else (z[0], z[2]) for c, z in zip(names, zones, strict=True)}
+
+
+#: deviations from the mean within which a row is taken to be kept by a z-score filter
+INNER = 2.5
+
+
+def sequential_zscores(df: DataFrame, names: list[str], limit: float, inner: float = INNER) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation of every column among the rows that the columns before it keep.
+
+    A column keeps what lies within ``limit`` deviations. Rows that are near the mean in all columns
+    are surely kept, so their sums are taken once; the few others are written, and each column's
+    sums over those still left are added. If a column's limits turn out to cut into the rows taken
+    as kept, these were too many, and it starts again with fewer. Columns that are constant by then
+    are left out.
+    """
+    values = as_doubles(df, [col(c) for c in names])
+    width = range(len(names))
+    first = one_row(values, [f(f"v{i}") for i in width for f in (F.avg, F.stddev_pop)])
+    origin, spread = [m or 0.0 for m in first[::2]], [s or 0.0 for s in first[1::2]]
+
+    def gap(i: int) -> Column:
+        return F.col(f"v{i}") - F.lit(origin[i])
+
+    def sums(i: int) -> list[Column]:
+        return [F.count(f"v{i}"), F.sum(gap(i)), F.sum(gap(i) * gap(i))]
+
+    while names:
+        far = any_of([F.col(f"v{i}").isNotNull() & ~(F.abs(gap(i)) <= F.lit(inner * spread[i])) for i in width])
+        near = one_row(values.where(~far), [s for i in width for s in sums(i)]) if inner >= 0 else [0] * (3 * len(names))
+        rest = stage(values.where(far) if inner >= 0 else values, "far")
+        found: dict[str, tuple[float, float]] = {}
+        for i, c in enumerate(names):
+            n, shift, square = ((a or 0) + (b or 0) for a, b in zip(near[3 * i:3 * i + 3], one_row(rest, sums(i)), strict=True))
+            if not n:
+                continue
+            mean = origin[i] + shift / n
+            std = math.sqrt(max(square / n - (shift / n) ** 2, 0.0))
+            if not std or std < 1e-12 * spread[i]:
+                continue
+            found[c] = (mean, std)
+            reach = limit * std - abs(mean - origin[i])
+            if inner >= 0 and reach < inner * spread[i]:
+                inner = 0.9 * reach / spread[i] if reach > 0 else -1.0
+                break
+            rest = rest.where(~F.coalesce(F.abs((F.col(f"v{i}") - F.lit(mean)) / F.lit(std)) > F.lit(float(limit)), F.lit(False)))
+        else:
+            return found
+    return {}

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from tablewright.fixed_values import IQR_FACTOR, SPARSE_SHARE, ZSCORE_LIMIT
 from tablewright.functions.columns import (all_of, any_of, col, long_form, numeric_columns,
                                            one_row, text_columns)
-from tablewright.functions.fences import sequential_fences
+from tablewright.functions.fences import sequential_fences, sequential_zscores
 from tablewright.functions.quantiles import exact_quantiles
 from tablewright.operators import neighbors
 from tablewright.operators.profile import iqr_bounds, missing_cells, outside
+from tablewright.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -117,6 +118,31 @@ def missing_report(before: DataFrame, after: DataFrame, strategy: str) -> DataFr
 
 # ---- duplicates -----------------------------------------------------------------------------
 
+COPIES = "_copies"
+
+
+def row_groups(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number of copies, written once for table, report and profile.
+
+    Whole rows cross the network here and nowhere else; copies are counted map-side first.
+    """
+    return stage(df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES)), "rows")
+
+
+def distinct_rows(groups: DataFrame, keep: str | bool = "first") -> DataFrame:
+    """What ``dedup`` keeps, from ``row_groups``."""
+    if keep not in ("first", "last", False):
+        raise ValueError(f"keep must be 'first', 'last' or False, not {keep!r}")
+    return (groups.where(F.col(COPIES) == 1) if keep is False else groups).drop(COPIES)
+
+
+def copies_report(groups: DataFrame, keep: str | bool = "first") -> DataFrame:
+    """Duplicates found and removed, from ``row_groups``. All of them go whatever is kept."""
+    found = F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0))
+    return groups.agg(found.alias("duplicates_before"), found.alias("duplicates_removed")) \
+        .withColumn("keep_strategy", F.lit(str(keep).lower()))
+
+
 def dedup(df: DataFrame, keep: str | bool = "first") -> DataFrame:
     """Drop repeated rows; equal rows are interchangeable, so 'first' and 'last' agree.
 
@@ -132,10 +158,7 @@ def dedup(df: DataFrame, keep: str | bool = "first") -> DataFrame:
 
 def duplicate_report(df: DataFrame, keep: str | bool = "first") -> DataFrame:
     """Duplicates found and removed. All of them go whatever is kept."""
-    groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    found = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
-    return groups.agg(found.alias("duplicates_before"), found.alias("duplicates_removed")) \
-        .withColumn("keep_strategy", F.lit(str(keep).lower()))
+    return copies_report(df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES)), keep)
 
 
 # ---- outliers -------------------------------------------------------------------------------
@@ -181,27 +204,22 @@ def fit_outliers(df: DataFrame, method: str = "iqr", columns: list[str] | None =
     """Fit the outlier filter; ``sequential`` takes each column's statistics from the survivors
     of the columns before it.
 
-    Fences of all columns are narrowed together. The z-score takes a pass a column: earlier tests
-    are literal predicates, so every step reads only the columns it needs from the stored table and
-    pushes the tests down.
+    All columns together take a few passes over the table, see ``functions.fences``.
     """
     names = [c for c in (columns or numeric_columns(df)) if c in df.columns]
     rules = OutlierRules(method, factor, sequential=sequential)
-    if method not in ("iqr", "zscore"):
-        raise ValueError(f"unknown outlier method: {method}")
     if method == "iqr":
         bounds = (sequential_fences if sequential else iqr_bounds)(df, names, factor)
         rules.tests = [(c, {"bounds": bounds[c]}) for c in names]
-        return rules
-    if not sequential:
-        found = one_row(df, [f(col(c)) for c in names for f in (F.avg, F.stddev_pop)])
-        pairs = list(zip(names, found[::2], found[1::2]))
-        rules.tests = [(c, {"mean": m, "std": s}) for c, m, s in pairs if s]
-        return rules
-    for c in names:
-        mean, std = one_row(rules.apply(df), [F.avg(col(c)), F.stddev_pop(col(c))])
-        if std:
-            rules.tests.append((c, {"mean": mean, "std": std}))
+    elif method == "zscore":
+        if sequential:
+            found = sequential_zscores(df, names, float(ZSCORE_LIMIT))
+        else:
+            flat = one_row(df, [f(col(c)) for c in names for f in (F.avg, F.stddev_pop)])
+            found = {c: (m, s) for c, m, s in zip(names, flat[::2], flat[1::2]) if s}
+        rules.tests = [(c, {"mean": m, "std": s}) for c, (m, s) in found.items()]
+    else:
+        raise ValueError(f"unknown outlier method: {method}")
     return rules
 
 

@@ -16,6 +16,7 @@ from tablewright.operators import (charts, clean, features, metrics, models, mon
 from tablewright.session import stage, together
 from tablewright.sources import store
 from tablewright.sources.config import load_settings
+from tablewright.sources.history import PARTS
 from tablewright.sources.tables import read_table, write_table
 
 log = logging.getLogger(__name__)
@@ -38,7 +39,8 @@ def clean_job(raw: DataFrame, missing: str = "mean", duplicates: bool = True,
               ) -> CleanResult:
     """Impute, drop duplicates, filter outliers, fix types, scale; reports stay lazy.
 
-    The deduplicated table is staged once because the outlier filter reads it column by column.
+    The deduplicated table is written once, as the outlier filter reads its columns several times;
+    the report counts from it too.
     """
     columns = None if impute_target else [c for c in raw.columns if c != target]
     fills = None
@@ -50,10 +52,11 @@ def clean_job(raw: DataFrame, missing: str = "mean", duplicates: bool = True,
     out = CleanResult(filled, raw, fills=fills)
     out.reports["missing"] = clean.missing_report(raw, filled, missing)
     if duplicates:
-        out.reports["duplicates"] = clean.duplicate_report(filled)
-        out.table = clean.dedup(filled)
+        groups = clean.row_groups(filled)
+        out.reports["duplicates"] = clean.copies_report(groups)
+        out.table = clean.distinct_rows(groups)
     if outliers:
-        base = stage(out.table, "deduplicated")
+        base = out.table if duplicates else stage(out.table, "filled")
         names = [c for c in profile.numeric_columns(base) if c != target]
         rules = clean.fit_outliers(base, method, names, sequential=sequential)
         out.reports["outliers"] = rules.report(base)
@@ -355,9 +358,14 @@ def run(spark: SparkSession, settings: dict | None = None, settings_path: str |
             store.append_history(
                 spark.createDataFrame(row, "run_id string, model string, rmse double, mae double, r2 double")
                 .withColumn("ts", F.current_timestamp()), f"{watch}/metrics")
-            seen = monitor.summary(
-                spark, read_table(spark, f"{watch}/alerts", "parquet", missing="none"),
-                read_table(spark, f"{watch}/metrics", "parquet", missing="none"), base is not None)
+            if d["save_model_package"]:  # the package as it will be used, on the rows this run began with
+                served = store.load_package(spark, d["deployment_dir"])
+                answers = served.score(read_table(spark, paths["raw_data_path"]).drop(target))
+                store.append_history(monitor.prediction_log(answers), f"{watch}/prediction_log")
+            for name in ("metrics", "prediction_log"):
+                store.trim_history(spark, f"{watch}/{name}", after=PARTS)
+            seen = monitor.summary(spark, store.read_history(spark, f"{watch}/alerts"),
+                                   store.read_history(spark, f"{watch}/metrics"), base is not None)
             for name, table in seen.items():
                 write_table(table, f"{watch}/{name}", "parquet")
         return {"deployment_dir": d["deployment_dir"], "monitoring_dir": d["monitoring_dir"]}

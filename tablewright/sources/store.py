@@ -11,6 +11,7 @@ from pyspark.ml.regression import (DecisionTreeRegressionModel, GBTRegressionMod
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.fixed_values import LOG_ENTRIES_KEPT
 from tablewright.operators.clean import fill
 from tablewright.operators.features import FeaturePlan
 from tablewright.operators.linear import LinearModel
@@ -19,7 +20,7 @@ from tablewright.operators.monitor import baseline
 from tablewright.operators.scale import Scaler
 from tablewright.operators.support import SupportModel
 from tablewright.operators.trees import ExtraTreesModel, TreeModel
-from tablewright.session import stage
+from tablewright.sources.history import History
 
 TREE_LOADERS = {"decision_tree": DecisionTreeRegressionModel,
                 "random_forest": RandomForestRegressionModel,
@@ -182,14 +183,18 @@ def load_baseline(spark: SparkSession, folder: str, training: DataFrame | None =
     return None if training is None else baseline(training, target)
 
 
-def append_history(rows: DataFrame, path: str) -> str:
-    """Add rows to a history table (metrics, prediction log, alerts)."""
-    rows.write.mode("append").parquet(path)
+def append_history(rows: DataFrame, path: str, batch: int | None = None) -> str:
+    """Add rows to a history table (metrics, prediction log, alerts), those of a batch only once."""
+    History(rows.sparkSession, path).append(rows, batch)
     return path
 
 
-def trim_history(spark: SparkSession, path: str, ts: str = "ts", rows: int = 1000) -> str:
-    """Keep the newest ``rows`` rows of a history table; older ones are dropped for good."""
-    kept = stage(spark.read.parquet(path).orderBy(F.desc(ts)).limit(rows), "history")
-    kept.coalesce(1).write.mode("overwrite").parquet(path)
+def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows of a history, or None if there is none yet."""
+    return History(spark, path).read()
+
+
+def trim_history(spark: SparkSession, path: str, ts: str = "ts", rows: int = LOG_ENTRIES_KEPT, after: int = 0) -> str:
+    """Keep the newest ``rows`` rows of a history of more than ``after`` parts; older ones are dropped for good."""
+    History(spark, path).shorten(rows, ts, after)
     return path

@@ -121,8 +121,9 @@ def test_whole_run(spark, raw, tmp_path):
     assert {"comparison", "heat", "ranks", "report", "learning_curve", "quantile_pairs"} <= set(made)
     watched = spark.read.parquet(str(tmp_path / "monitor" / "summary")).first()
     assert watched["total_alerts"] == 0 and watched["rmse"] == report["test"]["rmse"]
-    store.trim_history(spark, str(tmp_path / "monitor" / "metrics"), rows=1)
-    assert spark.read.parquet(str(tmp_path / "monitor" / "metrics")).count() == 1
+    assert store.read_history(spark, str(tmp_path / "monitor" / "metrics")).count() == 1
+    logged = store.read_history(spark, str(tmp_path / "monitor" / "prediction_log")).first()
+    assert logged["input_rows"] == logged["prediction_count"] == raw.count()
     advice = spark.read.parquet(str(tmp_path / "monitor" / "recommendations"))
     assert "no_metrics" not in {r["rule"] for r in advice.collect()}
 
@@ -166,6 +167,6 @@ def test_stream_scores_logs_and_alerts(spark, raw, tmp_path):
     scored = spark.read.parquet(f"{out}/predictions")
     rejected = spark.read.parquet(f"{out}/rejected")
     assert scored.count() + rejected.count() == incoming.count()
-    assert spark.read.parquet(f"{out}/prediction_log").count() == 1
-    alert = spark.read.parquet(f"{out}/alerts").first()
+    assert store.read_history(spark, f"{out}/prediction_log").count() == 1
+    alert = store.read_history(spark, f"{out}/alerts").first()
     assert alert["affected_features"] == "sqft_living"

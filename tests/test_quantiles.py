@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions import quantiles
-from tablewright.functions.fences import sequential_fences
+from tablewright.functions.fences import sequential_fences, sequential_zscores
 from tablewright.functions.quantiles import exact_quantiles, order_statistics
 from tablewright.functions.ranking import blocks_by_rank, global_index
 
@@ -116,6 +116,22 @@ def test_sequential_fences(spark, monkeypatch, bins, slack):
     check_fences(spark, x, slack=slack)
 
 
+@pytest.mark.parametrize("inner", [2.5, 0.5, 40.0])
+def test_sequential_zscores(spark, inner):
+    """A guess that takes too many rows as kept is noticed."""
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=2000)
+    x = pd.DataFrame({"a": np.where(rng.random(2000) < 0.02, 500.0, a), "b": a * 3 + rng.normal(size=2000) ** 3, "same": 4.0,
+                      "holes": np.where(rng.random(2000) < 0.3, np.nan, a ** 5), "empty": np.nan})
+    df = spark.createDataFrame(x).select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in x.columns])
+    got, rest = sequential_zscores(df, list(x.columns), 3.0, inner), x
+    for c in ("a", "b", "holes"):
+        want = rest[c].mean(), rest[c].std(ddof=0)
+        np.testing.assert_allclose(got[c], want, rtol=1e-9)
+        rest = rest[~(((rest[c] - want[0]) / want[1]).abs() > 3)]
+    assert set(got) == {"a", "b", "holes"} and len(rest) < 1970
+
+
 def test_sequential_fences_of_small_tables(spark):
     for rows in ([[1.0, 2.0]], [[1.0, 5.0], [2.0, 5.0], [900.0, 7.0]], [[np.nan, 3.0], [np.nan, 4.0]]):
         check_fences(spark, pd.DataFrame(rows, columns=["a", "b"]))
