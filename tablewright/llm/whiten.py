@@ -16,9 +16,12 @@ of the rows share is no hot key; it is dropped from the fit list by a map-side a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -111,10 +114,19 @@ def local(spark: SparkSession, matrix: np.ndarray) -> BlockMatrix:
     return BlockMatrix(spark.sparkContext.parallelize([((0, 0), block)], 1), *matrix.shape)
 
 
-def projected(rows: DataFrame, fitted: Whitening) -> BlockMatrix:
-    spark, d = rows.sparkSession, len(fitted.sums)
-    matrix = block_matrix(rows, _centred(fitted.n, fitted.sums), 0, d)
-    return multiply(matrix, local(spark, fitted.matrix), 1)
+@contextmanager
+def kept(matrix: BlockMatrix) -> Iterator[BlockMatrix]:
+    """The matrix, its blocks being held while it is used more than once; lost ones are made again."""
+    yield matrix.persist(StorageLevel.MEMORY_AND_DISK)
+    matrix._java_matrix_wrapper.call("blocks").unpersist(False)
+
+
+def components_of(covariance: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Largest eigenvalues, unit eigenvectors over their roots as columns, and which have variance."""
+    values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
+    values, vectors = values[::-1][:most], vectors[:, ::-1][:, :most]
+    real = values > NOISE * max(values[0], 0.0)
+    return values, vectors * np.where(real, 1 / np.sqrt(np.where(real, values, 1.0)), 0.0), real
 
 
 def fit(rows: DataFrame, components: int = 16) -> Whitening | None:
@@ -127,18 +139,14 @@ def fit(rows: DataFrame, components: int = 16) -> Whitening | None:
     d, splits = head.d, int(spark.conf.get("spark.sql.shuffle.partitions"))
     totals = distinct.agg(F.count("*").alias("n"), *[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(d)]).first()
     n, sums = totals.n, list(totals[1:])
-    covariance = scatter(block_matrix(distinct, _centred(n, sums), n, d), splits) / n
-    values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
-    take = min(components, d)
-    values, vectors = values[::-1], vectors[:, ::-1]
+    with kept(block_matrix(distinct, _centred(n, sums), n, d)) as centred:
+        covariance = scatter(centred, splits) / n
+        values, matrix, real = components_of(covariance, components)
+        with kept(multiply(centred, local(spark, matrix), 1)) as whitened:
+            wrong = np.abs(scatter(whitened, splits) / n - np.eye(len(values)))[np.ix_(real, real)]
     trace = float(np.trace(covariance))
-    real = values[:take] > NOISE * max(values[0], 0.0)
-    scaled = np.where(real, 1 / np.sqrt(np.where(real, values[:take], 1.0)), 0.0)
-    matrix = vectors[:, :take] * scaled
-    fitted = Whitening(n, sums, values[:take], matrix, [float(v) / trace if trace > 0 else None for v in values[:take]], None)
-    found = scatter(projected(distinct, fitted), splits) / n
-    wrong = np.abs(found - np.eye(take))[np.ix_(real, real)]
-    return Whitening(n, sums, fitted.values, matrix, fitted.explained, float(wrong.max()) if wrong.size else None)
+    return Whitening(n, sums, values, matrix, [float(v) / trace if trace > 0 else None for v in values],
+                     float(wrong.max()) if wrong.size else None)
 
 
 RESULT = ("vec_id long, component int, n long, deviation long, whitened double, explained double, "
@@ -161,7 +169,8 @@ def whiten(embeddings: DataFrame, components: int = 16) -> DataFrame:
     if fitted is None:
         return embeddings.sparkSession.createDataFrame([], RESULT)
     numbered = stage(row_numbers(rows), "numbered")
-    matrix = projected(numbered, fitted).toIndexedRowMatrix()
+    centred = block_matrix(numbered, _centred(fitted.n, fitted.sums), 0, len(fitted.sums))
+    matrix = multiply(centred, local(embeddings.sparkSession, fitted.matrix), 1).toIndexedRowMatrix()
     values = callMLlibFunc("getIndexedRows", matrix._java_matrix_wrapper._java_model)
     values = MLUtils.convertVectorColumnsToML(values.toDF("row_number", "projected"), "projected") \
         .select("row_number", vector_to_array("projected").alias("projected"))
