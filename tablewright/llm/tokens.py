@@ -240,7 +240,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                         pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     index = spark.read.parquet(f"{folder}/index")
-    return index.repartition(F.col("part")).mapInArrow(task, DOCS)
+    # a given number is not merged into fewer tasks, however small the rows that name the files
+    return index.repartition(max(1, index.count()), "part").mapInArrow(task, DOCS)
 
 
 def token_ids(folder: str, part: int, document: int, width: int) -> np.ndarray:
