@@ -10,9 +10,10 @@ each distinct unit is encoded once:
    them into the best path (Viterbi).
 
 Units are hash-partitioned by their count already, so neither the join (the piece table is of
-fixed size and broadcast) nor the grouping moves edges. Documents are then written out of the
-encoded units: the most frequent ones, a bounded number, go to every task; the rest is joined by
-text. Where a model's scores only number its merges, a piece scores -ln(2 + number), as ranks of
+fixed size and broadcast) nor the grouping moves edges; most substrings that are no piece are
+dropped before the join by a table of bits. Documents are then written out of the encoded units: the
+most frequent ones, a bounded number, go to every task as sorted hashes and one block of ids; the
+rest is joined by text. Where a model's scores only number its merges, a piece scores -ln(2 + number), as ranks of
 frequency do; otherwise its own score counts. Of equal paths the one with the longer last piece is
 taken, from the end of the unit on.
 
@@ -28,7 +29,9 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tablewright.llm.common import free_marks, sampled, slices
+from tablewright.llm.common import bit_table, free_marks, sampled, slices
 from tablewright.session import stage
 
 SPACE = "▁"
@@ -48,6 +51,10 @@ UNIT = 64
 FREQUENT = 350_000
 #: a ``▁`` of the text itself, which is no space; a surrogate, so no text holds it
 OWN = "\ud802"
+#: bits of the table of pieces that substrings are held against before the join
+PIECE_BITS = 20
+#: distinct units that a task counts before it sends them on
+HELD = 100_000
 
 
 @dataclass
@@ -100,9 +107,12 @@ class Cutter:
             self.pairs[at[:-1], at[1:]] = True
         self.longest, self.unknown, self.first_byte = pieces.longest, pieces.unknown, pieces.first_byte
         self.table = {p: (np.array([i], "<u4").tobytes(), s) for p, i, s in zip(pieces.texts, pieces.ids, pieces.scores, strict=True)}
-        self.beginnings = {p[:n] for p in pieces.texts for n in range(1, len(p) + 1)}
         self.paths: dict[str, bytes] = {}
 
+    @cached_property
+    def beginnings(self) -> set[str]:
+        return {p[:n] for p in self.table for n in range(1, len(p) + 1)}
+
     def units(self, texts: list[str]) -> list[list[str]]:
         """Units of each text; single characters outside all pieces are units of their own."""
         cut_mark, stop_mark, own = free_marks("".join(texts), 3)
@@ -115,6 +125,9 @@ class Cutter:
         units = [t.split(cut_mark) if t else [] for t in marked.split(stop_mark)[:-1]]
         return [[OWN if u == own else u for u in some] if own in part else some for some, part in zip(units, parts, strict=True)]
 
+    def in_lattice(self, unit: str) -> bool:
+        return len(unit) <= UNIT and (len(unit) > 1 or bool(self.known[ord(unit)]))
+
     def path(self, unit: str) -> bytes:
         """Ids of the best path over a unit of any length, as the lattice finds it."""
         found = self.paths.get(unit)
@@ -172,63 +185,137 @@ def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
         held: Counter[str] = Counter()
 
         def flush():
-            rows = [(u, n) for u, n in held.items() if len(u) > 1 or cut.known[ord(u)]]
-            for at in range(0, len(rows), 100_000):
-                some = rows[at:at + 100_000]
-                yield pa.RecordBatch.from_pydict({"unit": [u for u, _ in some], "n": [n for _, n in some]})
+            rows = [(u, n) for u, n in held.items() if cut.in_lattice(u)]
+            for at in range(0, len(rows), 50_000):
+                some = rows[at:at + 50_000]
+                yield pa.RecordBatch.from_pydict({"unit": pa.array([u for u, _ in some], pa.string()), "n": pa.array([n for _, n in some], pa.int64())})
             held.clear()
 
         for batch in batches:
             for some in slices(batch, "text", 1 << 20):
                 for units in cut.units(some.column(0).fill_null("").to_pylist()):
-                    held.update(u for u in units if len(u) <= UNIT)
-                if len(held) > 100_000:
+                    held.update(units)
+                if len(held) > HELD:
                     yield from flush()
         yield from flush()
 
     return texts.mapInArrow(task, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+def _may_be_piece(piece: Column, table: DataFrame) -> Column:
+    """False only for what is no piece: a look into a table of bits of fixed size."""
+    bits = np.unpackbits(np.frombuffer(bit_table(table.select(F.xxhash64("piece").alias("hash")), PIECE_BITS), np.uint8))
+    words = np.packbits(bits.reshape(-1, 64), axis=1, bitorder="little").view("<i8").ravel()
+    place = F.xxhash64(piece).bitwiseAND((1 << PIECE_BITS) - 1)
+    word = F.get(F.split(F.lit(",".join(map(str, words.tolist()))), ",").cast("array<bigint>"), F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, place.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+
+
 def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """Edges of all units: unit, n, start, stop (0-based, exclusive), score, ids."""
+    """Edges of all units: unit, n, start, stop (0-based, exclusive), score, id (-1 for bytes)."""
     table = pieces.table(units.sparkSession)
     length = F.length("unit")
     parts = units.select("unit", "n", length.alias("chars"), F.explode(F.sequence(F.lit(1), length)).alias("at"))
     parts = parts.select("unit", "n", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("chars") - F.col("at") + 1))).alias("size"))
     parts = parts.withColumn("piece", F.substring("unit", F.col("at"), F.col("size")))
+    parts = parts.where((F.col("size") == 1) | _may_be_piece(F.col("piece"), table))
     edges = parts.join(F.broadcast(table), "piece", "left").where("size = 1 or id is not null")
-    hexed = F.hex(F.encode("piece", "utf-8"))
-    fallback = F.transform(F.sequence(F.lit(0), (F.length(hexed) / 2).cast("int") - 1),
-                           lambda i: F.conv(F.substring(hexed, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + pieces.first_byte)
     return edges.select(
         "unit", "n", (F.col("at") - 1).alias("start"), (F.col("at") + F.col("size") - 1).alias("stop"),
-        F.coalesce("score", F.lit(pieces.unknown)).alias("score"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(fallback).alias("ids"))
+        F.coalesce("score", F.lit(pieces.unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
 
 
-def _fold(edges: Column) -> Column:
-    """Ids of the best path over edges ordered by their end."""
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
+def _best(edges: Column) -> Column:
+    """For each place the best score, and start and id of the last edge, over edges ordered by their end."""
+    def place(score, e):
+        return F.array(F.struct(score.alias("score"), e["start"].alias("start"), e["id"].alias("id")))
 
     def step(best, e):
-        before = F.get(best, e["start"])
-        score = before["score"] + e["score"]
-        reached = F.array(F.struct(score.alias("score"), F.concat(before["ids"], e["ids"]).alias("ids")))
-        return F.when(F.size(best) <= e["stop"], F.concat(best, reached)) \
-            .when(score > F.get(best, e["stop"])["score"], F.concat(F.slice(best, F.lit(1), e["stop"]), reached)) \
+        score = F.get(best, e["start"])["score"] + e["score"]
+        return F.when(F.size(best) <= e["stop"], F.concat(best, place(score, e))) \
+            .when(score > F.get(best, e["stop"])["score"], F.concat(F.slice(best, F.lit(1), e["stop"]), place(score, e))) \
             .otherwise(best)
 
-    return F.aggregate(edges, start, step, lambda best: F.element_at(best, -1)["ids"])
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(-1).alias("id")))
+    return F.aggregate(edges, start, step)
+
+
+def _ids(unit: Column, best: Column, first_byte: int) -> Column:
+    """Ids of the best path, walked back from the end of the unit."""
+    def fallback(char):
+        hexed = F.hex(F.encode(char, "utf-8"))
+        return F.transform(F.sequence(F.lit(0), (F.length(hexed) / 2).cast("int") - 1),
+                           lambda i: F.conv(F.substring(hexed, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + first_byte)
+
+    def back(path, _):
+        edge = F.get(best, path["at"])
+        own = F.when(edge["id"] >= 0, F.array(edge["id"])).otherwise(fallback(F.substring(unit, edge["start"] + 1, F.lit(1))))
+        return F.when(path["at"] == 0, path).otherwise(F.struct(edge["start"].alias("at"), F.concat(own, path["ids"]).alias("ids")))
+
+    end = F.struct((F.size(best) - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
+    return F.aggregate(best, end, back)["ids"]
 
 
 def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
     """Best paths of all units: unit, n, ids."""
     return lattice(units, pieces).groupBy("unit", "n") \
-        .agg(F.sort_array(F.collect_list(F.struct("stop", "start", "score", "ids"))).alias("edges")) \
-        .select("unit", "n", _fold(F.col("edges")).alias("ids"))
+        .agg(F.sort_array(F.collect_list(F.struct("stop", "start", "score", "id"))).alias("edges")) \
+        .select("unit", "n", _best(F.col("edges")).alias("best")) \
+        .select("unit", "n", _ids(F.col("unit"), F.col("best"), pieces.first_byte).alias("ids"))
+
 
+def unit_keys(units: list[str]) -> np.ndarray:
+    """128-bit hashes of units as two columns."""
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(u.encode("utf-8", "surrogatepass")) for u in units), ">u8").astype(np.uint64).reshape(-1, 2)
 
-def frequent(encoded: DataFrame, most: int = FREQUENT) -> dict[str, bytes]:
+
+@dataclass
+class Known:
+    """Ids of units as one block, found by sorted hashes; the same few MB in every task."""
+
+    keys: np.ndarray
+    ends: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def of(cls, units: list[str], ids: np.ndarray, ends: np.ndarray) -> Known:
+        """``ids`` of all units one after the other, those of unit i between ``ends`` i and i + 1."""
+        keys = unit_keys(units)
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        sizes = np.diff(ends)[order]
+        from_ = np.repeat(ends[:-1][order] - (np.cumsum(sizes) - sizes), sizes)
+        return cls(keys[order], np.r_[0, np.cumsum(sizes)].astype(np.int64), ids[np.arange(sizes.sum()) + from_].astype("<u4"))
+
+    def find(self, units: list[str]) -> list[bytes | None]:
+        """Ids of each unit, None for one that is not held."""
+        if not units or not len(self.keys):
+            return [None] * len(units)
+        keys = unit_keys(units)
+        place = np.minimum(np.searchsorted(self.keys[:, 0], keys[:, 0]), len(self.keys) - 1)
+        held = (self.keys[place] == keys).all(axis=1)
+        return [self.ids[a:b].tobytes() if h else None
+                for a, b, h in zip(self.ends[place].tolist(), self.ends[place + 1].tolist(), held.tolist(), strict=True)]
+
+
+class Remembered(dict):
+    """Ids of units found last, for a task: at most ``LIMIT`` of them, None for one that is not held."""
+
+    LIMIT = 80_000
+
+    def __init__(self, known: Known):
+        super().__init__()
+        self.known = known
+
+    def learn(self, found: list[list[str]]) -> None:
+        """Afterwards all units of ``found`` are in."""
+        fresh = [u for u in set().union(*found) if u not in self]
+        if len(self) + len(fresh) > self.LIMIT:
+            self.clear()
+            fresh = list(set().union(*found))
+        self.update(zip(fresh, self.known.find(fresh), strict=True))
+
+
+def frequent(encoded: DataFrame, most: int = FREQUENT) -> Known:
     """Ids of at most ``most`` units, those that occur more often than some number of times."""
     # one row for each number of occurrences above which fewer than ``most`` units lie
     counts = encoded.groupBy("n").agg(F.count("*").alias("units")).orderBy(F.col("n").desc()).limit(most).collect()
@@ -239,11 +326,10 @@ def frequent(encoded: DataFrame, most: int = FREQUENT) -> dict[str, bytes]:
             break
         least = row["n"]
     if least is None:
-        return {}
+        return Known.of([], np.zeros(0, np.uint32), np.zeros(1, np.int64))
     rows = encoded.where(F.col("n") >= least).select("unit", "ids").toArrow()
     ids = rows["ids"].combine_chunks()
-    flat, ends = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy()
-    return {u: flat[a:b].tobytes() for u, a, b in zip(rows["unit"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
+    return Known.of(rows["unit"].to_pylist(), ids.flatten().to_numpy(), ids.offsets.to_numpy() - ids.offsets[0].as_py())
 
 
 class Decoder:
@@ -264,40 +350,57 @@ def text_key(raw: bytes) -> int:
 
 def shared_beginning(texts: DataFrame) -> bytes:
     """A compression dictionary from about 1,000 texts, so that short texts shrink as long ones do."""
-    some = [r[0].encode() for r in sampled(texts.where("text is not null"), 1_000, "text").collect()]
+    numbered = texts.where("text is not null").withColumn("row", F.monotonically_increasing_id())  # which ones changes no result
+    some = [r["text"].encode() for r in sampled(numbered, 1_000, "text", "row").collect()]
     try:
         return zstandard.train_dictionary(1 << 16, some).as_bytes()
     except zstandard.ZstdError:  # too few or too small texts to learn from
         return b""
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session while what is inside runs."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, result) -> DataFrame:
     """Encode whole texts and apply ``result(texts, ids)`` to them.
 
     ``columns`` of ``docs`` are kept as they are; ``kind`` is the type of what ``result`` returns, as
     columns of Arrow arrays for a list of texts (missing ones as None) and one of byte strings of 32-bit
-    ids. Missing and empty texts have no ids. Rows with equal texts are encoded alike, whatever their ids.
+    ids. Missing and empty texts have no ids. Rows with equal texts are encoded alike, whatever their
+    ids. An empty table gives no rows. Other columns than ``columns`` and text are not looked at.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    encoded = stage(encode_units(count_units(texts, pieces), pieces), "units")
+    # lists are gathered from sorted edges: by hash they would fall back to sorting, and twice
+    with setting(spark, "spark.sql.execution.useObjectHashAggregateExec", "false"):
+        encoded = stage(encode_units(count_units(texts, pieces), pieces), "units")
     known = spark.sparkContext.broadcast((pieces, frequent(encoded)))
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, common = known.value
-        cut, seen = cutter(vocabulary), set()
+        cut, ids, seen = cutter(vocabulary), Remembered(common), set()
         for batch in batches:
             for some in slices(batch, "text", 1 << 20):
                 keys, missing = [], []
-                own = some.column(0).fill_null("").to_pylist()
-                for text, units in zip(own, cut.units(own), strict=True):
-                    rest = {u for u in units if u not in common and len(u) <= UNIT and (len(u) > 1 or cut.known[ord(u)])}
-                    key = text_key(text.encode()) if rest else 0
-                    if rest and key not in seen:
-                        if len(seen) < 200_000:
+                texts_ = some.column(0).fill_null("").to_pylist()
+                found = cut.units(texts_)
+                ids.learn(found)
+                for text, units in zip(texts_, found, strict=True):
+                    wanted = {u for u in set(units) if ids[u] is None and cut.in_lattice(u)}
+                    key = text_key(text.encode()) if wanted else 0
+                    if wanted and key not in seen:
+                        if len(seen) < 100_000:
                             seen.add(key)
                         keys.append(key)
-                        missing.append(list(rest))
+                        missing.append(list(wanted))
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(missing, pa.list_(pa.string()))], ["text_key", "units"])
 
     # the ids of rare units, by the text that needs them
@@ -326,18 +429,19 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, common = known.value
-        cut, open_ = cutter(vocabulary), zstandard.ZstdDecompressor(dict_data=shared())
+        cut, held, open_ = cutter(vocabulary), Remembered(common), zstandard.ZstdDecompressor(dict_data=shared())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
                 own = [None if p is None else open_.decompress(p).decode() for p in some.column(width).to_pylist()]
-                rests = some.column(width + 1).to_pylist()
-                out = []
-                for units, rest in zip(cut.units([t or "" for t in own]), rests, strict=True):
-                    parts = [r.split(" ") for r in rest or ()]
-                    extra = {p[0]: np.array(p[1:], "<u4").tobytes() for p in parts}
-                    # what neither table has is a long unit or a single character outside all pieces
-                    out.append(b"".join([common.get(u) or extra.get(u) or cut.path(u) for u in units]))
+                extra = {}
+                for named in some.column(width + 1).to_pylist():
+                    for parts in (r.split(" ") for r in named or ()):
+                        extra[parts[0]] = np.array(parts[1:], "<u4").tobytes()
+                found = cut.units([t or "" for t in own])
+                held.learn(found)
+                # what neither table has is a long unit or a single character outside all pieces
+                out = [b"".join([held[u] or extra.get(u) or cut.path(u) for u in units]) for units in found]
                 yield pa.RecordBatch.from_arrays([*some.columns[:width], *result(own, out, vocabulary)],
                                                  [*columns, *names])
 
