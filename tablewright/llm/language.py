@@ -25,7 +25,7 @@ from tablewright.session import stage
 #: slots of the table of trigrams, for each language
 SLOTS = 1 << 16
 #: labelled texts learned from, about, chosen by a hash
-SAMPLE = 20_000
+SAMPLE = 5_000
 #: strength of the smoothing towards the next level up
 STRENGTH = 5.0
 
@@ -67,10 +67,16 @@ class TextModel:
 
 
 def fit_text(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
-    """Learn trigrams of every language of (text, lang); two in three texts fit, one calibrates."""
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.lower(F.trim(F.col("lang").cast("string"))).alias("lang")) \
-        .where("text is not null and lang is not null and lang <> ''")
-    rows = sampled(rows, sample, "text").withColumn("h", F.xxhash64("text"))
+    """Learn trigrams of every language of (text, lang); two in three texts fit, one calibrates.
+
+    About ``sample`` texts of each language are used, all of a rare one, chosen by a hash of text
+    and, where there is one, doc_id, whatever the layout of the table.
+    """
+    keys = [F.col("doc_id")] if "doc_id" in docs.columns else []
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.lower(F.trim(F.col("lang").cast("string"))).alias("lang"),
+                       F.xxhash64(F.col("text"), *keys).alias("h")).where("text is not null and lang is not null and lang <> ''")
+    sizes = rows.groupBy("lang").count()  # a row for each language, of which the model holds SLOTS numbers
+    rows = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64(F.lit(11), "h"), F.lit(1 << 30)) < sample * float(1 << 30) / F.col("count")).drop("count")
     fold = F.pmod("h", F.lit(3))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +101,7 @@ def fit_text(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
     weights = np.log(counts / counts.sum(axis=0))
     weights -= weights.mean(axis=1, keepdims=True)
     model = TextModel(languages, weights, 1.0)
-    held = [r for r in sampled(rows.where("fold = 0"), 2_000, "text").collect() if r["lang"] in place]
+    held = [r for r in sampled(rows.where("fold = 0"), 2_000, "h").collect() if r["lang"] in place]
     if held:
         raw = np.array([model.loglik(r["text"]) for r in held])
         truth = np.array([place[r["lang"]] for r in held])
