@@ -6,8 +6,9 @@ them, for all columns and ranks at once. The wanted rank falls into one bin, whi
 window. A bin remembers its smallest and largest key, so the search ends as soon as the bin holds
 one value, however often it occurs; four passes are the most. There is one way for all sizes.
 
-A pass moves no rows: tasks count their own batches, and counts are summed by window and bin. A
-task and the driver hold at most ``BINS`` small entries a window.
+The columns are written down once, so that passes neither compute nor join anything again and a
+pass over windows skips what lies beside them. A pass moves no rows: tasks add their own batches to
+one row of ``BINS`` counts a window, and counts are summed by window and bin.
 """
 
 from __future__ import annotations
@@ -22,11 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import any_of, col
+from tablewright.session import stage
 
 BINS = 1 << 16
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
-#: entries of a task after which equal bins are summed
-ENTRIES = 1 << 18
 
 #: a batch's columns (values, which are there) to, per column, sure and possible members
 Judge = Callable[[list[np.ndarray], list[np.ndarray]], list[tuple[np.ndarray, np.ndarray]]]
@@ -77,24 +77,30 @@ class Tally:
         return self.n.sum(axis=0) + self.below + self.above
 
 
-def _merged(parts: list[np.ndarray]) -> np.ndarray:
-    """Rows (window, bin, possible, n, low, high), those of one bin in one row."""
-    rows = np.concatenate(parts, axis=1)
-    rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
-    first = np.flatnonzero(np.r_[True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)])
-    return np.stack([*rows[:3, first], np.add.reduceat(rows[3], first),
-                     np.minimum.reduceat(rows[4], first), np.maximum.reduceat(rows[5], first)])
+class _Counts:
+    """Counts, smallest and largest keys of the bins of a window; the first and the last bin lie beside it."""
+
+    def __init__(self, low: int, high: int, shift: int, bins: int):
+        self.low, self.high, self.shift, self.bins = low, high, shift, bins
+        self.n = np.zeros(bins + 2, np.int64)
+        self.least, self.most = np.full(bins + 2, MOST), np.full(bins + 2, LEAST)
 
+    def add(self, keys: np.ndarray) -> None:
+        """Counts sorted keys."""
+        start, stop = np.searchsorted(keys, self.low), np.searchsorted(keys, self.high, side="right")
+        inside = (keys[start:stop].view(np.uint64) - np.uint64(self.low & (1 << 64) - 1)) >> np.uint64(self.shift)
+        bin_ = np.concatenate([np.zeros(start, np.int64), inside.astype(np.int64) + 1, np.full(len(keys) - stop, self.bins + 1)])
+        first = np.flatnonzero(np.r_[True, bin_[1:] != bin_[:-1]])
+        last, seen = np.r_[first[1:], len(bin_)], bin_[first]
+        self.n[seen] += last - first
+        self.least[seen] = np.minimum(self.least[seen], keys[first])
+        self.most[seen] = np.maximum(self.most[seen], keys[last - 1])
 
-def _binned(keys: np.ndarray, number: int, low: int, high: int, shift: int, bins: int, possible: int) -> np.ndarray:
-    """Counts of sorted keys by bin of the window; -1 and ``bins`` are the bins beside it."""
-    start, stop = np.searchsorted(keys, low), np.searchsorted(keys, high, side="right")
-    inside = (keys[start:stop].view(np.uint64) - np.uint64(low & (1 << 64) - 1)) >> np.uint64(shift)
-    bin_ = np.concatenate([np.full(start, -1), inside.astype(np.int64), np.full(len(keys) - stop, bins)])
-    first = np.flatnonzero(np.r_[True, bin_[1:] != bin_[:-1]])
-    last = np.r_[first[1:], len(bin_)]
-    same = np.full(len(first), number)
-    return np.stack([same, bin_[first], np.full(len(first), possible), last - first, keys[first], keys[last - 1]])
+    def rows(self, number: int, possible: int) -> list[np.ndarray]:
+        """The bins that hold anything; -1 and ``bins`` are those beside the window."""
+        seen = np.flatnonzero(self.n)
+        same = np.ones(len(seen), np.int64)
+        return [same * number, seen - 1, same * possible, self.n[seen], self.least[seen], self.most[seen]]
 
 
 FIELDS = ["window", "bin", "possible", "n", "low", "high"]
@@ -107,7 +113,7 @@ def tally(values: DataFrame, windows: list[Window], judge: Judge | None = None)
         by_column.setdefault(window.column, []).append((number, window.low, window.high, window.shift, BINS))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+        counts: dict[tuple[int, int], _Counts] = {}
         for batch in batches:
             there = [c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -115,14 +121,12 @@ def tally(values: DataFrame, windows: list[Window], judge: Judge | None = None)
             for i, own in by_column.items():
                 for possible, chosen in enumerate(classes[i]):
                     keys = np.sort(keys_of(columns[i][chosen & there[i]])) if chosen is not None else ()
-                    for window in own if len(keys) else []:
-                        parts.append(_binned(keys, *window, possible))
-                        size += parts[-1].shape[1]
-            if size > ENTRIES:
-                parts = [_merged(parts)]
-                size = parts[0].shape[1]
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in _merged(parts)], FIELDS)
+                    for number, *window in own if len(keys) else []:
+                        if (number, possible) not in counts:
+                            counts[number, possible] = _Counts(*window)
+                        counts[number, possible].add(keys)
+        for at, count in counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in count.rows(*at)], FIELDS)
 
     counted = values.mapInArrow(task, ", ".join(f"{f} long" for f in FIELDS)).groupBy("window", "bin", "possible") \
         .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).toArrow()
@@ -145,10 +149,15 @@ def as_doubles(df: DataFrame, columns: list[Column]) -> DataFrame:
     return df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
 
 
-def _search(values: DataFrame, ranks: Callable[[int, int], list[int]], columns: int) -> list[dict[int, float]]:
-    """Values at the 0-based ranks that ``ranks`` names for (column, number of its values)."""
-    found: list[dict[int, float]] = [{} for _ in range(columns)]
+def _search(values: DataFrame, ranks: Callable[[int, int], list[int]], columns: int,
+            kept: bool) -> list[dict[int, tuple[float, int]]]:
+    """Values at the 0-based ranks that ``ranks`` names for (column, number of its values), and how many are less.
+
+    ``kept``: the values come from a table that is written already.
+    """
+    found: list[dict[int, tuple[float, int]]] = [{} for _ in range(columns)]
     windows = [Window(i) for i in range(columns)]
+    values = stage(values, "values") if windows and not kept else values
     tallies = tally(values, windows) if windows else []
     wanted = {w: {r: r for r in ranks(w.column, int(t.total[0]))} for w, t in zip(windows, tallies, strict=True)}
     while windows:
@@ -158,10 +167,10 @@ def _search(values: DataFrame, ranks: Callable[[int, int], list[int]], columns:
             for rank, within in wanted[window].items():  # the rank among all, and among the window's rows
                 place = int(np.searchsorted(ends, within, side="right"))
                 low, high = int(t.low[place]), int(t.high[place])
+                before = int(ends[place - 1]) if place else 0
                 if low == high:
-                    found[window.column][rank] = value_of(low)
+                    found[window.column][rank] = value_of(low), rank - within + before
                     continue
-                before = int(ends[place - 1]) if place else 0
                 following.setdefault(Window(window.column, low, high), {})[rank] = within - before
         windows, wanted = list(following), following
         if windows:
@@ -171,6 +180,12 @@ def _search(values: DataFrame, ranks: Callable[[int, int], list[int]], columns:
 
 def order_statistics(df: DataFrame, wanted: dict[str, tuple[Column, list[int]]]) -> dict[str, list[float]]:
     """Values at the given 0-based ranks of each column's sorted non-null values."""
+    return {c: [value for value, _ in found] for c, found in ranked_values(df, wanted).items()}
+
+
+def ranked_values(df: DataFrame, wanted: dict[str, tuple[Column, list[int]]],
+                  kept: bool = False) -> dict[str, list[tuple[float, int]]]:
+    """The order statistics, each with the number of values that are less."""
     names = list(wanted)
 
     def ranks(i: int, n: int) -> list[int]:
@@ -179,7 +194,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, tuple[Column, list[int]]])
                 raise ValueError(f"rank {rank} outside the {n} values of {names[i]}")
         return wanted[names[i]][1]
 
-    found = _search(as_doubles(df, [wanted[c][0] for c in names]), ranks, len(names))
+    found = _search(as_doubles(df, [wanted[c][0] for c in names]), ranks, len(names), kept)
     return {c: [found[i][rank] for rank in wanted[c][1]] for i, c in enumerate(names)}
 
 
@@ -192,8 +207,11 @@ def interpolated(position: float, low: float, high: float) -> float:
 
 
 def exact_quantiles(df: DataFrame, columns: dict[str, Column] | list[str],
-                    probs: list[float]) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of every column; ``None`` for a column without values."""
+                    probs: list[float], kept: bool = False) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of every column; ``None`` for a column without values.
+
+    ``kept``: ``df`` is a table that is written already.
+    """
     exprs = columns if isinstance(columns, dict) else {c: col(c) for c in columns}
     sizes = [0] * len(exprs)
 
@@ -201,9 +219,9 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column] | list[str],
         sizes[i] = n
         return sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}) if n else []
 
-    found = _search(as_doubles(df, list(exprs.values())), ranks, len(exprs))
+    found = _search(as_doubles(df, list(exprs.values())), ranks, len(exprs), kept)
     out: dict[str, list[float | None]] = {}
     for c, n, at in zip(exprs, sizes, found, strict=True):
         places = [(n - 1) * p for p in probs]
-        out[c] = [interpolated(x, at[math.floor(x)], at[math.ceil(x)]) if n else None for x in places]
+        out[c] = [interpolated(x, at[math.floor(x)][0], at[math.ceil(x)][0]) if n else None for x in places]
     return out

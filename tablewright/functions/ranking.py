@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import any_of, col, one_row
-from tablewright.functions.quantiles import order_statistics
+from tablewright.functions.columns import any_of, col
+from tablewright.functions.quantiles import ranked_values
 from tablewright.session import stage
 
 KEY_SPACE = 1 << 52
@@ -45,7 +45,8 @@ def blocks_by_rank(df: DataFrame, key: Column | str, sizes: list[int], name: str
 
     The block limits are order statistics of the key, so the table is neither sorted nor moved:
     a row's block is a comparison with a few literals. Only rows whose key equals a limit that
-    cuts through a group of equal keys are ranked among themselves.
+    cuts through a group of equal keys are ranked among themselves. The table is written once, with
+    its key, as it is read several times.
     """
     limits, total = [], 0
     for size in sizes[:-1]:
@@ -54,22 +55,24 @@ def blocks_by_rank(df: DataFrame, key: Column | str, sizes: list[int], name: str
     n = total + sizes[-1]
     cuts = [r for r in limits if 0 < r < n]
     key = col(key) if isinstance(key, str) else key
-    keyed = df.withColumn("_key", key.cast("double"))
-    found = order_statistics(keyed, {"_key": (F.col("_key"), sorted(set(cuts)))}) \
+    keyed = stage(df.withColumn("_key", key.cast("double")), "keyed")
+    found = ranked_values(keyed, {"_key": (F.col("_key"), sorted(set(cuts)))}, kept=True) \
         if cuts else {"_key": []}
-    value = dict(zip(sorted(set(cuts)), found["_key"]))
-    below = dict(zip(value, one_row(keyed, [F.count_if(F.col("_key") < F.lit(v))
-                                            for v in value.values()])))
+    value = {r: v for r, (v, _) in zip(sorted(set(cuts)), found["_key"])}
+    below = {r: less for r, (_, less) in zip(value, found["_key"])}
+    first = sum(r <= 0 for r in limits)
 
     def block(position: Column, at: dict[int, float] | None) -> Column:
-        out = F.lit(0)
-        for r in limits:
-            if r <= 0:
-                out = out + F.lit(1)
-            elif r < n:
-                limit = F.lit(at[r]) if at is not None else F.lit(r)
-                out = out + F.when(position >= limit, 1).otherwise(0)
-        return out.cast("int")
+        starts = [r if at is None else at[r] for r in limits if 0 < r < n]
+
+        def among(low: int, high: int) -> Column:
+            """``first`` and the number of starts at or below the position, known to be ``low`` to ``high``."""
+            if low == high:
+                return F.lit(first + low)
+            middle = (low + high) // 2
+            return F.when(position < F.lit(starts[middle]), among(low, middle)).otherwise(among(middle + 1, high))
+
+        return F.when(position.isNull(), first).otherwise(among(0, len(starts))).cast("int")
 
     torn = sorted({value[r] for r in value if below[r] != r})
     if not torn:

@@ -14,6 +14,7 @@ from tablewright.functions.normal import normal_quantile
 from tablewright.functions.quantiles import exact_quantiles
 from tablewright.functions.ranking import blocks_by_rank, global_index, order_key
 from tablewright.operators.metrics import metric_columns, pct_error
+from tablewright.session import stage
 
 
 def errors(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -128,7 +129,7 @@ def box_statistics(df: DataFrame, label: str = "label", prediction: str = "predi
     Each (measure, fifth) is a column of its own for the exact quantiles, so a fifth of the
     table is never gathered in one group.
     """
-    rows = quintiles(df, label, prediction)
+    rows = stage(quintiles(df, label, prediction), "fifths")
     cells = {(m, q): F.when(F.col("prediction_range") == q, F.col(m))
              for m in ("abs_error", "pct_error") for q in QUINTILE_LABELS}
     found = exact_quantiles(rows, {f"{m}|{q}": e for (m, q), e in cells.items()},

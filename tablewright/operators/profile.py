@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.fixed_values import IQR_FACTOR
 from tablewright.functions.columns import col, long_form, numeric_columns, one_row, text_columns
 from tablewright.functions.quantiles import exact_quantiles
+from tablewright.session import stage
 
 
 def counts(df: DataFrame) -> DataFrame:
@@ -86,8 +87,9 @@ def column_info(df: DataFrame) -> DataFrame:
     return long_form(wide, df.columns, ["non_null", "data_type"])
 
 
-def iqr_bounds(df: DataFrame, columns: list[str], factor: float = IQR_FACTOR) -> dict[str, tuple[float, float] | None]:
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75])
+def iqr_bounds(df: DataFrame, columns: list[str], factor: float = IQR_FACTOR, kept: bool = False,
+               ) -> dict[str, tuple[float, float] | None]:
+    quartiles = exact_quantiles(df, columns, [0.25, 0.75], kept)
     out: dict[str, tuple[float, float] | None] = {}
     for c, (q1, q3) in quartiles.items():
         out[c] = None if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
@@ -102,10 +104,14 @@ def outside(column: str, bounds: tuple[float, float] | None) -> Column:
     return F.coalesce((value < F.lit(bounds[0])) | (value > F.lit(bounds[1])), F.lit(False))
 
 
-def outliers(df: DataFrame, factor: float = IQR_FACTOR) -> DataFrame:
-    """Count and percentage (of all rows) outside the interquartile fences, per numeric column."""
+def outliers(df: DataFrame, factor: float = IQR_FACTOR, kept: bool = False) -> DataFrame:
+    """Count and percentage (of all rows) outside the interquartile fences, per numeric column.
+
+    ``kept``: ``df`` is a table that is written already.
+    """
     names = numeric_columns(df)
-    bounds = iqr_bounds(df, names, factor)
+    df = df if kept else stage(df.select(*[col(c) for c in names]), "numbers")
+    bounds = iqr_bounds(df, names, factor, kept=True)
     n = F.count(F.lit(1))
     wide = []
     for i, c in enumerate(names):
@@ -120,7 +126,8 @@ STATISTICS = ["n", "mean", "std", "min", "q25", "q50", "q75", "max"]
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of the numeric columns."""
     names = numeric_columns(df) if columns is None else columns
-    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
+    df = stage(df.select(*[col(c) for c in names]), "numbers")
+    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75], kept=True)
     wide = []
     for i, c in enumerate(names):
         value = col(c).cast("double")
@@ -135,14 +142,18 @@ def head(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
 
 
 def quality(df: DataFrame) -> DataFrame:
-    """Long-form profile: table totals, missing cells and outliers as (column, metric, value)."""
+    """Long-form profile: table totals, missing cells and outliers as (column, metric, value).
+
+    The table is written once for its five or six passes.
+    """
+    df = stage(df, "profiled")
     whole = totals(df).select(F.inline(F.array(*[
         F.struct(F.lit(None).cast("string").alias("column_name"), F.lit(m).alias("metric"),
                  F.col(m).cast("double").alias("value"))
         for m in ("total_rows", "total_columns", "missing_cells", "duplicate_rows")])))
     parts = [whole]
     for table, fields in ((missing(df), ["missing_count", "missing_pct"]),
-                          (outliers(df), ["outlier_count", "outlier_pct"])):
+                          (outliers(df, kept=True), ["outlier_count", "outlier_pct"])):
         parts.append(table.select("column_name", F.inline(F.array(*[
             F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
             for m in fields]))))

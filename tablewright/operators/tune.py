@@ -20,7 +20,7 @@ from tablewright.operators import models
 from tablewright.operators.linear import KINDS, fold_errors, fold_grams, solve, squared_error
 from tablewright.operators.metrics import metrics_row
 from tablewright.operators.split import fold_sizes, folds
-from tablewright.session import stage, together
+from tablewright.session import together
 
 log = logging.getLogger(__name__)
 CV_SCHEMA = "model string, fold_scores array<double>, mean_cv_score double, " \
@@ -62,7 +62,7 @@ def cross_validate(df: DataFrame, features: list[str], label: str, names: list[s
     Folds are consecutive blocks of the key order. All linear models share one pass over the
     table. A model that fails gets an empty row.
     """
-    data = stage(folds(df, k, key), "folds")
+    data = folds(df, k, key)
     names = list(names or models.REGISTRY)
     cross = fold_grams(data, features, label, "fold") if set(names) & set(KINDS) else None
 
@@ -99,7 +99,7 @@ def search(df: DataFrame, features: list[str], label: str, name: str, method: st
     settings = combinations(models.grid(name) if grid is None else grid)
     if method == "random_search" and len(settings) > n_iter:
         settings = random.Random(seed).sample(settings, n_iter)
-    data = stage(folds(df, k, key), "search")
+    data = folds(df, k, key)
     cross = fold_grams(data, features, label, "fold") if name in KINDS else None
 
     def score(params: dict) -> float:
@@ -144,7 +144,7 @@ def learning_curve(df: DataFrame, features: list[str], label: str, name: str = "
     marks = sorted(limits)
     blocks = [b - a for a, b in zip(marks, marks[1:])]
     key = order_key(df.columns) if key is None else key
-    data = stage(blocks_by_rank(df, key, blocks), "curve")
+    data = blocks_by_rank(df, key, blocks)
 
     def member(block: int, f: int, take: int) -> bool:
         place = marks[block]
