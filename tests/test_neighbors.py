@@ -110,3 +110,24 @@ def test_far_outlier_does_not_hide_the_rest(spark, many_levels):
     for _, r in got.iterrows():
         square = (train.a - r.a) ** 2 + (train.b - r.b) ** 2
         assert abs(r.prediction - train.y[np.argsort(square, kind="stable")[:3]].mean()) < 1e-9
+
+
+def test_leaves_are_sent_once_to_a_tile(spark, many_levels, monkeypatch):
+    """What meets the queries follows the tiles, not the pairs: each leaf comes once for all blocks of an area."""
+    rng = np.random.default_rng(4)
+    met = []
+    packed = neighbors._packed
+
+    def kept(rows, key):
+        met.append((key, rows.count(), packed(rows, key).count()))
+        return packed(rows, key)
+
+    monkeypatch.setattr(neighbors, "_packed", kept)
+    train = pd.DataFrame(rng.normal(size=(120, 6)), columns=list("abcdef")).assign(y=np.arange(120.0))
+    new = pd.DataFrame(rng.normal(size=(60, 6)), columns=list("abcdef"))
+    got = knn_predict(spark.createDataFrame(train), spark.createDataFrame(new), list("abcdef"), "y", 3).toPandas()
+    for _, r in got.iterrows():
+        square = ((train[list("abcdef")] - r[list("abcdef")]) ** 2).sum(axis=1)
+        assert abs(r.prediction - train.y[np.argsort(square, kind="stable")[:3]].mean()) < 1e-9
+    assert {tuple(key) for key, _, _ in met} == {("block", "area"), ("node", "field")}
+    assert all(blobs < rows for _, rows, blobs in met)
