@@ -21,11 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import sampled, slices
-from tablewright.session import staging_root
+from tablewright.llm.common import slices
+from tablewright.session import stage, staging_root
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -256,25 +256,44 @@ def _proposed(texts: DataFrame) -> DataFrame:
     return found.select("valid", "f", F.xxhash64("key", "number").alias("h"))
 
 
-def fit(docs: DataFrame, sample: int = 20_000, documents: int = 50_000, rounds: int = 20, depth: int = 4,
-        precision: float = 0.98) -> Detector:
-    """Train the trees on at most ``sample`` candidates from about ``documents`` documents.
+def _thresholds(scored: DataFrame, precision: float) -> tuple[float, ...]:
+    """Of each kind the least ``p`` above which enough candidates of (kind, p, n, valid) are valid.
 
-    Both are chosen by hashes of ids and texts over the whole table, whatever its layout.
-
-    Every second one trains, the others calibrate: a kind's threshold is the least probability
-    above which the canonical checks agree with at least ``precision`` of the held-out candidates. A
-    kind without such a threshold, or a corpus with candidates of one class only, adds nothing.
+    Candidates are summed by probability, then from the greatest one down: first over steps of
+    probability, a fixed number, then among the probabilities of a step.
+    """
+    sums = [F.sum("n").alias("n"), F.sum("valid").alias("valid")]
+    each = stage(scored.groupBy("kind", "p").agg(*sums).withColumn("step", F.floor(F.col("p") * 4096)), "probabilities")
+    above = Window.partitionBy("kind").orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    steps = each.groupBy("kind", "step").agg(*sums).select(
+        "kind", "step", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("n", "valid")])
+    down = Window.partitionBy("kind", "step").orderBy(F.col("p").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = each.join(F.broadcast(steps), ["kind", "step"]).select(
+        "kind", "p", *[(F.sum(c).over(down) + F.col(f"{c}_above")).alias(c) for c in ("n", "valid")])
+    least = so_far.where((F.col("valid") >= precision * F.col("n")) & (F.col("valid") >= 20)).groupBy("kind").agg(F.min("p").alias("p"))
+    found = {r["kind"]: r["p"] for r in least.collect()}
+    return tuple(found.get(kind, 2.0) for kind in range(len(KINDS)))
+
+
+def fit(docs: DataFrame, rounds: int = 20, depth: int = 4, precision: float = 0.98) -> Detector:
+    """Train the trees on the candidates of all documents.
+
+    Candidates equal in features and outcome become one with their number as its weight.
+
+    By a hash of id, text and place every second one trains, the others calibrate: a kind's threshold
+    is the least probability above which the canonical checks agree with at least ``precision`` of the
+    held-out candidates. A kind without such a threshold, or a corpus with candidates of one class
+    only, adds nothing.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("key"))
-    numbered = _proposed(sampled(texts, documents, "key"))
-    rows = spark.createDataFrame(numbered.orderBy("h", "f").limit(sample).toPandas(), "valid double, f array<double>, h long")
-    train = rows.where("h % 2 = 0")
+    rows = stage(_proposed(texts).groupBy("f", "valid", (F.col("h") % 2 == 0).alias("train"))
+                 .agg(F.count(F.lit(1)).alias("n")), "candidates")
+    train = rows.where("train")
     if train.select("valid").distinct().count() < 2:
         return Detector()
-    model = GBTClassifier(labelCol="valid", featuresCol="x", maxIter=rounds, maxDepth=depth, seed=7) \
-        .fit(train.coalesce(2).select("valid", array_to_vector("f").alias("x")))
+    model = GBTClassifier(labelCol="valid", featuresCol="x", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=7) \
+        .fit(train.select("valid", F.col("n").cast("double").alias("weight"), array_to_vector("f").alias("x")))
     path = f"{staging_root(spark)}/trees-{uuid.uuid4().hex}"
     model.write().save(path)
     nodes: dict[int, list] = {}
@@ -290,19 +309,16 @@ def fit(docs: DataFrame, sample: int = 20_000, documents: int = 50_000, rounds:
             np.array([n["leftChild"] for n in own]), np.array([n["rightChild"] for n in own]),
             np.array([n["prediction"] for n in own])))
     detector = Detector(np.array(model.treeWeights), trees)
-    held = rows.where("h % 2 <> 0").toPandas()
-    x = np.array(held["f"].tolist()).reshape(-1, N_FEATURES)
-    p, valid = detector.probability(x), held["valid"].to_numpy()
-    thresholds = []
-    for kind in range(len(KINDS)):
-        own = x[:, 0] == kind
-        order = np.argsort(-p[own], kind="stable")
-        q, right = p[own][order], np.cumsum(valid[own][order])
-        # only where the probability changes can a threshold lie
-        last = np.append(q[1:] != q[:-1], True) if len(q) else np.zeros(0, bool)
-        good = np.flatnonzero(last & (right >= precision * np.arange(1, len(q) + 1)) & (right >= 20))
-        thresholds.append(float(q[good[-1]]) if len(good) else 2.0)
-    detector.thresholds = tuple(thresholds)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy().reshape(-1, N_FEATURES)
+            n = batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_pydict({
+                "kind": x[:, 0].astype(np.int32), "p": detector.probability(x), "n": n, "valid": np.where(batch.column(1).to_numpy() > 0, n, 0)})
+
+    held = rows.where("not train").select("f", "valid", "n").mapInArrow(score, "kind int, p double, n long, valid long")
+    detector.thresholds = _thresholds(held, precision)
     return detector
 
 

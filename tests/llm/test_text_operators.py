@@ -112,6 +112,16 @@ def test_loose_forms_of_every_kind_are_added(spark):
     assert not detector.spans("meet (at) noon")[1]
 
 
+def test_personal_data_is_learnt_from_every_document(spark):
+    """A kind that is rare beside 100,000 candidates of other kinds is still learnt and calibrated."""
+    rng = random.Random(5)
+    rows = [(i, f"mail me at user{i} (at) host{i}.example now") for i in range(80)]
+    rows += [(1_000 + i, " x ".join(" ".join(str(rng.randrange(1000, 9999)) for _ in range(4)) for _ in range(100))) for i in range(200)]
+    detector = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"), rounds=3)
+    assert detector.thresholds[0] <= 1
+    assert [k for _, _, k in detector.spans("mail me at somebody (at) elsewhere.example now")[1]] == [0]
+
+
 def test_runs_hold_numbers_as_candidates():
     text = "12 34 5 555 234 6789 4111 1111 1111 1111 77 " + "9 8 " * 30
     found = {(text[a:b], k) for a, b, k in pii.candidates(text)}
