@@ -17,17 +17,20 @@ gives the score of the document.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tablewright.llm.common import bit_table, sampled, slices, within
-from tablewright.session import stage
+from tablewright.llm.common import bit_table, slices, within
+from tablewright.session import stage, staging_root
 
 TOKEN = re.compile(r"\w+")
 #: slots of the table of evidence; colliding rare words share one
@@ -40,6 +43,8 @@ ROW = 64
 FILTER_BITS = 24
 #: evidence from which a word of a toxic text counts as a labelled toxic token
 STRONG = 1.75
+#: gradient steps of the field, texts of a step's batch at least, characters of texts laid out together
+STEPS, BATCH, PART = 80, 1_200, 1_000_000
 
 #: whole word and beginnings, as many languages bend the ends of words
 BEGINNINGS = (4, 5, 6, 7)
@@ -273,52 +278,139 @@ def neighbours(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.where(first, 0, np.roll(values, 1)), np.where(np.roll(first, -1), 0, np.roll(values, -1))
 
 
-def _train(texts: list[str], toxic: np.ndarray, evidence: np.ndarray, share: float, steps: int = 80) -> Field:
-    """Gradient steps on the likelihood of the labelled tokens, then of the documents."""
-    model = Field(evidence, np.zeros(WIDTH + 1), np.zeros((2, 2)), np.zeros(4))
-    found = [TOKEN.findall(t) for t in texts]
-    words, index, sizes = indexed(found)
+def _laid_out(labelled: DataFrame, evidence: np.ndarray, texts: int, characters: int) -> tuple[list[DataFrame], bool]:
+    """Labelled texts as arrays, a row for about ``PART`` characters, in batches of ``BATCH`` texts or more.
+
+    Every text is in one of the batches, at most ``STEPS``, by a hash of id and text; equal ones are
+    one with their number. Second comes whether any token is labelled toxic.
+    """
+    batches = max(1, min(STEPS, texts // BATCH))
+    parts = batches * max(1, -(-characters // (batches * PART)))
+    once = labelled.withColumn("part", F.pmod("key", F.lit(parts))).repartition("part") \
+        .groupBy("part", "key", "text", "toxic").agg(F.count(F.lit(1)).alias("copies"))
+    reader = Field(evidence, np.zeros(WIDTH + 1), np.zeros((2, 2)), np.zeros(4))
+
+    def lay(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("text", "ascending"), ("toxic", "ascending")])
+        toxic = table["toxic"].to_numpy()
+        words, index, sizes = indexed([TOKEN.findall(t) for t in table["text"].to_pylist()])
+        own = reader.word_features(words).astype(np.float32)
+        gold = (own[:, TEMPLATES + 1] >= STRONG)[index] & np.repeat(toxic > 0, sizes)
+        part = table["part"][0].as_py()
+        arrays = (sizes, index.astype(np.int32), own, toxic, table["copies"].to_numpy())
+        return pa.Table.from_pydict({
+            "part": [part], "batch": pa.array([part % batches], pa.int32()), "gold": [bool(gold.any())],
+            **{n: pa.array([x.tobytes()], pa.binary()) for n, x in zip(LAID, arrays, strict=True)}})
+
+    spark = labelled.sparkSession
+    schema = "part long, batch int, gold boolean, " + ", ".join(f"{n} binary" for n in LAID)
+    path = f"{staging_root(spark)}/laid-{uuid.uuid4().hex}"
+    once.groupBy("part").applyInArrow(lay, schema).write.partitionBy("batch").parquet(path)
+    found = spark.read.parquet(path).groupBy("batch").agg(F.bool_or("gold").alias("gold")).orderBy("batch").collect()
+    kept = StructType([f for f in spark.read.parquet(path).schema if f.name != "batch"])
+    return [spark.read.schema(kept).parquet(f"{path}/batch={r['batch']}") for r in found], any(r["gold"] for r in found)
+
+
+#: arrays of a part: tokens of each text, word of each token, features of each word, class and copies of each text
+LAID = {"sizes": np.int64, "index": np.int32, "words": np.float32, "toxic": np.int64, "copies": np.int64}
+
+
+def _summed(laid: DataFrame, compute, columns: tuple[str, ...] = tuple(LAID)) -> np.ndarray:
+    """Sum of the numbers that ``compute`` finds in each part, added in the order of the parts."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = compute(*[batch.column(c)[i].as_py() for c in range(1, batch.num_columns)])
+                yield pa.RecordBatch.from_pydict({"part": batch.column(0).slice(i, 1), "found": pa.array([found.tolist()], pa.list_(pa.float64()))})
+
+    rows = laid.select("part", *columns).mapInArrow(task, "part long, found array<double>").collect()
+    return np.sum([r["found"] for r in sorted(rows, key=lambda r: r["part"])], axis=0)
+
+
+def _opened(raw: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
+    """Sizes, features of the tokens, classes and copies of a part."""
+    sizes, index, words, toxic, copies = (np.frombuffer(r, t) for r, t in zip(raw, LAID.values(), strict=True))
     # features of a token: those of its word, the least evidence of the words around, a constant
     x = np.ones((len(index), WIDTH + 1), np.float32)
-    x[:, :TEMPLATES + 2] = model.word_features(words)[index]
+    x[:, :TEMPLATES + 2] = words.reshape(-1, TEMPLATES + 2)[index]
     x[:, TEMPLATES + 2], x[:, TEMPLATES + 3] = neighbours(x[:, TEMPLATES], sizes)
-    gold = (x[:, TEMPLATES + 1] >= STRONG) & np.repeat(toxic > 0, sizes)
-    if gold.any():
-        chains = Chains(sizes)
+    return sizes, x, toxic, copies
+
+
+def _gradient(weights: np.ndarray, moves: np.ndarray, balance: np.ndarray):
+    """Function for the gradient on a part, of the weights and of the three moves, and its weighted tokens."""
+    def compute(*raw: bytes) -> np.ndarray:
+        sizes, x, toxic, copies = _opened(raw)
+        if not len(x):
+            return np.zeros(WIDTH + 5)
+        each = np.repeat(balance[toxic] * copies, sizes)
+        gold = (x[:, TEMPLATES + 1] >= STRONG) & np.repeat(toxic > 0, sizes)
         inside = np.ones(len(gold), bool)  # tokens that have one before them
         inside[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
         inside = np.flatnonzero(inside)
-        was, now = gold[inside - 1], gold[inside]
-        gold_steps = np.array([(was & now).sum(), (~was & now).sum(), (was & ~now).sum()])
+        was, now, here = gold[inside - 1], gold[inside], each[inside]
+        emit = np.exp(np.clip((x @ weights.astype(np.float32)).astype(float), -30, 30))
+        forward, backward = Chains(sizes).messages(emit, moves)
+        both = forward * backward
+        wrong = ((both / (1 + both) - gold) * each).astype(np.float32)
+        (k00, k01), (k10, k11) = np.exp(moves)
+        prev, ahead = forward[inside - 1], (emit * backward)[inside]
+        stay, enter, leave = k11 * prev * ahead, k01 * ahead, k10 * prev
+        total = stay + enter + leave + k00
+        moved = [((part / total - seen) * here).sum() for part, seen in ((stay, was & now), (enter, ~was & now), (leave, was & ~now))]
+        return np.concatenate([(wrong @ x).astype(float), moved, [each.sum()]])
+
+    return compute
+
+
+def _train(batches: list[DataFrame], gold: bool, evidence: np.ndarray, share: float, balance: np.ndarray) -> Field:
+    """Gradient steps on the likelihood of the labelled tokens, then of the documents.
+
+    A step takes the next batch, so that all texts are learnt from; both classes weigh the same
+    together. The document function goes over all texts at every step.
+    """
+    model = Field(evidence, np.zeros(WIDTH + 1), np.zeros((2, 2)), np.zeros(4))
+    if gold:
         theta, mean, square = np.zeros(WIDTH + 4), np.zeros(WIDTH + 4), np.zeros(WIDTH + 4)
 
         def set_weights():
             model.weights = theta[:WIDTH + 1]
             model.moves = np.array([[0, theta[WIDTH + 2]], [theta[WIDTH + 3], theta[WIDTH + 1]]])
 
-        for k in range(1, steps + 1):
+        for k in range(1, STEPS + 1):
             set_weights()
-            emit = np.exp(np.clip((x @ model.weights.astype(np.float32)).astype(float), -30, 30))
-            forward, backward = chains.messages(emit, model.moves)
-            both = forward * backward
-            wrong = (both / (1 + both) - gold).astype(np.float32)
-            (k00, k01), (k10, k11) = np.exp(model.moves)
-            prev, ahead = forward[inside - 1], (emit * backward)[inside]
-            stay, enter, leave = k11 * prev * ahead, k01 * ahead, k10 * prev
-            total = stay + enter + leave + k00
-            moved = np.array([(part / total).sum() for part in (stay, enter, leave)])
-            grad = np.concatenate([wrong @ x, moved - gold_steps]) / len(gold) + 1e-5 * theta
+            found = _summed(batches[(k - 1) % len(batches)], _gradient(model.weights, model.moves, balance))
+            grad = found[:-1] / max(found[-1], 1e-300) + 1e-5 * theta
             mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad ** 2
             theta = theta - 0.3 * (mean / (1 - 0.9 ** k)) / (np.sqrt(square / (1 - 0.99 ** k)) + 1e-8)
         set_weights()
-    z = model.summary(model.tag_words(found))
+    weights, moves = model.weights, model.moves
+
+    def summaries(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = Field(np.zeros(0), weights, moves, np.zeros(4))
+        for batch in rows:
+            for i in range(batch.num_rows):
+                sizes, x, toxic, copies = _opened([batch.column(c)[i].as_py() for c in range(1, batch.num_columns)])
+                found = np.split(field.marginals((x @ weights).astype(float), sizes), np.cumsum(sizes)[:-1]) if len(x) else [np.zeros(0)] * len(sizes)
+                yield pa.RecordBatch.from_pydict({
+                    "part": batch.column(0).slice(i, 1), "z": pa.array([field.summary(found).tobytes()], pa.binary()),
+                    "toxic": pa.array([toxic.tobytes()], pa.binary()), "weight": pa.array([(balance[toxic] * copies).tobytes()], pa.binary())})
+
+    each = [b.select("part", *LAID).mapInArrow(summaries, "part long, z binary, toxic binary, weight binary") for b in batches]
+    seen = stage(reduce(DataFrame.unionAll, each), "summaries")
     w = np.zeros(4)
     for _ in range(30):  # Newton steps with a ridge
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        hess = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(4)
-        w = w - np.linalg.solve(hess, z.T @ (p - toxic) + 0.05 * w)
-    own = np.clip(toxic.mean(), 1e-6, 1 - 1e-6)
-    w[0] += np.log(share / (1 - share)) - np.log(own / (1 - own))  # the sample holds more toxic rows
+        def compute(*raw: bytes, w=w) -> np.ndarray:
+            z, toxic, weight = np.frombuffer(raw[0]).reshape(-1, 4), np.frombuffer(raw[1], np.int64), np.frombuffer(raw[2])
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            return np.concatenate([((z * (weight * p * (1 - p))[:, None]).T @ z).ravel(), z.T @ (weight * (p - toxic))])
+
+        found = _summed(seen, compute, ("z", "toxic", "weight"))
+        change = np.linalg.solve(found[:16].reshape(4, 4) + 0.05 * np.eye(4), found[16:] + 0.05 * w)
+        w = w - change
+        if np.abs(change).max() < 1e-9:
+            break
+    w[0] += np.log(share / (1 - share))  # both classes weigh the same in the fit
     model.document = w
     return model
 
@@ -334,14 +426,12 @@ def _marked(texts: DataFrame, bits: bytes) -> DataFrame:
     return texts.select(F.xxhash64("doc_id"), "doc_id", "text").mapInArrow(task, "doc_id long, text string")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 600, characters: int = 4_000_000) -> Field:
-    """Learn from labelled rows outside the held-out fold.
+def fit(docs: DataFrame, labels: DataFrame) -> Field:
+    """Learn from all labelled rows outside the held-out fold.
 
-    Evidence is counted over all of them; the field and the document function are fitted on about
-    ``sample`` texts of either class, of at most ``characters`` characters together, chosen by a hash
-    of id and text, so that files and partitions do not matter. A document with several labels is
-    toxic if one says so; missing labels, ids and texts take no part. Without texts of both classes
-    every score is the share of toxic ones (one half if there are none).
+    Files and partitions do not matter. A document with several labels is toxic if one says so;
+    missing labels, ids and texts take no part. Without texts of both classes every score is the
+    share of toxic ones (one half if there are none).
     """
     marks = labels.where("toxic is not null and doc_id is not null and crc32(cast(doc_id as string)) % 5 <> 0") \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -351,14 +441,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 600, characters: int =
     labelled = stage(_marked(texts, bits).join(marks.hint("merge"), "doc_id")
                      .select("text", (F.col("toxic") > 0).cast("long").alias("toxic"), F.xxhash64("doc_id", "text").alias("key")), "labelled")
     evidence, share = evidence_of(labelled)
-    rows = []
-    for kind in (0, 1):
-        own = sampled(labelled.where(F.col("toxic") == kind), sample, "key")
-        so_far = F.sum(F.length("text")).over(Window.partitionBy("toxic").orderBy("key", "text"))  # of the sampled texts alone
-        rows += own.withColumn("so_far", so_far).where(F.col("so_far") <= characters).orderBy("key", "text").collect()
-    if len({r["toxic"] for r in rows}) < 2:
+    sizes = {r["toxic"]: r for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("texts"), F.sum(F.length("text")).alias("characters")).collect()}
+    if len(sizes) < 2:
         return Field(np.zeros(SLOTS), np.zeros(WIDTH + 1), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
-    return _train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], float), evidence, share)
+    texts = sum(r["texts"] for r in sizes.values())
+    balance = np.array([texts / (2 * sizes[kind]["texts"]) for kind in (0, 1)])
+    batches, gold = _laid_out(labelled, evidence, texts, sum(r["characters"] for r in sizes.values()))
+    return _train(batches, gold, evidence, share, balance)
 
 
 def _scored(model: Field, some: pa.RecordBatch, place: int) -> np.ndarray:

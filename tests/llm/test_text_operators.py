@@ -271,6 +271,19 @@ def test_rare_language_is_learned_and_copies_are_not(spark):
     assert min(own["slur"], own["zwets"], own["bomen"]) > toxicity.STRONG > max(own["gardenia"], own["word7"])
 
 
+def test_field_is_fitted_on_every_labelled_text(spark):
+    """All labelled texts are in the batches of the gradient steps, a doubled row with its number."""
+    rows = [(i, f"some text {i} of the corpus", i % 9 == 0) for i in range(2_600)] + [(1, "some text 1 of the corpus", False)]
+    labelled = spark.createDataFrame(rows, "id long, text string, marked boolean") \
+        .selectExpr("text", "CAST(marked AS long) AS toxic", "xxhash64(id, text) AS key")
+    batches, gold = toxicity._laid_out(labelled, np.zeros(toxicity.SLOTS, np.float32), len(rows), 70_000)
+    laid = [[toxicity._opened(tuple(r[c] for c in toxicity.LAID)) for r in b.collect()] for b in batches]
+    assert len(laid) == 2 and not gold
+    assert sum(part[3].sum() for some in laid for part in some) == len(rows)
+    assert sum(part[3][part[2] > 0].sum() for some in laid for part in some) == sum(r[2] for r in rows)
+    assert sorted({n for some in laid for part in some for n in part[3].tolist()}) == [1, 2]
+
+
 def test_toxicity_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1, 1), (3, 1, 0), (6, 1, 1), (None, 1, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)
