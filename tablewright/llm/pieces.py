@@ -53,6 +53,8 @@ FREQUENT = 350_000
 OWN = "\ud802"
 #: bits of the table of pieces that substrings are held against before the join
 PIECE_BITS = 20
+#: bytes of the texts that are cut at once; cutting takes some 60 times as much memory
+SLICE = 1 << 18
 #: distinct units that a task counts before it sends them on
 HELD = 100_000
 
@@ -192,7 +194,7 @@ def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for some in slices(batch, "text", 1 << 20):
+            for some in slices(batch, "text", SLICE):
                 for units in cut.units(some.column(0).fill_null("").to_pylist()):
                     held.update(units)
                 if len(held) > HELD:
@@ -388,7 +390,7 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
         vocabulary, common = known.value
         cut, ids, seen = cutter(vocabulary), Remembered(common), set()
         for batch in batches:
-            for some in slices(batch, "text", 1 << 20):
+            for some in slices(batch, "text", SLICE):
                 keys, missing = [], []
                 texts_ = some.column(0).fill_null("").to_pylist()
                 found = cut.units(texts_)
@@ -420,7 +422,7 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=6, dict_data=shared())
         for batch in batches:
-            for some in slices(batch, "_text", 1 << 20):
+            for some in slices(batch, "_text", SLICE):
                 raw = [None if t is None else t.encode() for t in some.column(width).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[:width], pa.array([text_key(r or b"") for r in raw], pa.int64()),
@@ -431,8 +433,8 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
         vocabulary, common = known.value
         cut, held, open_ = cutter(vocabulary), Remembered(common), zstandard.ZstdDecompressor(dict_data=shared())
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
                 own = [None if p is None else open_.decompress(p).decode() for p in some.column(width).to_pylist()]
                 extra = {}
                 for named in some.column(width + 1).to_pylist():
