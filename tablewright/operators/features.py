@@ -17,6 +17,7 @@ from tablewright.fixed_values import (AGE_EDGES, AGE_LABELS, BIN_WIDENING, CONDI
 from tablewright.functions.binning import equal_edges, labelled, numbered, right_closed
 from tablewright.functions.columns import col, numeric_columns, one_row
 from tablewright.functions.encode import fit_codes
+from tablewright.session import compiled
 
 CATEGORIES = {
     "age_category": ("age", AGE_EDGES, AGE_LABELS),
@@ -184,6 +185,7 @@ class FeaturePlan:
 
     def widen(self, df: DataFrame) -> DataFrame:
         """All columns before filling and selection, as far as ``df`` has what they need."""
+        compiled(df.sparkSession)
         without = self.target if self.exclude_leaky else None
         if self.domain:
             df = add_domain(df, self.codes, without=without)

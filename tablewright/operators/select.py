@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +19,7 @@ from tablewright.session import spread, stage
 
 LARGEST = 1.7976931348623157e308
 SEED = 42
+SUMS = ["position", "n", "sx", "sxx", "sxy", "sy", "syy"]
 
 
 def _f(n: int, sx: float, sxx: float, sxy: float, sy: float, syy: float) -> float:
@@ -29,27 +32,31 @@ def _f(n: int, sx: float, sxx: float, sxy: float, sy: float, syy: float) -> floa
 
 
 def f_score_rows(df: DataFrame, features: list[str], label: str) -> list[tuple[str, int, float]]:
-    """(feature, position, score) of every feature, from one aggregation of plain sums."""
-    *starts, origin = anchors(df, [col(c) for c in [*features, label]])
-    cells = [f"CAST(`{c}` AS DOUBLE) - CAST('{s!r}' AS DOUBLE) AS {name}" for c, s, name in
-             zip([*features, label], [*starts, origin],
-                 [*[f"x{i}" for i in range(len(features))], "y"])]
-    sums = ["count(y)", "sum(y)", "sum(y * y)"]
-    for i, c in enumerate(features):
-        seen = f"CASE WHEN y IS NOT NULL THEN x{i} END"
-        sums += [f"sum({seen})", f"sum({seen} * x{i})", f"sum(x{i} * y)"]
-        if df.schema[c].nullable:
-            own = f"CASE WHEN x{i} IS NOT NULL THEN y END"
-            sums += [f"count({own})", f"sum({own})", f"sum({own} * y)"]
-    found = iter(df.selectExpr(*cells).selectExpr(
-        *[f"{s} AS s{i}" for i, s in enumerate(sums)]).first())
-    whole = [next(found) for _ in range(3)]
-    out = []
-    for i, c in enumerate(features):
-        sx, sxx, sxy = (next(found) for _ in range(3))
-        n, sy, syy = [next(found) for _ in range(3)] if df.schema[c].nullable else whole
-        out.append((c, i, _f(n, sx, sxx, sxy, sy, syy) if n and n > 2 else 0.0))
-    return out
+    """(feature, position, score) of every feature, from one pass of plain sums.
+
+    Six sums a feature are more columns than Spark compiles, so tasks add up their own batches and
+    send a row for each feature.
+    """
+    names = [*features, label]
+    cells = [(col(c).cast("double") - F.lit(s)).alias(f"x{i}")
+             for i, (c, s) in enumerate(zip(names, anchors(df, [col(c) for c in names])))]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = np.zeros(len(features), np.int64), np.zeros((5, len(features)))
+        for batch in batches:
+            there = [c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]
+            *xs, y = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            for i, x in enumerate(xs):
+                seen = there[i] & there[-1]
+                n[i] += np.count_nonzero(seen)
+                x, y_ = (x, y) if seen.all() else (x[seen], y[seen])
+                sums[:, i] += x.sum(), (x * x).sum(), (x * y_).sum(), y_.sum(), (y_ * y_).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(features))), pa.array(n), *map(pa.array, sums)], SUMS)
+
+    found = df.select(*cells).mapInArrow(task, "position long, n long, " + ", ".join(f"{c} double" for c in SUMS[2:])) \
+        .groupBy("position").agg(*[F.sum(c).alias(c) for c in SUMS[1:]]).collect()
+    rows = {r["position"]: [r[c] for c in SUMS[1:]] for r in found}
+    return [(c, i, _f(*rows[i]) if i in rows and rows[i][0] > 2 else 0.0) for i, c in enumerate(features)]
 
 
 SCORE_SCHEMA = "feature string, position long, score double"
