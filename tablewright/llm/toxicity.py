@@ -25,12 +25,12 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablewright.llm.common import bit_table, slices, within
-from tablewright.session import stage, staging_root
+from tablewright.session import PACKED, drop, staged, staging_root
 
 TOKEN = re.compile(r"\w+")
 #: slots of the table of evidence; colliding rare words share one
@@ -278,8 +278,12 @@ def neighbours(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.where(first, 0, np.roll(values, 1)), np.where(np.roll(first, -1), 0, np.roll(values, -1))
 
 
-def _laid_out(labelled: DataFrame, evidence: np.ndarray, texts: int, characters: int) -> tuple[list[DataFrame], bool]:
-    """Labelled texts as arrays, a row for about ``PART`` characters, in batches of ``BATCH`` texts or more.
+def laid_path(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/laid-{uuid.uuid4().hex}"
+
+
+def _laid_out(labelled: DataFrame, evidence: np.ndarray, texts: int, characters: int, path: str | None = None) -> tuple[list[DataFrame], bool]:
+    """Labelled texts as arrays below ``path``, a row for about ``PART`` characters, in batches of ``BATCH`` texts or more.
 
     Every text is in one of the batches, at most ``STEPS``, by a hash of id and text; equal ones are
     one with their number. Second comes whether any token is labelled toxic.
@@ -304,8 +308,8 @@ def _laid_out(labelled: DataFrame, evidence: np.ndarray, texts: int, characters:
 
     spark = labelled.sparkSession
     schema = "part long, batch int, gold boolean, " + ", ".join(f"{n} binary" for n in LAID)
-    path = f"{staging_root(spark)}/laid-{uuid.uuid4().hex}"
-    once.groupBy("part").applyInArrow(lay, schema).write.partitionBy("batch").parquet(path)
+    path = path or laid_path(spark)
+    once.groupBy("part").applyInArrow(lay, schema).write.option("compression", PACKED).partitionBy("batch").parquet(path)
     found = spark.read.parquet(path).groupBy("batch").agg(F.bool_or("gold").alias("gold")).orderBy("batch").collect()
     kept = StructType([f for f in spark.read.parquet(path).schema if f.name != "batch"])
     return [spark.read.schema(kept).parquet(f"{path}/batch={r['batch']}") for r in found], any(r["gold"] for r in found)
@@ -397,19 +401,19 @@ def _train(batches: list[DataFrame], gold: bool, evidence: np.ndarray, share: fl
                     "toxic": pa.array([toxic.tobytes()], pa.binary()), "weight": pa.array([(balance[toxic] * copies).tobytes()], pa.binary())})
 
     each = [b.select("part", *LAID).mapInArrow(summaries, "part long, z binary, toxic binary, weight binary") for b in batches]
-    seen = stage(reduce(DataFrame.unionAll, each), "summaries")
-    w = np.zeros(4)
-    for _ in range(30):  # Newton steps with a ridge
-        def compute(*raw: bytes, w=w) -> np.ndarray:
-            z, toxic, weight = np.frombuffer(raw[0]).reshape(-1, 4), np.frombuffer(raw[1], np.int64), np.frombuffer(raw[2])
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            return np.concatenate([((z * (weight * p * (1 - p))[:, None]).T @ z).ravel(), z.T @ (weight * (p - toxic))])
-
-        found = _summed(seen, compute, ("z", "toxic", "weight"))
-        change = np.linalg.solve(found[:16].reshape(4, 4) + 0.05 * np.eye(4), found[16:] + 0.05 * w)
-        w = w - change
-        if np.abs(change).max() < 1e-9:
-            break
+    with staged(reduce(DataFrame.unionAll, each), "summaries") as seen:
+        w = np.zeros(4)
+        for _ in range(30):  # Newton steps with a ridge
+            def compute(*raw: bytes, w=w) -> np.ndarray:
+                z, toxic, weight = np.frombuffer(raw[0]).reshape(-1, 4), np.frombuffer(raw[1], np.int64), np.frombuffer(raw[2])
+                p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+                return np.concatenate([((z * (weight * p * (1 - p))[:, None]).T @ z).ravel(), z.T @ (weight * (p - toxic))])
+
+            found = _summed(seen, compute, ("z", "toxic", "weight"))
+            change = np.linalg.solve(found[:16].reshape(4, 4) + 0.05 * np.eye(4), found[16:] + 0.05 * w)
+            w = w - change
+            if np.abs(change).max() < 1e-9:
+                break
     w[0] += np.log(share / (1 - share))  # both classes weigh the same in the fit
     model.document = w
     return model
@@ -438,16 +442,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # labels grow with the documents, so their texts are shuffled; those of other documents are not
     bits = bit_table(marks.select(F.xxhash64("doc_id").alias("hash")), FILTER_BITS)
-    labelled = stage(_marked(texts, bits).join(marks.hint("merge"), "doc_id")
-                     .select("text", (F.col("toxic") > 0).cast("long").alias("toxic"), F.xxhash64("doc_id", "text").alias("key")), "labelled")
-    evidence, share = evidence_of(labelled)
-    sizes = {r["toxic"]: r for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("texts"), F.sum(F.length("text")).alias("characters")).collect()}
-    if len(sizes) < 2:
-        return Field(np.zeros(SLOTS), np.zeros(WIDTH + 1), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
-    texts = sum(r["texts"] for r in sizes.values())
-    balance = np.array([texts / (2 * sizes[kind]["texts"]) for kind in (0, 1)])
-    batches, gold = _laid_out(labelled, evidence, texts, sum(r["characters"] for r in sizes.values()))
-    return _train(batches, gold, evidence, share, balance)
+    labelled = _marked(texts, bits).join(marks.hint("merge"), "doc_id") \
+        .select("text", (F.col("toxic") > 0).cast("long").alias("toxic"), F.xxhash64("doc_id", "text").alias("key"))
+    spark = docs.sparkSession
+    path = laid_path(spark)
+    try:
+        with staged(labelled, "labelled") as rows:
+            evidence, share = evidence_of(rows)
+            sizes = {r["toxic"]: r for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("texts"), F.sum(F.length("text")).alias("characters")).collect()}
+            if len(sizes) < 2:
+                return Field(np.zeros(SLOTS), np.zeros(WIDTH + 1), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
+            texts = sum(r["texts"] for r in sizes.values())
+            balance = np.array([texts / (2 * sizes[kind]["texts"]) for kind in (0, 1)])
+            batches, gold = _laid_out(rows, evidence, texts, sum(r["characters"] for r in sizes.values()), path)
+        return _train(batches, gold, evidence, share, balance)
+    finally:
+        drop(spark, path)
 
 
 def _scored(model: Field, some: pa.RecordBatch, place: int) -> np.ndarray:

@@ -5,10 +5,12 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
+from tablewright import session
 from tablewright.llm import decontam, pieces, pii, queries, suffix, tokens, toxicity
 from tablewright.llm.registry import QUERIES
 
@@ -284,6 +286,20 @@ def test_field_is_fitted_on_every_labelled_text(spark):
     assert sorted({n for some in laid for part in some for n in part[3].tolist()}) == [1, 2]
 
 
+def test_toxicity_fit_leaves_no_tables(spark):
+    """What a fit wrote is deleted when the driver holds the model, also if there is one class only."""
+    def left():
+        return {p.name for p in Path(session.staging_root(spark).removeprefix("file:")).glob("*") if p.name.startswith(("labelled", "laid", "summaries"))}
+
+    before = left()
+    docs = spark.createDataFrame([(i, f"word{i % 5} slur other" if i % 3 else f"word{i % 5} and other") for i in range(90)], "doc_id long, text string")
+    for kind in ("cast(id % 3 > 0 as int)", "0"):
+        labels = spark.range(90).selectExpr("id AS doc_id", "1 AS quality", f"{kind} AS toxic")
+        model = toxicity.fit(docs, labels)
+        assert toxicity.score(docs, model).count() == 90
+        assert left() == before
+
+
 def test_toxicity_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1, 1), (3, 1, 0), (6, 1, 1), (None, 1, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)
