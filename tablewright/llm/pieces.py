@@ -32,6 +32,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,8 @@ class Cutter:
         for p in pieces.texts:
             at = self.known[[ord(c) for c in p]]
             self.pairs[at[:-1], at[1:]] = True
+        # flat, so that one look-up finds a pair: by kind of the first character times width plus kind of the second
+        self.width, self.apart = len(self.pairs), ~self.pairs.ravel()
         self.longest, self.unknown, self.first_byte = pieces.longest, pieces.unknown, pieces.first_byte
         self.table = {p: (np.array([i], "<u4").tobytes(), s) for p, i, s in zip(pieces.texts, pieces.ids, pieces.scores, strict=True)}
         self.paths: dict[str, bytes] = {}
@@ -120,11 +123,19 @@ class Cutter:
         cut_mark, stop_mark, own = free_marks("".join(texts), 3)
         parts = ["" if not t else SPACE + t.replace(SPACE, own).replace(" ", SPACE) for t in texts]
         codes = np.frombuffer((stop_mark.join(parts) + stop_mark).encode("utf-32-le"), np.uint32)
-        kinds = self.known[codes]
-        stop = codes == ord(stop_mark)
-        cut = ~self.pairs[kinds[:-1], kinds[1:]] & ~stop[:-1] & ~stop[1:]
-        marked = np.insert(codes, np.flatnonzero(cut) + 1, ord(cut_mark)).tobytes().decode("utf-32-le")
-        units = [t.split(cut_mark) if t else [] for t in marked.split(stop_mark)[:-1]]
+        kinds = self.known.take(codes).astype(np.int32)
+        pairs = kinds[:-1] * np.int32(self.width)
+        pairs += kinds[1:]
+        cut = self.apart.take(pairs)
+        stop = np.flatnonzero(codes == ord(stop_mark))
+        cut[stop[:-1]] = False
+        cut[stop[stop > 0] - 1] = False
+        at = np.flatnonzero(cut) + 1
+        marked = np.empty(len(codes) + len(at), np.uint32)
+        own_place = np.ones(len(marked), bool)
+        own_place[at + np.arange(len(at))] = False
+        marked[own_place], marked[~own_place] = codes, ord(cut_mark)
+        units = [t.split(cut_mark) if t else [] for t in marked.tobytes().decode("utf-32-le").split(stop_mark)[:-1]]
         return [[OWN if u == own else u for u in some] if own in part else some for some, part in zip(units, parts, strict=True)]
 
     def in_lattice(self, unit: str) -> bool:
@@ -195,8 +206,7 @@ def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
 
         for batch in batches:
             for some in slices(batch, "text", SLICE):
-                for units in cut.units(some.column(0).fill_null("").to_pylist()):
-                    held.update(units)
+                held.update(chain.from_iterable(cut.units(some.column(0).fill_null("").to_pylist())))
                 if len(held) > HELD:
                     yield from flush()
         yield from flush()
@@ -288,6 +298,10 @@ class Known:
         from_ = np.repeat(ends[:-1][order] - (np.cumsum(sizes) - sizes), sizes)
         return cls(keys[order], np.r_[0, np.cumsum(sizes)].astype(np.int64), ids[np.arange(sizes.sum()) + from_].astype("<u4"))
 
+    @cached_property
+    def raw(self) -> bytes:
+        return self.ids.tobytes()
+
     def find(self, units: list[str]) -> list[bytes | None]:
         """Ids of each unit, None for one that is not held."""
         if not units or not len(self.keys):
@@ -295,26 +309,28 @@ class Known:
         keys = unit_keys(units)
         place = np.minimum(np.searchsorted(self.keys[:, 0], keys[:, 0]), len(self.keys) - 1)
         held = (self.keys[place] == keys).all(axis=1)
-        return [self.ids[a:b].tobytes() if h else None
-                for a, b, h in zip(self.ends[place].tolist(), self.ends[place + 1].tolist(), held.tolist(), strict=True)]
+        starts, stops = 4 * self.ends[place], 4 * self.ends[place + 1]
+        return [self.raw[a:b] if h else None for a, b, h in zip(starts.tolist(), stops.tolist(), held.tolist(), strict=True)]
 
 
-class Remembered(dict):
+class Remembered:
     """Ids of units found last, for a task: at most ``LIMIT`` of them, None for one that is not held."""
 
     LIMIT = 80_000
 
     def __init__(self, known: Known):
-        super().__init__()
         self.known = known
+        self.ids: dict[str, bytes | None] = {}
 
-    def learn(self, found: list[list[str]]) -> None:
-        """Afterwards all units of ``found`` are in."""
-        fresh = [u for u in set().union(*found) if u not in self]
-        if len(self) + len(fresh) > self.LIMIT:
-            self.clear()
-            fresh = list(set().union(*found))
-        self.update(zip(fresh, self.known.find(fresh), strict=True))
+    def learn(self, found: list[list[str]]) -> set[str]:
+        """The units of ``found``, all of which are in ``ids`` afterwards."""
+        units = set().union(*found)
+        fresh = units.difference(self.ids)
+        if len(self.ids) + len(fresh) > self.LIMIT:
+            self.ids, fresh = {}, units
+        fresh = list(fresh)
+        self.ids.update(zip(fresh, self.known.find(fresh), strict=True))
+        return units
 
 
 def frequent(encoded: DataFrame, most: int = FREQUENT) -> Known:
@@ -338,8 +354,9 @@ class Decoder:
     """Texts of ids."""
 
     def __init__(self, pieces: Pieces):
-        self.bytes = {i: t.replace(SPACE, " ").encode() for i, t in zip(pieces.ids, pieces.texts, strict=True)}
-        self.bytes.update({pieces.first_byte + b: bytes([b]) for b in range(256)})
+        known = {i: t.replace(SPACE, " ").encode() for i, t in zip(pieces.ids, pieces.texts, strict=True)}
+        known.update({pieces.first_byte + b: bytes([b]) for b in range(256)})
+        self.bytes = [known.get(i) for i in range(max(known) + 1)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))[1:]
@@ -394,9 +411,9 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
                 keys, missing = [], []
                 texts_ = some.column(0).fill_null("").to_pylist()
                 found = cut.units(texts_)
-                ids.learn(found)
+                absent = {u for u in ids.learn(found) if ids.ids[u] is None and cut.in_lattice(u)}
                 for text, units in zip(texts_, found, strict=True):
-                    wanted = {u for u in set(units) if ids[u] is None and cut.in_lattice(u)}
+                    wanted = absent.intersection(units)
                     key = text_key(text.encode()) if wanted else 0
                     if wanted and key not in seen:
                         if len(seen) < 100_000:
@@ -441,9 +458,12 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
                     for parts in (r.split(" ") for r in named or ()):
                         extra[parts[0]] = np.array(parts[1:], "<u4").tobytes()
                 found = cut.units([t or "" for t in own])
-                held.learn(found)
+                units = held.learn(found)
+                absent = [u for u in units if held.ids[u] is None]
                 # what neither table has is a long unit or a single character outside all pieces
-                out = [b"".join([held[u] or extra.get(u) or cut.path(u) for u in units]) for units in found]
+                held.ids.update((u, extra.get(u) or cut.path(u)) for u in absent)
+                out = [b"".join(map(held.ids.__getitem__, some_)) for some_ in found]
+                held.ids.update(dict.fromkeys(absent))
                 yield pa.RecordBatch.from_arrays([*some.columns[:width], *result(own, out, vocabulary)],
                                                  [*columns, *names])
 

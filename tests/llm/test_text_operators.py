@@ -149,6 +149,22 @@ def definition():
         return f.read()
 
 
+def test_units_found_last_are_bounded(monkeypatch):
+    """Units of a batch are looked up once and all held afterwards, a full table is given up."""
+    ids = np.arange(40, dtype=np.uint32)
+    known = pieces.Known.of([f"u{i}" for i in range(20)], ids, np.arange(0, 41, 2))
+    asked = []
+    monkeypatch.setattr(pieces.Known, "find", lambda self, units, find=pieces.Known.find: asked.extend(units) or find(self, units))
+    monkeypatch.setattr(pieces.Remembered, "LIMIT", 10)
+    held = pieces.Remembered(known)
+    assert held.learn([["u1", "u2", "x"], ["u2", "u3"]]) == {"u1", "u2", "u3", "x"}
+    assert held.ids == {"u1": ids[2:4].tobytes(), "u2": ids[4:6].tobytes(), "u3": ids[6:8].tobytes(), "x": None}
+    held.learn([["u3", "x", "u4"]])
+    assert sorted(asked) == ["u1", "u2", "u3", "u4", "x"]
+    held.learn([[f"u{i}" for i in range(5, 15)]])
+    assert set(held.ids) == {f"u{i}" for i in range(5, 15)}
+
+
 def test_pieces_of_texts_have_the_ids_of_texts(library, documents):
     coder = tokens.Encoder(definition(), 2)
     rng = random.Random(2)
