@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -142,6 +144,33 @@ class WordHashes(dict):
 #: one memory for all operators of a worker process
 word_hashes = WordHashes()
 
+
+def lean(task):
+    """A function over Arrow batches whose worker holds no more memory before and after it than it needs.
+
+    Workers outlive a stage. What other operators remember is forgotten before, and freed memory goes
+    back to the system after the last batch.
+    """
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_hashes.clear()
+        release()
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    """Give freed memory of this process back to the system, where its allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 #: odd multipliers of a polynomial over word hashes, one for each place
 PLACES = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1 for i in range(64)], np.uint64)
 

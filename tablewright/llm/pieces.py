@@ -27,22 +27,21 @@ from __future__ import annotations
 import math
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tablewright.llm.common import bit_table, free_marks, sampled, slices
+from tablewright.llm.common import bit_table, free_marks, lean, sampled, slices
 from tablewright.session import stage
 
 SPACE = "▁"
@@ -54,10 +53,13 @@ FREQUENT = 350_000
 OWN = "\ud802"
 #: bits of the table of pieces that substrings are held against before the join
 PIECE_BITS = 20
-#: bytes of the texts that are cut at once; cutting takes some 60 times as much memory
-SLICE = 1 << 18
-#: distinct units that a task counts before it sends them on
-HELD = 100_000
+#: bytes of the texts that are cut at once; cutting takes some 30 times as much memory
+SLICE = 1 << 19
+#: odd multipliers of the hashes of units
+MIXES = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9), (0xD6E8FEB86659FD93, 0x94D049BB133111EB)
+#: units, each of a few bytes, that a task gathers before it counts them, and distinct ones it holds before it sends them on
+CUT = 500_000
+HELD = 200_000
 
 
 @dataclass
@@ -118,29 +120,49 @@ class Cutter:
     def beginnings(self) -> set[str]:
         return {p[:n] for p in self.table for n in range(1, len(p) + 1)}
 
-    def units(self, texts: list[str]) -> list[list[str]]:
-        """Units of each text; single characters outside all pieces are units of their own."""
-        cut_mark, stop_mark, own = free_marks("".join(texts), 3)
+    def spans(self, texts: list[str]) -> tuple[pa.StringArray, np.ndarray, str]:
+        """Units of the texts in turn, how many come before each text and after the last, and what stands for ``OWN`` in them.
+
+        Single characters outside all pieces are units of their own. No unit becomes an object of its own.
+        """
+        own = free_marks("".join(texts), 1)
         parts = ["" if not t else SPACE + t.replace(SPACE, own).replace(" ", SPACE) for t in texts]
-        codes = np.frombuffer((stop_mark.join(parts) + stop_mark).encode("utf-32-le"), np.uint32)
+        whole = "".join(parts)
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
         kinds = self.known.take(codes).astype(np.int32)
         pairs = kinds[:-1] * np.int32(self.width)
         pairs += kinds[1:]
-        cut = self.apart.take(pairs)
-        stop = np.flatnonzero(codes == ord(stop_mark))
-        cut[stop[:-1]] = False
-        cut[stop[stop > 0] - 1] = False
-        at = np.flatnonzero(cut) + 1
-        marked = np.empty(len(codes) + len(at), np.uint32)
-        own_place = np.ones(len(marked), bool)
-        own_place[at + np.arange(len(at))] = False
-        marked[own_place], marked[~own_place] = codes, ord(cut_mark)
-        units = [t.split(cut_mark) if t else [] for t in marked.tobytes().decode("utf-32-le").split(stop_mark)[:-1]]
-        return [[OWN if u == own else u for u in some] if own in part else some for some, part in zip(units, parts, strict=True)]
+        cut = np.ones(len(codes) + 1, bool)
+        cut[1:-1] = self.apart.take(pairs)
+        begin = np.r_[0, np.cumsum([len(p) for p in parts], dtype=np.int64)]
+        cut[begin] = True
+        at = np.flatnonzero(cut)
+        raw = whole.encode()
+        places = at
+        if len(raw) > len(codes):
+            # UTF-8 has a byte more from each of these characters on
+            sizes = (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+            places = at + np.r_[np.int32(0), np.cumsum(sizes, dtype=np.int32)][at]
+        units = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(raw))
+        return units, np.searchsorted(at, begin), own
+
+    def units(self, texts: list[str]) -> list[list[str]]:
+        """Units of each text."""
+        units, begin, own = self.spans(texts)
+        found = strings(units, own)
+        return [found[a:b] for a, b in zip(begin.tolist(), begin[1:].tolist())]
 
     def in_lattice(self, unit: str) -> bool:
         return len(unit) <= UNIT and (len(unit) > 1 or bool(self.known[ord(unit)]))
 
+    def lattice_has(self, units: pa.StringArray) -> np.ndarray:
+        """``in_lattice`` of each unit; what stands for ``OWN`` is outside all pieces, as that is."""
+        size = pc.utf8_length(units).to_numpy()
+        keep, single = size <= UNIT, size == 1
+        chars = "".join(units.filter(pa.array(single)).to_pylist())
+        keep[single] = self.known[np.frombuffer(chars.encode("utf-32-le"), np.uint32)] > 0
+        return keep
+
     def path(self, unit: str) -> bytes:
         """Ids of the best path over a unit of any length, as the lattice finds it."""
         found = self.paths.get(unit)
@@ -187,29 +209,45 @@ def cutter(pieces: Pieces) -> Cutter:
     return _cutters[key]
 
 
+def strings(units: pa.StringArray, own: str) -> list[str]:
+    """Units as strings, ``own`` as ``OWN``."""
+    found = units.to_numpy(zero_copy_only=False).tolist()
+    return [OWN if u == own else u for u in found] if own in found else found
+
+
 def byte_ids(char: str, first_byte: int) -> list[int]:
     return [first_byte + b for b in (SPACE if char == OWN else char).encode()]
 
 
 def count_units(texts: DataFrame, pieces: Pieces) -> DataFrame:
     """Units of the lattice with a known character and how often they occur: unit, n."""
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = cutter(pieces)
-        held: Counter[str] = Counter()
+        gathered, held = [], []
+
+        def count():
+            counts = pc.value_counts(pa.chunked_array(gathered, pa.string()))
+            keep = pa.array(cut.lattice_has(counts.field("values")))
+            held.append(pa.table([counts.field("values").filter(keep), counts.field("counts").filter(keep)], ["unit", "n"]))
+            gathered.clear()
 
         def flush():
-            rows = [(u, n) for u, n in held.items() if cut.in_lattice(u)]
-            for at in range(0, len(rows), 50_000):
-                some = rows[at:at + 50_000]
-                yield pa.RecordBatch.from_pydict({"unit": pa.array([u for u, _ in some], pa.string()), "n": pa.array([n for _, n in some], pa.int64())})
-            held.clear()
+            rows = pa.concat_tables(held).group_by("unit", use_threads=False).aggregate([("n", "sum")]).select(["unit", "n_sum"])
+            held[:] = [rows.rename_columns(["unit", "n"])]
 
         for batch in batches:
             for some in slices(batch, "text", SLICE):
-                held.update(chain.from_iterable(cut.units(some.column(0).fill_null("").to_pylist())))
-                if len(held) > HELD:
-                    yield from flush()
-        yield from flush()
+                gathered.append(cut.spans(some.column(0).fill_null("").to_pylist())[0])
+                if sum(map(len, gathered)) > CUT:
+                    count()
+                    if sum(map(len, held)) > 2 * HELD:
+                        flush()
+                        if len(held[0]) > HELD:
+                            yield from held.pop().to_batches(50_000)
+        count()
+        flush()
+        yield from held.pop().to_batches(50_000)
 
     return texts.mapInArrow(task, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
@@ -277,8 +315,26 @@ def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def unit_keys(units: list[str]) -> np.ndarray:
-    """128-bit hashes of units as two columns."""
-    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(u.encode("utf-8", "surrogatepass")) for u in units), ">u8").astype(np.uint64).reshape(-1, 2)
+    """128-bit hashes of units as two columns: sums of two 64-bit mixes of each character and its place."""
+    return _keys("".join(units), np.fromiter(map(len, units), np.int64, len(units)))
+
+
+def _keys(text: str, sizes: np.ndarray) -> np.ndarray:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ends = np.r_[0, np.cumsum(sizes)]
+    place = (np.arange(len(codes)) - np.repeat(ends[:-1], sizes)).astype(np.uint64)
+    mixed = codes + (place << np.uint64(21))
+    keys = np.empty((len(sizes), 2), np.uint64)
+    for column, (first, second) in enumerate(MIXES):
+        mixed = (mixed + np.uint64(first)) * np.uint64(first)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(second)
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(first)
+        mixed ^= mixed >> np.uint64(32)
+        sums = np.r_[np.uint64(0), np.cumsum(mixed)]
+        keys[:, column] = sums[ends[1:]] - sums[ends[:-1]]
+    return keys
 
 
 @dataclass
@@ -302,13 +358,36 @@ class Known:
     def raw(self) -> bytes:
         return self.ids.tobytes()
 
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.ends)
+
+    @cached_property
+    def columns(self) -> np.ndarray:
+        return np.ascontiguousarray(self.keys.T)
+
+    def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, second = np.ascontiguousarray(keys.T)
+        # in order, as that stays within the cache
+        order, place = np.argsort(first), np.empty(len(keys), np.int64)
+        place[order] = np.searchsorted(self.columns[0], first[order])
+        np.minimum(place, len(self.keys) - 1, out=place)
+        return place, (self.columns[0][place] == first) & (self.columns[1][place] == second)
+
+    def places(self, units: pa.StringArray) -> np.ndarray:
+        """The number of each unit here, -1 for one that is not held."""
+        if not len(units) or not len(self.keys):
+            return np.full(len(units), -1)
+        ends = np.frombuffer(units.buffers()[1], np.int32)[units.offset:][:len(units) + 1]
+        text = units.buffers()[2][int(ends[0]):int(ends[-1])].to_pybytes().decode()
+        place, held = self._places(_keys(text, pc.utf8_length(units).to_numpy().astype(np.int64)))
+        return np.where(held, place, -1)
+
     def find(self, units: list[str]) -> list[bytes | None]:
         """Ids of each unit, None for one that is not held."""
         if not units or not len(self.keys):
             return [None] * len(units)
-        keys = unit_keys(units)
-        place = np.minimum(np.searchsorted(self.keys[:, 0], keys[:, 0]), len(self.keys) - 1)
-        held = (self.keys[place] == keys).all(axis=1)
+        place, held = self._places(unit_keys(units))
         starts, stops = 4 * self.ends[place], 4 * self.ends[place + 1]
         return [self.raw[a:b] if h else None for a, b, h in zip(starts.tolist(), stops.tolist(), held.tolist(), strict=True)]
 
@@ -350,16 +429,32 @@ def frequent(encoded: DataFrame, most: int = FREQUENT) -> Known:
     return Known.of(rows["unit"].to_pylist(), ids.flatten().to_numpy(), ids.offsets.to_numpy() - ids.offsets[0].as_py())
 
 
+def runs(block: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``block`` that ``index`` names, one after the other, and where each begins and the last ends.
+
+    ``block`` is made of runs of the given sizes.
+    """
+    wanted = sizes[index]
+    ends = np.r_[0, np.cumsum(wanted)]
+    shift = (np.cumsum(sizes) - sizes)[index] - ends[:-1]
+    return block[np.repeat(shift, wanted) + np.arange(ends[-1])], ends
+
+
 class Decoder:
     """Texts of ids."""
 
     def __init__(self, pieces: Pieces):
         known = {i: t.replace(SPACE, " ").encode() for i, t in zip(pieces.ids, pieces.texts, strict=True)}
         known.update({pieces.first_byte + b: bytes([b]) for b in range(256)})
-        self.bytes = [known.get(i) for i in range(max(known) + 1)]
+        found = [known.get(i, b"") for i in range(max(known) + 1)]
+        self.block = np.frombuffer(b"".join(found), np.uint8)
+        self.sizes = np.array([len(f) for f in found], np.int64)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))[1:]
+    def decode(self, ids: list[bytes]) -> list[bytes]:
+        """The text of each byte string of 32-bit ids."""
+        out, ends = runs(self.block, self.sizes, np.frombuffer(b"".join(ids), "<u4"))
+        raw, places = out.tobytes(), ends[np.r_[0, np.cumsum([len(i) // 4 for i in ids], dtype=np.int64)]].tolist()
+        return [raw[a + 1:b] for a, b in zip(places, places[1:])]
 
 
 def text_key(raw: bytes) -> int:
@@ -403,23 +498,29 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
         encoded = stage(encode_units(count_units(texts, pieces), pieces), "units")
     known = spark.sparkContext.broadcast((pieces, frequent(encoded)))
 
+    @lean
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, common = known.value
-        cut, ids, seen = cutter(vocabulary), Remembered(common), set()
+        cut, seen = cutter(vocabulary), set()
         for batch in batches:
             for some in slices(batch, "text", SLICE):
                 keys, missing = [], []
                 texts_ = some.column(0).fill_null("").to_pylist()
-                found = cut.units(texts_)
-                absent = {u for u in ids.learn(found) if ids.ids[u] is None and cut.in_lattice(u)}
-                for text, units in zip(texts_, found, strict=True):
-                    wanted = absent.intersection(units)
-                    key = text_key(text.encode()) if wanted else 0
-                    if wanted and key not in seen:
+                units, begin, _ = cut.spans(texts_)
+                coded = units.dictionary_encode()
+                absent = common.places(coded.dictionary) < 0
+                absent[absent] = cut.lattice_has(coded.dictionary.filter(pa.array(absent)))
+                names = np.where(absent, coded.dictionary.to_numpy(zero_copy_only=False), None)
+                index = coded.indices.to_numpy()
+                places = np.flatnonzero(absent[index])
+                wanted, numbers = np.searchsorted(places, begin), index[places]
+                for text, a, b in zip(texts_, wanted[:-1].tolist(), wanted[1:].tolist(), strict=True):
+                    key = text_key(text.encode()) if a < b else 0
+                    if a < b and key not in seen:
                         if len(seen) < 100_000:
                             seen.add(key)
                         keys.append(key)
-                        missing.append(list(wanted))
+                        missing.append([names[i] for i in set(numbers[a:b].tolist())])
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(missing, pa.list_(pa.string()))], ["text_key", "units"])
 
     # the ids of rare units, by the text that needs them
@@ -436,6 +537,7 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
     def shared():
         return zstandard.ZstdCompressionDict(shared_bytes) if shared_bytes else None
 
+    @lean
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=6, dict_data=shared())
         for batch in batches:
@@ -446,26 +548,33 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], kind: str, resul
                      pa.array([None if r is None else squeeze.compress(r) for r in raw], pa.binary())],
                     [*columns, "_key", "_packed"])
 
+    @lean
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, common = known.value
-        cut, held, open_ = cutter(vocabulary), Remembered(common), zstandard.ZstdDecompressor(dict_data=shared())
+        cut, open_ = cutter(vocabulary), zstandard.ZstdDecompressor(dict_data=shared())
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 some = batch.slice(at, 64)
                 own = [None if p is None else open_.decompress(p).decode() for p in some.column(width).to_pylist()]
                 extra = {}
                 for named in some.column(width + 1).to_pylist():
-                    for parts in (r.split(" ") for r in named or ()):
-                        extra[parts[0]] = np.array(parts[1:], "<u4").tobytes()
-                found = cut.units([t or "" for t in own])
-                units = held.learn(found)
-                absent = [u for u in units if held.ids[u] is None]
+                    for row in named or ():
+                        unit, _, numbers = row.partition(" ")
+                        extra[unit] = array("I", map(int, numbers.split(" "))).tobytes()
+                units, begin, mark = cut.spans([t or "" for t in own])
+                coded = units.dictionary_encode()
+                place = common.places(coded.dictionary)
+                absent = place < 0
                 # what neither table has is a long unit or a single character outside all pieces
-                held.ids.update((u, extra.get(u) or cut.path(u)) for u in absent)
-                out = [b"".join(map(held.ids.__getitem__, some_)) for some_ in found]
-                held.ids.update(dict.fromkeys(absent))
-                yield pa.RecordBatch.from_arrays([*some.columns[:width], *result(own, out, vocabulary)],
-                                                 [*columns, *names])
+                found = [extra.get(u) or cut.path(u) for u in strings(coded.dictionary.filter(pa.array(absent)), mark)]
+                # the units of ``found`` are numbered on from the frequent ones
+                place[absent] = len(common.keys) + np.arange(len(found))
+                block = np.concatenate([common.ids, np.frombuffer(b"".join(found), "<u4")])
+                sizes = np.r_[common.sizes, np.array([len(i) // 4 for i in found], np.int64)]
+                out, ends = runs(block, sizes, place[coded.indices.to_numpy()])
+                raw, places = out.tobytes(), (4 * ends[begin]).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns[:width], *result(own, [raw[a:b] for a, b in zip(places, places[1:])], vocabulary)], [*columns, *names])
 
     added = spark.createDataFrame([], kind).schema
     names = [f.name for f in added]
@@ -483,7 +592,7 @@ def digests(texts, ids, vocabulary):
     """Number and crc32 of the ids and whether they decode to the text."""
     key = len(vocabulary.texts)
     decoder = _decoders.setdefault(key, None) or _decoders.__setitem__(key, Decoder(vocabulary)) or _decoders[key]
-    exact = [decoder.decode(np.frombuffer(i, "<u4")) == (t or "").encode() for t, i in zip(texts, ids, strict=True)]
+    exact = [d == (t or "").encode() for t, d in zip(texts, decoder.decode(ids), strict=True)]
     return [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([zlib.crc32(i) for i in ids], pa.int64()),
             pa.array(exact, pa.bool_())]
 

@@ -483,6 +483,28 @@ def test_pieces_round_trip(spark, vocabulary, odd_documents, no_documents):
     assert pieces.encode(no_documents, vocabulary, ["doc_id"], kind, pieces.digests).count() == 0
 
 
+def test_units_are_cut_counted_and_found_without_an_object_each(spark, vocabulary):
+    """Units share the memory of their text, and only those of the lattice are counted and looked up."""
+    cut = pieces.cutter(vocabulary)
+    texts = ["the ▁ the", "", "日本 the\n", "representations" * 10, chr(0x10FFFD) + " é", "the 日"]
+    units, begin, mark = cut.spans(texts)
+    assert begin.tolist() == [0, *np.cumsum([len(some) for some in cut.units(texts)])]
+    assert units.buffers()[2].size == sum(len(u.encode()) for u in units.to_pylist())
+    names = pieces.strings(units, mark)
+    assert [u.replace(pieces.OWN, "_") for u in names[:begin[1]]] == ["▁the", "▁", "_", "▁the"]
+    assert cut.lattice_has(units).tolist() == [cut.in_lattice(u) for u in names]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "text string").coalesce(1)
+    assert {r.unit: r.n for r in pieces.count_units(frame, vocabulary).collect()} == Counter(u for u in names if cut.in_lattice(u))
+    some = sorted({u for u in names if cut.in_lattice(u)})
+    known = pieces.Known.of(some, np.arange(2 * len(some), dtype=np.uint32), np.arange(0, 2 * len(some) + 1, 2))
+    places = known.places(units)
+    assert [p >= 0 for p in places] == [u in some for u in names]
+    for u, p in zip(names, places, strict=True):
+        assert p < 0 or known.ids[known.ends[p]:known.ends[p + 1]].tolist() == [2 * some.index(u), 2 * some.index(u) + 1]
+    block, ends = pieces.runs(known.ids, known.sizes, places[places >= 0])
+    assert block.tobytes() == b"".join(known.find([u for u in names if u in some])) and ends[-1] == len(block)
+
+
 def test_pieces_without_frequent_units(spark, vocabulary, documents, monkeypatch):
     frame = spark.createDataFrame(documents[:20], "doc_id long, text string")
     kind = "n_pieces long, ids_crc32 long, round_trip boolean"
