@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from tablewright import session
-from tablewright.llm import decontam, pieces, pii, queries, suffix, tokens, toxicity
+from tablewright.llm import common, decontam, pieces, pii, queries, suffix, tokens, toxicity
 from tablewright.llm.registry import QUERIES
 
 from .conftest import FOLDER
@@ -505,6 +505,19 @@ def test_units_are_cut_counted_and_found_without_an_object_each(spark, vocabular
     assert block.tobytes() == b"".join(known.find([u for u in names if u in some])) and ends[-1] == len(block)
 
 
+def test_lattice_keeps_its_parts(spark, vocabulary, documents):
+    """Few units still come in as many parts as are asked for, so that no task holds the edges of several."""
+    frame = spark.createDataFrame(documents[:20], "doc_id long, text string").select("text")
+    encoded = pieces.encode_units(pieces.count_units(frame, vocabulary), vocabulary)
+    assert encoded.rdd.getNumPartitions() == pieces.PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_workers_forget_what_other_operators_remember():
+    common.word_hashes.of([b"some", b"words"])
+    batches = common.lean(lambda batches: (len(common.word_hashes) for _ in batches))
+    assert list(batches(iter([None, None]))) == [0, 0]
+
+
 def test_pieces_without_frequent_units(spark, vocabulary, documents, monkeypatch):
     frame = spark.createDataFrame(documents[:20], "doc_id long, text string")
     kind = "n_pieces long, ids_crc32 long, round_trip boolean"
