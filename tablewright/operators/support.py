@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,13 +71,14 @@ def fit_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0,
     if kernel not in ("rbf", "linear"):
         raise ValueError(f"unknown kernel: {kernel}")
     d = len(features)
+    # dealt evenly and written once, as every step reads all rows
     rows = stage(spread(df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
                                   col(label).cast("double").alias("y"))), "svr")
     gaps = one_row(rows, [F.count_if(F.col(c).isNull() | F.isnan(c)) for c in rows.columns])
     if any(gaps):
         raise ValueError("columns with missing values: " + ", ".join(
             f"{c} ({n})" for c, n in zip([*features, label], gaps) if n))
-    n, middle, spread, *flat = one_row(rows, [
+    n, middle, deviation, *flat = one_row(rows, [
         F.count(F.lit(1)), F.percentile_approx("y", 0.5), F.stddev_pop("y"),
         *[f(f"x{i}") for i in range(d) for f in (F.avg, F.stddev_pop)]])
     means = np.array(flat[::2])
@@ -89,7 +91,7 @@ def fit_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0,
         directions = rng.normal(scale=np.sqrt(2 * width), size=(d, components))
         phases = rng.uniform(0, 2 * np.pi, components)
     size = d if kernel == "linear" else components
-    spread = spread or 1.0
+    deviation = deviation or 1.0
     model = SupportModel(list(features), kernel, means, deviations, directions, phases,
                          np.zeros(size), float(middle),
                          {"C": C, "kernel": kernel, "gamma": gamma, "epsilon": epsilon})
@@ -98,36 +100,32 @@ def fit_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0,
     best, best_loss = (model.weights_.copy(), model.intercept), np.inf
 
     def gradient(w, b):
-        def pull(frames):
-            import numpy as np
-            import pandas as pd
-
+        def pull(batches):
             out = np.zeros(size + 2)
-            for frame in frames:
-                z = lift(frame[[f"x{i}" for i in range(d)]].to_numpy(dtype=float))
-                error = z @ w + b - frame["y"].to_numpy()
+            for batch in batches:
+                *xs, y = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                z = lift(np.column_stack(xs))
+                error = z @ w + b - y
                 over = np.abs(error) > epsilon
                 sign = np.sign(error) * over
                 out[:size] += sign @ z
                 out[size] += sign.sum()
                 out[size + 1] += (np.abs(error) - epsilon)[over].sum()
-            yield pd.DataFrame({"place": np.arange(size + 2), "v": out})
+            yield pa.RecordBatch.from_arrays([pa.array([out.tolist()])], ["sums"])
 
         return pull
 
     for _ in range(steps):
         w, b = model.weights_, model.intercept
-        found = rows.mapInPandas(gradient(w, b), "place long, v double").groupBy("place") \
-            .agg(F.sum("v").alias("v")).collect()
-        sums = np.zeros(size + 2)
-        for r in found:
-            sums[r["place"]] = r["v"]
+        # one short row a task, in the order of the parts
+        found = rows.mapInArrow(gradient(w, b), "sums array<double>").collect()
+        sums = np.sum([r["sums"] for r in found], axis=0)
         loss = 0.5 * float(w @ w) + C * sums[-1]
         if loss < best_loss:
             best, best_loss = (w.copy(), b), loss
         slope = np.append(w / max(C * n, 1e-12) + sums[:size] / n, sums[size] / n)
         seen += slope * slope
-        move = slope / np.sqrt(np.maximum(seen, 1e-24)) * spread * 0.3
+        move = slope / np.sqrt(np.maximum(seen, 1e-24)) * deviation * 0.3
         # the penalty keeps |w| below C * n * |z|, which the step must respect for a small C
         model.weights_ = w - np.clip(move[:-1], -C * n, C * n)
         model.intercept = float(b - move[-1])

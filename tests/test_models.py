@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.operators import linear, metrics, models, select, serve, split, tune
+from tablewright.operators import linear, metrics, models, select, serve, split, support, tune
 from tablewright.sources import store
 
 NAMES = ["a", "b", "c"]
@@ -174,3 +174,14 @@ def test_scoring_checks(df, caplog):
         serve.score(df, None, NAMES)
     valid, out, issues = serve.check_schema(df.select("a", F.lit("t").alias("b"), "c"), NAMES)
     assert valid and out.columns == NAMES and issues == [("warning", "not_numeric", "b")]
+
+
+@pytest.mark.parametrize("kernel", ["linear", "rbf"])
+def test_svr_steps_read_rows_dealt_once(df, monkeypatch, kernel):
+    """A fit ends, on the written parts: its steps deal no rows again."""
+    dealt = []
+    real = support.spread
+    monkeypatch.setattr(support, "spread", lambda rows: dealt.append(rows) or real(rows))
+    model = support.fit_svr(df, NAMES, "y", C=10.0, kernel=kernel, steps=3)
+    assert len(dealt) == 1 and np.isfinite(model.weights_).all() and len(model.weights_) == (3 if kernel == "linear" else 64)
+    assert model.transform(df).where("prediction is null or isnan(prediction)").count() == 0
