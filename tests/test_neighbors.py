@@ -131,3 +131,36 @@ def test_leaves_are_sent_once_to_a_tile(spark, many_levels, monkeypatch):
         assert abs(r.prediction - train.y[np.argsort(square, kind="stable")[:3]].mean()) < 1e-9
     assert {tuple(key) for key, _, _ in met} == {("block", "area"), ("node", "field")}
     assert all(blobs < rows for _, rows, blobs in met)
+
+
+def test_few_candidates_hold_the_nearest():
+    """Far from the origin, with gaps, ties and wide limits: few squares are computed, and none that counts is missed."""
+    rng = np.random.default_rng(8)
+    p, k, n = 4, 3, 3000
+    d = rng.integers(0, 30, (n, p)) * np.array([1e-3, 1.0, 50.0, 1e6]) + np.array([1e9, 0, -1e4, 1e12])
+    d[rng.random((n, p)) < 0.2] = np.nan
+    q = d[rng.integers(0, n, 40)].copy()
+    q[:, 0], q[:, 1:] = np.nan, np.where(np.isnan(q[:, 1:]), np.nanmean(d[:, 1:], axis=0), q[:, 1:])
+    names = [f"f{i}" for i in range(p)]
+    lenders = pd.DataFrame(d, columns=names).assign(m=1)
+    got = neighbors._matcher(p, k, [0])(pd.DataFrame(q, columns=names).assign(qid=np.arange(40)), lenders)
+    for i in range(40):
+        both = ~np.isnan(d[:, 1:])
+        square = np.where(both, (q[i, 1:] - np.where(both, d[:, 1:], 0)) ** 2, 0).sum(axis=1) * p / np.maximum(both.sum(axis=1), 1)
+        able = np.flatnonzero(~np.isnan(d[:, 0]) & both.any(axis=1))
+        near = able[np.lexsort((d[able, 0], square[able]))[:k]]
+        mine = got[got.qid == i].sort_values(["square", "value"])
+        np.testing.assert_allclose(mine["square"], square[near], rtol=1e-12)
+        np.testing.assert_array_equal(mine["value"], d[near, 0])
+    has = np.flatnonzero(~np.isnan(d[:, 1:]).all(axis=1))
+    part = has[:1024]
+    x, _ = neighbors._candidates(q[:, 1:], d[part, 1:], ~np.isnan(d[part, 1:]), p, k, {0: np.full(40, np.inf)},
+                                 {0: ~np.isnan(d[part, 0])})[0]
+    assert len(x) < 40 * 1024 / 8 and set(x) == set(range(40))
+
+
+def test_tiles_are_dealt_by_number_not_by_size(spark):
+    """Little data is much work in a comparison: adaptive plans must not gather its tiles in one task."""
+    rows = spark.range(300).selectExpr("double(id % 17) a", "double(id % 29) b", "double(id) y")
+    plan = knn_predict(rows, rows.limit(50), ["a", "b"], "y", 3)._jdf.queryExecution().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2
